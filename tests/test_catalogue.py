@@ -1,0 +1,31 @@
+"""Every registered query against DuckDB on the same tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from tests.compare import connect, duck_rows, duck_schema, schema_of, spark_rows
+
+QUERIES, SQL = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def db(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, sf_dir, db, name):
+    got = QUERIES[name](spark, sf_dir)
+    assert schema_of(got) == duck_schema(db, SQL[name])
+    expected = duck_rows(db, SQL[name])
+    assert expected, "an oracle without rows proves nothing"
+    assert spark_rows(got) == expected
+
+
+def test_entry(spark):
+    rows = contract.entry(spark).collect()
+    assert {r["layer"] for r in rows} == {"bronze", "silver", "gold"}
+
+
+def test_every_query_has_sql():
+    assert sorted(SQL) == sorted(QUERIES)
