@@ -22,10 +22,11 @@ def _orderable(kind: T.DataType) -> bool:
 
 def _zero_signs(cols: Sequence[str]) -> Column:
     """One character per column that tells -0.0 from 0.0, which compare as equal."""
-    zero = F.lit(0.0)
-    return F.concat(
-        *[F.when((F.col(c) == 0) & (F.atan2(zero, F.col(c).cast("double")) > 0), "1").otherwise("0") for c in cols]
-    )
+    marks = []
+    for c in cols:
+        negative = F.col(c).cast("string").startswith("-")
+        marks.append(F.when(F.col(c) == 0, F.when(negative, "1").otherwise("0")).otherwise("0"))
+    return F.concat(*marks)
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "first") -> DataFrame:

@@ -47,6 +47,15 @@ class LayerReport:
         return self.spark.createDataFrame(self.problems, REPORT_SCHEMA)
 
 
+def _reason(error: Exception) -> str:
+    """The first line that says what went wrong: for a failed job that of its root cause."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None and cause.getCause() is not None:
+        cause = cause.getCause()
+    text = str(error) if cause is None else str(cause.getMessage() or cause.toString())
+    return " ".join(text.split("\n")[:3])
+
+
 def _each_table(
     spark: SparkSession, layer: str, tables: Iterable[str], build: Callable[[str], list[tuple]], on_error: str
 ) -> LayerReport:
@@ -58,7 +67,7 @@ def _each_table(
         try:
             return build(table)
         except Exception as error:  # noqa: BLE001 - one table's failure must not hide the others'
-            return [(layer, table, None, str(error).split("\n")[0])]
+            return [(layer, table, None, _reason(error))]
 
     tables = list(tables)
     with ThreadPoolExecutor(max_workers=min(4, max(1, len(tables)))) as pool:
