@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ _SLICE = "__slice"
 _CARRY = "__carry"
 _PLACE = "__place"
 _BIG = "__big"
+_BEFORE = "__before"
 MAX_SLICES = 10_000
 
 
@@ -55,10 +56,24 @@ def _with_slices(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_pe
     if not borders:
         return None
     cut = Bucketizer(splits=[-math.inf, *borders, math.inf], inputCol=_PLACE, outputCol=_SLICE, handleInvalid="keep")
-    slice_no = F.when(F.col(_BIG), F.when(F.col(_PLACE).isNull(), -1.0).otherwise(F.col(_SLICE)))
+    slice_no = F.when(F.col(_BIG), F.when(F.col(_PLACE).isNull(), -1).otherwise(F.col(_SLICE).cast("int")))
     return cut.transform(marked).withColumn(_SLICE, slice_no).drop(_PLACE, _BIG)
 
 
+def _last_readings(cols: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """Each counter's value in the last row of a group.
+
+    With one order column the buffers are fixed-width, so this is a hash aggregation.
+    """
+    if len(order) > 1:
+        last = F.max_by(F.struct(*cols), F.struct(*order))
+        return [last[c].alias(c) for c in cols]
+    place = F.col(order[0])
+    # rows without a place are alone in their stretch, where any of them may be the last
+    unplaced = F.when(place.isNull(), 1)
+    return [F.coalesce(F.max_by(c, place), F.max_by(c, unplaced)).alias(c) for c in cols]
+
+
 def counter_delta(
     df: DataFrame,
     by: Sequence[str],
@@ -78,27 +93,28 @@ def counter_delta(
     it as an extra row, and the differences run per stretch.
     """
     cols = list(cols)
-    first = F.lit(start) if start is not None else F.lit(None)
 
-    def deltas(window) -> dict[str, Column]:
-        before = {c: F.lag(F.struct(F.col(c))).over(window) for c in cols}
-        return {
-            c + suffix: F.col(c) - F.when(before[c].isNull(), first).otherwise(before[c][c]) for c in cols
-        }
+    def with_deltas(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        # a struct tells a null reading before from no reading before
+        before = F.lag(F.struct(*cols)).over(window)
+        first = F.col(_BEFORE).isNull()
+        return rows.withColumn(_BEFORE, before).withColumns(
+            {c + suffix: F.col(c) - F.when(first, F.lit(start)).otherwise(F.col(_BEFORE)[c]) for c in cols}
+        )
 
+    out = [*df.columns, *[c + suffix for c in cols]]
     sliced = _with_slices(df, by, order, rows_per_slice)
     if sliced is None:
-        return df.withColumns(deltas(Window.partitionBy(*by).orderBy(*order)))
-
-    tails = (
-        sliced.where(F.col(_SLICE).isNotNull())
-        .groupBy(*by, _SLICE)
-        .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("__last"))
+        return with_deltas(df, Window.partitionBy(*by).orderBy(*order)).select(*out)
+
+    tails = sliced.where(F.col(_SLICE).isNotNull()).groupBy(_SLICE, *by).agg(*_last_readings(cols, order))
+    tails = tails.select(_SLICE, *by, F.struct(*cols).alias(_BEFORE))
+    previous = F.lag(_BEFORE).over(Window.partitionBy(*by).orderBy(_SLICE))
+    carried = (
+        tails.withColumn(_BEFORE, previous)
+        .where(F.col(_BEFORE).isNotNull())
+        .select(*by, _SLICE, *[F.col(_BEFORE)[c].alias(c) for c in cols], F.lit(True).alias(_CARRY))
     )
-    carried = tails.select(
-        *by, _SLICE, F.lag("__last").over(Window.partitionBy(*by).orderBy(_SLICE)).alias("__last")
-    ).where(F.col("__last").isNotNull())
-    carried = carried.select(*by, _SLICE, *[F.col("__last")[c].alias(c) for c in cols], F.lit(True).alias(_CARRY))
     rows = sliced.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    window = Window.partitionBy(*by, _SLICE).orderBy(F.col(_CARRY).desc(), *order)
-    return rows.withColumns(deltas(window)).where(~F.col(_CARRY)).select(*df.columns, *[c + suffix for c in cols])
+    window = Window.partitionBy(_SLICE, *by).orderBy(F.col(_CARRY).desc(), *order)
+    return with_deltas(rows, window).where(~F.col(_CARRY)).select(*out)
