@@ -248,10 +248,9 @@ def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * 0.5).alias("t_silver"),
         F.col("o_custkey").cast("double").alias("t_gold"),
     )
-    labels = [*PRIORITIES, "4-NOT SPECIFIED"]
-    paths = {label: scratch_path(spark, "ledger") for label in labels}
-    for label, path in paths.items():
-        write_ledger(ledger.where(F.col("o_orderpriority") == label).drop("o_orderpriority"), path)
+    root = scratch_path(spark, "ledger")
+    write_ledger(ledger, root, ["o_orderpriority"])
+    paths = {label: f"{root}/o_orderpriority={label}" for label in [*PRIORITIES, "4-NOT SPECIFIED"]}
     schema = T.StructType([f for f in ledger.schema.fields if f.name != "o_orderpriority"])
     metrics = ["total_time", "t_bronze", "t_silver", "t_gold"]
     out = compare_configs(read_ledger(spark, paths, schema), "1-URGENT", PRIORITIES, metrics=metrics)
@@ -355,11 +354,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = scratch_path(spark, "eventlogs")
     for app in ("F", "O"):
         its = lines.where(F.col("l_linestatus") == app)
-        events = (
-            its.select(F.to_json(task).alias("value"))
-            .union(its.select("l_suppkey").distinct().select(F.to_json(stage)))
-            .union(its.select(F.to_json(other)))
-        )
+        tasks = its.select(F.explode(F.array(F.to_json(task), F.to_json(other))).alias("value"))
+        events = tasks.union(its.select("l_suppkey").distinct().select(F.to_json(stage)))
         events.write.text(f"{logs}/eventlog_v2_{app}")
     return event_log_metrics(spark, logs).select(
         "app", "job_group", "stages", "tasks", "failed_tasks", "run_ms", "cpu_ns", "read_bytes",

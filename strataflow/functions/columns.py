@@ -4,26 +4,28 @@ from __future__ import annotations
 
 import functools
 import operator
-import re
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 AsOf = Column | datetime | str | None
 
 
 def decoded(path: Column) -> Column:
     """Undo the URI escapes in a ``_metadata`` path or file name (``+`` is literal there)."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    escaped = path.contains("%")
+    return F.when(escaped, F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def source_name(file_name: Column, suffix: str = ".csv", every: bool = False) -> Column:
     """File name without its suffix; ``every`` removes each occurrence, not only the last."""
     if every:
         return F.replace(file_name, F.lit(suffix), F.lit(""))
-    return F.regexp_replace(file_name, re.escape(suffix) + "$", "")
+    stem = F.substring(file_name, F.lit(1), F.length(file_name) - len(suffix))
+    return F.when(file_name.endswith(suffix), stem).otherwise(file_name)
 
 
 def with_file_lineage(df: DataFrame, col: str = "source_id", suffix: str = ".csv", every: bool = False) -> DataFrame:
@@ -73,5 +75,11 @@ def with_category_rank(df: DataFrame, col: str, order: Sequence[str], rank: str
 
 
 def sort_by_category(df: DataFrame, col: str, order: Sequence[str], rank: str = "cat_rank") -> DataFrame:
-    """Rows in category order, values outside ``order`` last."""
-    return with_category_rank(df, col, order, rank).orderBy(F.col(rank).asc_nulls_last(), F.col(col))
+    """Rows in category order, values outside ``order`` last.
+
+    The order within a category is by row hash, so that the range sort can cut a large
+    category into several tasks.
+    """
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    ranked = with_category_rank(df, col, order, rank)
+    return ranked.orderBy(F.col(rank).asc_nulls_last(), F.col(col), F.xxhash64(*hashed))

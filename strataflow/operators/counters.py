@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -17,6 +17,8 @@ _BIG = "__big"
 _BEFORE = "__before"
 MAX_SLICES = 10_000
 
+Start = float | None | Mapping[str, float | Column | None]
+
 
 def _as_number(df: DataFrame, col: str) -> Column:
     """A double that never decreases while ``col`` grows."""
@@ -79,13 +81,14 @@ def counter_delta(
     by: Sequence[str],
     order: Sequence[str],
     cols: Sequence[str],
-    start: float | None = 0,
+    start: Start = 0,
     suffix: str = "_delta",
     rows_per_slice: int = 5_000_000,
 ) -> DataFrame:
     """Add ``<col>_delta``: each counter minus its previous reading within ``by``.
 
-    The first reading of a group is taken against ``start`` (null gives a null delta).
+    The first reading of a group is taken against ``start``: one value for all (null
+    gives a null delta), or per counter a value or column of that reading's row.
     ``order`` must identify a reading within its group.
 
     A group larger than ``rows_per_slice`` is not sorted in one task: it is cut into
@@ -98,8 +101,9 @@ def counter_delta(
         # a struct tells a null reading before from no reading before
         before = F.lag(F.struct(*cols)).over(window)
         first = F.col(_BEFORE).isNull()
+        starts = {c: start[c] if isinstance(start, Mapping) else start for c in cols}
         return rows.withColumn(_BEFORE, before).withColumns(
-            {c + suffix: F.col(c) - F.when(first, F.lit(start)).otherwise(F.col(_BEFORE)[c]) for c in cols}
+            {c + suffix: F.col(c) - F.when(first, F.lit(starts[c])).otherwise(F.col(_BEFORE)[c]) for c in cols}
         )
 
     out = [*df.columns, *[c + suffix for c in cols]]

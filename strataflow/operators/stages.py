@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import nan_to_null
-from strataflow.operators.counters import counter_delta
+from strataflow.operators.counters import Start, counter_delta
 
 # The stages of a run, the six figures kept for each, and so the 26
 # columns of a wide ledger row (run, total_time, then stage by stage).
@@ -99,13 +99,14 @@ def run_ledger(
     samples: DataFrame,
     run: str = "run",
     stages: Sequence[str] = STAGES,
-    start: float | None = 0,
+    start: Start = 0,
 ) -> DataFrame:
     """Counter samples to the wide ledger, one row per run.
 
     ``samples`` has ``run, stage, sample, ts, cpu_pct, mem_pct, read_bytes,
-    write_bytes`` with cumulative byte counters. Times are seconds, volumes MB. The
-    total is the sum of the stage times.
+    write_bytes`` with cumulative byte counters; ``start`` is what they showed when a
+    stage began, see :func:`counter_delta`. Times are seconds, volumes MB, and the total
+    is the sum of the stage times.
     """
     moved = counter_delta(samples, [run, "stage"], ["sample"], ["read_bytes", "write_bytes"], start)
     summary = stage_metrics(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +17,18 @@ LEDGER_SCHEMA = T.StructType(
 )
 
 
-def write_ledger(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write a ledger as a folder of headered CSV files; null cells are blank."""
-    (
+def write_ledger(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
+    """Write a ledger as a folder of headered CSV files; null cells are blank.
+
+    ``partition_by`` writes one folder per value, such as the configuration.
+    """
+    writer = (
         df.write.mode(mode)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
 def read_ledger(

@@ -83,6 +83,14 @@ def test_counter_delta_matches_a_plain_window(spark, start, rows_per_slice):
     assert sorted(map(str, got.collect())) == sorted(map(str, plain_deltas(df, start).collect()))
 
 
+@pytest.mark.parametrize("rows_per_slice", [2, 100])
+def test_counter_delta_start_per_row(spark, rows_per_slice):
+    rows = [("a", 1, 10, 4), ("a", 2, 15, 0), ("a", 3, 15, 0), ("b", 1, 7, 7)]
+    df = spark.createDataFrame(rows, "g string, t int, c int, at_start int")
+    out = counter_delta(df, ["g"], ["t"], ["c"], {"c": F.col("at_start")}, rows_per_slice=rows_per_slice)
+    assert sorted((r.g, r.t, r.c_delta) for r in out.collect()) == [("a", 1, 6), ("a", 2, 5), ("a", 3, 0), ("b", 1, 0)]
+
+
 def test_counter_delta_by_time_and_two_keys(spark):
     df = spark.range(2000).select(
         (F.col("id") % 2).cast("int").alias("run"),
