@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflow.catalogue.registry import as_of, query, scratch_layers, table
 from strataflow.operators import profile_counts, union_labelled
-from strataflow.plans import CleanSpec, PipelineConfig, run_pipeline, telemetry_config
+from strataflow.plans import CleanSpec, PipelineConfig, build_bronze, run_pipeline, telemetry_config
 from strataflow.plans.presets import TELEMETRY_COLUMNS
 from strataflow.session import scratch_path
 from strataflow.sources import (
@@ -214,3 +214,30 @@ def telemetry_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_pipeline(spark, config)
     # the pack number is the name Spark gave the file, so it is left out here
     return read_layer(spark, "gold", config.gold_table, config.prefix).drop("battery_number")
+
+
+@query(
+    "q44_bronze_once",
+    """
+    SELECT l_returnflag AS source, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def bronze_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the landing files before the first run, the rest before the second, none
+    before the third."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("source", F.col("l_returnflag"))
+    root, seen = scratch_path(spark, "landing"), scratch_path(spark, "seen")
+    prefix = scratch_layers(spark, "once")
+    sources = {f"{flag}_bz": f"{root}/source={flag}" for flag in ("A", "N", "R")}
+    early = F.col("l_linestatus") == "F"
+    for part in (lines.where(early), lines.where(~early), None):
+        if part is not None:
+            write_landing(part, root, ["source"], mode="append")
+        build_bronze(spark, sources, mode="once", checkpoint=seen, prefix=prefix, as_of=as_of())
+    loaded = {flag: read_layer(spark, "bronze", f"{flag}_bz", prefix) for flag in ("A", "N", "R")}
+    return (
+        union_labelled(loaded, "source")
+        .groupBy("source")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_orderkey").cast("bigint")).alias("key_sum"))
+    )

@@ -20,7 +20,7 @@ from strataflow.operators import (
     stage_share,
 )
 from strataflow.session import scratch_path
-from strataflow.sources import event_log_metrics, read_ledger, write_ledger
+from strataflow.sources import event_log_ledger, event_log_metrics, read_ledger, write_ledger
 
 
 @query(
@@ -305,24 +305,9 @@ def ledger_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "q34_event_log",
-    """
-    WITH t AS (SELECT l_linestatus AS app, CASE l_suppkey % 3 WHEN 0 THEN 'run/bronze' WHEN 1 THEN 'run/silver' END
-        AS job_group, * FROM lineitem)
-    SELECT app, job_group, count(DISTINCT l_suppkey) AS stages, count(*) AS tasks,
-      count(*) FILTER (WHERE l_returnflag = 'R') AS failed_tasks,
-      CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS run_ms, CAST(sum(l_partkey * 1000) AS BIGINT) AS cpu_ns,
-      CAST(sum(l_orderkey) AS BIGINT) AS read_bytes, CAST(sum(l_linenumber) AS BIGINT) AS rows_in,
-      CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_suppkey ELSE 0 END) AS BIGINT) AS write_bytes,
-      CAST(sum(l_partkey) AS BIGINT) AS shuffle_bytes, max(l_partkey) AS peak_bytes,
-      max(l_orderkey * 10 + CAST(l_quantity AS BIGINT)) - min(l_orderkey * 10) AS elapsed_ms
-    FROM t GROUP BY app, job_group
-    """,
-)
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_logs(spark: SparkSession, sf_dir: str, group_of: Column) -> str:
     """Lineitem written as the event logs of two applications: a line is a task, a supplier
-    a stage; every third supplier's stage has no job group."""
+    a stage in the job group ``group_of``."""
     lines = table(spark, sf_dir, "lineitem")
     failed = F.col("l_returnflag") == "R"
     launch = F.col("l_orderkey") * 10
@@ -344,11 +329,10 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             Shuffle_Write_Metrics=group(Shuffle_Bytes_Written=F.col("l_partkey")),
         ).alias("Task Metrics"),
     )
-    names = F.when(F.col("l_suppkey") % 3 == 0, "run/bronze").when(F.col("l_suppkey") % 3 == 1, "run/silver")
     stage = F.struct(
         F.lit("SparkListenerStageSubmitted").alias("Event"),
         group(Stage_ID=F.col("l_suppkey")).alias("Stage Info"),
-        F.struct(names.alias("spark.jobGroup.id")).alias("Properties"),
+        F.struct(group_of.alias("spark.jobGroup.id")).alias("Properties"),
     )
     other = F.struct(F.lit("SparkListenerTaskStart").alias("Event"), F.col("l_suppkey").alias("Stage ID"))
     logs = scratch_path(spark, "eventlogs")
@@ -357,7 +341,60 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         tasks = its.select(F.explode(F.array(F.to_json(task), F.to_json(other))).alias("value"))
         events = tasks.union(its.select("l_suppkey").distinct().select(F.to_json(stage)))
         events.write.text(f"{logs}/eventlog_v2_{app}")
+    return logs
+
+
+@query(
+    "q34_event_log",
+    """
+    WITH t AS (SELECT l_linestatus AS app, CASE l_suppkey % 3 WHEN 0 THEN 'run/bronze' WHEN 1 THEN 'run/silver' END
+        AS job_group, * FROM lineitem)
+    SELECT app, job_group, count(DISTINCT l_suppkey) AS stages, count(*) AS tasks,
+      count(*) FILTER (WHERE l_returnflag = 'R') AS failed_tasks,
+      CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS run_ms, CAST(sum(l_partkey * 1000) AS BIGINT) AS cpu_ns,
+      CAST(sum(l_orderkey) AS BIGINT) AS read_bytes, CAST(sum(l_linenumber) AS BIGINT) AS rows_in,
+      CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_suppkey ELSE 0 END) AS BIGINT) AS write_bytes,
+      CAST(sum(l_partkey) AS BIGINT) AS shuffle_bytes, max(l_partkey) AS peak_bytes,
+      max(l_orderkey * 10 + CAST(l_quantity AS BIGINT)) - min(l_orderkey * 10) AS elapsed_ms
+    FROM t GROUP BY app, job_group
+    """,
+)
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third supplier's stage has no job group."""
+    kind = F.col("l_suppkey") % 3
+    logs = _event_logs(spark, sf_dir, F.when(kind == 0, "run/bronze").when(kind == 1, "run/silver"))
     return event_log_metrics(spark, logs).select(
         "app", "job_group", "stages", "tasks", "failed_tasks", "run_ms", "cpu_ns", "read_bytes",
         "rows_in", "write_bytes", "shuffle_bytes", "peak_bytes", "elapsed_ms",
     )
+
+
+@query(
+    "q43_event_log_ledger",
+    """
+    WITH t AS (SELECT l_linestatus AS app, CAST(l_suppkey % 10 AS INTEGER) AS run,
+        CASE l_suppkey % 3 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END AS stage, * FROM lineitem),
+    s AS (SELECT app, run, stage,
+        (max(l_orderkey * 10 + CAST(l_quantity AS BIGINT)) - min(l_orderkey * 10)) / 1e3 AS t,
+        sum(l_partkey * 1000) / 1e4 / sum(CAST(l_quantity AS BIGINT)) AS cpu,
+        sum(l_orderkey) / 1048576.0 AS rd,
+        sum(CASE WHEN l_returnflag <> 'R' THEN l_suppkey ELSE 0 END) / 1048576.0 AS wr
+      FROM t GROUP BY app, run, stage)
+    SELECT app, run, round(sum(t), 6) AS total_time,
+      max(t) FILTER (WHERE stage = 'bronze') AS t_bronze, max(t) FILTER (WHERE stage = 'gold') AS t_gold,
+      round(max(cpu) FILTER (WHERE stage = 'silver'), 6) AS cpu_silver,
+      max(rd) FILTER (WHERE stage = 'bronze') AS read_bronze, max(wr) FILTER (WHERE stage = 'gold') AS write_gold,
+      round(max((rd + wr) / t) FILTER (WHERE stage = 'silver'), 6) AS throughput_silver
+    FROM s GROUP BY app, run
+    """,
+)
+def event_log_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten numbered runs of three stages in each application."""
+    kind = F.col("l_suppkey") % 3
+    stage = F.when(kind == 0, "bronze").when(kind == 1, "silver").otherwise("gold")
+    logs = _event_logs(spark, sf_dir, F.concat((F.col("l_suppkey") % 10).cast("string"), F.lit("/"), stage))
+    return event_log_ledger(spark, logs).select(
+        "app", "run", F.round("total_time", 6).alias("total_time"), "t_bronze", "t_gold",
+        F.round("cpu_silver", 6).alias("cpu_silver"), "read_bronze", "write_gold",
+        F.round("throughput_silver", 6).alias("throughput_silver"),
+    )

@@ -95,6 +95,12 @@ def ledger_wide(
     return long.groupBy(*ids).agg(*[F.max(F.when(F.col(name) == m, F.col(value))).alias(m) for m in metrics])
 
 
+def with_total_time(wide: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:
+    """Add the sum of the stage times; a stage without time counts as 0."""
+    times = (F.coalesce(F.col(f"t_{s}"), F.lit(0.0)) for s in stages)
+    return wide.withColumn("total_time", sum(times, F.lit(0.0)))
+
+
 def run_ledger(
     samples: DataFrame,
     run: str = "run",
@@ -129,7 +135,5 @@ def run_ledger(
             "throughput": (F.max, F.col("throughput") / F.lit(MB)),
         },
     )
-    total = sum((F.coalesce(F.col(f"t_{s}"), F.lit(0.0)) for s in stages), F.lit(0.0))
-    return wide.select(
-        run, total.alias("total_time"), *[f"{figure}_{s}" for s in stages for figure in STAGE_FIGURES]
-    )
+    figures = [f"{figure}_{s}" for s in stages for figure in STAGE_FIGURES]
+    return with_total_time(wide, stages).select(run, "total_time", *figures)

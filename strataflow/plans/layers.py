@@ -23,6 +23,7 @@ from strataflow.sources.landing import (
     rejected_files,
 )
 from strataflow.sources.tables import ensure_layers, read_layer, table_name, write_layer
+from strataflow.streaming.ingest import load_table_once
 
 REPORT_SCHEMA = "layer string, source string, file string, problem string"
 MAX_REPORTED_FILES = 1000
@@ -90,6 +91,7 @@ def build_bronze(
     suffix: str = ".csv",
     every_suffix: bool = False,
     loaded_col: str = "created_at",
+    checkpoint: str | None = None,
     on_error: str = "raise",
 ) -> LayerReport:
     """One bronze table per source from its landing files, all columns text.
@@ -101,13 +103,23 @@ def build_bronze(
     extra. Only if that fails are the headers looked up; files with the same columns in
     another order are then loaded by name, and files with other columns are reported
     as problems while the rest is loaded. ``"same"`` and ``"by_file"`` fix the choice.
+
+    ``mode="replace"`` makes a re-run give the same tables, ``"append"`` loads all files
+    again, and ``"once"`` adds only files that no run has loaded before, as noted below
+    the ``checkpoint`` folder (one folder per source, headers all the same).
     """
     ensure_layers(spark, prefix)
+    if mode == "once" and not checkpoint:
+        raise ValueError("mode='once' needs a checkpoint folder")
 
     def load(table: str) -> list[tuple]:
         paths = sources[table]
         names = list(columns or landing_columns(spark, paths))
         target = table_name("bronze", table, prefix)
+        if mode == "once":
+            seen = f"{checkpoint.rstrip('/')}/{table}"
+            load_table_once(spark, paths, target, seen, names, lineage, loaded_col, as_of, suffix, every_suffix)
+            return []
         drifted = None
 
         def write(rows: DataFrame) -> None:

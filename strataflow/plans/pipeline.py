@@ -25,8 +25,12 @@ from strataflow.sources.landing import TABLE_SUFFIX, Paths
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Landing folders by label, and what to make of them. Tables are named ``<label>_bz``
-    unless ``tables`` names them."""
+    """Landing folders by label, and what to make of them.
+
+    Tables are named ``<label>_bz`` unless ``tables`` names them. ``mode`` is that of
+    bronze; silver is appended to only with ``"append"``. ``run`` names the run in the
+    event log; a number there makes it a row of the run ledger.
+    """
 
     landing: Mapping[str, Paths]
     spec: CleanSpec
@@ -37,10 +41,11 @@ class PipelineConfig:
     tables: Mapping[str, str] | None = None
     prefix: str = ""
     mode: str = "replace"
+    checkpoint: str | None = None
     headers: str = "auto"
     gold_by_label: bool = False
     as_of: AsOf = None
-    run: str = "run"
+    run: str = "1"
 
     def table(self, label: str) -> str:
         return self.tables[label] if self.tables else label + TABLE_SUFFIX
@@ -94,9 +99,11 @@ def run_pipeline(
             config.prefix,
             config.headers,
             config.lineage,
+            checkpoint=config.checkpoint,
         )
     with stage(spark, config.run, "silver", clock):
-        build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix)
+        silver_mode = "append" if config.mode == "append" else "replace"
+        build_silver(spark, list(tables.values()), config.spec, config.as_of, silver_mode, config.prefix)
     with stage(spark, config.run, "gold", clock):
         build_gold(spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label)
     layers = {"bronze": tables, "silver": tables, "gold": {"all": config.gold_table}}

@@ -1,4 +1,4 @@
-from strataflow.sources.eventlog import event_log_metrics, read_event_log, stage_totals
+from strataflow.sources.eventlog import event_log_ledger, event_log_metrics, read_event_log, stage_totals
 from strataflow.sources.landing import (
     landing_columns,
     landing_headers,
@@ -24,6 +24,7 @@ __all__ = [
     "LAYERS",
     "LEDGER_SCHEMA",
     "ensure_layers",
+    "event_log_ledger",
     "event_log_metrics",
     "landing_columns",
     "landing_headers",

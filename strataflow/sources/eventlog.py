@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import decoded
+from strataflow.operators.stages import LEDGER_COLUMNS, MB, STAGE_FIGURES, STAGES, stage_columns, with_total_time
 
 # Names and nesting of the event-log fields that are read.
 _EVENT = """
@@ -107,3 +108,27 @@ def event_log_metrics(spark: SparkSession, log_dir: str) -> DataFrame:
             ),
         }
     )
+
+
+def event_log_ledger(spark: SparkSession, log_dir: str) -> DataFrame:
+    """The wide ledger from event logs: one row per application and numbered run.
+
+    Reads the job groups ``<run>/<stage>`` that a layer build sets. Times are seconds
+    from a stage's first task start to its last task end, ``cpu`` is percent of task
+    time, volumes are MB. Memory percentages and the ingest stage are not in the log.
+    """
+    group = F.col("job_group")
+    metrics = event_log_metrics(spark, log_dir).select(
+        "app",
+        F.regexp_extract(group, r"(\d+)/[^/]+$", 1).try_cast("int").alias("run"),
+        F.regexp_extract(group, r"([^/]+)$", 1).alias("stage"),
+        (F.col("elapsed_ms") / F.lit(1e3)).alias("t"),
+        F.col("cpu_pct").alias("cpu"),
+        F.lit(None).cast("double").alias("mem"),
+        (F.col("read_bytes") / F.lit(MB)).alias("read"),
+        (F.col("write_bytes") / F.lit(MB)).alias("write"),
+        (F.col("throughput") / F.lit(MB)).alias("throughput"),
+    )
+    staged = metrics.where(F.col("run").isNotNull() & F.col("stage").isin(*STAGES))
+    wide = stage_columns(staged, ["app", "run"], "stage", STAGES, {f: (F.max, f) for f in STAGE_FIGURES})
+    return with_total_time(wide).select("app", *LEDGER_COLUMNS)

@@ -1,3 +1,3 @@
-from strataflow.streaming.ingest import ingest_once
+from strataflow.streaming.ingest import ingest_once, landing_stream, load_table_once
 
-__all__ = ["ingest_once"]
+__all__ = ["ingest_once", "landing_stream", "load_table_once"]

@@ -8,9 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.columns import decoded, source_name
+from strataflow.functions.columns import AsOf, decoded, source_name, with_load_time
 from strataflow.sources.landing import text_schema
 
+FILES_PER_BATCH = 10_000
+
+
+def landing_stream(
+    spark: SparkSession, src: str, columns: Sequence[str], suffix: str = ".csv", files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """The files below ``src`` as a stream of text rows; offers ``_metadata``."""
+    return (
+        spark.readStream.schema(text_schema(columns))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", f"*{suffix}")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .csv(src)
+    )
+
 
 def ingest_once(
     spark: SparkSession,
@@ -21,7 +38,7 @@ def ingest_once(
     lineage: str = "source_id",
     folder: str = "folder",
     suffix: str = ".csv",
-    files_per_batch: int = 10_000,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Load the files below ``src`` that ``checkpoint`` has not seen yet into ``dst``.
 
@@ -32,18 +49,11 @@ def ingest_once(
 
     ``src``, ``dst`` and ``checkpoint`` must be on storage shared by all executors.
     """
-    files = (
-        spark.readStream.schema(text_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(src)
-    )
     name = decoded(F.col("_metadata.file_name"))
     parent = F.element_at(F.split(decoded(F.col("_metadata.file_path")), "/"), -2)
-    rows = files.select(*columns, source_name(name, suffix).alias(lineage), parent.alias(folder))
+    rows = landing_stream(spark, src, columns, suffix, files_per_batch).select(
+        *columns, source_name(name, suffix).alias(lineage), parent.alias(folder)
+    )
     query = (
         rows.writeStream.format("parquet")
         .partitionBy(folder)
@@ -55,3 +65,32 @@ def ingest_once(
     query.awaitTermination()
     schema = T.StructType([*text_schema([*columns, lineage]).fields, T.StructField(folder, T.StringType())])
     return spark.read.schema(schema).parquet(dst)
+
+
+def load_table_once(
+    spark: SparkSession,
+    src: str,
+    table: str,
+    checkpoint: str,
+    columns: Sequence[str],
+    lineage: str = "source_id",
+    loaded_col: str = "created_at",
+    as_of: AsOf = None,
+    suffix: str = ".csv",
+    every_suffix: bool = False,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> DataFrame:
+    """As :func:`ingest_once`, into a managed table with the load time of each batch.
+
+    Only this function may write to the table; the checkpoint belongs to it.
+    """
+    name = source_name(decoded(F.col("_metadata.file_name")), suffix, every_suffix)
+    rows = landing_stream(spark, src, columns, suffix, files_per_batch).select(*columns, name.alias(lineage))
+    query = (
+        with_load_time(rows, loaded_col, as_of)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .toTable(table)
+    )
+    query.awaitTermination()
+    return spark.table(table)

@@ -5,7 +5,8 @@ import os
 import subprocess
 import sys
 
-from strataflow.sources import event_log_metrics
+from strataflow.operators.stages import LEDGER_COLUMNS
+from strataflow.sources import event_log_ledger, event_log_metrics
 
 RUN = """
 import sys
@@ -16,7 +17,7 @@ spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "fal
          .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false")
          .config("spark.eventLog.dir", logs).config("spark.sql.shuffle.partitions", "2")
          .config("spark.sql.warehouse.dir", base + "/warehouse").getOrCreate())
-run_pipeline(spark, telemetry_config(root, run="r1")).collect()
+run_pipeline(spark, telemetry_config(root, run="7")).collect()
 spark.stop()
 """
 
@@ -32,15 +33,23 @@ def test_real_event_log_sums_by_stage(spark, tmp_path):
     done = subprocess.run(command, env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
     found = {r.job_group: r for r in event_log_metrics(spark, str(logs)).collect()}
-    assert set(found) == {"r1/bronze", "r1/silver", "r1/gold", None}
+    assert set(found) == {"7/bronze", "7/silver", "7/gold", None}
     for stage, rows_out in (("bronze", 15), ("silver", 9), ("gold", 9)):
-        row = found[f"r1/{stage}"]
+        row = found[f"7/{stage}"]
         assert row.rows_out == rows_out
         assert row.tasks >= row.stages > 0
         assert row.failed_tasks == 0
         assert row.write_bytes > 0
         assert row.elapsed_ms >= 0
 
+    ledger = event_log_ledger(spark, str(logs))
+    assert ledger.columns == ["app", *LEDGER_COLUMNS]
+    (run,) = ledger.collect()
+    assert run.run == 7
+    assert run.total_time == run.t_bronze + run.t_silver + run.t_gold
+    assert run.write_gold > 0
+    assert run.cpu_ingest is None
+
 
 def test_hand_written_events(spark, tmp_path):
     task = {"Event": "SparkListenerTaskEnd", "Stage ID": 3, "Task End Reason": {"Reason": "Success"},

@@ -99,6 +99,21 @@ def test_replace_twice_is_once_and_append_accumulates(spark, prefix, tmp_path):
     assert appended["gold", "all"] == 18
 
 
+def test_once_loads_new_files_only(spark, prefix, tmp_path):
+    root = landing(tmp_path / "in")
+    config = telemetry_config(root, prefix=prefix, mode="once", checkpoint=str(tmp_path / "seen"))
+    assert counts(run_pipeline(spark, config)) == EXPECTED
+    assert counts(run_pipeline(spark, config)) == EXPECTED
+    put(root, "second_life_batteries/battery36.csv", f"{HEADER}\n{PACK}".replace("8.1", "8.2"))
+    again = counts(run_pipeline(spark, config))
+    assert again["bronze", "second_life"] == 10
+    # one new reading at 8.2 V; the bad and NaN readings are the same in both packs
+    assert again["silver", "second_life"] == 4
+    assert again["bronze", "regular_alt"] == 5
+    with pytest.raises(ValueError, match="checkpoint"):
+        build_bronze(spark, {"x": root}, mode="once", prefix=prefix)
+
+
 def test_packs_with_equal_readings_collapse(spark, prefix, tmp_path):
     put(tmp_path, "b/one.csv", f"{HEADER}\n{PACK}")
     put(tmp_path, "b/two.csv", f"{HEADER}\n{PACK}")
