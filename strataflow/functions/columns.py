@@ -20,6 +20,11 @@ def decoded(path: Column) -> Column:
     return F.when(escaped, F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
+def parent_folder(path: Column) -> Column:
+    """Name of the folder a file is in."""
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+
 def source_name(file_name: Column, suffix: str = ".csv", every: bool = False) -> Column:
     """File name without its suffix; ``every`` removes each occurrence, not only the last."""
     if every:

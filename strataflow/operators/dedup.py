@@ -20,13 +20,16 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def _zero_signs(cols: Sequence[str]) -> Column:
-    """One character per column that tells -0.0 from 0.0, which compare as equal."""
-    marks = []
-    for c in cols:
-        negative = F.col(c).cast("string").startswith("-")
-        marks.append(F.when(F.col(c) == 0, F.when(negative, "1").otherwise("0")).otherwise("0"))
-    return F.concat(*marks)
+def _zero_signs(cols: Sequence[str]) -> list[Column]:
+    """Bit masks that tell -0.0 from 0.0, which compare as equal: one bit per column."""
+    masks = []
+    for start in range(0, len(cols), 62):
+        mask = F.lit(0).cast("bigint")
+        for bit, c in enumerate(cols[start : start + 62]):
+            negative = (F.col(c) == 0) & F.col(c).cast("string").startswith("-")
+            mask = mask + F.when(negative, F.lit(1 << bit).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        masks.append(mask)
+    return masks
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "first") -> DataFrame:
@@ -50,9 +53,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: s
         for f in df.schema.fields
         if f.name not in order and f.name not in keys and _orderable(f.dataType)
     ]
-    rank_by: list[Column] = [F.col(c).asc_nulls_first() for c in [*order, *ties]]
-    if floats:
-        rank_by.append(_zero_signs(floats))
+    rank_by = [*[F.col(c).asc_nulls_first() for c in [*order, *ties]], *_zero_signs(floats)]
     if not rank_by:
         return df.dropDuplicates(list(keys))
     window = Window.partitionBy(_BUCKET, *keys).orderBy(*rank_by)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import decoded
+from strataflow.functions.columns import decoded, parent_folder
 from strataflow.operators.stages import LEDGER_COLUMNS, MB, STAGE_FIGURES, STAGES, stage_columns, with_total_time
 
 # Names and nesting of the event-log fields that are read.
@@ -41,8 +41,7 @@ def read_event_log(spark: SparkSession, log_dir: str) -> DataFrame:
         f'{{"Event":"{_STAGE_START}"'
     )
     # eventlog_v2_<app>/events_<n>_<app> when rolling, else a file named <app>
-    parts = F.split("path", "/")
-    folder, file = F.element_at(parts, -2), F.element_at(parts, -1)
+    folder, file = parent_folder(F.col("path")), F.substring_index("path", "/", -1)
     app = F.when(folder.startswith("eventlog_v2_"), F.substring(folder, F.lit(13), F.length(folder))).otherwise(
         F.regexp_replace(file, r"\..*$", "")
     )

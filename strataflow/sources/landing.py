@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.columns import decoded, source_name, with_file_lineage
+from strataflow.functions.columns import decoded, parent_folder, source_name, with_file_lineage
 from strataflow.session import scratch_path
 
 Paths = str | Sequence[str]
@@ -168,8 +168,7 @@ def landing_manifest(
         .option("pathGlobFilter", glob)
         .load(_paths(root))
     )
-    parts = F.split("path", "/")
-    folder, name = F.element_at(parts, -2), F.element_at(parts, -1)
+    folder, name = parent_folder(F.col("path")), F.substring_index("path", "/", -1)
     manifest = files.select(
         "path",
         folder.alias("folder"),

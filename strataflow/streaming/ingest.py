@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.columns import AsOf, decoded, source_name, with_load_time
+from strataflow.functions.columns import AsOf, decoded, parent_folder, source_name, with_load_time
 from strataflow.sources.landing import text_schema
 
 FILES_PER_BATCH = 10_000
@@ -50,7 +50,7 @@ def ingest_once(
     ``src``, ``dst`` and ``checkpoint`` must be on storage shared by all executors.
     """
     name = decoded(F.col("_metadata.file_name"))
-    parent = F.element_at(F.split(decoded(F.col("_metadata.file_path")), "/"), -2)
+    parent = parent_folder(decoded(F.col("_metadata.file_path")))
     rows = landing_stream(spark, src, columns, suffix, files_per_batch).select(
         *columns, source_name(name, suffix).alias(lineage), parent.alias(folder)
     )
