@@ -2,9 +2,9 @@
 
     python scale_bench.py [copies] [runs]
 
-Writes 26 packs in three folders (about 60 MB of CSV per copy at sf0.1), then builds all
-layers ``runs`` times in ``replace`` mode. Prints one JSON line per run with seconds per
-stage, rows per layer and landing MB per second.
+Writes three folders, one with more than half of the rows (36 MB of CSV per copy at
+sf0.1), then builds all layers ``runs`` times in ``replace`` mode. Prints one JSON line
+per run with seconds per stage, rows per layer and landing MB per second.
 """
 
 from __future__ import annotations
@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 
 import bench
 from strataflow.catalogue.registry import as_of, scratch_layers
-from strataflow.plans import TELEMETRY_COLUMNS, TELEMETRY_SOURCES, run_pipeline, telemetry_config
-from strataflow.session import scratch_path
+from strataflow.plans import TELEMETRY_SOURCES, run_pipeline, telemetry_config
+from strataflow.session import cluster_conf, scratch_path
 from strataflow.sources import landing_manifest, write_landing
 
-PACKS = 26
 
 
 def readings() -> dict[str, Column]:
@@ -48,16 +47,15 @@ def readings() -> dict[str, Column]:
 
 
 def land(spark: SparkSession, sf_dir: str, copies: int) -> str:
-    """Write the tree: pack 0 has a third of all rows."""
+    """Write the tree; a quarter of the rows goes to each of the last two folders."""
     root = scratch_path(spark, "scale")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     cells = [cell.alias(name) for name, cell in readings().items()]
-    folders = list(TELEMETRY_SOURCES)
     rows = lines.repartition(32).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    key = F.pmod(F.xxhash64("l_orderkey", "l_partkey", "copy"), F.lit(3 * PACKS))
-    pack = F.when(key < PACKS, 0).otherwise(key % PACKS)
-    for i, folder in enumerate(folders):
-        write_landing(rows.where(pack % len(folders) == i).select(*cells), f"{root}/{folder}")
+    part = F.pmod(F.xxhash64("l_orderkey", "l_partkey", "copy"), F.lit(4))
+    for i, folder in enumerate(TELEMETRY_SOURCES):
+        its = part < 2 if i == 0 else part == i + 1
+        write_landing(rows.where(its).select(*cells), f"{root}/{folder}")
     return root
 
 
@@ -67,9 +65,9 @@ def main() -> None:
     spark = bench.session(int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4)))
     root = land(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), copies)
     mb = landing_manifest(spark, root).agg(F.sum("bytes")).first()[0] / 2**20
-    config = telemetry_config(
-        root, prefix=scratch_layers(spark, "scale"), as_of=as_of(), columns=tuple(TELEMETRY_COLUMNS)
-    )
+    for key, value in cluster_conf(int(mb * 2**20)).items():
+        spark.conf.set(key, value)
+    config = telemetry_config(root, prefix=scratch_layers(spark, "scale"), as_of=as_of())
     for run in range(1, runs + 1):
         stages: dict[str, float] = {}
         started = time.perf_counter()

@@ -92,8 +92,8 @@ def reset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def state(step: str) -> DataFrame:
         tables = [(layer, t) for layer in LAYERS for t in list_tables(spark, layer, prefix)]
-        kept = profile_counts({t: read_layer(spark, layer, t, prefix) for layer, t in tables}).agg(F.sum("n")) if tables else None
-        rows = kept.first()[0] if kept is not None else 0
+        kept = {t: read_layer(spark, layer, t, prefix) for layer, t in tables}
+        rows = profile_counts(kept).agg(F.sum("n")).first()[0] if kept else 0
         return spark.range(1).select(
             F.lit(step).alias("step"),
             F.lit(len(tables)).cast("bigint").alias("n_tables"),

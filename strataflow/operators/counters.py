@@ -93,7 +93,8 @@ def counter_delta(
 
     A group larger than ``rows_per_slice`` is not sorted in one task: it is cut into
     stretches of ``order``, every stretch receives the last reading of the one before
-    it as an extra row, and the differences run per stretch.
+    it as an extra row, and the differences run per stretch. The call counts the rows,
+    and looks for such groups if there are more than ``rows_per_slice``.
     """
     cols = list(cols)
 

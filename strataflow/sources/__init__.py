@@ -3,6 +3,7 @@ from strataflow.sources.landing import (
     landing_columns,
     landing_headers,
     landing_manifest,
+    landing_sources,
     pending_files,
     read_by_header,
     read_landing,
@@ -29,6 +30,7 @@ __all__ = [
     "landing_columns",
     "landing_headers",
     "landing_manifest",
+    "landing_sources",
     "list_tables",
     "pending_files",
     "read_by_header",

@@ -181,6 +181,18 @@ def landing_manifest(
     return manifest.where(~F.col("folder").isin(*skip)) if skip else manifest
 
 
+def landing_sources(manifest: DataFrame) -> dict[str, list[str]]:
+    """Table name -> folders, for every folder of a manifest that has files.
+
+    One entry per table to be, so the result is as small as the layer's table list.
+    """
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder_path")
+    found: dict[str, list[str]] = {}
+    for row in manifest.select("table_name", folder).distinct().orderBy("table_name", "folder_path").collect():
+        found.setdefault(row["table_name"], []).append(row["folder_path"])
+    return found
+
+
 def pending_files(manifest: DataFrame, loaded: DataFrame, on: Sequence[str] = ("path",)) -> DataFrame:
     """Manifest rows that are not among the loaded ones."""
     same = functools.reduce(operator.and_, [manifest[c].eqNullSafe(loaded[c]) for c in on])

@@ -27,8 +27,9 @@ def ensure_layers(spark: SparkSession, prefix: str = "", location: str | None =
     The session's current database stays as it is.
     """
     names = [layer_database(layer, prefix) for layer in LAYERS]
+    root = location.rstrip("/").replace("'", "\\'") if location else None
     for name in names:
-        where = f" LOCATION '{location.rstrip('/')}/{name}.db'" if location else ""
+        where = f" LOCATION '{root}/{name}.db'" if root else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
     return names
 

@@ -10,6 +10,7 @@ from strataflow.sources import (
     landing_columns,
     landing_headers,
     landing_manifest,
+    landing_sources,
     pending_files,
     read_landing,
     rejected_files,
@@ -102,6 +103,8 @@ def test_manifest_lists_without_reading(spark, tmp_path):
     man = landing_manifest(spark, str(root))
     rows = sorted((r.folder, r.table_name, r.file_name, r.source_id, r.bytes) for r in man.collect())
     assert rows == [("deep er", "deep er_bz", "b.csv", "b", 4), ("one", "one_bz", "a.csv", "a", 4)]
+    sources = landing_sources(man)
+    assert sources == {"deep er_bz": [f"file:{root}/one/deep er"], "one_bz": [f"file:{root}/one"]}
     plan = man._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
 

@@ -59,7 +59,9 @@ def counts(df):
     return {(r.layer, r.source): r.n for r in df.collect()}
 
 
-EXPECTED = {(layer, s): n for layer, n in (("bronze", 5), ("silver", 3)) for s in ("recommissioned", "regular_alt", "second_life")} | {("gold", "all"): 9}
+LABELS = ("recommissioned", "regular_alt", "second_life")
+EXPECTED = {(layer, label): n for layer, n in (("bronze", 5), ("silver", 3)) for label in LABELS}
+EXPECTED["gold", "all"] = 9
 
 
 def test_cycler_fixture_end_to_end(spark, prefix, tmp_path):
@@ -135,9 +137,11 @@ def test_bronze_headers_by_name(spark, prefix, tmp_path):
         report = build_bronze(spark, sources, TELEMETRY_COLUMNS, AS_OF, headers=headers, lineage="pack", prefix=prefix)
         assert report.to_df().count() == 0
         rows = read_layer(spark, "bronze", "b_bz", prefix)
-        per_pack = {pack: sorted(map(str, rows.where(F.col("pack") == pack).drop("pack").collect())) for pack in ("one", "turned")}
-        assert len(per_pack["one"]) == 5
-        assert per_pack["one"] == per_pack["turned"]
+        one, turned_rows = (
+            sorted(map(str, rows.where(F.col("pack") == pack).drop("pack").collect())) for pack in ("one", "turned")
+        )
+        assert len(one) == 5
+        assert one == turned_rows
     with pytest.raises(LayerError, match="header"):
         build_bronze(spark, sources, TELEMETRY_COLUMNS, headers="same", prefix=prefix)
 

@@ -165,7 +165,10 @@ def test_run_ledger_has_the_wide_shape(spark):
         (1, "bronze", 1, "2024-01-01 00:00:04", 30.0, 60.0, 3 << 20, 6 << 20),
         (1, "gold", 0, "2024-01-01 00:01:00", 90.0, 60.0, 0, 0),
     ]
-    schema = "run int, stage string, sample int, ts string, cpu_pct double, mem_pct double, read_bytes bigint, write_bytes bigint"
+    schema = (
+        "run int, stage string, sample int, ts string, "
+        "cpu_pct double, mem_pct double, read_bytes bigint, write_bytes bigint"
+    )
     df = spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts"))
     out = run_ledger(df)
     assert out.columns == list(LEDGER_COLUMNS)
@@ -176,7 +179,8 @@ def test_run_ledger_has_the_wide_shape(spark):
 
 
 def test_mean_by_skips_blanks(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), ("b", None)], "c string, v double")
+    rows = [("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), ("b", None)]
+    df = spark.createDataFrame(rows, "c string, v double")
     assert {tuple(r) for r in mean_by(df, "c", ["v"]).collect()} == {("a", 2.0), ("b", None)}
 
 

@@ -19,7 +19,9 @@ BROKEN = {
     "q05_require_not_null": lambda m: m.setattr(cleaning, "require_not_null", lambda df, cols: df.dropna(subset=cols)),
     "q06_trim_columns": lambda m: m.setattr(cleaning, "trim_columns", lambda df, cols: df),
     "q07_to_double": lambda m: m.setattr(
-        cleaning, "to_double", lambda df, cols: df.withColumns({c: F.col(c).try_cast("int").cast("double") for c in cols})
+        cleaning,
+        "to_double",
+        lambda df, cols: df.withColumns({c: F.col(c).try_cast("int").cast("double") for c in cols}),
     ),
     "q08_dedup_first": lambda m: m.setattr(cleaning, "ORDER", list(reversed(cleaning.ORDER))),
     "q09_dedup_any_keys": lambda m: m.setattr(cleaning, "dedup", lambda df, keys, keep: df),
@@ -32,8 +34,10 @@ BROKEN = {
         layers, "write_layer", lambda df, name, mode: df.write.mode("overwrite").saveAsTable(name)
     ),
     "q16_profile_nulls": lambda m: m.setattr(
-        cleaning, "dirty_lines", lambda s, d: cleaning.table(s, d, "lineitem").select(
-            F.col("l_returnflag").alias("returnflag"), F.col("l_quantity").alias("quantity"), F.col("l_linestatus").alias("linestatus")
+        cleaning,
+        "dirty_lines",
+        lambda s, d: cleaning.table(s, d, "lineitem").withColumnsRenamed(
+            {"l_returnflag": "returnflag", "l_quantity": "quantity", "l_linestatus": "linestatus"}
         ),
     ),
     "q20_mean_by": lambda m: m.setattr(

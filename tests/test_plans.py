@@ -61,7 +61,8 @@ def test_counts_read_no_column(spark, sf_dir):
 
 def test_wide_form_shuffles_once(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    df = stage_columns(events, ["user_id"], "event_type", ["view", "click"], {"n": (F.count, "value"), "m": (F.max, "value")})
+    figures = {"n": (F.count, "value"), "m": (F.max, "value")}
+    df = stage_columns(events, ["user_id"], "event_type", ["view", "click"], figures)
     assert exchanges(df) == 1
     assert "HashAggregate" in plan(df)
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in plan(df)
