@@ -32,6 +32,11 @@ def _zero_signs(cols: Sequence[str]) -> list[Column]:
     return masks
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(kind, plain)
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "first") -> DataFrame:
     """Keep one row per distinct ``keys`` (null, NaN and both zeros each equal themselves).
 
@@ -43,19 +48,18 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: s
     that holds a third of all rows sends one row per map task. The leading key hash
     lets both sorts compare one long instead of the whole key.
     """
+    keys = list(keys)
+    rest = [f for f in df.schema.fields if f.name not in keys]
     if keep == "any":
-        return df.dropDuplicates(list(keys))
-    if keep != "first":
+        if all(_fixed_width(f.dataType) for f in rest):
+            return df.dropDuplicates(keys)  # a hash aggregation; with text it would sort by all keys
+        rank_by = [F.lit(1)]
+    elif keep == "first":
+        floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+        ties = [f.name for f in rest if f.name not in order and _orderable(f.dataType)]
+        rank_by = [*[F.col(c).asc_nulls_first() for c in [*order, *ties]], *_zero_signs(floats)] or [F.lit(1)]
+    else:
         raise ValueError(f"keep must be 'first' or 'any', not {keep!r}")
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    ties = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in order and f.name not in keys and _orderable(f.dataType)
-    ]
-    rank_by = [*[F.col(c).asc_nulls_first() for c in [*order, *ties]], *_zero_signs(floats)]
-    if not rank_by:
-        return df.dropDuplicates(list(keys))
     window = Window.partitionBy(_BUCKET, *keys).orderBy(*rank_by)
     return (
         df.withColumn(_BUCKET, F.xxhash64(*keys))

@@ -17,7 +17,6 @@ from strataflow.sources.landing import (
     Paths,
     file_headers,
     landing_columns,
-    layouts,
     read_by_header,
     read_landing,
     rejected_files,
@@ -27,6 +26,7 @@ from strataflow.streaming.ingest import load_table_once
 
 REPORT_SCHEMA = "layer string, source string, file string, problem string"
 MAX_REPORTED_FILES = 1000
+_HEADER_PROBLEM = "CSV header"  # in each of Spark's messages about a header that does not fit
 
 
 class LayerError(RuntimeError):
@@ -120,7 +120,6 @@ def build_bronze(
             seen = f"{checkpoint.rstrip('/')}/{table}"
             load_table_once(spark, paths, target, seen, names, lineage, loaded_col, as_of, suffix, every_suffix)
             return []
-        drifted = None
 
         def write(rows: DataFrame) -> None:
             write_layer(with_load_time(rows, loaded_col, as_of), target, mode)
@@ -129,13 +128,10 @@ def build_bronze(
             try:
                 write(read_landing(spark, paths, names, "same", lineage, suffix, every_suffix))
                 return []
-            except Exception:
-                if headers == "same":
+            except Exception as error:
+                if headers == "same" or _HEADER_PROBLEM not in _reason(error):
                     raise
-                drifted = file_headers(spark, paths)
-                if len(layouts(spark, drifted)) < 2:
-                    raise  # the headers agree, so they are not what failed
-        drifted = file_headers(spark, paths) if drifted is None else drifted
+        drifted = file_headers(spark, paths)
         write(read_by_header(spark, paths, names, drifted, lineage, suffix, every_suffix))
         rejected = rejected_files(spark, paths, names, drifted)
         shown = [("bronze", table, r["file_path"], r["reason"]) for r in rejected.limit(MAX_REPORTED_FILES).collect()]

@@ -80,6 +80,14 @@ def test_dedup_equalities(spark):
     assert sorted(r.t for r in dedup(df, ["k"], ["t"]).collect()) == [1, 3, 5]
 
 
+def test_dedup_any_keeps_a_whole_row(spark):
+    rows = [("a", 1, "x", 10), ("a", 1, "y", 20), ("b", None, None, 30), ("b", None, "z", 40)]
+    df = spark.createDataFrame(rows, "k string, n int, s string, v int")
+    kept = [tuple(r) for r in dedup(df, ["k", "n"], keep="any").collect()]
+    assert sorted(r[0] for r in kept) == ["a", "b"]
+    assert set(kept) <= set(rows)
+
+
 def test_dedup_keeps_the_original_zero(spark):
     df = spark.createDataFrame([(0.0, 2), (-0.0, 1)], "k double, t int")
     kept = dedup(df, ["k"], ["t"]).first()

@@ -1,6 +1,7 @@
 """Landing files: headers, blanks, spaces, lineage, manifest, load-once."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from strataflow.sources import (
     rejected_files,
     write_landing,
 )
-from strataflow.streaming import ingest_once
+from strataflow.streaming import ingest_once, load_table_once
 
 
 def put(root, name, text):
@@ -136,3 +137,28 @@ def test_ingest_once_loads_each_file_once(spark, tmp_path):
     assert run() == first
     put(src, "8/a.csv", "a,b\n4,w\n")
     assert run() == [*first, ("4", "w", "a", "8")]
+
+
+@pytest.mark.parametrize("into", ["path", "table"])
+def test_load_continues_after_a_crash_without_loading_twice(spark, tmp_path, into):
+    src, dst, check = (str(tmp_path / d) for d in ("src", "dst", "check"))
+    columns = ["a", "b"]
+    table = f"default.loaded_{uuid.uuid4().hex}"
+    for i, name in enumerate("abc"):
+        path = put(src, f"7/{name}.csv", f"{'x,y' if name == 'c' else 'a,b'}\n{i},{name}\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+    def run():
+        if into == "path":
+            loaded = ingest_once(spark, src, dst, check, columns, files_per_batch=1)
+        else:
+            loaded = load_table_once(spark, src, table, check, columns, files_per_batch=1)
+        return sorted((r.a, r.b, r.source_id) for r in loaded.collect())
+
+    with pytest.raises(Exception, match="header"):
+        run()
+    put(src, "7/c.csv", "a,b\n2,c\n")
+    expected = [("0", "a", "a"), ("1", "b", "b"), ("2", "c", "c")]
+    assert run() == expected
+    assert run() == expected
+    spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -43,6 +43,8 @@ def test_not_null_reaches_the_scan(spark, sf_dir):
 def test_dedup_any_shuffles_once(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     assert exchanges(dedup(lines, ["l_tax", "l_discount"], keep="any")) == 1
+    numbers = lines.drop("l_returnflag", "l_linestatus")
+    assert plan(dedup(numbers, ["l_tax", "l_discount"], keep="any")).count("HashAggregate") == 2
 
 
 def test_union_needs_no_shuffle_and_a_label_filter_leaves_one_scan(spark, sf_dir):
