@@ -2,7 +2,7 @@
 
     python scale_bench.py [copies] [runs]
 
-Writes three folders, one with more than half of the rows (36 MB of CSV per copy at
+Writes three folders, one with half of the rows (36 MB of CSV per copy at
 sf0.1), then builds all layers ``runs`` times in ``replace`` mode. Prints one JSON line
 per run with seconds per stage, rows per layer and landing MB per second.
 """

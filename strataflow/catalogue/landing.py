@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.catalogue.registry import as_of, query, table
+from strataflow.catalogue.registry import as_of, query, scratch_layers, table
 from strataflow.functions import with_file_lineage, with_load_time
 from strataflow.operators import profile_counts, union_by_name
+from strataflow.plans import build_bronze
 from strataflow.session import scratch_path
-from strataflow.sources import landing_manifest, pending_files, read_landing, rejected_files, write_landing
+from strataflow.sources import (
+    landing_manifest,
+    landing_sources,
+    pending_files,
+    read_landing,
+    read_layer,
+    rejected_files,
+    write_landing,
+)
 from strataflow.streaming import ingest_once
 
 
@@ -66,14 +75,16 @@ def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing tree with two sources: found, loaded into one table each, and counted."""
     root = scratch_path(spark, "tree") + "/landing"
-    sources = {name: table(spark, sf_dir, name) for name in ("orders", "customer")}
-    for name, df in sources.items():
-        write_landing(df, f"{root}/{name}")
+    for name in ("orders", "customer"):
+        write_landing(table(spark, sf_dir, name), f"{root}/{name}")
     write_landing(table(spark, sf_dir, "supplier"), f"{root}/data")  # a root folder, not a source
-    folders = landing_manifest(spark, root).select("folder", "table_name").distinct()
-    loaded = {name: read_landing(spark, f"{root}/{name}", df.columns) for name, df in sources.items()}
-    return folders.join(profile_counts(loaded, "folder"), "folder", "left")
+    manifest = landing_manifest(spark, root)
+    sources, prefix = landing_sources(manifest), scratch_layers(spark, "tree")
+    build_bronze(spark, sources, prefix=prefix)
+    loaded = profile_counts({name: read_layer(spark, "bronze", name, prefix) for name in sources}, "table_name")
+    return manifest.select("folder", "table_name").distinct().join(loaded, "table_name", "left")
 
 
 @query(

@@ -20,6 +20,7 @@ Paths = str | Sequence[str]
 ROOT_FOLDERS = ("landing", "data")
 TABLE_SUFFIX = "_bz"
 MAX_LAYOUTS = 1000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -107,8 +108,8 @@ def read_by_header(
     """One scan of all files whose columns are placed by each file's own header.
 
     The scan reads by position and joins every row to its file's layout number. That
-    table has one row per file; adaptive execution broadcasts it when it is small and
-    splits the rows of a dominating file otherwise.
+    table has one row per file and is broadcast if its measured size allows; otherwise
+    adaptive execution joins by shuffle and splits the rows of a dominating file.
     """
     wanted = _folded(spark, columns)
     usable = [(line, names) for line, names in layouts(spark, headers).items() if sorted(names) == sorted(wanted)]
@@ -116,6 +117,9 @@ def read_by_header(
     for i, (line, _) in enumerate(usable):
         number = F.when(F.col("header") == line, i).otherwise(number)
     known = headers.select("file_path", number.alias("layout")).where(F.col("layout").isNotNull())
+    known_bytes = headers.agg(F.sum(F.octet_length("file_path") + 32)).first()[0] or 0
+    if known_bytes <= MAX_BROADCAST_BYTES:
+        known = F.broadcast(known)
 
     cells = [f"_c{i}" for i in range(len(columns))]
     # positional names differ from the header's, so Spark's own header check is off here

@@ -71,6 +71,17 @@ def test_category_rank_and_order(spark):
     assert [r.c for r in sort_by_category(df, "c", ["b", "a"]).collect()] == ["b", "a", None, "z"]
 
 
+def test_sort_by_category_cuts_a_large_category(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") < 19_000, "big").otherwise("small").alias("c"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = sort_by_category(df, "c", ["small", "big"]).rdd.glom().map(lambda rows: [r.c for r in rows]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(parts, []) == ["small"] * 1000 + ["big"] * 19_000
+    assert max(len(p) for p in parts) < 8000
+
+
 def test_dedup_equalities(spark):
     nan = float("nan")
     rows = [(None, 1), (None, 2), (nan, 3), (nan, 4), (0.0, 5), (-0.0, 6)]

@@ -48,7 +48,9 @@ def test_other_header_fails_instead_of_swapping(spark, tmp_path):
         read_landing(spark, str(tmp_path), ["a", "b"]).collect()
 
 
-def test_by_file_places_columns_and_rejects_others(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_by_file_places_columns_and_rejects_others(spark, tmp_path, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr("strataflow.sources.landing.MAX_BROADCAST_BYTES", broadcast_bytes)
     put(tmp_path, "a.csv", "a,b\n1,2\n3,4\n")
     put(tmp_path, "b.csv", 'b,"a"\n6,5\n')
     put(tmp_path, "few.csv", "a\n9\n")
