@@ -16,6 +16,7 @@ _PLACE = "__place"
 _BIG = "__big"
 _BEFORE = "__before"
 MAX_SLICES = 10_000
+ROWS_PER_BORDER = 1000
 
 Start = float | None | Mapping[str, float | Column | None]
 
@@ -33,10 +34,11 @@ def _as_number(df: DataFrame, col: str) -> Column:
 def _with_slices(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int) -> DataFrame | None:
     """Number the rows of oversized groups by stretches of the order column.
 
-    The borders are quantiles over all rows of oversized groups, so no stretch, and
-    therefore no (group, stretch), has more than about ``rows_per_slice`` rows. Only
-    the borders and the sizes of the oversized groups reach the driver: both are
-    bounded by the number of slices.
+    The borders are quantiles over the rows of all oversized groups, so no stretch, and
+    therefore no (group, stretch), has more than about ``rows_per_slice`` rows. They are
+    estimated from a fixed share of the rows, chosen by hash: borders decide where a row
+    is worked on, never whether. Only the borders and the sizes of the oversized groups
+    reach the driver, and both are bounded by the number of slices.
     """
     total = df.agg(F.count(F.lit(1))).first()[0]
     limit = max(rows_per_slice, math.ceil(total / MAX_SLICES))
@@ -51,9 +53,9 @@ def _with_slices(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_pe
     place = F.when(F.col(_BIG), _as_number(df, order[0]))
     marked = df.join(F.broadcast(keys), same, "left").select(df["*"], _BIG).withColumn(_PLACE, place)
     slices = math.ceil(sum(row["n"] for row in big) / limit)
-    borders = marked.where(F.col(_PLACE).isNotNull()).approxQuantile(
-        _PLACE, [i / slices for i in range(1, slices)], 1 / (4 * slices)
-    )
+    share = max(1, limit // ROWS_PER_BORDER)
+    chosen = marked.where(F.col(_PLACE).isNotNull() & (F.pmod(F.xxhash64(*order), F.lit(share)) == 0))
+    borders = chosen.approxQuantile(_PLACE, [i / slices for i in range(1, slices)], 1 / (4 * slices))
     borders = sorted({b for b in borders if math.isfinite(b)})
     if not borders:
         return None

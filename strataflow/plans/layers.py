@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import AsOf, with_load_time
-from strataflow.operators.union import union_labelled
+from strataflow.operators.union import union_by_name, union_labelled
 from strataflow.plans.clean import CleanSpec, clean
 from strataflow.sources.landing import (
     Paths,
@@ -97,7 +97,8 @@ def build_bronze(
     """One bronze table per source from its landing files, all columns text.
 
     ``sources`` maps table names to folders or files. A source is loaded by a single
-    job, however many files it has. ``columns`` defaults to the header of one file.
+    job, however many files it has. ``columns`` defaults to the header of one file, which
+    also tells in what order the files have them.
 
     ``headers="auto"`` expects every file to have the same header, which costs nothing
     extra. Only if that fails are the headers looked up; files with the same columns in
@@ -114,19 +115,22 @@ def build_bronze(
 
     def load(table: str) -> list[tuple]:
         paths = sources[table]
-        names = list(columns or landing_columns(spark, paths))
+        in_file = landing_columns(spark, paths)
+        names = list(columns or in_file)
+        if sorted(in_file) != sorted(names):
+            in_file = names
         target = table_name("bronze", table, prefix)
         if mode == "once":
             seen = f"{checkpoint.rstrip('/')}/{table}"
-            load_table_once(spark, paths, target, seen, names, lineage, loaded_col, as_of, suffix, every_suffix)
+            load_table_once(spark, paths, target, seen, in_file, lineage, loaded_col, as_of, suffix, every_suffix)
             return []
 
         def write(rows: DataFrame) -> None:
-            write_layer(with_load_time(rows, loaded_col, as_of), target, mode)
+            write_layer(with_load_time(rows.select(*names, lineage), loaded_col, as_of), target, mode)
 
         if headers in ("auto", "same"):
             try:
-                write(read_landing(spark, paths, names, "same", lineage, suffix, every_suffix))
+                write(read_landing(spark, paths, in_file, "same", lineage, suffix, every_suffix))
                 return []
             except Exception as error:
                 if headers == "same" or _HEADER_PROBLEM not in _reason(error):
@@ -203,7 +207,4 @@ def layer_counts(spark: SparkSession, tables: Mapping[str, Mapping[str, str]], p
         for layer, its_tables in tables.items()
         for name, table in its_tables.items()
     ]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+    return union_by_name(counts)

@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions.columns import AsOf, decoded, parent_folder, source_name, with_load_time
-from strataflow.sources.landing import text_schema
+from strataflow.sources.landing import Paths, text_schema
 
 FILES_PER_BATCH = 10_000
 
 
 def landing_stream(
-    spark: SparkSession, src: str, columns: Sequence[str], suffix: str = ".csv", files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession,
+    src: Paths,
+    columns: Sequence[str],
+    suffix: str = ".csv",
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """The files below ``src`` as a stream of text rows; offers ``_metadata``."""
+    if not isinstance(src, str):
+        if len(src) != 1:
+            raise ValueError("a file stream watches one folder (or one glob), not several")
+        src = src[0]
     return (
         spark.readStream.schema(text_schema(columns))
         .option("header", True)
@@ -31,7 +39,7 @@ def landing_stream(
 
 def ingest_once(
     spark: SparkSession,
-    src: str,
+    src: Paths,
     dst: str,
     checkpoint: str,
     columns: Sequence[str],
@@ -69,7 +77,7 @@ def ingest_once(
 
 def load_table_once(
     spark: SparkSession,
-    src: str,
+    src: Paths,
     table: str,
     checkpoint: str,
     columns: Sequence[str],

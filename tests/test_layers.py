@@ -146,6 +146,17 @@ def test_bronze_headers_by_name(spark, prefix, tmp_path):
         build_bronze(spark, sources, TELEMETRY_COLUMNS, headers="same", prefix=prefix)
 
 
+@pytest.mark.parametrize("mode", ["replace", "once"])
+def test_bronze_takes_the_order_from_the_files(spark, prefix, tmp_path, mode):
+    put(tmp_path, "b/one.csv", "b,a\n2,1\n")
+    put(tmp_path, "b/two.csv", "b,a\n4,3\n")
+    sources = {"b_bz": [str(tmp_path / "b")]}
+    seen = str(tmp_path / "seen")
+    build_bronze(spark, sources, ("a", "b"), mode=mode, checkpoint=seen, headers="same", prefix=prefix)
+    rows = read_layer(spark, "bronze", "b_bz", prefix).select("a", "b")
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "2"), ("3", "4")]
+
+
 def test_bronze_reports_rejected_files_and_loads_the_rest(spark, prefix, tmp_path):
     put(tmp_path, "b/good.csv", "a,b\n1,2\n")
     put(tmp_path, "b/short.csv", "a\n1\n")
