@@ -1,5 +1,6 @@
 from strataflow.functions.columns import (
     category_rank,
+    clock_micros,
     nan_to_null,
     require_not_null,
     sort_by_category,
@@ -13,6 +14,7 @@ from strataflow.functions.columns import (
 
 __all__ = [
     "category_rank",
+    "clock_micros",
     "nan_to_null",
     "require_not_null",
     "sort_by_category",

@@ -66,6 +66,24 @@ def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(functools.reduce(operator.and_, [F.col(c).isNotNull() for c in cols]))
 
 
+def clock_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since 1970 of a time column.
+
+    A timestamp without time zone is read off its own clock, so the result grows with it
+    whatever the session's zone; that of a date is its midnight.
+    """
+    time, kind = F.col(col), df.schema[col].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(time)
+    days = F.unix_date(time.cast("date")).cast("bigint") * 86400
+    if isinstance(kind, T.DateType):
+        return days * 1_000_000
+    if not isinstance(kind, T.TimestampNTZType):
+        raise TypeError(f"{col} must be a timestamp or date, not {kind.simpleString()}")
+    seconds = days + F.hour(time) * 3600 + F.minute(time) * 60
+    return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
+
+
 def nan_to_null(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 

@@ -55,8 +55,8 @@ def compare_configs(
     baseline mean is a scalar subquery over that configuration's rows only.
     """
     means = mean_by(ledger, config, metrics)
-    reference = ledger.where(F.col(config) == baseline).agg(F.avg(nan_to_null(F.col(total_time).cast("double"))))
+    base = ledger.where(F.col(config) == baseline).agg(F.avg(nan_to_null(F.col(total_time).cast("double"))))
     shared = stage_share(means, [f"t_{s}" for s in stages], total="t_stages")
-    return shared.withColumn("speedup", F.try_divide(reference.scalar(), F.col(total_time))).withColumn(
+    return shared.withColumn("speedup", F.try_divide(base.scalar(), F.col(total_time))).withColumn(
         "cat_rank", category_rank(F.col(config), order)
     )

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.functions.columns import clock_micros
+
 _SLICE = "__slice"
 _CARRY = "__carry"
 _PLACE = "__place"
@@ -23,12 +25,9 @@ Start = float | None | Mapping[str, float | Column | None]
 
 def _as_number(df: DataFrame, col: str) -> Column:
     """A double that never decreases while ``col`` grows."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, T.NumericType):
+    if isinstance(df.schema[col].dataType, T.NumericType):
         return F.col(col).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.col(col).cast("timestamp").cast("double")
-    raise TypeError(f"the first order column must be a number or a time, {col} is {kind.simpleString()}")
+    return clock_micros(df, col).cast("double")
 
 
 def _with_slices(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int) -> DataFrame | None:

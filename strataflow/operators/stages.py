@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import nan_to_null
+from strataflow.functions.columns import clock_micros, nan_to_null
 from strataflow.operators.counters import Start, counter_delta
 
 # The stages of a run, the six figures kept for each, and so the 26
@@ -19,13 +19,6 @@ LEDGER_COLUMNS = ("run", "total_time", *[f"{figure}_{stage}" for stage in STAGES
 MB = 1024.0 * 1024.0
 
 
-def elapsed_us(ts: str | Column) -> Column:
-    """Microseconds between the first and the last time of a group."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    micros = F.unix_micros(ts.cast("timestamp"))
-    return F.max(micros) - F.min(micros)
-
-
 def per_second(amount: Column, micros: Column) -> Column:
     """Rate per second; null where no time has passed."""
     return F.try_divide(amount, micros / F.lit(1e6))
@@ -44,9 +37,10 @@ def stage_metrics(
     0, a mean over nothing (or only NaN) is null.
     """
     sums, means = dict(sums or {}), dict(means or {})
+    clock = clock_micros(samples, ts)
     grouped = samples.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_samples"),
-        elapsed_us(ts).alias("elapsed_us"),
+        (F.max(clock) - F.min(clock)).alias("elapsed_us"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()],
         *[F.avg(nan_to_null(c.cast("double"))).alias(name) for name, c in means.items()],
     )

@@ -34,19 +34,23 @@ def write_ledger(df: DataFrame, path: str, partition_by: Sequence[str] = (), mod
 def read_ledger(
     spark: SparkSession,
     paths: Mapping[str, str],
-    schema: T.StructType | Mapping[str, T.StructType] = LEDGER_SCHEMA,
+    schema: T.StructType | Mapping[str, T.StructType] | None = LEDGER_SCHEMA,
     label: str = "config",
     skip_missing: bool = True,
 ) -> DataFrame:
     """Unite result files, each labelled with its configuration; blank cells are null.
 
-    ``schema`` may differ per label; columns a file lacks become null. A path that does
-    not exist is skipped unless ``skip_missing`` is off.
+    ``schema`` may differ per label, or be null to infer each file's types; columns a
+    file lacks become null. A path that does not exist is skipped unless
+    ``skip_missing`` is off.
     """
     frames: dict[str, DataFrame] = {}
     for name, path in paths.items():
-        its_schema = schema if isinstance(schema, T.StructType) else schema[name]
-        reader = spark.read.schema(its_schema).option("header", True).option("enforceSchema", False)
+        reader = spark.read.option("header", True).option("enforceSchema", False)
+        if schema is None:
+            reader = reader.option("inferSchema", True)
+        else:
+            reader = reader.schema(schema if isinstance(schema, T.StructType) else schema[name])
         try:
             frames[name] = reader.csv(path)
         except AnalysisException as error:

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strataflow.functions import clock_micros
 from strataflow.operators import (
     compare_configs,
     counter_delta,
@@ -121,7 +122,7 @@ def test_counter_delta_slices_limit_a_window(spark):
 
 def test_counter_delta_needs_a_measurable_order(spark):
     df = spark.range(10).select(F.lit(1).alias("g"), F.col("id").cast("string").alias("t"), "id")
-    with pytest.raises(TypeError, match="order"):
+    with pytest.raises(TypeError, match="timestamp"):
         counter_delta(df, ["g"], ["t"], ["id"], rows_per_slice=2)
 
 
@@ -222,6 +223,30 @@ def test_ledger_files_and_comparison(spark, tmp_path):
     assert math.isclose(out["small"].t_gold_share, 1 / 3)
 
 
+def test_read_ledger_infers_types(spark, tmp_path):
+    write_ledger(spark.sql("SELECT 1 AS run, 2.5D AS total_time"), str(tmp_path / "a"))
+    write_ledger(spark.sql("SELECT 2 AS run, 3 AS total_time, 'x' AS note"), str(tmp_path / "b"))
+    both = read_ledger(spark, {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")}, schema=None)
+    assert dict(both.dtypes) == {"run": "int", "total_time": "double", "note": "string", "config": "string"}
+    assert sorted((r.run, r.total_time, r.note) for r in both.collect()) == [(1, 2.5, None), (2, 3.0, "x")]
+
+
+def test_clock_micros_grows_with_a_zoneless_time(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # no 02:30 on 2024-03-10 there
+    try:
+        times = ["1969-12-31 23:59:59.5", "2024-03-10 01:59:59.999999", "2024-03-10 02:30:00", "2024-03-10 03:00:00"]
+        df = spark.createDataFrame([(t,) for t in times], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
+        micros = [r[0] for r in df.select(clock_micros(df, "t")).collect()]
+        days = df.select(F.col("t").cast("date").alias("d"))
+        assert days.select(clock_micros(days, "d")).first()[0] == -86_400_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert micros[0] == -500_000
+    assert [b - a for a, b in zip(micros[1:], micros[2:])] == [1_800_000_001, 1_800_000_000]
+    with pytest.raises(TypeError, match="timestamp"):
+        clock_micros(spark.range(1), "id")
+
+
 def test_read_ledger_with_nothing(spark, tmp_path):
     empty = read_ledger(spark, {"x": str(tmp_path / "x")})
     assert empty.columns == [*LEDGER_COLUMNS, "config"]
