@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # The layers, each kept in a database of this name.
 LAYERS = ("bronze", "silver", "gold")
@@ -62,13 +63,31 @@ def read_layer(spark: SparkSession, layer: str, table: str, prefix: str = "") ->
     return spark.table(table_name(layer, table, prefix))
 
 
+def _same_shape(spark: SparkSession, name: str, df: DataFrame) -> bool:
+    """Whether the table is unpartitioned and has the frame's columns in the same order."""
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        return False
+    stored = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+    return stored == [(f.name, f.dataType) for f in df.schema.fields]
+
+
 def write_layer(df: DataFrame, name: str, mode: str = "replace", partition_by: Sequence[str] = ()) -> None:
     """Write a managed table. ``replace`` is repeatable, ``append`` adds rows by column name.
 
-    Spark refuses to replace a table that the frame itself reads.
+    An unpartitioned table enters the catalog before its first rows are written and stays
+    there when it is replaced. A driver lost while writing thus leaves a table that the
+    next run replaces, not a folder without a table, which Spark would refuse to write to.
+    Spark also refuses to replace a table that the frame itself reads.
     """
     spark_mode = {"replace": "overwrite", "append": "append"}.get(mode)
     if spark_mode is None:
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
+    spark = df.sparkSession
+    if not partition_by and not spark.catalog.tableExists(name):
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+        spark.sql(f"CREATE TABLE {name} ({nullable.toDDL()})")
+    if mode == "replace" and not partition_by and _same_shape(spark, name, df):
+        df.write.insertInto(name, overwrite=True)
+        return
     writer = df.write.mode(spark_mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)

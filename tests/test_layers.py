@@ -209,6 +209,34 @@ def test_append_matches_names_and_refuses_other_columns(spark, prefix):
         write_layer(df, name, "upsert")
 
 
+def test_replace_after_a_write_that_died(spark, prefix):
+    name = table_name("silver", "x_bz", prefix)
+    failing = spark.range(1000).select(F.expr("IF(id = 999, raise_error('lost'), id)").cast("bigint").alias("a"))
+    with pytest.raises(Exception, match="lost"):
+        write_layer(failing, name)
+    assert list_tables(spark, "silver", prefix) == ["x_bz"]
+    assert spark.table(name).count() == 0
+    write_layer(spark.range(3).withColumnRenamed("id", "a"), name)
+    with pytest.raises(Exception, match="lost"):
+        write_layer(failing, name, "append")
+    assert spark.table(name).count() == 3
+
+
+def test_replace_takes_other_columns(spark, prefix):
+    name = table_name("gold", "x", prefix)
+    for df in (spark.range(2), spark.range(3).withColumn("b", F.lit("x")), spark.sql("SELECT 'y' AS b, 1L AS id")):
+        write_layer(df, name)
+        assert spark.table(name).dtypes == df.dtypes
+        assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, df.collect()))
+    for change in (spark.table(name), spark.table(name).withColumn("c", F.lit(1))):
+        with pytest.raises(Exception, match="(?i)overwrite"):
+            write_layer(change, name)
+        assert spark.table(name).count() == 1
+    write_layer(spark.table(name), f"{name[:-1]}_parts`", partition_by=["b"])
+    write_layer(spark.range(2), f"{name[:-1]}_parts`")
+    assert spark.table(f"{name[:-1]}_parts`").count() == 2
+
+
 def test_reset_needs_no_database_and_keeps_the_current_one(spark, prefix):
     current = spark.catalog.currentDatabase()
     spark.range(1).createOrReplaceTempView("a_view")
