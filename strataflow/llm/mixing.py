@@ -5,7 +5,7 @@ the fractions are rounded by the pivotal method: two documents meet, probability
 from one to the other at random (keeping both expectations and the sum of
 ``size * probability``) until one of them is 0 or 1. That one is settled, the other meets
 the next. So the words taken of a source miss its target by less than the size of the one
-document that is left over at the end.
+document that is left over at the end; as large documents meet first, that is a small one.
 
 The meetings form a tree: each level deals the unsettled documents of a source into blocks of
 about ``FAN_IN`` by a hash, settles all but one in each block, and writes its result. A
@@ -108,22 +108,28 @@ def copies(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), max_copies:
         .select(*key, "rep", "source_size", "n_docs", "target", "whole", "p")
     )
     fractional = (F.col("size") > 0) & (F.col("p") > 0)
-    chance = _uniform(seed, -1)
-    settled = [
-        due.where(~fractional).select(*key, "rep", F.when(chance < F.col("p"), 1).otherwise(0).alias("extra"))
-    ]
-    open_rows = due.where(fractional).select(*key, "rep", "p", "n_docs")
+    settled = [due.where(~fractional).select(*key, "rep", _by_chance(seed, -1))]
+    rank = F.struct("size", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("rep")).alias("h"), "rep")
+    open_rows = due.where(fractional).select(*key, "rep", "p", "n_docs", "source_size", rank.alias("order"))
+    heavy, after = _heaviest(open_rows, seed)
+    settled.append(heavy)
+    open_rows = (
+        open_rows.drop("p")
+        .join(after.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+        .where(F.col("order") < F.col("cut"))
+        .select(*key, "rep", "p", "n_docs")
+    )
     most = targets.agg(F.max("n_docs")).first()[0] or 0
     level = 0
     while True:
-        result = written(_meet(open_rows, seed, level), f"mix-level-{level}")
+        blocks = F.ceil(F.col("n_docs") / F.lit(float(FAN_IN ** (level + 1)))).cast("long")
+        result = written(_meet(open_rows, seed, level, blocks), f"mix-level-{level}")
         settled.append(result.select(F.inline("done")))
+        open_rows = result.where(F.col("left.p").isNotNull()).select("left.*")
         if most <= FAN_IN ** (level + 1):
             break
         level += 1
-        open_rows = result.where(F.col("left.p").isNotNull()).select("left.*")
-    last = result.where(F.col("left.p").isNotNull()).select("left.*")
-    settled.append(last.select(*key, "rep", F.when(_uniform(seed, -2) < F.col("p"), 1).otherwise(0).alias("extra")))
+    settled.append(open_rows.select(*key, "rep", _by_chance(seed, -2)))
     extra = reduce(DataFrame.unionByName, settled).select(*(F.col(c).alias(f"x_{c}") for c in [*key, "rep"]), "extra")
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in [*key, "rep"]))
     n = F.col("whole") + F.col("extra")
@@ -138,11 +144,39 @@ def _uniform(seed: int, level: int) -> Column:
     return F.pmod(at, F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def _meet(open_rows: DataFrame, seed: int, level: int) -> DataFrame:
+def _by_chance(seed: int, level: int) -> Column:
+    return F.when(_uniform(seed, level) < F.col("p"), 1).otherwise(0).alias("extra")
+
+
+def _heaviest(open_rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Settles the ``FAN_IN`` largest documents of each source first; the rest make up for the one left over.
+
+    A document may be too large for the few it meets in the tree to balance it. So the last of
+    the largest is drawn, and its difference is taken from all other documents of the source
+    alike. Returns what is settled, and for each source (source, p, cut): the fraction
+    that all documents of an ``order`` under ``cut`` are due from then on.
+    """
+    by_size = Window.partitionBy("source").orderBy(F.desc("order"))  # limited in each task before the shuffle
+    heavy = written(open_rows.withColumn("k", F.row_number().over(by_size)).where(F.col("k") <= FAN_IN), "mix-heavy")
+    met = written(_meet(heavy, seed, -3, F.lit(1).cast("long")), "mix-heavy-met")
+    left = met.where(F.col("left.p").isNotNull()).select("left.*")
+    key = ["doc_id", "source", "size", "rep"]
+    settled = written(met.select(F.inline("done")).unionByName(left.select(*key, _by_chance(seed, -4))), "mix-heavy-done")
+    words = settled.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("words"))
+    before = heavy.groupBy(F.col("source").alias("of")).agg(
+        F.min("order").alias("cut"), F.first("p").alias("p"), F.first("source_size").alias("all"), F.sum("size").alias("heavy")
+    )
+    rest = (F.col("p") * F.col("all") - F.col("words")) / (F.col("all") - F.col("heavy"))
+    after = before.where("`all` > heavy").join(words, F.col("source").eqNullSafe(F.col("of"))).select(
+        "source", F.least(F.greatest(rest, F.lit(0.0)), F.lit(1.0)).alias("p"), "cut"
+    )
+    return settled, written(after, "mix-after-heavy")
+
+
+def _meet(open_rows: DataFrame, seed: int, level: int, blocks: Column) -> DataFrame:
     """One level of the tree: a block for each row, with what is ``done`` and the document ``left``."""
-    blocks = F.ceil(F.col("n_docs") / F.lit(float(FAN_IN ** (level + 1)))).cast("long")
     entry = F.struct(
-        F.xxhash64(F.lit(seed), F.lit(level), F.col("doc_id").cast("string"), F.col("rep"), F.col("size")).alias("turn"),
+        (-F.col("size")).alias("turn"),  # large documents first: the one left over at the end is small
         _uniform(seed, level).alias("u"),
         *(F.col(c) for c in ("doc_id", "source", "size", "rep", "p", "n_docs")),
     )

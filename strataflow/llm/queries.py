@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strataflow.llm.common import table
+from strataflow.llm.common import crc_mod, table
 from strataflow.llm.mixing import copies
+from strataflow.llm.quality import score_quality, train_quality
 from strataflow.llm.simhash import near_duplicates
+from strataflow.llm.toxicity import score_toxicity, train_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,6 +28,26 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def scored(docs: DataFrame, parts: int, rest: int, limit: float) -> DataFrame:
+    """The columns that the classifier queries share; rows without an id aren't held out."""
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), parts) == rest, F.lit(False))
+    return docs.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_quality(docs, table(spark, sf_dir, "labels"), usable=crc_mod(F.col("doc_id"), 4) != 2)
+    return scored(score_quality(docs, model), 4, 2, 0.7)
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), usable=crc_mod(F.col("doc_id"), 5) != 0)
+    return scored(score_toxicity(docs, model), 5, 0, 0.5)
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
