@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import crc_mod, table
+from strataflow.llm.decontaminate import contaminated
+from strataflow.llm.html_extract import extract, train_labeller
 from strataflow.llm.mixing import copies
+from strataflow.llm.pii import KINDS as PERSONAL
+from strataflow.llm.pii import scan_personal_data, train_tagger
 from strataflow.llm.quality import score_quality, train_quality
+from strataflow.llm.secret_scan import digest_columns, scan
 from strataflow.llm.simhash import near_duplicates
+from strataflow.llm.sketch import fingerprint_documents
 from strataflow.llm.toxicity import score_toxicity, train_toxicity
+from strataflow.llm.url_filter import judge, train_url_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,6 +55,42 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(score_toxicity(docs, model), 5, 0, 0.5)
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan(docs).select("doc_id", *digest_columns(("assign", "access", "hex")))
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, train_url_model(pages)).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages, train_labeller(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_personal_data(docs, train_tagger(docs)).select("doc_id", *digest_columns(PERSONAL))
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "containment", "same_values")
+
+
+@query
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
