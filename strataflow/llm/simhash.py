@@ -66,14 +66,21 @@ def masks(max_bits: int) -> tuple[list[int], list[int]]:
 def fingerprint_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     """(a, b): links that connect all fingerprints of the column ``fp`` within ``max_bits`` of each other, verified."""
     ball, shell = masks(max_bits)
-    flips = F.lit(ball)
+    all_masks = F.lit(ball + shell)
+    numbers = lambda n: F.lit(list(range(n)))
+    flips = numbers(len(ball))
     if shell:
         even = F.bit_count("fp") % 2 == 0
-        flips = F.when(even, F.lit(ball + shell)).otherwise(flips)
-    inner = F.bit_count("mask") <= max_bits // 2
+        flips = F.when(even, numbers(len(ball) + len(shell))).otherwise(flips)
+    into = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # what is shuffled is a variant and the number of its mask; the fingerprint follows from both
     variants = (
-        prints.select("fp").distinct().select("fp", F.explode(flips).alias("mask"))
-        .select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), inner.alias("inner"))
+        prints.select("fp").distinct().repartition(into, "fp")
+        .select("fp", F.explode(flips).alias("flip"))
+        .select(F.col("fp").bitwiseXOR(F.get(all_masks, F.col("flip"))).alias("variant"), "flip")
+        .repartition("variant")
+        .withColumn("fp", F.col("variant").bitwiseXOR(F.get(all_masks, F.col("flip"))))
+        .withColumn("inner", F.col("flip") < len(ball))
     )
     least = F.min(F.when(F.col("inner"), F.col("fp"))).over(Window.partitionBy("variant"))
     met = variants.select(F.col("fp").alias("a"), least.alias("b")).where("b is not null and a != b").distinct()
