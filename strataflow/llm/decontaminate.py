@@ -23,6 +23,7 @@ from strataflow.llm.common import add_columns, hidden, written
 
 WINDOW = 5
 SIMILARITY = 0.8
+MAX_MEMO = 500_000  # words remembered in a worker; more are looked at again
 LEAST_WORDS = 2  # a window of placeholders only says nothing
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
 UNITS = frozenset(
@@ -37,42 +38,55 @@ NUMBER_WORDS = frozenset(
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-z]{1,3})?")
 _EDGE = "\"'()[]{}<>,;:!?.…“”‘’«»„`*_~#&|-–—$€£%"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+SPECIAL = dict.fromkeys(UNITS, UNIT) | dict.fromkeys(NUMBER_WORDS, NUMBER)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WINDOW)], dtype=np.uint64)
 
 
+def value(raw: str) -> str:
+    """What a raw word stands for in a slot: lower case, without punctuation around it."""
+    return raw.lower().strip(_EDGE)
+
+
 class Vocabulary(dict):
     """Of a raw word: a number, under which its hash, kind and place in a sentence are kept."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.values: list[str] = []
         self.rows: list[tuple[int, int, bool, bool]] = []
         self.table = np.zeros((0, 4), dtype=np.uint64)
 
     def __missing__(self, raw: str) -> int:
-        low = raw.lower()
-        core = low.strip(_EDGE)
-        if low in UNITS or core in UNITS:
-            kind, core = UNIT, core or low
-        elif _NUMBER.fullmatch(low.strip(_EDGE[:-4] + "%")) or core in NUMBER_WORDS:
-            kind = NUMBER
+        if raw.isalpha():
+            core, ends = raw.lower(), False
+            kind = SPECIAL.get(core, WORD)
+            capital = not kind and len(raw) > 1 and raw[0].isupper() and not raw.isupper()
         else:
-            kind = WORD
-        letters = raw.lstrip(_EDGE)
-        capital = kind == WORD and len(core) > 1 and letters[:1].isupper() and not letters.isupper()
+            core = value(raw)
+            ends = raw.rstrip("\"')]}”’»")[-1:] in (".", "!", "?", ":")
+            low = raw.lower()
+            kind = SPECIAL.get(core) or SPECIAL.get(low, WORD)
+            if not kind and _NUMBER.fullmatch(low.strip(_EDGE[:-4] + "%")):
+                kind = NUMBER
+            core = core or (low if kind else "")
+            letters = raw.lstrip(_EDGE)
+            capital = not kind and len(core) > 1 and letters[:1].isupper() and not letters.isupper()
         token = xxhash.xxh64_intdigest(("\0unit" if kind == UNIT else "\0number") if kind else core) if core else 0
-        self.values.append(core)
-        self.rows.append((token, kind, capital, raw.rstrip("\"')]}”’»")[-1:] in (".", "!", "?", ":")))
-        self[raw] = len(self.rows) - 1
-        return self[raw]
+        self.rows.append((token, kind, capital, ends))
+        self[raw] = len(self)
+        return len(self) - 1
 
     def look_up(self, ids: np.ndarray) -> np.ndarray:
-        if len(self.table) < len(self.rows):
-            fresh = np.array(self.rows[len(self.table) :], dtype=np.uint64).reshape(-1, 4)
-            self.table = np.concatenate([self.table, fresh])
+        """Rows of the table, which doubles when it is full and takes in what is new."""
+        known = len(self)
+        if self.rows:
+            while len(self.table) < known:
+                self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), 4), dtype=np.uint64)])
+            self.table[known - len(self.rows) : known] = self.rows
+            self.rows = []
         return self.table[ids]
 
 
+_remembered = [Vocabulary()]  # a worker keeps it from task to task
 _NAME_TOKEN = np.uint64(xxhash.xxh64_intdigest("\0name"))
 
 
@@ -86,7 +100,7 @@ def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarra
         of_line = line.split()
         if of_line:
             begins.append(len(ids))
-            ids += [words[w] for w in of_line]
+            ids += map(words.__getitem__, of_line)
     at = np.array(ids, dtype=np.int64)
     rows = words.look_up(at) if len(at) else np.zeros((0, 4), dtype=np.uint64)
     starts = np.zeros(len(at), dtype=bool)
@@ -114,13 +128,13 @@ def windows(tokens: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def hashed_windows(texts: Sequence[str | None]) -> list[list[np.ndarray]]:
-    words = Vocabulary()
+    """The different window hashes of each text."""
     out = []
     for text in texts:
-        tokens, kinds, _ = template(text, words)
+        tokens, kinds, _ = template(text, _remembered[0])
         out.append(np.unique(windows(tokens, kinds)[0]))
-        if len(words) > 500_000:
-            words = Vocabulary()
+        if len(_remembered[0]) >= MAX_MEMO:
+            _remembered[0] = Vocabulary()
     return [out]
 
 
@@ -131,8 +145,9 @@ def verified(text: str | None, item: str | None, similarity: float = SIMILARITY)
     fifths of the item's slots agree with one value of the document for each value of the item.
     """
     words = Vocabulary()
-    tokens, kinds, raw = template(text, words)
-    i_tokens, i_kinds, i_raw = template(item, words)
+    tokens, kinds, ids = template(text, words)
+    i_tokens, i_kinds, i_ids = template(item, words)
+    raw = list(words)
     i_hashes, i_at = windows(i_tokens, i_kinds)
     if not len(i_hashes):
         return 0.0, False, False
@@ -163,7 +178,7 @@ def verified(text: str | None, item: str | None, similarity: float = SIMILARITY)
     filled: dict[tuple, Counter] = defaultdict(Counter)
     for place, places in pairs.items():
         spot = min(places, key=lambda p: (-places[p], p))
-        filled[(i_kinds[place], words.values[i_raw[place]])][words.values[raw[spot]]] += 1
+        filled[(i_kinds[place], value(raw[i_ids[place]]))][value(raw[ids[spot]])] += 1
     total = sum(sum(c.values()) for c in filled.values())
     agree = sum(max(c.values()) for c in filled.values())
     equal = all(set(c) == {value} for (_, value), c in filled.items())

@@ -108,16 +108,17 @@ def copies(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), max_copies:
         .select(*key, "rep", "source_size", "n_docs", "target", "whole", "p")
     )
     fractional = (F.col("size") > 0) & (F.col("p") > 0)
+    due = due.withColumn("shift", F.lit(0))
     settled = [due.where(~fractional).select(*key, "rep", _by_chance(seed, -1))]
     rank = F.struct("size", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("rep")).alias("h"), "rep")
-    open_rows = due.where(fractional).select(*key, "rep", "p", "n_docs", "source_size", rank.alias("order"))
-    heavy, after = _heaviest(open_rows, seed)
+    open_rows = due.where(fractional).select(*key, "rep", "p", "shift", "n_docs", "source_size", "whole", rank.alias("order"))
+    heavy, after = _heaviest(open_rows, seed, max_copies)
     settled.append(heavy)
     open_rows = (
-        open_rows.drop("p")
+        open_rows.drop("p", "shift")
         .join(after.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
         .where(F.col("order") < F.col("cut"))
-        .select(*key, "rep", "p", "n_docs")
+        .select(*key, "rep", "p", "shift", "n_docs")
     )
     most = targets.agg(F.max("n_docs")).first()[0] or 0
     level = 0
@@ -145,16 +146,17 @@ def _uniform(seed: int, level: int) -> Column:
 
 
 def _by_chance(seed: int, level: int) -> Column:
-    return F.when(_uniform(seed, level) < F.col("p"), 1).otherwise(0).alias("extra")
+    return (F.col("shift") + F.when(_uniform(seed, level) < F.col("p"), 1).otherwise(0)).alias("extra")
 
 
-def _heaviest(open_rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+def _heaviest(open_rows: DataFrame, seed: int, max_copies: float) -> tuple[DataFrame, DataFrame]:
     """Settles the ``FAN_IN`` largest documents of each source first; the rest make up for the one left over.
 
     A document may be too large for the few it meets in the tree to balance it. So the last of
     the largest is drawn, and its difference is taken from all other documents of the source
-    alike. Returns what is settled, and for each source (source, p, cut): the fraction
-    that all documents of an ``order`` under ``cut`` are due from then on.
+    alike, within 0 and ``max_copies``; only where they are too few for that are expectations not kept. Returns what is settled, and for each source (source, p, shift, cut): the fraction that all
+    documents of an ``order`` under ``cut`` are due from then on, and by how many whole copies more
+    or less than before.
     """
     by_size = Window.partitionBy("source").orderBy(F.desc("order"))  # limited in each task before the shuffle
     heavy = written(open_rows.withColumn("k", F.row_number().over(by_size)).where(F.col("k") <= FAN_IN), "mix-heavy")
@@ -164,11 +166,14 @@ def _heaviest(open_rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     settled = written(met.select(F.inline("done")).unionByName(left.select(*key, _by_chance(seed, -4))), "mix-heavy-done")
     words = settled.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("words"))
     before = heavy.groupBy(F.col("source").alias("of")).agg(
-        F.min("order").alias("cut"), F.first("p").alias("p"), F.first("source_size").alias("all"), F.sum("size").alias("heavy")
+        F.min("order").alias("cut"), F.first("p").alias("p"), F.first("whole").alias("whole"),
+        F.first("source_size").alias("all"), F.sum("size").alias("heavy"),
     )
-    rest = (F.col("p") * F.col("all") - F.col("words")) / (F.col("all") - F.col("heavy"))
-    after = before.where("`all` > heavy").join(words, F.col("source").eqNullSafe(F.col("of"))).select(
-        "source", F.least(F.greatest(rest, F.lit(0.0)), F.lit(1.0)).alias("p"), "cut"
+    rest = F.col("whole") + (F.col("p") * F.col("all") - F.col("words")) / (F.col("all") - F.col("heavy"))
+    bound = F.least(F.greatest(rest, F.lit(0.0)), F.lit(float(max_copies)))
+    after = (
+        before.where("`all` > heavy").join(words, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", bound)
+        .select("source", (F.col("rate") - F.floor("rate")).alias("p"), (F.floor("rate") - F.col("whole")).cast("int").alias("shift"), "cut")
     )
     return settled, written(after, "mix-after-heavy")
 
@@ -177,8 +182,9 @@ def _meet(open_rows: DataFrame, seed: int, level: int, blocks: Column) -> DataFr
     """One level of the tree: a block for each row, with what is ``done`` and the document ``left``."""
     entry = F.struct(
         (-F.col("size")).alias("turn"),  # large documents first: the one left over at the end is small
+        F.xxhash64(F.lit(seed + 2), F.lit(level), F.col("doc_id").cast("string"), F.col("rep")).alias("tie"),  # not u: it must not order
         _uniform(seed, level).alias("u"),
-        *(F.col(c) for c in ("doc_id", "source", "size", "rep", "p", "n_docs")),
+        *(F.col(c) for c in ("doc_id", "source", "size", "rep", "p", "shift", "n_docs")),
     )
     dealt = open_rows.select(
         F.col("source"),
@@ -187,7 +193,7 @@ def _meet(open_rows: DataFrame, seed: int, level: int, blocks: Column) -> DataFr
     )
     blocks_of = dealt.groupBy("source", "block").agg(F.array_sort(F.collect_list("e")).alias("es"))
     kinds = dict(open_rows.dtypes)
-    left_type = f"struct<doc_id:{kinds['doc_id']},source:{kinds['source']},size:bigint,rep:int,p:double,n_docs:bigint>"
+    left_type = f"struct<doc_id:{kinds['doc_id']},source:{kinds['source']},size:bigint,rep:int,p:double,shift:int,n_docs:bigint>"
     done_type = f"array<struct<doc_id:{kinds['doc_id']},source:{kinds['source']},size:bigint,rep:int,extra:int>>"
     start = F.struct(F.lit(None).cast(left_type).alias("left"), F.array().cast(done_type).alias("done"))
     met = F.aggregate("es", start, lambda acc, x: _step(acc, x, left_type, done_type))
@@ -199,10 +205,10 @@ def _step(acc: Column, x: Column, left_type: str, done_type: str) -> Column:
     a = acc["left"]
 
     def unsettled(d: Column, p: Column) -> Column:
-        return F.struct(d["doc_id"].alias("doc_id"), d["source"], d["size"], d["rep"], p.alias("p"), d["n_docs"]).cast(left_type)
+        return F.struct(d["doc_id"].alias("doc_id"), d["source"], d["size"], d["rep"], p.alias("p"), d["shift"], d["n_docs"]).cast(left_type)
 
     def settled(d: Column, extra: Column) -> Column:
-        return F.array(F.struct(d["doc_id"], d["source"], d["size"], d["rep"], extra)).cast(done_type)
+        return F.array(F.struct(d["doc_id"], d["source"], d["size"], d["rep"], extra + d["shift"])).cast(done_type)
 
     def moved(m: Column) -> Column:
         # up: a gains, x loses; a is settled if it reaches its end before x does

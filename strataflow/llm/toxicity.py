@@ -9,10 +9,12 @@ lexicon fitted to their own rows. Calibration uses scores of rows unseen by the
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from math import log, log1p
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,8 @@ INSULTS = frozenset("idiot moron loser stupid pathetic worthless scum clown tras
 SECOND_PERSON = frozenset(
     "you your yours yourself youre du dich dir dein deine euch tu te toi ton ta tes vous votre vos usted ustedes tus ti".split()
 )
-OBFUSCATED = re.compile(r"[^\W\d_]+[0-9@$*]+[^\W\d_]+|[^\W\d_]\*{2,}|(?<!\w)(?:[^\W\d_][.\-_ ]){3,}[^\W\d_](?!\w)")
+OBFUSCATED = re.compile(r"[^\W\d_]+[0-9@$*]+[^\W\d_]+|[^\W\d_]\*{2,}")
+STRETCHED = re.compile(r"([^\W\d_])\1\1")
 WORD = re.compile(r"\w+")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NEAR = 4
@@ -39,81 +42,113 @@ NAMES = (
 ).split()
 
 
+MAX_MEMO = 300_000  # tokens remembered in a worker; more are looked at again
+_memos: dict[str, dict] = {}
+
+
+class Token(NamedTuple):
+    """What the features need of a token between blanks."""
+
+    words: int
+    weight: float
+    hit: str
+    listed: bool
+    whole: bool
+    you: bool
+    shouting: bool
+    obfuscated: bool
+    stretched: bool
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Weights of whole words and of word beginnings."""
 
     words: dict[str, float]
     beginnings: dict[str, float]
-    memo: dict[str, float] = field(default_factory=dict, compare=False, repr=False)
+    name: str = field(default_factory=lambda: uuid.uuid4().hex, compare=False)
+    memo: dict[str, Token] = field(default_factory=dict, compare=False, repr=False)
 
     def __getstate__(self) -> dict:
-        return {"words": self.words, "beginnings": self.beginnings, "memo": {}}
+        return {"words": self.words, "beginnings": self.beginnings, "name": self.name}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
+        """A worker process keeps what it remembers of the latest lexicon from task to task."""
+        if state["name"] not in _memos:
+            _memos.clear()
+        self.__dict__.update(state, memo=_memos.setdefault(state["name"], {}))
 
     def weight(self, word: str) -> float:
         """0 for a word that isn't in it."""
-        known = self.memo.get(word)
+        return max(self.words.get(word, 0.0), *(self.beginnings.get(word[:k], 0.0) for k in (4, 5, 6)))
+
+    def token(self, raw: str) -> Token:
+        known = self.memo.get(raw)
         if known is None:
-            known = max(self.words.get(word, 0.0), *(self.beginnings.get(word[:k], 0.0) for k in (4, 5, 6)))
-            if len(self.memo) > 500_000:
+            plain = raw.isalpha()
+            words = [raw.lower()] if plain else WORD.findall(raw.lower())
+            weight, hit = max([(self.weight(w), w) for w in words], default=(0.0, ""))
+            known = Token(
+                len(words),
+                weight,
+                hit if weight else "",
+                hit in INSULTS,
+                hit in self.words,
+                not SECOND_PERSON.isdisjoint(words),
+                len(raw) > 1 and raw.isupper(),
+                not plain and OBFUSCATED.search(raw) is not None,
+                STRETCHED.search(raw) is not None,
+            )
+            if len(self.memo) >= MAX_MEMO:
                 self.memo.clear()
-            self.memo[word] = known
+            self.memo[raw] = known
         return known
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """The values of ``NAMES`` for a whole text; all zeros for null, empty or wordless texts."""
     text = text or ""
-    words = WORD.findall(text.lower())
-    n = len(words)
+    raw = text.split()
+    seen = [(lexicon.token(w), c) for w, c in Counter(raw).items()]
+    n = sum(t.words * c for t, c in seen)
     if not n:
         return [0.0] * len(NAMES)
-    seen = Counter(words)
-    hits = {w: s for w in seen if (s := lexicon.weight(w)) > 0}
-    count = sum(seen[w] for w in hits)
-    you = sum(seen[w] for w in SECOND_PERSON & seen.keys())
+    hits = [(t, c) for t, c in seen if t.weight]
+    count = sum(c for _, c in hits)
+    you = sum(c for t, c in seen if t.you)
     close, tight = 0, 0.0
     if hits:
-        at = [i for i, w in enumerate(words) if w in hits]
-        tight = max(np.searchsorted(at, np.array(at) + 25, side="left") - np.arange(len(at))) / 25.0
+        at = np.array([i for i, w in enumerate(raw) if lexicon.token(w).weight])
+        tight = float(max(np.searchsorted(at, at + 25, side="left") - np.arange(len(at)))) / 25
         if you:
-            mine = np.array([i for i, w in enumerate(words) if w in SECOND_PERSON])
+            mine = np.array([i for i, w in enumerate(raw) if lexicon.token(w).you])
             spot = np.searchsorted(mine, at)
             gap = np.minimum(np.abs(mine[np.minimum(spot, len(mine) - 1)] - at), np.abs(mine[np.maximum(spot - 1, 0)] - at))
             close = int((gap <= NEAR).sum())
-    size = len(text)
-    raw = text.split()
-    shouting = sum(w.isupper() and len(w) > 1 for w in raw)
+    size, tokens = len(text), len(raw)
     return [
         float(count),
-        float(len(hits)),
+        float(len({t.hit for t, _ in hits})),
         count / n,
-        sum(s * seen[w] for w, s in hits.items()) / n,
-        max(hits.values(), default=0.0),
-        float(sum(seen[w] for w in INSULTS & hits.keys())),
-        float(sum(seen[w] for w in hits if w in lexicon.words)),
-        float(sum(seen[w] for w in hits if w not in lexicon.words)),
+        sum(t.weight * c for t, c in hits) / n,
+        max((t.weight for t, _ in hits), default=0.0),
+        float(sum(c for t, c in hits if t.listed)),
+        float(sum(c for t, c in hits if t.whole)),
+        float(sum(c for t, c in hits if not t.whole)),
         close / max(count, 1),
         you / n,
         sum(map(text.count, UPPER)) / size,
-        shouting / max(len(raw), 1),
+        sum(c for t, c in seen if t.shouting) / tokens,
         text.count("!") / size,
         text.count("?") / size,
         sum(map(text.count, "#$%&*@")) / size,
-        len(OBFUSCATED.findall(text)) / n if any(c in text for c in "@$*._-0123456789") else 0.0,
-        sum(c for w, c in seen.items() if _stretched(w)) / n,
+        sum(c for t, c in seen if t.obfuscated) / tokens,
+        sum(c for t, c in seen if t.stretched) / tokens,
         log1p(n),
-        float(tight),
+        tight,
     ]
 
 
-def _stretched(word: str) -> bool:
-    return len(word) > 3 and any(a == b == c for a, b, c in zip(word, word[1:], word[2:], strict=False))
-
-
 @dataclass(frozen=True)
 class ToxicityModel:
     lexicon: Lexicon

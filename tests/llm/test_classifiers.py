@@ -1,0 +1,88 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from strataflow.llm import queries
+from strataflow.llm.gbt import fit_isotonic, fit_trees
+from strataflow.llm.quality import NAMES as QUALITY
+from strataflow.llm.quality import statistics
+from strataflow.llm.toxicity import INSULTS, Lexicon, features
+from strataflow.llm.toxicity import NAMES as TOXIC
+
+
+def slow_raw(trees, row):
+    """One tree after the other, node by node."""
+    z = trees.base
+    for f, cut, leaf in zip(trees.feature, trees.cut, trees.leaf, strict=True):
+        k = 0
+        for _ in range(trees.depth):
+            k = 2 * k + 1 + int(row[f[k]] > cut[k])
+        z += leaf[k - (2**trees.depth - 1)]
+    return z
+
+
+def test_trees_learn_and_traverse():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 5))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
+    trees = fit_trees(x[:2000], y[:2000], trees=40, depth=3)
+    assert (((trees.probability(x[2000:]) > 0.5) == y[2000:]).mean()) > 0.95
+    assert np.allclose(trees.raw(x[:50]), [slow_raw(trees, r) for r in x[:50]])
+    assert fit_trees(x[:0], y[:0]).probability(x[:3]) == pytest.approx([0.5] * 3)
+    assert fit_trees(x[:9], np.ones(9)).probability(x[:3]) == pytest.approx([0.95] * 3)
+
+
+def test_isotonic_rises_and_calibrates():
+    rng = np.random.default_rng(1)
+    raw = rng.normal(size=4000)
+    y = (rng.random(4000) < 1 / (1 + np.exp(-3 * raw + 1))).astype(float)
+    fit = fit_isotonic(raw, y)
+    line = np.linspace(-4, 4, 200)
+    assert (np.diff(fit(line)) > 0).all()
+    assert np.abs(fit(line[50:150]) - 1 / (1 + np.exp(-3 * line[50:150] + 1))).max() < 0.12
+
+
+def test_features_have_names():
+    lexicon = Lexicon(dict.fromkeys(INSULTS, 4.0), {"vequ": 3.0})
+    for text in (None, "", " ", "a", "You idiot! vequmo s***t loooool " * 40):
+        assert len(features(text, lexicon)) == len(TOXIC) and len(statistics(text)) == len(QUALITY)
+    row = dict(zip(TOXIC, features("you are an idiot and a vequmo, id1ot SCUM!", lexicon), strict=True))
+    assert row["hits"] == 3 and row["listed"] == 2 and row["learned_beginnings"] == 1 and row["close_to_you"] > 0 and row["obfuscated"] > 0
+
+
+def auc(y, s):
+    order = np.argsort(s, kind="stable")
+    values, inverse, counts = np.unique(s[order], return_inverse=True, return_counts=True)
+    ranks = (counts.cumsum() - (counts - 1) / 2)[inverse]
+    ones = y[order] == 1
+    return (ranks[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
+
+
+@pytest.mark.parametrize(
+    "name, label, parts, rest, limit", [("op2_quality_classifier", "quality", 4, 2, 0.7), ("op3_toxicity", "toxic", 5, 0, 0.5)]
+)
+def test_held_out_accuracy(spark, name, label, parts, rest, limit):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.QUERIES[name](spark, sf).collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % parts == rest) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= limit) for r in rows)
+    labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(labels[r["doc_id"]], r["score"], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    y, score, predicted = (np.array(v) for v in zip(*held, strict=True))
+    assert auc(y, score) > 0.97 and (y == predicted).mean() > 0.97
+
+
+def test_held_out_labels_are_not_read(spark, sf_dir, tmp_path):
+    """Scores stay the same when every held-out label is turned round."""
+    from pyspark.sql import functions as F
+
+    from strataflow.llm.common import crc_mod
+    from strataflow.llm.quality import score_quality, train_quality
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    get = lambda of: sorted((r["doc_id"], r["score"]) for r in score_quality(docs, train_quality(docs, of, usable=~held)).collect())
+    assert get(labels) == get(turned)
