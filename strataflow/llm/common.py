@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,25 @@ from pyspark.sql.pandas.types import to_arrow_type
 from strataflow.session import scratch_path
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once for each application, as ``--py-files`` would.
+
+    So the functions that run in tasks are importable there, wherever the driver was started.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="strataflow-code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))  # Spark serves it from the driver
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +71,7 @@ def add_columns(
     All other columns pass through as Arrow data, unread. A column of ``df`` that has the
     name of a new field is replaced by it.
     """
+    ship_package(df.sparkSession)
     inputs = list(inputs)
     fresh = {n.lower() for n, _ in fields}
     kept = [c for c in df.columns if c.lower() not in fresh]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strataflow.llm.common import add_columns, hidden, written
+from strataflow.llm.common import add_columns, hidden, ship_package, written
 
 SHINGLE = 5
 FRACTION = 1 / 8
@@ -144,6 +144,7 @@ def fingerprint_documents(docs: DataFrame, *, shingle: int = SHINGLE, fraction:
     first row follows the last; a single row follows itself. Null texts count as empty.
     ``near_*`` are containments of the smaller in the larger, ``alike_*`` resemblances.
     """
+    ship_package(docs.sparkSession)
     source = docs.select("doc_id", "text")
     placed, part, guest, _ = chained(source, partitions)
     schema = T.StructType(

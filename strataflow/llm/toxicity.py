@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import add_columns, hidden, labelled_sample, written
+from strataflow.llm.common import add_columns, hidden, labelled_sample, ship_package, written
 from strataflow.llm.gbt import Isotonic, Trees, fit_isotonic, fit_trees
 
 MAX_TRAINING_ROWS = 16_000
@@ -178,6 +178,7 @@ def learn_lexicon(sample: DataFrame, *, max_words: int = MAX_LEARNED, support: i
             tokens = list(toxic.keys() | clean.keys())
             yield pd.DataFrame({"token": tokens, "t": [toxic[w] for w in tokens], "c": [clean[w] for w in tokens]})
 
+    ship_package(sample.sparkSession)
     texts = sample.groupBy("text").agg(F.max("y").alias("y"))
     totals = texts.agg(F.coalesce(F.sum("y"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
     n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
