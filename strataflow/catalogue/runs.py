@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.catalogue.registry import query, table
+from strataflow.catalogue.registry import as_of, query, table
 from strataflow.functions import sort_by_category
 from strataflow.operators import (
     compare_configs,
@@ -131,21 +131,21 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "q25_stage_metrics",
     """
-    WITH s AS (SELECT user_id AS run, event_type AS stage, count(*) AS n_samples,
+    WITH e AS (SELECT user_id, event_type, value,
+      CASE WHEN user_id = 1 AND event_type = 'view' THEN TIMESTAMP '2024-01-01 00:00:00' ELSE ts END AS ts FROM events),
+    s AS (SELECT user_id AS run, event_type AS stage, count(*) AS n_samples,
       epoch_us(max(ts)) - epoch_us(min(ts)) AS elapsed_us,
-      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events
-      WHERE NOT (user_id = 1 AND event_type = 'view')
-         OR event_id = (SELECT min(event_id) FROM events WHERE user_id = 1 AND event_type = 'view')
+      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM e
       GROUP BY 1, 2)
     SELECT run, stage, n_samples, elapsed_us, total, round(total / nullif(elapsed_us / 1e6, 0), 9) AS throughput FROM s
     """,
 )
 def stage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    """The views of one user are all at one time: a stage without any length."""
     viewed = (F.col("user_id") == 1) & (F.col("event_type") == "view")
-    first_view = events.where(viewed).agg(F.min("event_id")).scalar()
-    samples = events.where(~viewed | (F.col("event_id") == first_view)).select(
-        F.col("user_id").alias("run"), F.col("event_type").alias("stage"), "ts", "value"
+    at = F.when(viewed, as_of()).otherwise(F.col("ts")).alias("ts")
+    samples = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run"), F.col("event_type").alias("stage"), at, "value"
     )
     out = stage_metrics(samples, sums={"total": F.col("value").cast("decimal(18,2)")})
     return out.select(
@@ -165,23 +165,23 @@ _DELTA = """
     """
 
 
-def _status_deltas(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _status_deltas(spark: SparkSession, sf_dir: str, order: list[str], ranges: int | None = None) -> DataFrame:
     counters = table(spark, sf_dir, "orders").select(
-        "o_orderstatus", "o_orderkey", (F.col("o_orderkey") * 1000).alias("counter")
+        "o_orderstatus", "o_orderkey", (F.col("o_orderkey") * 1000).alias("counter"), F.lit("one day").alias("day")
     )
-    out = counter_delta(counters, ["o_orderstatus"], ["o_orderkey"], ["counter"], **options)
+    out = counter_delta(counters, ["o_orderstatus"], order, ["counter"], ranges=ranges)
     return out.select("o_orderstatus", "o_orderkey", F.col("counter_delta").alias("delta"))
 
 
 @query("q27_counter_delta", _DELTA)
 def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _status_deltas(spark, sf_dir)
+    return _status_deltas(spark, sf_dir, ["o_orderkey"])
 
 
 @query("q41_counter_delta_sliced", _DELTA)
 def deltas_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every status above the size from which a group is cut into stretches."""
-    return _status_deltas(spark, sf_dir, rows_per_slice=1000)
+    """The same by a text that is one for all rows, then the key, in many ranges."""
+    return _status_deltas(spark, sf_dir, ["day", "o_orderkey"], ranges=40)
 
 
 @query(

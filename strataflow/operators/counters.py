@@ -2,79 +2,32 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strataflow.functions.columns import clock_micros
+from strataflow.session import scratch_path
 
-_SLICE = "__slice"
+_RANGE = "__range"
 _CARRY = "__carry"
-_PLACE = "__place"
-_BIG = "__big"
 _BEFORE = "__before"
-MAX_SLICES = 10_000
-ROWS_PER_BORDER = 1000
 
 Start = float | None | Mapping[str, float | Column | None]
 
 
-def _as_number(df: DataFrame, col: str) -> Column:
-    """A double that never decreases while ``col`` grows."""
-    if isinstance(df.schema[col].dataType, T.NumericType):
-        return F.col(col).cast("double")
-    return clock_micros(df, col).cast("double")
+def _in_ranges(df: DataFrame, keys: Sequence[str], ranges: int | None) -> DataFrame:
+    """The rows by ranges of ``keys``, written, with the number of their range.
 
-
-def _with_slices(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int) -> DataFrame | None:
-    """Number the rows of oversized groups by stretches of the order column.
-
-    The borders are quantiles over the rows of all oversized groups, so no stretch, and
-    therefore no (group, stretch), has more than about ``rows_per_slice`` rows. They are
-    estimated from a fixed share of the rows, chosen by hash: borders decide where a row
-    is worked on, never whether. Only the borders and the sizes of the oversized groups
-    reach the driver, and both are bounded by the number of slices.
-    """
-    total = df.agg(F.count(F.lit(1))).first()[0]
-    limit = max(rows_per_slice, math.ceil(total / MAX_SLICES))
-    if total <= limit:
-        return None
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    big = sizes.collect()  # fewer than total / limit <= MAX_SLICES rows
-    if not big:
-        return None
-    keys = df.sparkSession.createDataFrame(big, sizes.schema).select(*by, F.lit(True).alias(_BIG))
-    same = [df[c].eqNullSafe(keys[c]) for c in by]
-    place = F.when(F.col(_BIG), _as_number(df, order[0]))
-    marked = df.join(F.broadcast(keys), same, "left").select(df["*"], _BIG).withColumn(_PLACE, place)
-    slices = math.ceil(sum(row["n"] for row in big) / limit)
-    share = max(1, limit // ROWS_PER_BORDER)
-    chosen = marked.where(F.col(_PLACE).isNotNull() & (F.pmod(F.xxhash64(*order), F.lit(share)) == 0))
-    borders = chosen.approxQuantile(_PLACE, [i / slices for i in range(1, slices)], 1 / (4 * slices))
-    borders = sorted({b for b in borders if math.isfinite(b)})
-    if not borders:
-        return None
-    cut = Bucketizer(splits=[-math.inf, *borders, math.inf], inputCol=_PLACE, outputCol=_SLICE, handleInvalid="keep")
-    slice_no = F.when(F.col(_BIG), F.when(F.col(_PLACE).isNull(), -1).otherwise(F.col(_SLICE).cast("int")))
-    return cut.transform(marked).withColumn(_SLICE, slice_no).drop(_PLACE, _BIG)
-
-
-def _last_readings(cols: Sequence[str], order: Sequence[str]) -> list[Column]:
-    """Each counter's value in the last row of a group.
-
-    With one order column the buffers are fixed-width, so this is a hash aggregation.
+    Spark draws the borders from a sample of the keys, so a group of any size is cut along its
+    own order, whatever the types. The ranges are written once, because the rows and the
+    last rows of all ranges must come from the same cut even if an executor is lost.
     """
-    if len(order) > 1:
-        last = F.max_by(F.struct(*cols), F.struct(*order))
-        return [last[c].alias(c) for c in cols]
-    place = F.col(order[0])
-    # rows without a place are alone in their stretch, where any of them may be the last
-    unplaced = F.when(place.isNull(), 1)
-    return [F.coalesce(F.max_by(c, place), F.max_by(c, unplaced)).alias(c) for c in cols]
+    spark = df.sparkSession
+    path = scratch_path(spark, "counter-ranges")
+    cut = df.repartitionByRange(*([ranges] if ranges else []), *keys)
+    cut.withColumn(_RANGE, F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def counter_delta(
@@ -84,43 +37,37 @@ def counter_delta(
     cols: Sequence[str],
     start: Start = 0,
     suffix: str = "_delta",
-    rows_per_slice: int = 5_000_000,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``<col>_delta``: each counter minus its previous reading within ``by``.
 
     The first reading of a group is taken against ``start``: one value for all (null
     gives a null delta), or per counter a value or column of that reading's row.
-    ``order`` must identify a reading within its group.
+    ``order`` must identify a reading within its group; its columns may have any type that
+    can be sorted.
 
-    A group larger than ``rows_per_slice`` is not sorted in one task: it is cut into
-    stretches of ``order``, every stretch receives the last reading of the one before
-    it as an extra row, and the differences run per stretch. The call counts the rows,
-    and looks for such groups if there are more than ``rows_per_slice``.
+    No group is sorted in one task: the rows are cut into ``ranges`` (default: the session's
+    shuffle partitions) by ``by`` and ``order`` together, every range receives the last reading
+    of each group from before it as an extra row, and the differences run per range. The same is
+    done whatever the size. The call reads the input for the borders and writes it once.
     """
-    cols = list(cols)
-
-    def with_deltas(rows: DataFrame, window: WindowSpec) -> DataFrame:
-        # a struct tells a null reading before from no reading before
-        before = F.lag(F.struct(*cols)).over(window)
-        first = F.col(_BEFORE).isNull()
-        starts = {c: start[c] if isinstance(start, Mapping) else start for c in cols}
-        return rows.withColumn(_BEFORE, before).withColumns(
-            {c + suffix: F.col(c) - F.when(first, F.lit(starts[c])).otherwise(F.col(_BEFORE)[c]) for c in cols}
-        )
-
-    out = [*df.columns, *[c + suffix for c in cols]]
-    sliced = _with_slices(df, by, order, rows_per_slice)
-    if sliced is None:
-        return with_deltas(df, Window.partitionBy(*by).orderBy(*order)).select(*out)
-
-    tails = sliced.where(F.col(_SLICE).isNotNull()).groupBy(_SLICE, *by).agg(*_last_readings(cols, order))
-    tails = tails.select(_SLICE, *by, F.struct(*cols).alias(_BEFORE))
-    previous = F.lag(_BEFORE).over(Window.partitionBy(*by).orderBy(_SLICE))
+    cols, by, order = list(cols), list(by), list(order)
+    rows = _in_ranges(df, [*by, *order], ranges)
+    # a group's last row in a range; a null order sorts first, as in the window below
+    last = F.max_by(F.struct(*cols), F.struct(*[F.struct(F.col(o).isNotNull(), F.col(o)) for o in order]))
+    tails = rows.groupBy(_RANGE, *by).agg(last.alias(_BEFORE))
+    previous = F.lag(_BEFORE).over(Window.partitionBy(*by).orderBy(_RANGE))  # a row for each range of a group
     carried = (
         tails.withColumn(_BEFORE, previous)
         .where(F.col(_BEFORE).isNotNull())
-        .select(*by, _SLICE, *[F.col(_BEFORE)[c].alias(c) for c in cols], F.lit(True).alias(_CARRY))
+        .select(*by, _RANGE, *[F.col(_BEFORE)[c].alias(c) for c in cols], F.lit(True).alias(_CARRY))
+    )
+    both = rows.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    window = Window.partitionBy(_RANGE, *by).orderBy(F.col(_CARRY).desc(), *order)
+    # a struct tells a null reading before from no reading before
+    first = F.col(_BEFORE).isNull()
+    starts = {c: start[c] if isinstance(start, Mapping) else start for c in cols}
+    out = both.withColumn(_BEFORE, F.lag(F.struct(*cols)).over(window)).withColumns(
+        {c + suffix: F.col(c) - F.when(first, F.lit(starts[c])).otherwise(F.col(_BEFORE)[c]) for c in cols}
     )
-    rows = sliced.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    window = Window.partitionBy(_SLICE, *by).orderBy(F.col(_CARRY).desc(), *order)
-    return with_deltas(rows, window).where(~F.col(_CARRY)).select(*out)
+    return out.where(~F.col(_CARRY)).select(*df.columns, *[c + suffix for c in cols])

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from strataflow.operators.union import union_labelled
 
 
+_HASH = "__hash"
+
+
 def profile_counts(frames: Mapping[str, DataFrame], name: str = "tbl") -> DataFrame:
     """Rows per frame; reads no column."""
     counts = {label: df.agg(F.count(F.lit(1)).alias("n")) for label, df in frames.items()}
@@ -26,8 +29,16 @@ def profile_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def profile_duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Column combinations that occur more than once, with their count ``n``."""
-    return df.groupBy(*(cols or df.columns)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    """Column combinations that occur more than once, with their count ``n``.
+
+    A hash of the columns is counted first, so what is shuffled of all rows is one number each, summed
+    before; only rows whose hash repeats are compared by their values.
+    """
+    cols = list(cols or df.columns)
+    hashed = df.select(*cols, F.xxhash64(*cols).alias(_HASH))
+    repeated = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(_HASH)
+    rest = hashed.join(repeated, _HASH, "left_semi")
+    return rest.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
 def preview(df: DataFrame, order: Sequence[str | Column], n: int = 10) -> DataFrame:

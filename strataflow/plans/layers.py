@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from strataflow.functions.columns import AsOf, with_load_time
 from strataflow.operators.union import union_by_name, union_labelled
 from strataflow.plans.clean import CleanSpec, clean
+from strataflow.session import scratch_path
 from strataflow.sources.landing import (
+    LANDING_FILES,
     Paths,
     file_headers,
     landing_columns,
@@ -21,20 +23,34 @@ from strataflow.sources.landing import (
     read_landing,
     rejected_files,
 )
+from strataflow.sources.loaded import LOAD_BATCH, append_as_batch, is_batched, load_new_files, note_all
 from strataflow.sources.tables import ensure_layers, read_layer, table_name, write_layer
-from strataflow.streaming.ingest import load_table_once
 
 REPORT_SCHEMA = "layer string, source string, file string, problem string"
-MAX_REPORTED_FILES = 1000
-_HEADER_PROBLEM = "CSV header"  # in each of Spark's messages about a header that does not fit
+FILES_IN_MESSAGE = 5
+
+
+@dataclass(frozen=True)
+class Rejects:
+    """Files of one table that were left out, as a table at ``path``; ``some`` of them for a message."""
+
+    layer: str
+    source: str
+    path: str
+    n: int
+    some: tuple[tuple[str, str], ...]
+
+    def __str__(self) -> str:
+        shown = ", ".join(f"{file}: {reason}" for file, reason in self.some)
+        return f"{self.layer}.{self.source}: {self.n} files rejected, all listed in {self.path}, among them {shown}"
 
 
 class LayerError(RuntimeError):
-    """Some sources of a layer failed; ``problems`` has (layer, source, file, problem) rows."""
+    """Some sources of a layer failed; ``problems`` has (layer, source, file, problem) rows and :class:`Rejects`."""
 
-    def __init__(self, problems: Sequence[tuple]):
+    def __init__(self, problems: Sequence[tuple | Rejects]):
         self.problems = list(problems)
-        super().__init__("; ".join(f"{p[0]}.{p[1]}{' ' + p[2] if p[2] else ''}: {p[3]}" for p in problems))
+        super().__init__("; ".join(str(p) if isinstance(p, Rejects) else f"{p[0]}.{p[1]}: {p[3]}" for p in problems))
 
 
 @dataclass
@@ -42,10 +58,27 @@ class LayerReport:
     """Problems met while building a layer; empty means everything was loaded."""
 
     spark: SparkSession
-    problems: list[tuple] = field(default_factory=list)
+    problems: list[tuple | Rejects] = field(default_factory=list)
 
     def to_df(self) -> DataFrame:
-        return self.spark.createDataFrame(self.problems, REPORT_SCHEMA)
+        """A row for each problem; every rejected file is one."""
+        out = self.spark.createDataFrame([p for p in self.problems if not isinstance(p, Rejects)], REPORT_SCHEMA)
+        for p in self.problems:
+            if isinstance(p, Rejects):
+                out = out.union(self.spark.read.schema(REPORT_SCHEMA).parquet(p.path))
+        return out
+
+
+def _rejects(spark: SparkSession, layer: str, source: str, bad: DataFrame) -> list[Rejects]:
+    """Writes the rejected files to the shared folder; none if there are none."""
+    path = scratch_path(spark, "rejected")
+    bad.select(
+        F.lit(layer).alias("layer"), F.lit(source).alias("source"), F.col("file_path").alias("file"), F.col("reason").alias("problem")
+    ).write.parquet(path)
+    kept = spark.read.schema(REPORT_SCHEMA).parquet(path)
+    n = kept.count()
+    some = kept.orderBy("file").limit(FILES_IN_MESSAGE).collect()
+    return [Rejects(layer, source, path, n, tuple((r["file"], r["problem"]) for r in some))] if n else []
 
 
 def _reason(error: Exception) -> str:
@@ -58,20 +91,25 @@ def _reason(error: Exception) -> str:
 
 
 def _each_table(
-    spark: SparkSession, layer: str, tables: Iterable[str], build: Callable[[str], list[tuple]], on_error: str
+    spark: SparkSession,
+    layer: str,
+    tables: Iterable[str],
+    build: Callable[[str], list[tuple | Rejects]],
+    on_error: str,
+    at_once: int = 4,
 ) -> LayerReport:
-    """Run one independent write job per table, a few at a time, and gather what failed."""
+    """Run one independent write job per table, ``at_once`` at a time, and gather what failed."""
     if on_error not in ("raise", "report"):
         raise ValueError(f"on_error must be 'raise' or 'report', not {on_error!r}")
 
-    def attempt(table: str) -> list[tuple]:
+    def attempt(table: str) -> list[tuple | Rejects]:
         try:
             return build(table)
         except Exception as error:  # noqa: BLE001 - one table's failure must not hide the others'
             return [(layer, table, None, _reason(error))]
 
     tables = list(tables)
-    with ThreadPoolExecutor(max_workers=min(4, max(1, len(tables)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(tables)))) as pool:
         jobs = [pool.submit(inheritable_thread_target(spark)(attempt), table) for table in tables]
         problems = [problem for job in jobs for problem in job.result()]
     if problems and on_error == "raise":
@@ -93,6 +131,8 @@ def build_bronze(
     loaded_col: str = "created_at",
     checkpoint: str | None = None,
     on_error: str = "raise",
+    files: str = LANDING_FILES,
+    at_once: int = 4,
 ) -> LayerReport:
     """One bronze table per source from its landing files, all columns text.
 
@@ -100,50 +140,54 @@ def build_bronze(
     job, however many files it has. ``columns`` defaults to the header of one file, which
     also tells in what order the files have them.
 
-    ``headers="auto"`` expects every file to have the same header, which costs nothing
-    extra. Only if that fails are the headers looked up; files with the same columns in
-    another order are then loaded by name, and files with other columns are reported
-    as problems while the rest is loaded. ``"same"`` and ``"by_file"`` fix the choice.
+    ``headers="auto"`` or ``"by_file"`` reads the first line of every file before anything is written; files
+    with the same columns in another order are loaded by name, and files with other columns are
+    reported as problems while the rest is loaded. ``"same"`` reads no header beforehand and fails
+    on the first file that differs.
 
     ``mode="replace"`` makes a re-run give the same tables, ``"append"`` loads all files
-    again, and ``"once"`` adds only files that no run has loaded before, as noted below
-    the ``checkpoint`` folder (one folder per source, headers all the same).
+    again, and ``"once"`` adds only files that the table doesn't have yet, as noted below
+    the ``checkpoint`` folder (one folder per source); its tables have the extra column ``load_batch``.
+    Modes may change between runs: ``once`` after ``replace`` starts the table anew from the files there are;
+    ``append`` to a ``once`` table notes all files as loaded if it is given the checkpoint.
+    All modes load the same files: those named like ``files`` directly in a source's folders.
     """
+    if headers not in ("auto", "same", "by_file"):
+        raise ValueError(f"headers must be 'auto', 'same' or 'by_file', not {headers!r}")
     ensure_layers(spark, prefix)
     if mode == "once" and not checkpoint:
         raise ValueError("mode='once' needs a checkpoint folder")
 
-    def load(table: str) -> list[tuple]:
+    def load(table: str) -> list[tuple | Rejects]:
         paths = sources[table]
-        in_file = landing_columns(spark, paths)
+        in_file = landing_columns(spark, paths, files)
         names = list(columns or in_file)
         if sorted(in_file) != sorted(names):
             in_file = names
         target = table_name("bronze", table, prefix)
+        seen = f"{checkpoint.rstrip('/')}/{table}" if checkpoint else None
+        problems: list[tuple | Rejects] = []
+
+        def rows_of(some: Paths) -> DataFrame:
+            if headers == "same":
+                rows = read_landing(spark, some, in_file, "same", lineage, suffix, every_suffix, files)
+            else:
+                found = file_headers(spark, some, files)
+                problems.extend(_rejects(spark, "bronze", table, rejected_files(spark, some, names, found)))
+                rows = read_by_header(spark, some, names, found, lineage, suffix, every_suffix, files)
+            return with_load_time(rows.select(*names, lineage), loaded_col, as_of)
+
         if mode == "once":
-            seen = f"{checkpoint.rstrip('/')}/{table}"
-            load_table_once(spark, paths, target, seen, in_file, lineage, loaded_col, as_of, suffix, every_suffix)
-            return []
-
-        def write(rows: DataFrame) -> None:
-            write_layer(with_load_time(rows.select(*names, lineage), loaded_col, as_of), target, mode)
-
-        if headers in ("auto", "same"):
-            try:
-                write(read_landing(spark, paths, in_file, "same", lineage, suffix, every_suffix))
-                return []
-            except Exception as error:
-                if headers == "same" or _HEADER_PROBLEM not in _reason(error):
-                    raise
-        drifted = file_headers(spark, paths)
-        write(read_by_header(spark, paths, names, drifted, lineage, suffix, every_suffix))
-        rejected = rejected_files(spark, paths, names, drifted)
-        shown = [("bronze", table, r["file_path"], r["reason"]) for r in rejected.limit(MAX_REPORTED_FILES).collect()]
-        if len(shown) == MAX_REPORTED_FILES:
-            shown.append(("bronze", table, None, f"{rejected.count()} files were rejected in total"))
-        return shown
-
-    return _each_table(spark, "bronze", sources, load, on_error)
+            load_new_files(spark, paths, target, seen, rows_of, files)
+        elif mode == "append" and is_batched(spark, target):
+            append_as_batch(rows_of(paths), target)
+            if seen:
+                note_all(spark, paths, target, seen, files)
+        else:
+            write_layer(rows_of(paths), target, mode)
+        return problems
+
+    return _each_table(spark, "bronze", sources, load, on_error, at_once)
 
 
 def build_silver(
@@ -163,7 +207,7 @@ def build_silver(
     ensure_layers(spark, prefix)
 
     def refine(table: str) -> list[tuple]:
-        cleaned = clean(read_layer(spark, "bronze", table, prefix), spec, as_of)
+        cleaned = clean(read_layer(spark, "bronze", table, prefix).drop(LOAD_BATCH), spec, as_of)
         write_layer(cleaned, table_name("silver", table, prefix), mode)
         return []
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import csv
 import functools
 import operator
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +20,9 @@ Paths = str | Sequence[str]
 # Folders that are roots of a landing tree, not sources.
 ROOT_FOLDERS = ("landing", "data")
 TABLE_SUFFIX = "_bz"
-MAX_LAYOUTS = 1000
 MAX_BROADCAST_BYTES = 64 << 20
+LANDING_FILES = "*.csv*"  # plain and compressed; the same files for every way of loading
+_ONE_FILE_A_TASK = str(1 << 40)
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -31,9 +33,19 @@ def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def landing_columns(spark: SparkSession, paths: Paths) -> list[str]:
+def _reader(spark: SparkSession, files: str = LANDING_FILES) -> DataFrameReader:
+    """Reads the files of that name pattern directly in a folder; hidden ones are never read."""
+    return spark.read.option("pathGlobFilter", files)
+
+
+def landing_files(spark: SparkSession, paths: Paths, files: str = LANDING_FILES) -> DataFrame:
+    """``path, length, modificationTime`` of the files that :func:`read_landing` reads; none is opened."""
+    return _reader(spark, files).format("binaryFile").load(_paths(paths)).select("path", "length", "modificationTime")
+
+
+def landing_columns(spark: SparkSession, paths: Paths, files: str = LANDING_FILES) -> list[str]:
     """Column names from the header of one file; reads a single line."""
-    return spark.read.option("header", True).csv(_paths(paths)).columns
+    return _reader(spark, files).option("header", True).csv(_paths(paths)).columns
 
 
 def read_landing(
@@ -44,42 +56,65 @@ def read_landing(
     lineage: str | None = None,
     suffix: str = ".csv",
     every: bool = False,
+    files: str = LANDING_FILES,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read headered CSV files as text: an empty cell is null, spaces are kept.
 
     ``headers="same"``: every file must have exactly ``columns`` in this order; Spark
     checks each header while reading, and a different one fails the job instead of
     silently swapping columns. ``headers="by_file"``: each file's own header decides
-    where its columns are, at the price of a pass over the text to find the headers;
+    where its columns are, at the price of reading the first line of each file before;
     files without exactly this set of columns are left out, and
     :func:`rejected_files` lists them.
 
-    ``lineage`` names a column for the file name without its suffix.
+    ``lineage`` names a column for the file name without its suffix. ``files`` says which names are
+    read. ``multi_line`` allows line breaks within quoted cells; a file is then one task's work.
     """
     if headers == "by_file":
-        return read_by_header(spark, paths, columns, file_headers(spark, paths), lineage, suffix, every)
+        found = file_headers(spark, paths, files)
+        return read_by_header(spark, paths, columns, found, lineage, suffix, every, files, multi_line)
     if headers != "same":
         raise ValueError(f"headers must be 'same' or 'by_file', not {headers!r}")
-    reader = spark.read.schema(text_schema(columns)).option("header", True).option("enforceSchema", False)
-    rows = reader.csv(_paths(paths))
+    reader = _reader(spark, files).schema(text_schema(columns)).option("header", True).option("enforceSchema", False)
+    rows = reader.option("multiLine", multi_line).csv(_paths(paths))
     return with_file_lineage(rows, lineage, suffix, every) if lineage else rows
 
 
-def landing_headers(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Header line of each file: ``file_path`` (as in ``_metadata``) and ``header``."""
-    lines = (
-        spark.read.text(_paths(paths))
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .where((F.col("file_block_start") == 0) & (F.trim("value") != ""))
-        .withColumn("line", F.monotonically_increasing_id())
-    )
-    return lines.groupBy("file_path").agg(F.min_by("value", "line").alias("header"))
+def landing_headers(spark: SparkSession, paths: Paths, files: str = LANDING_FILES) -> DataFrame:
+    """Header of each file: ``file_path`` (as in ``_metadata``), the line ``header``, and its ``names``.
+
+    A task has one file and stops at its first line that isn't blank, so only the beginning of each file is
+    read and nothing is sorted or shuffled. Files without any such line have no row.
+    """
+    lister = spark.newSession()  # its settings are for this scan only
+    lister.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE_A_TASK)
+    lister.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE_A_TASK)
+    lister.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lines = _reader(lister, files).text(_paths(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    schema = "file_path string, header string, names array<string>"
+    kinds = pa.schema([("file_path", pa.string()), ("header", pa.string()), ("names", pa.list_(pa.string()))])
 
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["file_block_start"] > 0:
+                    return
+                if row["value"].strip(" "):
+                    names = next(csv.reader([row["value"].rstrip("\r")]))
+                    names = names if sensitive else [name.lower() for name in names]
+                    found = {"file_path": row["file_path"], "header": row["value"], "names": names}
+                    yield pa.RecordBatch.from_pylist([found], kinds)
+                    return
 
-def file_headers(spark: SparkSession, paths: Paths) -> DataFrame:
+    return lines.mapInArrow(first_line, schema)
+
+
+def file_headers(spark: SparkSession, paths: Paths, files: str = LANDING_FILES) -> DataFrame:
     """:func:`landing_headers`, found once and kept as a small table in the shared folder."""
     path = scratch_path(spark, "headers")
-    landing_headers(spark, paths).write.parquet(path)
+    landing_headers(spark, paths, files).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -88,12 +123,8 @@ def _folded(spark: SparkSession, names: Sequence[str]) -> list[str]:
     return list(names) if sensitive else [name.lower() for name in names]
 
 
-def layouts(spark: SparkSession, headers: DataFrame) -> dict[str, list[str]]:
-    """The distinct header lines, parsed. Layouts are few by nature; more is an error."""
-    lines = [row["header"] for row in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if len(lines) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different header lines: these are no headered CSV files")
-    return {line: _folded(spark, next(csv.reader([line.rstrip("\r")]))) for line in sorted(lines)}
+def _fits(wanted: Sequence[str]):
+    return F.sort_array("names") == F.lit(sorted(wanted))
 
 
 def read_by_header(
@@ -104,63 +135,63 @@ def read_by_header(
     lineage: str | None = None,
     suffix: str = ".csv",
     every: bool = False,
+    files: str = LANDING_FILES,
+    multi_line: bool = False,
 ) -> DataFrame:
     """One scan of all files whose columns are placed by each file's own header.
 
-    The scan reads by position and joins every row to its file's layout number. That
-    table has one row per file and is broadcast if its measured size allows; otherwise
-    adaptive execution joins by shuffle and splits the rows of a dominating file.
+    The scan reads by position. The commonest order of columns needs no join; files that have another
+    one, or other columns, are a table of exceptions. It is broadcast if its measured size
+    allows; otherwise adaptive execution joins by shuffle and splits the rows of a large file.
     """
     wanted = _folded(spark, columns)
-    usable = [(line, names) for line, names in layouts(spark, headers).items() if sorted(names) == sorted(wanted)]
-    number = F.lit(None).cast("int")
-    for i, (line, _) in enumerate(usable):
-        number = F.when(F.col("header") == line, i).otherwise(number)
-    known = headers.select("file_path", number.alias("layout")).where(F.col("layout").isNotNull())
-    known_bytes = headers.agg(F.sum(F.octet_length("file_path") + 32)).first()[0] or 0
-    if known_bytes <= MAX_BROADCAST_BYTES:
-        known = F.broadcast(known)
+    at = F.transform(F.lit(wanted), lambda w: F.array_position("names", w).cast("int"))
+    placed = headers.select("file_path", F.when(_fits(wanted), at).alias("places"))
+    orders = placed.where("places IS NOT NULL").groupBy("places").agg(F.count(F.lit(1)).alias("n"))
+    top = orders.orderBy(F.desc("n"), "places").first()
+    usual = list(top["places"]) if top else list(range(1, len(wanted) + 1))
+    odd = placed.where(F.col("places").isNull() | (F.col("places") != F.lit(usual)))
+    size = odd.agg(F.sum(F.octet_length("file_path") + 4 * len(wanted) + 32)).first()[0]
 
     cells = [f"_c{i}" for i in range(len(columns))]
     # positional names differ from the header's, so Spark's own header check is off here
-    scan = spark.read.schema(text_schema(cells)).option("header", True).option("enforceSchema", True)
+    scan = _reader(spark, files).schema(text_schema(cells)).option("header", True).option("enforceSchema", True)
+    scan = scan.option("multiLine", multi_line)
     rows = scan.csv(_paths(paths)).select(*cells, "_metadata.file_path", "_metadata.file_name")
-
-    def placed(name: str) -> Column:
-        by_place: dict[int, list[int]] = {}
-        for i, (_, names) in enumerate(usable):
-            by_place.setdefault(names.index(name), []).append(i)
-        cell = F.lit(None).cast("string")
-        for place, numbers in by_place.items():
-            cell = F.when(F.col("layout").isin(numbers), F.col(cells[place])).otherwise(cell)
-        return cell
-
-    out = [placed(w).alias(c) for c, w in zip(columns, wanted, strict=True)]
+    out = [F.col(cells[place - 1]).alias(c) for c, place in zip(columns, usual, strict=True)]
+    if size:
+        odd = odd.withColumn("odd", F.lit(True))
+        rows = rows.join(F.broadcast(odd) if size <= MAX_BROADCAST_BYTES else odd, "file_path", "left")
+        rows = rows.where(F.col("odd").isNull() | F.col("places").isNotNull())
+        places = F.coalesce("places", F.lit(usual))
+        out = [F.get(F.array(*cells), F.get(places, i) - 1).alias(c) for i, c in enumerate(columns)]
     if lineage:
         out.append(source_name(decoded(F.col("file_name")), suffix, every).alias(lineage))
-    return rows.join(known, "file_path").select(*out)
+    return rows.select(*out)
 
 
 def rejected_files(
-    spark: SparkSession, paths: Paths, columns: Sequence[str], headers: DataFrame | None = None
+    spark: SparkSession,
+    paths: Paths,
+    columns: Sequence[str],
+    headers: DataFrame | None = None,
+    files: str = LANDING_FILES,
 ) -> DataFrame:
     """Files whose header is not exactly this set of columns: ``file_path, header, reason``."""
-    headers = file_headers(spark, paths) if headers is None else headers
-    wanted = _folded(spark, columns)
-    reason = F.lit(None).cast("string")
-    for line, names in layouts(spark, headers).items():
-        if sorted(names) == sorted(wanted):
-            continue
-        missing = [c for c in wanted if c not in names]
-        extra = [c for c in names if c not in wanted]
-        parts = [f"missing {', '.join(missing)}"] * bool(missing) + [f"unexpected {', '.join(extra)}"] * bool(extra)
-        reason = F.when(F.col("header") == line, "; ".join(parts) or "repeated column").otherwise(reason)
-    path = decoded(F.col("file_path")).alias("file_path")
-    return headers.select(path, "header", reason.alias("reason")).where(F.col("reason").isNotNull())
+    headers = file_headers(spark, paths, files) if headers is None else headers
+    wanted = F.lit(_folded(spark, columns))
+    missing, extra = F.array_except(wanted, "names"), F.array_except("names", wanted)
+    parts = [
+        F.when(F.size(names) > 0, F.concat(F.lit(f"{kind} "), F.array_join(names, ", ")))
+        for kind, names in (("missing", missing), ("unexpected", extra))
+    ]
+    reason = F.coalesce(F.nullif(F.concat_ws("; ", *parts), F.lit("")), F.lit("repeated column"))
+    bad = headers.where(~_fits(_folded(spark, columns)))
+    return bad.select(decoded(F.col("file_path")).alias("file_path"), "header", reason.alias("reason"))
 
 
 def landing_manifest(
-    spark: SparkSession, root: Paths, glob: str = "*.csv", suffix: str = ".csv", skip: Sequence[str] = ROOT_FOLDERS
+    spark: SparkSession, root: Paths, glob: str = LANDING_FILES, suffix: str = ".csv", skip: Sequence[str] = ROOT_FOLDERS
 ) -> DataFrame:
     """One row per file below ``root``: path, folder, table name, source name, size, time.
 
@@ -188,7 +219,7 @@ def landing_manifest(
 def landing_sources(manifest: DataFrame) -> dict[str, list[str]]:
     """Table name -> folders, for every folder of a manifest that has files.
 
-    One entry per table to be, so the result is as small as the layer's table list.
+    One entry per folder with files, so the result is as small as the list of sources.
     """
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder_path")
     found: dict[str, list[str]] = {}
@@ -203,17 +234,30 @@ def pending_files(manifest: DataFrame, loaded: DataFrame, on: Sequence[str] = ("
     return manifest.join(loaded, same, "left_anti")
 
 
-def write_landing(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
+def write_landing(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "errorifexists",
+    multi_line: bool = False,
+) -> None:
     """Write headered CSV that :func:`read_landing` reads back cell for cell.
 
-    Values are written as text, outer spaces are kept, and quotes follow the reader's
-    own escape rule. Null and empty text are one on read.
+    Values are written as text, outer spaces are kept, quotes follow the reader's own escape
+    rule, and a null cell is written as a quoted empty one, so that a row of one null is still a row.
+    Null and empty text are one on read. A cell with a line break fails the job, as the rows could
+    not be told apart, unless ``multi_line`` says that they will be read with it too.
     """
+    cells = {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns if c not in partition_by}
+    if not multi_line:
+        broken = F.raise_error(F.lit("a cell has a line break; write and read with multi_line"))
+        cells = {c: F.when(v.rlike("[\n\r]"), broken.cast("string")).otherwise(v) for c, v in cells.items()}
     writer = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        df.select(*[cells[c].alias(c) if c in cells else F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
         .write.mode(mode)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("emptyValue", '""')
     )
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)

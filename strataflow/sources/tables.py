@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+
+from strataflow.session import scratch_path
 
 # The layers, each kept in a database of this name.
 LAYERS = ("bronze", "silver", "gold")
 LAYER_SUFFIX = "_layer"
+ASIDE = "__aside_"
 
 
 def quoted(*parts: str) -> str:
@@ -35,20 +38,23 @@ def ensure_layers(spark: SparkSession, prefix: str = "", location: str | None =
     return names
 
 
-def list_tables(spark: SparkSession, layer: str, prefix: str = "") -> list[str]:
-    """Table names of a layer, sorted; none if its database is missing."""
+def list_tables(spark: SparkSession, layer: str, prefix: str = "", unfinished: bool = False) -> list[str]:
+    """Table names of a layer, sorted; none if its database is missing.
+
+    ``unfinished`` adds tables that a lost driver was writing in order to replace another.
+    """
     name = layer_database(layer, prefix)
     if not spark.catalog.databaseExists(quoted(name)):
         return []
     shown = spark.sql(f"SHOW TABLES IN {quoted(name)}").where("NOT isTemporary")
-    return sorted(row["tableName"] for row in shown.collect())
+    return sorted(row["tableName"] for row in shown.collect() if unfinished or ASIDE not in row["tableName"])
 
 
 def reset_layers(spark: SparkSession, prefix: str = "", layers: Sequence[str] = LAYERS) -> list[str]:
     """Drop every table of the layers and return their names; missing databases are fine."""
     dropped = []
     for layer in layers:
-        for table in list_tables(spark, layer, prefix):
+        for table in list_tables(spark, layer, prefix, unfinished=True):
             name = quoted(layer_database(layer, prefix), table)
             spark.sql(f"DROP TABLE IF EXISTS {name}")
             dropped.append(name)
@@ -63,31 +69,30 @@ def read_layer(spark: SparkSession, layer: str, table: str, prefix: str = "") ->
     return spark.table(table_name(layer, table, prefix))
 
 
-def _same_shape(spark: SparkSession, name: str, df: DataFrame) -> bool:
-    """Whether the table is unpartitioned and has the frame's columns in the same order."""
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        return False
-    stored = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
-    return stored == [(f.name, f.dataType) for f in df.schema.fields]
-
-
 def write_layer(df: DataFrame, name: str, mode: str = "replace", partition_by: Sequence[str] = ()) -> None:
     """Write a managed table. ``replace`` is repeatable, ``append`` adds rows by column name.
 
-    An unpartitioned table enters the catalog before its first rows are written and stays
-    there when it is replaced. A driver lost while writing thus leaves a table that the
-    next run replaces, not a folder without a table, which Spark would refuse to write to.
-    Spark also refuses to replace a table that the frame itself reads.
+    A table that is replaced keeps its old rows until all new ones are written: they go to a table
+    aside, which then takes the old one's place. So a write that fails leaves the old table, and a
+    frame may read the table that it replaces. For a partitioned table, whose partitions can't be
+    renamed, the finished rows are copied from a folder aside.
     """
-    spark_mode = {"replace": "overwrite", "append": "append"}.get(mode)
-    if spark_mode is None:
+    if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     spark = df.sparkSession
-    if not partition_by and not spark.catalog.tableExists(name):
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-        spark.sql(f"CREATE TABLE {name} ({nullable.toDDL()})")
-    if mode == "replace" and not partition_by and _same_shape(spark, name, df):
-        df.write.insertInto(name, overwrite=True)
-        return
-    writer = df.write.mode(spark_mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    if mode == "append" or (partition_by and not spark.catalog.tableExists(name)):
+        writer = df.write.mode("append" if mode == "append" else "overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    elif partition_by:
+        path = scratch_path(spark, "replace")
+        df.write.parquet(path)
+        spark.read.schema(df.schema).parquet(path).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    else:
+        aside = f"{name[:-1]}{ASIDE}{uuid.uuid4().hex[:12]}`" if name.endswith("`") else f"{name}{ASIDE}{uuid.uuid4().hex[:12]}"
+        try:
+            df.write.saveAsTable(aside)
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {aside}")
+            raise
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")

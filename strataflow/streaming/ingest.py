@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions.columns import AsOf, decoded, parent_folder, source_name, with_load_time
-from strataflow.sources.landing import Paths, text_schema
+from strataflow.sources.landing import LANDING_FILES, Paths, read_landing, text_schema
+from strataflow.sources.loaded import FILES_PER_BATCH, load_new_files
 
-FILES_PER_BATCH = 10_000
+#: A file may be this much older than the newest one seen and is still loaded.
+MAX_FILE_AGE = "36500d"
 
 
 def landing_stream(
     spark: SparkSession,
     src: Paths,
     columns: Sequence[str],
-    suffix: str = ".csv",
+    files: str = LANDING_FILES,
     files_per_batch: int = FILES_PER_BATCH,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """The files below ``src`` as a stream of text rows; offers ``_metadata``."""
+    """The files below ``src`` as a stream of text rows; offers ``_metadata``.
+
+    Spark leaves out files that are older than the newest by more than ``max_file_age``, and forgets
+    such ones; the default keeps every file, at the price of a list of all of them on the driver.
+    """
     if not isinstance(src, str):
         if len(src) != 1:
             raise ValueError("a file stream watches one folder (or one glob), not several")
@@ -31,7 +38,8 @@ def landing_stream(
         .option("header", True)
         .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
+        .option("pathGlobFilter", files)
+        .option("maxFileAge", max_file_age)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(src)
     )
@@ -46,7 +54,9 @@ def ingest_once(
     lineage: str = "source_id",
     folder: str = "folder",
     suffix: str = ".csv",
+    files: str = LANDING_FILES,
     files_per_batch: int = FILES_PER_BATCH,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Load the files below ``src`` that ``checkpoint`` has not seen yet into ``dst``.
 
@@ -59,7 +69,7 @@ def ingest_once(
     """
     name = decoded(F.col("_metadata.file_name"))
     parent = parent_folder(decoded(F.col("_metadata.file_path")))
-    rows = landing_stream(spark, src, columns, suffix, files_per_batch).select(
+    rows = landing_stream(spark, src, columns, files, files_per_batch, max_file_age).select(
         *columns, source_name(name, suffix).alias(lineage), parent.alias(folder)
     )
     query = (
@@ -86,19 +96,15 @@ def load_table_once(
     as_of: AsOf = None,
     suffix: str = ".csv",
     every_suffix: bool = False,
+    headers: str = "same",
+    files: str = LANDING_FILES,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """As :func:`ingest_once`, into a managed table with the load time of each batch.
+    """New files into a managed table with the load time of each batch; see :func:`load_new_files`."""
 
-    Only this function may write to the table; the checkpoint belongs to it.
-    """
-    name = source_name(decoded(F.col("_metadata.file_name")), suffix, every_suffix)
-    rows = landing_stream(spark, src, columns, suffix, files_per_batch).select(*columns, name.alias(lineage))
-    query = (
-        with_load_time(rows, loaded_col, as_of)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .toTable(table)
-    )
-    query.awaitTermination()
+    def read(paths: list[str]) -> DataFrame:
+        rows = read_landing(spark, paths, columns, headers, lineage, suffix, every_suffix, files)
+        return with_load_time(rows, loaded_col, as_of)
+
+    load_new_files(spark, src, table, checkpoint, read, files, files_per_batch)
     return spark.table(table)

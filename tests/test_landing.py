@@ -125,6 +125,31 @@ def test_write_landing_keeps_cells(spark, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == cells
 
 
+def test_write_landing_keeps_rows(spark, tmp_path):
+    """Line breaks and rows of one null."""
+    texts = ["a\nb", "a\rb", "a\r\nb", 'q"\n"', "plain", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    with pytest.raises(Exception, match="line break"):
+        write_landing(df, str(tmp_path / "no"))
+    write_landing(df, str(tmp_path / "o"), multi_line=True)
+    for headers in ("same", "by_file"):
+        back = [r.t for r in read_landing(spark, str(tmp_path / "o"), ["t"], headers, multi_line=True).collect()]
+        assert sorted(map(str, back)) == sorted(map(str, texts))
+    write_landing(df.where("t is null or t = 'plain'"), str(tmp_path / "one"))
+    assert read_landing(spark, str(tmp_path / "one"), ["t"]).count() == 2
+
+
+def test_headers_need_no_sort_or_shuffle(spark, tmp_path):
+    for n in range(5):
+        put(tmp_path, f"{n}.csv", "a,b\n" + "1,2\n" * 5000)
+    found = landing_headers(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 5 and "Sort" not in plan and "Exchange" not in plan
+    rows = read_landing(spark, str(tmp_path), ["b", "a"], headers="by_file")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and rows.count() == 25000 and rows.first()[:] == ("2", "1")
+
+
 def test_ingest_once_loads_each_file_once(spark, tmp_path):
     src, dst, check = (str(tmp_path / d) for d in ("src", "dst", "check"))
     put(src, "7/a.csv", "a,b\n1,x\n2,y\n")
@@ -154,7 +179,7 @@ def test_load_continues_after_a_crash_without_loading_twice(spark, tmp_path, int
         if into == "path":
             loaded = ingest_once(spark, src, dst, check, columns, files_per_batch=1)
         else:
-            loaded = load_table_once(spark, src, table, check, columns, files_per_batch=1)
+            loaded = load_table_once(spark, f"{src}/7", table, check, columns, files_per_batch=1)
         return sorted((r.a, r.b, r.source_id) for r in loaded.collect())
 
     with pytest.raises(Exception, match="c.csv"):

@@ -1,5 +1,6 @@
 """Layer tables: the cycler fixtures end to end, write modes, failures, resets."""
 
+import gzip
 import os
 import uuid
 
@@ -203,23 +204,24 @@ def test_append_matches_names_and_refuses_other_columns(spark, prefix):
     assert [tuple(r) for r in spark.table(name).collect()] == [(1, "x")] * 2
     with pytest.raises(Exception, match="(?i)column"):
         write_layer(df.withColumn("c", F.lit(1)), name, "append")
-    with pytest.raises(Exception, match="(?i)overwrite"):
-        write_layer(spark.table(name), name, "replace")
+    write_layer(spark.table(name).where("a = 1").limit(1), name, "replace")
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "x")]
     with pytest.raises(ValueError, match="mode"):
         write_layer(df, name, "upsert")
 
 
-def test_replace_after_a_write_that_died(spark, prefix):
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_failed_replace_leaves_the_old_rows(spark, prefix, partition_by):
     name = table_name("silver", "x_bz", prefix)
-    failing = spark.range(1000).select(F.expr("IF(id = 999, raise_error('lost'), id)").cast("bigint").alias("a"))
-    with pytest.raises(Exception, match="lost"):
-        write_layer(failing, name)
-    assert list_tables(spark, "silver", prefix) == ["x_bz"]
-    assert spark.table(name).count() == 0
-    write_layer(spark.range(3).withColumnRenamed("id", "a"), name)
-    with pytest.raises(Exception, match="lost"):
-        write_layer(failing, name, "append")
-    assert spark.table(name).count() == 3
+    failing = spark.range(1000).select(F.expr("IF(id = 999, raise_error('lost'), id)").cast("bigint").alias("a"), F.lit("q").alias("p"))
+    write_layer(spark.range(3).select(F.col("id").alias("a"), F.lit("q").alias("p")), name, "replace", partition_by)
+    for mode in ("replace", "append"):
+        with pytest.raises(Exception, match="lost"):
+            write_layer(failing, name, mode, partition_by)
+        assert sorted(r.a for r in spark.table(name).collect()) == [0, 1, 2]
+    assert list_tables(spark, "silver", prefix, unfinished=True) == ["x_bz"]
+    write_layer(spark.table(name).where("a > 0"), name, "replace", partition_by)
+    assert sorted(r.a for r in spark.table(name).collect()) == [1, 2]
 
 
 def test_replace_takes_other_columns(spark, prefix):
@@ -228,15 +230,94 @@ def test_replace_takes_other_columns(spark, prefix):
         write_layer(df, name)
         assert spark.table(name).dtypes == df.dtypes
         assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, df.collect()))
-    for change in (spark.table(name), spark.table(name).withColumn("c", F.lit(1))):
-        with pytest.raises(Exception, match="(?i)overwrite"):
-            write_layer(change, name)
-        assert spark.table(name).count() == 1
     write_layer(spark.table(name), f"{name[:-1]}_parts`", partition_by=["b"])
     write_layer(spark.range(2), f"{name[:-1]}_parts`")
     assert spark.table(f"{name[:-1]}_parts`").count() == 2
 
 
+def numbers(spark, prefix, table="b_bz"):
+    return sorted(r.a for r in read_layer(spark, "bronze", table, prefix).collect())
+
+
+def test_once_takes_late_compressed_and_turned_files(spark, prefix, tmp_path):
+    """Old file times, a compressed file, another order of columns, other columns, odd names; nested folders are other sources."""
+    src, seen = tmp_path / "b", str(tmp_path / "seen")
+    sources = {"b_bz": [str(src)]}
+
+    def run(mode="once", **options):
+        return build_bronze(spark, sources, ("a", "b"), mode=mode, prefix=prefix, checkpoint=seen, on_error="report", **options)
+
+    put(src, "one.csv", "a,b\n1,x\n")
+    assert run().to_df().count() == 0 and numbers(spark, prefix) == ["1"]
+    os.utime(put(src, "late.csv", "a,b\n2,x\n"), (1_000_000_000, 1_000_000_000))
+    put(src, "turned [1].csv", "b,a\nx,3\n")
+    with gzip.open(src / "z.csv.gz", "wt") as f:
+        f.write("a,b\n4,x\n")
+    put(src, "sub/nested.csv", "a,b\n9,x\n")
+    put(src, "note.txt", "a,b\n9,x\n")
+    put(src, "bad.csv", "a,c\n9,x\n")
+    report = run()
+    assert [(os.path.basename(r.file), r.problem) for r in report.to_df().collect()] == [("bad.csv", "missing b; unexpected c")]
+    for _ in range(2):
+        assert numbers(spark, prefix) == ["1", "2", "3", "4"]
+        run()
+    run("replace")
+    assert numbers(spark, prefix) == ["1", "2", "3", "4"]
+
+
+def test_modes_in_every_order(spark, prefix, tmp_path):
+    src, seen = tmp_path / "b", str(tmp_path / "seen")
+    orders = ("once", "append", "replace", "once"), ("replace", "once", "append", "once")
+    for k, order in enumerate(orders):
+        table, expected = f"t{k}_bz", []
+        for n, mode in enumerate(order):
+            put(src, f"{k}/f{n}.csv", f"a\n{n}\n")
+            there = [str(i) for i in range(n + 1)]
+            build_bronze(spark, {table: str(src / str(k))}, mode=mode, prefix=prefix, checkpoint=seen)
+            batched = n > 0 and expected_batched
+            if mode == "append":
+                expected = sorted(expected + there)
+            elif mode == "replace" or not batched:
+                expected = there
+            else:
+                expected = sorted(expected + [x for x in there if x not in expected])
+            expected_batched = mode == "once" or (mode == "append" and batched)
+            assert numbers(spark, prefix, table) == expected, (order, n)
+
+
+def test_once_continues_after_a_crash(spark, prefix, tmp_path, monkeypatch):
+    """A run that died after writing a batch and before noting its files."""
+    from strataflow.sources import loaded
+
+    src, seen = tmp_path / "b", str(tmp_path / "seen")
+    for n in range(5):
+        put(src, f"f{n}.csv", f"a\n{n}\n")
+    note = loaded.note_files
+
+    def dying(spark, paths, seen, batch):
+        if batch == 2:
+            raise RuntimeError("lost")
+        note(spark, paths, seen, batch)
+
+    monkeypatch.setattr(loaded, "note_files", dying)
+    name = table_name("bronze", "b_bz", prefix)
+    read = lambda paths: spark.read.option("header", True).csv(paths)
+    with pytest.raises(RuntimeError, match="lost"):
+        loaded.load_new_files(spark, str(src), name, seen, read, files_per_batch=2)
+    monkeypatch.setattr(loaded, "note_files", note)
+    assert loaded.load_new_files(spark, str(src), name, seen, read, files_per_batch=3) == 3
+    assert numbers(spark, prefix) == [str(n) for n in range(5)]
+
+
+def test_every_rejected_file_is_reported(spark, prefix, tmp_path):
+    put(tmp_path, "b/good.csv", "a,b\n1,2\n")
+    for n in range(1001):
+        put(tmp_path, f"b/bad{n}.csv", f"a,c{n}\n1,2\n")
+    report = build_bronze(spark, {"b_bz": str(tmp_path / "b")}, ("a", "b"), on_error="report", prefix=prefix)
+    assert report.to_df().select("file").distinct().count() == 1001
+    assert numbers(spark, prefix) == ["1"]
+
+
 def test_reset_needs_no_database_and_keeps_the_current_one(spark, prefix):
     current = spark.catalog.currentDatabase()
     spark.range(1).createOrReplaceTempView("a_view")

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataflow.functions import clock_micros
+from strataflow.operators import counters
 from strataflow.operators import (
     compare_configs,
     counter_delta,
@@ -68,9 +69,9 @@ def plain_deltas(df, start):
 
 
 @pytest.mark.parametrize("start", [0, 5, None])
-@pytest.mark.parametrize("rows_per_slice", [7, 40, 10_000])
-def test_counter_delta_matches_a_plain_window(spark, start, rows_per_slice):
-    rng = random.Random(rows_per_slice)
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_counter_delta_matches_a_plain_window(spark, start, ranges):
+    rng = random.Random(ranges)
     rows, seen = [], set()
     for _ in range(600):
         g = rng.choice(["hot", "hot", "hot", "warm", None, "x1", "x2"])
@@ -79,16 +80,16 @@ def test_counter_delta_matches_a_plain_window(spark, start, rows_per_slice):
             seen.add((g, t))
             rows.append((g, t, rng.choice([None, *range(1000)])))
     df = spark.createDataFrame(rows, "g string, t bigint, c bigint").repartition(5)
-    got = counter_delta(df, ["g"], ["t"], ["c"], start, rows_per_slice=rows_per_slice)
+    got = counter_delta(df, ["g"], ["t"], ["c"], start, ranges=ranges)
     assert got.columns == ["g", "t", "c", "c_delta"]
     assert sorted(map(str, got.collect())) == sorted(map(str, plain_deltas(df, start).collect()))
 
 
-@pytest.mark.parametrize("rows_per_slice", [2, 100])
-def test_counter_delta_start_per_row(spark, rows_per_slice):
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_counter_delta_start_per_row(spark, ranges):
     rows = [("a", 1, 10, 4), ("a", 2, 15, 0), ("a", 3, 15, 0), ("b", 1, 7, 7)]
     df = spark.createDataFrame(rows, "g string, t int, c int, at_start int")
-    out = counter_delta(df, ["g"], ["t"], ["c"], {"c": F.col("at_start")}, rows_per_slice=rows_per_slice)
+    out = counter_delta(df, ["g"], ["t"], ["c"], {"c": F.col("at_start")}, ranges=ranges)
     assert sorted((r.g, r.t, r.c_delta) for r in out.collect()) == [("a", 1, 6), ("a", 2, 5), ("a", 3, 0), ("b", 1, 0)]
 
 
@@ -100,7 +101,7 @@ def test_counter_delta_by_time_and_two_keys(spark):
         (F.col("id") * 3).alias("a"),
         (F.col("id") * 5).alias("b"),
     )
-    out = counter_delta(df, ["run", "stage"], ["ts"], ["a", "b"], rows_per_slice=100)
+    out = counter_delta(df, ["run", "stage"], ["ts"], ["a", "b"], ranges=20)
     assert out.count() == 2000
     first = out.where("a < 6").select("run", "a_delta", "b_delta").orderBy("run").collect()
     assert [tuple(r) for r in first] == [(0, 0, 0), (1, 3, 5)]
@@ -109,7 +110,7 @@ def test_counter_delta_by_time_and_two_keys(spark):
 
 def test_counter_delta_slices_limit_a_window(spark):
     df = spark.range(50_000).select(F.lit("one").alias("g"), F.col("id").alias("t"), F.col("id").alias("c"))
-    out = counter_delta(df, ["g"], ["t"], ["c"], rows_per_slice=2000)
+    out = counter_delta(df, ["g"], ["t"], ["c"], ranges=25)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         sizes = [n for n in out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
@@ -120,10 +121,36 @@ def test_counter_delta_slices_limit_a_window(spark):
     assert out.agg(F.sum("c_delta")).first()[0] == 49_999
 
 
-def test_counter_delta_needs_a_measurable_order(spark):
-    df = spark.range(10).select(F.lit(1).alias("g"), F.col("id").cast("string").alias("t"), "id")
-    with pytest.raises(TypeError, match="timestamp"):
-        counter_delta(df, ["g"], ["t"], ["id"], rows_per_slice=2)
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_counter_delta_takes_any_order(spark, ranges):
+    rows = [(g, f"{i // 10:03d}", i % 10, i * i) for g in "ab" for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, t string, u int, c long")
+    got = counter_delta(df, ["g"], ["t", "u"], ["c"], ranges=ranges).collect()
+    assert sorted((r.g, r.c, r.c_delta) for r in got) == sorted((g, i * i, 2 * i - 1 if i else 0) for g in "ab" for i in range(100))
+
+
+def test_counter_delta_cuts_along_the_whole_order(spark):
+    """One day only: the ranges must be cut by the second column."""
+    df = spark.range(1000).select(F.lit("one").alias("g"), F.lit(1).alias("day"), F.col("id").alias("o"), F.col("id").alias("c"))
+    out = counter_delta(df, ["g"], ["day", "o"], ["c"], ranges=10)
+    sizes = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in sizes and out.agg(F.sum("c_delta")).first()[0] == 999
+    stored = counters._in_ranges(df, ["g", "day", "o"], 10).groupBy("__range").count().collect()
+    assert max(r["count"] for r in stored) < 300
+
+
+def test_counter_delta_scans_its_input_once(spark):
+    """What the result reads is the written ranges, not the input."""
+    df = spark.range(100).select(F.lit(1).alias("g"), F.col("id").alias("t"), F.col("id").alias("c"))
+    plan = counter_delta(df, ["g"], ["t"], ["c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan
+
+
+def test_duplicates_shuffle_no_text(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")
+    plan = profile_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.index("HashAggregate(keys=[__hash") :]
+    assert "hashpartitioning(__hash" in first and "text" not in first.split("Exchange")[1].split("\n")[0]
 
 
 def test_stage_metrics_edges(spark):
