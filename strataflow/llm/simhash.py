@@ -75,7 +75,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     into = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # what is shuffled is a variant and the number of its mask; the fingerprint follows from both
     variants = (
-        prints.select("fp").distinct().repartition(into, "fp")
+        prints.select("fp").distinct().repartition(into, F.xxhash64("fp"))
         .select("fp", F.explode(flips).alias("flip"))
         .select(F.col("fp").bitwiseXOR(F.get(all_masks, F.col("flip"))).alias("variant"), "flip")
         .repartition("variant")
