@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strataflow.catalogue.registry import as_of, query, table
 from strataflow.functions import require_not_null, to_double, trim_columns
-from strataflow.operators import dedup, preview, profile_counts, profile_duplicates, profile_nulls
+from strataflow.operators import dedup, persisted, preview, profile_counts, profile_duplicates, profile_nulls
 from strataflow.plans import CleanSpec, clean
 
 IDENTITY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
@@ -178,3 +178,24 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def first_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "events"), ["event_id"], 10)
+
+
+@query(
+    "q47_persisted",
+    """
+    SELECT 'orders' AS what, count(*) AS n FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)
+    UNION ALL SELECT 'customers', count(DISTINCT o_custkey) FROM orders
+      WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)
+    """,
+)
+def persisted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two figures of one kept frame."""
+    orders = table(spark, sf_dir, "orders")
+    mean = orders.agg(F.avg("o_totalprice")).scalar()
+    with persisted(orders.where(F.col("o_totalprice") > mean).select("o_custkey")) as dear:
+        n = dear.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        customers = dear.agg(F.count_distinct("o_custkey").alias("n")).first()["n"]
+    return spark.range(1).select(F.explode(F.lit([0, 1])).alias("k")).select(
+        F.when(F.col("k") == 0, "orders").otherwise("customers").alias("what"),
+        F.when(F.col("k") == 0, F.lit(n)).otherwise(F.lit(customers)).cast("bigint").alias("n"),
+    )

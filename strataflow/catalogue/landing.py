@@ -119,11 +119,10 @@ _PENDING = (
 def load_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = landing_manifest(spark, sf_dir, "*.parquet", ".parquet", skip=())
     loaded = manifest.where(F.col("source_id").isin("region", "nation")).select("path")
-    # a scan takes a list of paths, and its file index keeps them on the driver as well
-    pending = [row["path"] for row in pending_files(manifest, loaded).collect()]
     # every table has its own schema; counting needs the file name only
-    rows = with_file_lineage(spark.read.parquet(*pending), "source_id", ".parquet")
-    return rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(sf_dir)
+    counted = with_file_lineage(rows, "source_id", ".parquet").groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(pending_files(manifest, loaded).select("source_id").distinct(), "source_id", "left_semi")
 
 
 _ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
@@ -172,6 +171,16 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy("reason").agg(F.count(F.lit(1)).alias("n_files")).withColumn("n_kept", kept.scalar())
 
 
+@query("q46_csv_line_breaks", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, line breaks and all, to landing files and back."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "csv")
+    write_landing(documents, path, multi_line=True)
+    text = read_landing(spark, path, documents.columns, multi_line=True)
+    return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in documents.schema.fields])
+
+
 @query(
     "q14_union_by_name",
     """

@@ -41,9 +41,15 @@ def gold_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_return_class(spark, sf_dir)
 
 
-_COUNT_BY_CLASS = """
+_CONTENT_BY_CLASS = """
     SELECT CASE l_returnflag WHEN 'R' THEN 'returned' WHEN 'A' THEN 'accepted' ELSE 'none' END AS return_class,
-      count(*) AS n FROM lineitem GROUP BY 1
+      count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders, CAST(sum(l_partkey * l_linenumber) AS BIGINT) AS parts,
+      CAST(sum(l_suppkey * l_linenumber) AS BIGINT) AS supps, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
+      CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS price,
+      CAST(sum(CAST(round(l_discount * 100) AS BIGINT) * l_linenumber) AS BIGINT) AS discount,
+      CAST(sum(CAST(round(l_tax * 100) AS BIGINT) * l_linenumber) AS BIGINT) AS tax,
+      max(l_shipdate) AS last_ship, count(*) FILTER (WHERE l_linestatus = 'F') AS closed
+    FROM lineitem GROUP BY 1
     """
 
 
@@ -51,15 +57,27 @@ def _replaced_twice(spark: SparkSession, sf_dir: str, partition_by: list[str]) -
     name = table_name("gold", "lines", scratch_layers(spark, "replace"))
     for _ in range(2):
         write_layer(_by_return_class(spark, sf_dir), name, "replace", partition_by)
-    return spark.table(name).groupBy("return_class").agg(F.count(F.lit(1)).alias("n"))
+    number, cents = F.col("l_linenumber"), lambda c: F.round(F.col(c) * 100).cast("bigint")
+    return spark.table(name).groupBy("return_class").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("l_orderkey").alias("orders"),
+        F.sum(F.col("l_partkey") * number).alias("parts"),
+        F.sum(F.col("l_suppkey") * number).alias("supps"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.sum(cents("l_extendedprice")).alias("price"),
+        F.sum(cents("l_discount") * number).alias("discount"),
+        F.sum(cents("l_tax") * number).alias("tax"),
+        F.max("l_shipdate").alias("last_ship"),
+        F.count_if(F.col("l_linestatus") == "F").alias("closed"),
+    )
 
 
-@query("q12_table_replace", _COUNT_BY_CLASS)
+@query("q12_table_replace", _CONTENT_BY_CLASS)
 def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced_twice(spark, sf_dir, [])
 
 
-@query("q39_table_by_label", _COUNT_BY_CLASS)
+@query("q39_table_by_label", _CONTENT_BY_CLASS)
 def table_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced_twice(spark, sf_dir, ["return_class"])
 
@@ -241,3 +259,30 @@ def bronze_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("source")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_orderkey").cast("bigint")).alias("key_sum"))
     )
+
+
+@query(
+    "q45_once_mixed",
+    "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY o_orderstatus",
+)
+def once_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of plain and compressed files, and of columns in another order, with a change of mode in between."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    orders = table(spark, sf_dir, "orders").select(columns)
+    root, seen, prefix = scratch_path(spark, "landing"), scratch_path(spark, "seen"), scratch_layers(spark, "mixed")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+
+    def load(mode: str) -> None:
+        build_bronze(spark, {"orders_bz": root}, columns, mode=mode, checkpoint=seen, prefix=prefix, as_of=as_of())
+
+    write_landing(orders.where(part == 0), root)
+    load("once")
+    orders.where(part == 1).write.mode("append").option("header", True).option("compression", "gzip").csv(root)
+    load("replace")
+    load("once")
+    write_landing(orders.where(part == 2).select(columns[::-1]), root, mode="append")
+    for _ in range(2):
+        load("once")
+    key = F.col("o_orderkey").cast("bigint")
+    loaded = read_layer(spark, "bronze", "orders_bz", prefix)
+    return loaded.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("key_sum"))

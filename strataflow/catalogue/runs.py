@@ -108,14 +108,16 @@ def _exact_sum(col: Column) -> Column:
     WITH s AS (SELECT user_id,
       CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'view'), 0) AS DOUBLE) AS bronze,
       CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'click'), 0) AS DOUBLE) AS silver,
-      CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase'), 0) AS DOUBLE) AS gold
+      CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase'), 0) AS DOUBLE) AS gold,
+      CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'signup'), 0) AS DOUBLE) AS ingest,
+      CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'error'), 0) AS DOUBLE) AS failed
       FROM events GROUP BY user_id)
-    SELECT user_id, bronze, silver, gold, bronze + silver + gold AS total,
-      round(gold / nullif(bronze + silver + gold, 0), 6) AS gold_share FROM s
+    SELECT user_id, bronze, silver, gold, ingest, failed, round(bronze + silver + gold + ingest + failed, 6) AS total,
+      round(gold / nullif(bronze + silver + gold + ingest + failed, 0), 6) AS gold_share FROM s
     """,
 )
 def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = {"view": "bronze", "click": "silver", "purchase": "gold"}
+    names = {"view": "bronze", "click": "silver", "purchase": "gold", "signup": "ingest", "error": "failed"}
     sums = stage_columns(
         table(spark, sf_dir, "events"),
         ["user_id"],
@@ -124,8 +126,9 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"sum": (_exact_sum, "value")},
         lambda figure, stage: names[stage],
     )
-    out = stage_share(sums, ["bronze", "silver", "gold"])
-    return out.select("user_id", "bronze", "silver", "gold", "total", F.round("gold_share", 6).alias("gold_share"))
+    out = stage_share(sums, list(names.values()))
+    rounded = [F.round(c, 6).alias(c) for c in ("total", "gold_share")]
+    return out.select("user_id", *names.values(), *rounded)
 
 
 @query(
@@ -273,9 +276,12 @@ def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     w AS (SELECT run, max(t) FILTER (WHERE stage = 'view') AS t_view, max(t) FILTER (WHERE stage = 'click') AS t_click,
         max(cpu) FILTER (WHERE stage = 'view') AS cpu_view, max(cpu) FILTER (WHERE stage = 'click') AS cpu_click,
         max(rd) FILTER (WHERE stage = 'view') AS read_view, max(wr) FILTER (WHERE stage = 'click') AS write_click,
-        max((rd + wr) / nullif(t, 0)) FILTER (WHERE stage = 'view') AS throughput_view
+        max((rd + wr) / nullif(t, 0)) FILTER (WHERE stage = 'view') AS throughput_view,
+        max(t) FILTER (WHERE stage = 'purchase') AS t_purchase, max(t) FILTER (WHERE stage = 'error') AS t_error,
+        max(t) FILTER (WHERE stage = 'signup') AS t_signup
       FROM s GROUP BY run)
-    SELECT run, round(t_view + t_click, 6) AS total_time, t_view, t_click, round(cpu_view, 6) AS cpu_view,
+    SELECT run, round(coalesce(t_view, 0) + coalesce(t_click, 0) + coalesce(t_purchase, 0) + coalesce(t_error, 0)
+        + coalesce(t_signup, 0), 3) AS total_time, t_view, t_click, t_purchase, t_error, t_signup, round(cpu_view, 6) AS cpu_view,
       round(cpu_click, 6) AS cpu_click, read_view, write_click, round(throughput_view, 9) AS throughput_view FROM w
     """,
 )
@@ -291,12 +297,11 @@ def ledger_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") * 4096).alias("read_bytes"),
         (F.col("event_id") * 1024).alias("write_bytes"),
     )
-    out = run_ledger(samples, stages=("view", "click"))
+    out = run_ledger(samples, stages=("view", "click", "purchase", "error", "signup"))
     return out.select(
         "run",
-        F.round("total_time", 6).alias("total_time"),
-        "t_view",
-        "t_click",
+        F.round("total_time", 3).alias("total_time"),
+        *[f"t_{stage}" for stage in ("view", "click", "purchase", "error", "signup")],
         F.round("cpu_view", 6).alias("cpu_view"),
         F.round("cpu_click", 6).alias("cpu_click"),
         "read_view",
