@@ -111,7 +111,7 @@ def copies(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), max_copies:
     due = due.withColumn("shift", F.lit(0))
     settled = [due.where(~fractional).select(*key, "rep", _by_chance(seed, -1))]
     rank = F.struct("size", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("rep")).alias("h"), "rep")
-    open_rows = due.where(fractional).select(*key, "rep", "p", "shift", "n_docs", "source_size", "whole", rank.alias("order"))
+    open_rows = due.where(fractional).select(*key, "rep", "p", "shift", "n_docs", "source_size", "target", "whole", rank.alias("order"))
     heavy, after = _heaviest(open_rows, seed, max_copies)
     settled.append(heavy)
     open_rows = (
@@ -150,30 +150,42 @@ def _by_chance(seed: int, level: int) -> Column:
 
 
 def _heaviest(open_rows: DataFrame, seed: int, max_copies: float) -> tuple[DataFrame, DataFrame]:
-    """Settles the ``FAN_IN`` largest documents of each source first; the rest make up for the one left over.
-
-    A document may be too large for the few it meets in the tree to balance it. So the last of
-    the largest is drawn, and its difference is taken from all other documents of the source
-    alike, within 0 and ``max_copies``; only where they are too few for that are expectations not kept. Returns what is settled, and for each source (source, p, shift, cut): the fraction that all
-    documents of an ``order`` under ``cut`` are due from then on, and by how many whole copies more
-    or less than before.
+    """Settles the ``FAN_IN`` largest documents of each source first, each against all that come after it.
+
+    A document may be too large for the few it meets in the tree to balance it. So the largest, one after the
+    other, are paired with the pool of all smaller ones: the document becomes integral at random, and the
+    pool takes the difference, within 0 and ``max_copies`` for each; only where the pool is too small for that
+    are expectations not kept. Returns what is settled, and for each source (source, p, shift, cut): the
+    fraction that all documents of an ``order`` under ``cut`` are due from then on, and by how many
+    whole copies more or less than before.
     """
-    by_size = Window.partitionBy("source").orderBy(F.desc("order"))  # limited in each task before the shuffle
-    heavy = written(open_rows.withColumn("k", F.row_number().over(by_size)).where(F.col("k") <= FAN_IN), "mix-heavy")
-    met = written(_meet(heavy, seed, -3, F.lit(1).cast("long")), "mix-heavy-met")
-    left = met.where(F.col("left.p").isNotNull()).select("left.*")
     key = ["doc_id", "source", "size", "rep"]
-    settled = written(met.select(F.inline("done")).unionByName(left.select(*key, _by_chance(seed, -4))), "mix-heavy-done")
-    words = settled.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("words"))
-    before = heavy.groupBy(F.col("source").alias("of")).agg(
-        F.min("order").alias("cut"), F.first("p").alias("p"), F.first("whole").alias("whole"),
-        F.first("source_size").alias("all"), F.sum("size").alias("heavy"),
+    by_size = Window.partitionBy("source").orderBy(F.desc("order"))  # limited in each task before the shuffle
+    heavy = open_rows.withColumn("k", F.row_number().over(by_size)).where(F.col("k") <= FAN_IN)
+    pools = heavy.groupBy("source").agg(
+        F.array_sort(F.collect_list(F.struct("k", _uniform(seed, -3).alias("u"), *(c for c in key if c != "source"), "whole"))).alias("es"),
+        F.min("order").alias("cut"), F.first("whole").alias("whole"),
+        F.first(F.struct(F.col("target").alias("due"), F.col("source_size").cast("double").alias("pool"))).alias("start"),
     )
-    rest = F.col("whole") + (F.col("p") * F.col("all") - F.col("words")) / (F.col("all") - F.col("heavy"))
-    bound = F.least(F.greatest(rest, F.lit(0.0)), F.lit(float(max_copies)))
-    after = (
-        before.where("`all` > heavy").join(words, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", bound)
-        .select("source", (F.col("rate") - F.floor("rate")).alias("p"), (F.floor("rate") - F.col("whole")).cast("int").alias("shift"), "cut")
+    done_type = f"array<struct<doc_id:{dict(open_rows.dtypes)['doc_id']},size:bigint,rep:int,extra:int>>"
+    bounded = lambda due, pool: F.least(F.greatest(due / pool, F.lit(0.0)), F.lit(float(max_copies)))
+
+    def draw(acc: Column, x: Column) -> Column:
+        def settle(n: Column) -> Column:
+            one = F.array(F.struct(x["doc_id"], x["size"], x["rep"], n - x["whole"])).cast(done_type)
+            return F.struct(
+                (acc["due"] - n * x["size"]).alias("due"), (acc["pool"] - x["size"]).alias("pool"), F.concat(acc["done"], one).alias("done")
+            )
+
+        rate = bounded(acc["due"], acc["pool"])
+        return let(rate, lambda r: let((F.floor(r) + F.when(x["u"] < r - F.floor(r), 1).otherwise(0)).cast("int"), settle))
+
+    state = F.struct(F.col("start.due").alias("due"), F.col("start.pool").alias("pool"), F.array().cast(done_type).alias("done"))
+    drawn = written(pools.select("source", "cut", "whole", F.aggregate("es", state, draw).alias("m")), "mix-heavy")
+    settled = drawn.select("source", F.inline("m.done")).select(*key, "extra")
+    left = drawn.where("m.pool > 0").withColumn("rate", bounded(F.col("m.due"), F.col("m.pool")))
+    after = left.select(
+        "source", (F.col("rate") - F.floor("rate")).alias("p"), (F.floor("rate") - F.col("whole")).cast("int").alias("shift"), "cut"
     )
     return settled, written(after, "mix-after-heavy")
 

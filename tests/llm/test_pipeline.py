@@ -63,7 +63,7 @@ def test_mix(stages):
     assert set(last) <= set(rows["secret_scans"]) and all(1 <= r["copies"] <= 3 and r["taken"] == r["copies"] * r["size"] for r in last.values())
     for source in {r["source"] for r in last.values()}:
         mine = [r for r in last.values() if r["source"] == source]
-        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) < 0.05 * mine[0]["target"]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) < 0.05 * mine[0]["target"], source
 
 
 def test_run_is_the_stages_in_order(spark, sf_dir, stages):
