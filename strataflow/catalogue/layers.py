@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,17 +161,17 @@ def lines_config(spark: SparkSession, landing: dict[str, str]) -> PipelineConfig
     )
 
 
-@query(
-    "q32_all_layers",
-    """
+_ALL_LAYERS = """
     WITH raw AS (SELECT *, CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE ' ' || l_returnflag || ' ' END AS rf
                  FROM lineitem),
     d AS (SELECT DISTINCT l_quantity, l_discount, l_tax, trim(rf) AS rf, l_linestatus FROM raw WHERE rf IS NOT NULL)
     SELECT 'bronze' AS layer, l_returnflag AS source, count(*) AS n FROM lineitem GROUP BY 2
     UNION ALL SELECT 'silver', rf, count(*) FROM d GROUP BY rf
     UNION ALL SELECT 'gold', 'all', count(*) FROM d
-    """,
-)
+    """
+
+
+@query("q32_all_layers", _ALL_LAYERS)
 def all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, lines_config(spark, land_lines(spark, sf_dir)))
 
@@ -286,3 +288,19 @@ def once_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey").cast("bigint")
     loaded = read_layer(spark, "bronze", "orders_bz", prefix)
     return loaded.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("key_sum"))
+
+
+@query("q48_layers_by_batches", _ALL_LAYERS)
+def layers_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers in load-once runs: closed lines, then open ones, then nothing new."""
+    lines = table(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_orderkey") % 17 != 0, F.concat(F.lit(" "), "l_returnflag", F.lit(" ")))
+    lines = lines.withColumn("rf", flag).withColumn("source", F.col("l_returnflag"))
+    root, closed = scratch_path(spark, "landing"), F.col("l_linestatus") == "F"
+    config = lines_config(spark, {label: f"{root}/source={label}" for label in ("A", "N", "R")})
+    config = replace(config, mode="once", checkpoint=scratch_path(spark, "seen"))
+    for part in (lines.where(closed), lines.where(~closed), None):
+        if part is not None:
+            write_landing(part, root, ["source"], mode="append")
+        counts = run_pipeline(spark, config)
+    return counts

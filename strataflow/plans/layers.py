@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,7 +25,7 @@ from strataflow.sources.landing import (
     read_landing,
     rejected_files,
 )
-from strataflow.sources.loaded import LOAD_BATCH, append_as_batch, is_batched, load_new_files, note_all
+from strataflow.sources.loaded import LOAD_BATCH, add_new_batches, append_as_batch, is_batched, load_new_files, note_all
 from strataflow.sources.tables import ensure_layers, read_layer, table_name, write_layer
 
 REPORT_SCHEMA = "layer string, source string, file string, problem string"
@@ -202,11 +204,24 @@ def build_silver(
     """Clean each bronze table into the silver table of the same name.
 
     De-duplication works within one table and one run. ``mode="append"`` adds the
-    result to what silver has; ``"replace"`` makes a re-run give the same table.
+    result to what silver has; ``"replace"`` makes a re-run give the same table. ``"once"`` cleans only the
+    batches that bronze has loaded since and adds the rows whose keys silver doesn't have: of rows with
+    equal keys the one that came with the earlier load stays, within a load the least.
     """
     ensure_layers(spark, prefix)
 
+    def add(rows: DataFrame, before: DataFrame) -> DataFrame:
+        cleaned = clean(rows, spec, as_of)
+        if not spec.dedup_keys:
+            return cleaned
+        known = before.select(*[F.col(c).alias(f"known_{i}") for i, c in enumerate(spec.dedup_keys)])
+        same = [F.col(c).eqNullSafe(F.col(f"known_{i}")) for i, c in enumerate(spec.dedup_keys)]
+        return cleaned.join(known, functools.reduce(operator.and_, same), "left_anti")
+
     def refine(table: str) -> list[tuple]:
+        if mode == "once":
+            add_new_batches(spark, {None: table_name("bronze", table, prefix)}, table_name("silver", table, prefix), add)
+            return []
         cleaned = clean(read_layer(spark, "bronze", table, prefix).drop(LOAD_BATCH), spec, as_of)
         write_layer(cleaned, table_name("silver", table, prefix), mode)
         return []
@@ -222,16 +237,23 @@ def build_gold(
     prefix: str = "",
     by_label: bool = False,
     on_error: str = "raise",
+    mode: str = "replace",
 ) -> LayerReport:
     """Merge silver tables (label -> table) into one gold table, replacing it.
 
+    ``mode="once"`` adds only the batches of silver that gold doesn't have yet.
+
     Rows are labelled with their source and kept as they are, duplicates included.
     ``by_label`` stores one folder per label, so a label filter skips the others.
     """
     ensure_layers(spark, prefix)
 
     def merge(table: str) -> list[tuple]:
-        silver = {name: read_layer(spark, "silver", source, prefix) for name, source in sources.items()}
+        if mode == "once":
+            silver_tables = {name: table_name("silver", source, prefix) for name, source in sources.items()}
+            add_new_batches(spark, silver_tables, table_name("gold", table, prefix), lambda rows, _: rows, label)
+            return []
+        silver = {name: read_layer(spark, "silver", source, prefix).drop(LOAD_BATCH) for name, source in sources.items()}
         partition_by = [label] if by_label else []
         write_layer(union_labelled(silver, label), table_name("gold", table, prefix), "replace", partition_by)
         return []

@@ -27,8 +27,8 @@ from strataflow.sources.landing import TABLE_SUFFIX, Paths
 class PipelineConfig:
     """Landing folders by label, and what to make of them.
 
-    Tables are named ``<label>_bz`` unless ``tables`` names them. ``mode`` is that of
-    bronze; silver is appended to only with ``"append"``. ``run`` names the run in the
+    Tables are named ``<label>_bz`` unless ``tables`` names them. ``mode`` is that of bronze and silver; gold is
+    added to with ``"once"`` and replaced otherwise. ``run`` names the run in the
     event log; a number there makes it a row of the run ledger.
     """
 
@@ -102,9 +102,9 @@ def run_pipeline(
             checkpoint=config.checkpoint,
         )
     with stage(spark, config.run, "silver", clock):
-        silver_mode = "append" if config.mode == "append" else "replace"
-        build_silver(spark, list(tables.values()), config.spec, config.as_of, silver_mode, config.prefix)
+        build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix)
     with stage(spark, config.run, "gold", clock):
-        build_gold(spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label)
+        gold_mode = "once" if config.mode == "once" else "replace"
+        build_gold(spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label, mode=gold_mode)
     layers = {"bronze": tables, "silver": tables, "gold": {"all": config.gold_table}}
     return layer_counts(spark, layers, config.prefix)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.session import scratch_path
 from strataflow.sources.landing import LANDING_FILES, Paths, landing_files, pending_files
 from strataflow.sources.tables import quoted
 
@@ -73,17 +74,66 @@ def load_new_files(
         n += len(paths)
 
 
-def _write_batch(rows: DataFrame, table: str, batch: int) -> None:
+def _write_batch(rows: DataFrame, table: str, batch: int, label: tuple[str, str] | None = None) -> None:
     """Writes one partition of the table, or writes it again."""
     spark, view = rows.sparkSession, f"batch_{uuid.uuid4().hex}"
-    columns = ", ".join(quoted(c) for c in spark.table(table).columns if c != LOAD_BATCH)
+    fixed = {LOAD_BATCH: str(batch)} if label is None else {label[0]: _text(label[1]), LOAD_BATCH: str(batch)}
+    columns = ", ".join(quoted(c) for c in spark.table(table).columns if c not in fixed)
+    partition = ", ".join(f"{quoted(c)} = {v}" for c, v in fixed.items())
     rows.createOrReplaceTempView(view)
     try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_BATCH} = {batch}) SELECT {columns} FROM {view}")
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT {columns} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _batches(spark: SparkSession, table: str, label: tuple[str, str] | None = None) -> list[int]:
+    """The batches that a table has partitions of, empty ones too; a row for each load, whatever its size."""
+    of_label = f" PARTITION ({quoted(label[0])} = {_text(label[1])})" if label else ""
+    shown = spark.sql(f"SHOW PARTITIONS {table}{of_label}").collect()
+    return sorted(int(r[0].rpartition(f"{LOAD_BATCH}=")[2]) for r in shown)
+
+
+def add_new_batches(
+    spark: SparkSession,
+    sources: Mapping[str | None, str],
+    target: str,
+    make: Callable[[DataFrame, DataFrame], DataFrame],
+    label: str | None = None,
+) -> None:
+    """Brings a table up to date with the batches of load-once tables, reading and writing only new ones.
+
+    ``sources`` names a table for each value of the column ``label``, or for None alone. ``make`` gets the rows of a
+    batch and the target's rows of all other batches, and returns what to add. Each batch becomes a
+    partition of its own number, finished aside first, so a run that died is simply repeated. If a source was
+    started anew, so is the target.
+    """
+    generations = [_generation(spark, t) for t in sources.values()]
+    if None in generations:
+        raise ValueError("only tables that are loaded once have batches")
+    generation = ",".join(generations)
+    fresh = _generation(spark, target) != generation
+    for value, table in sources.items():
+        part = None if label is None else (label, value)
+        done = [] if fresh else _batches(spark, target, part)
+        for batch in sorted(set(_batches(spark, table)) - set(done)):
+            rows = spark.table(table).where(F.col(LOAD_BATCH) == batch).drop(LOAD_BATCH)
+            if fresh:
+                shape = make(rows, rows.limit(0))
+                if label:
+                    shape = shape.withColumn(label, F.lit(""))
+                _create(spark, shape.withColumn(LOAD_BATCH, F.lit(0).cast("bigint")), target, generation, label)
+                fresh = False
+            path = scratch_path(spark, "batch")
+            added = make(rows, spark.table(target).where(F.col(LOAD_BATCH) != batch).drop(LOAD_BATCH))
+            added.write.parquet(path)
+            _write_batch(spark.read.schema(added.schema).parquet(path), target, batch, part)
+
+
 def note_files(spark: SparkSession, paths: list[str], seen: str, batch: int) -> None:
     spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1).write.mode("overwrite").parquet(f"{seen}/batch={batch}")
 
@@ -92,11 +142,12 @@ def _first(src: Paths) -> list[str]:
     return [src] if isinstance(src, str) else list(src)
 
 
-def _create(spark: SparkSession, rows: DataFrame, table: str, generation: str) -> None:
+def _create(spark: SparkSession, rows: DataFrame, table: str, generation: str, label: str | None = None) -> None:
     """An empty table of this shape, in place of any other; only now is a table that was made by other means given up."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    partitions = ", ".join(quoted(c) for c in [*([label] if label else []), LOAD_BATCH])
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({LOAD_BATCH}) TBLPROPERTIES ('{_GENERATION}' = '{generation}')")
+    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({partitions}) TBLPROPERTIES ('{_GENERATION}' = '{generation}')")
 
 
 def append_as_batch(rows: DataFrame, table: str) -> None:

@@ -3,6 +3,7 @@
 import gzip
 import os
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,27 @@ def test_once_loads_new_files_only(spark, prefix, tmp_path):
         build_bronze(spark, {"x": root}, mode="once", prefix=prefix)
 
 
+def test_three_loads_are_one_build(spark, prefix, tmp_path):
+    """Silver and gold by batches equal a full build, and a later run writes only its own batch."""
+    root = landing(tmp_path / "in")
+    config = telemetry_config(root, prefix=prefix, mode="once", checkpoint=str(tmp_path / "seen"), as_of=AS_OF)
+    silver = table_name("silver", "second_life_batteries_bz", prefix)
+    files = []
+    for n in range(3):
+        run_pipeline(spark, config)
+        files.append(set(spark.table(silver).inputFiles()))
+        put(root, f"second_life_batteries/more{n}.csv", f"{HEADER}\n{PACK}".replace("8.1", f"9.{n}"))
+    assert all(before <= after for before, after in zip(files, files[1:], strict=False))
+    run_pipeline(spark, config)
+    read = lambda: sorted(map(str, read_layer(spark, "gold", "all_batteries_gold", prefix).drop("load_batch").collect()))
+    by_batches = read()
+    assert len(by_batches) == 9 + 3
+    run_pipeline(spark, replace(config, mode="replace"))
+    assert read() == by_batches
+    run_pipeline(spark, config)  # starts anew
+    assert read() == by_batches
+
+
 def test_packs_with_equal_readings_collapse(spark, prefix, tmp_path):
     put(tmp_path, "b/one.csv", f"{HEADER}\n{PACK}")
     put(tmp_path, "b/two.csv", f"{HEADER}\n{PACK}")
