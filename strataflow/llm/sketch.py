@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -108,16 +109,18 @@ def chained(docs: DataFrame, partitions: int | None = None) -> tuple[DataFrame,
     into = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = 4 * into  # several ranges for each partition even out their sizes
     part, guest, tie = hidden("part"), hidden("guest"), hidden("tie")
-    ids = docs.select("doc_id").where("doc_id is not null")
-    shares = [i / n for i in range(1, n)]
-    found = ids.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * n))).first()[0] if shares else None
-    cuts = sorted(set(found or []))
+    # Spark's own range partitioning of the ids alone gives the borders: a row for each range
+    ids = docs.select("doc_id").where("doc_id is not null").repartitionByRange(n, "doc_id")
+    lows = ids.groupBy(F.spark_partition_id().alias("r")).agg(F.min("doc_id").alias("low")).collect()
+    cuts = np.array(sorted({r["low"] for r in lows})[1:], dtype=np.int64)
     order = [F.col("doc_id").desc_nulls_last(), F.col(tie), F.col("text")]
-    # ranges count from the largest ids down; null ids are a range of their own at the end
-    above = F.array_size(F.filter(F.lit(cuts), lambda c: c > F.col("doc_id"))) if cuts else F.lit(0)
-    dealt = docs.withColumn(tie, F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(
-        part, F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).cast("int")
-    )
+
+    @F.pandas_udf(T.IntegerType())
+    def place(some: pd.Series) -> pd.Series:  # ranges count from the largest ids down
+        return pd.Series(len(cuts) - np.searchsorted(cuts, some.to_numpy(), side="right")).astype("int32")
+
+    placed = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(place(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
+    dealt = docs.withColumn(tie, F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(part, placed)
     # the least (falling id, tie) of each range: a hash of the text breaks ties of the id, equal rows are alike
     first = F.min(F.struct((-F.col("doc_id")).alias("i"), F.col(tie).alias("t"))).alias("f")
     heads = written(dealt.groupBy(F.col(part).alias("p")).agg(first), "sketch-heads")
@@ -132,8 +135,8 @@ def chained(docs: DataFrame, partitions: int | None = None) -> tuple[DataFrame,
         .select(*(F.col(f"`{c}`") for c in docs.columns), tie, F.col("to").alias(part), F.lit(True).alias(guest))
     )
     rows = dealt.withColumn(guest, F.lit(False)).unionByName(guests)
-    placed = rows.repartition(into, part).sortWithinPartitions(part, guest, *order)
-    return placed, part, guest, tie
+    chain = rows.repartition(into, part).sortWithinPartitions(part, guest, *order)
+    return chain, part, guest, tie
 
 
 def fingerprint_documents(docs: DataFrame, *, shingle: int = SHINGLE, fraction: float = FRACTION, partitions: int | None = None) -> DataFrame:
