@@ -251,7 +251,7 @@ def made_pages(n: int, seed: int = 4) -> list[list[tuple[Block, bool]]]:
     return pages
 
 
-def fit_labeller(pages: Sequence[Sequence[tuple[Block, bool]]], *, hidden: int = 16, epochs: int = 5, seed: int = 2) -> BlockLabeller:
+def fit_labeller(pages: Sequence[Sequence[tuple[Block, bool]]], *, hidden: int = 16, epochs: int = 9, seed: int = 2) -> BlockLabeller:
     """Adam on the log loss of every block, in batches of 16 pages of like lengths."""
     rng, hide = np.random.default_rng(seed), Random(seed)
     network, adam = new_bilstm(rng, WIDTH, hidden, 1), Adam(0.01)
@@ -279,9 +279,10 @@ def train_labeller(pages: DataFrame, *, max_pages: int = MAX_PAGES, made: int =
     Pages of over ``MAX_TRAINING_CHARS`` characters are not learned from, so that what is gathered is
     bounded; extraction reads all pages whole. A sampled page counts if markup decides all its blocks.
     """
-    short = pages.select("html").where(F.length("html") <= MAX_TRAINING_CHARS).distinct()
-    sample = short.orderBy(F.xxhash64("html"), "html").limit(max_pages).collect()
-    labelled = [[(b, taught(b)) for b in blocks(r["html"])] for r in sample]
+    short = pages.where(F.length("html") <= MAX_TRAINING_CHARS).select("html", F.xxhash64("html").alias("hash"))
+    chosen = short.select("hash").distinct().orderBy("hash").limit(max_pages)  # only hashes are shuffled and sorted
+    sample = sorted(r["html"] for r in short.join(F.broadcast(chosen), "hash").select("html").distinct().collect())
+    labelled = [[(b, taught(b)) for b in blocks(html)] for html in sample]
     return fit_labeller([p for p in labelled if all(v is not None for _, v in p)] + made_pages(made))
 
 

@@ -15,7 +15,6 @@ largest source.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
