@@ -2,8 +2,9 @@
 
 Numbers, names and units are replaced by typed placeholders, so that a question with other values keeps its
 template. Windows of five template tokens are hashed and joined with those of the benchmark; a
-document that has 0.8 or more of an item's windows is a candidate. A candidate is
-checked on the texts: within one stretch of the document there must be that many windows in
+document that has 0.8 or more of an item's windows is a candidate. The windows have a second, case-folded form,
+in which names are words in lower case, so that copies in another letter case are found; either form
+will do. A candidate is checked on the texts: within one stretch of the document there must be that many windows in
 place, and each value of the item must stand for one value of the document throughout.
 """
 
@@ -44,7 +45,7 @@ _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WINDOW)],
 
 def value(raw: str) -> str:
     """What a raw word stands for in a slot: lower case, without punctuation around it."""
-    return raw.lower().strip(_EDGE)
+    return raw.casefold().strip(_EDGE)
 
 
 class Vocabulary(dict):
@@ -57,7 +58,7 @@ class Vocabulary(dict):
 
     def __missing__(self, raw: str) -> int:
         if raw.isalpha():
-            core, ends = raw.lower(), False
+            core, ends = raw.casefold(), False
             kind = SPECIAL.get(core, WORD)
             capital = not kind and len(raw) > 1 and raw[0].isupper() and not raw.isupper()
         else:
@@ -113,29 +114,59 @@ def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarra
     return tokens, np.where(name, NAME, rows[:, 1]).astype(np.int64)[real], at[real]
 
 
+def sums(tokens: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``WINDOW`` tokens."""
+    n = len(tokens) - WINDOW + 1
+    total = np.zeros(max(n, 0), dtype=np.uint64)
+    mixed = tokens ^ (tokens >> np.uint64(29))
+    for k in range(WINDOW if n > 0 else 0):
+        total += mixed[k : k + n] * _POWERS[k]
+    return ((total ^ (total >> np.uint64(32))) * _STEP).view(np.int64)
+
+
+def wordy(plain: np.ndarray) -> np.ndarray:
+    """Whether each window has enough words, of which of its tokens are words."""
+    n = max(len(plain) - WINDOW + 1, 0)
+    return sum((plain[k : k + n].astype(np.int64) for k in range(WINDOW)), np.zeros(n, dtype=np.int64)) >= LEAST_WORDS
+
+
 def windows(tokens: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the windows with enough words in them, and where each starts."""
-    n = len(tokens) - WINDOW + 1
-    if n < 1:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    total, plain = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.int64)
-    for k in range(WINDOW):
-        total += (tokens[k : k + n] ^ (tokens[k : k + n] >> np.uint64(29))) * _POWERS[k]
-        plain += kinds[k : k + n] == WORD
-    total = (total ^ (total >> np.uint64(32))) * _STEP
-    at = np.flatnonzero(plain >= LEAST_WORDS)
-    return total[at].view(np.int64), at
+    at = np.flatnonzero(wordy(kinds == WORD))
+    return sums(tokens)[at], at
+
+
+def folded(kinds: np.ndarray, ids: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The same in the form in which names are words."""
+    return windows(words.look_up(ids)[:, 0], np.where(kinds == NAME, WORD, kinds))
 
 
 def hashed_windows(texts: Sequence[str | None]) -> list[list[np.ndarray]]:
-    """The different window hashes of each text."""
-    out = []
+    """The different window hashes of each text: of the template, and of the folded form."""
+    out: list[list[np.ndarray]] = [[], []]
     for text in texts:
-        tokens, kinds, _ = template(text, _remembered[0])
-        out.append(np.unique(windows(tokens, kinds)[0]))
+        tokens, kinds, ids = template(text, _remembered[0])
+        out[0].append(np.unique(windows(tokens, kinds)[0]))
+        out[1].append(np.unique(folded(kinds, ids, _remembered[0])[0]))
         if len(_remembered[0]) >= MAX_MEMO:
             _remembered[0] = Vocabulary()
-    return [out]
+    return out
+
+
+def either_form(texts: Sequence[str | None]) -> list[list[np.ndarray]]:
+    """The different window hashes of each text in both forms together; a window without names has one hash."""
+    return [[np.union1d(a, b) for a, b in zip(*hashed_windows(texts), strict=True)]]
+
+
+def item_windows(texts: Sequence[str | None]) -> list[list]:
+    """Of each text: the hashes of both forms, whether each is in the template and in the folded form, and how many are."""
+    out: list[list] = [[], [], [], [], []]
+    for t, f in zip(*hashed_windows(texts), strict=True):
+        both = np.union1d(t, f)
+        made = both, np.isin(both, t).astype(np.int32), np.isin(both, f).astype(np.int32), len(t), len(f)
+        for column, v in zip(out, made, strict=True):
+            column.append(v)
+    return out
 
 
 def verified(text: str | None, item: str | None, similarity: float = SIMILARITY) -> tuple[float, bool, bool]:
@@ -143,21 +174,38 @@ def verified(text: str | None, item: str | None, similarity: float = SIMILARITY)
 
     A stretch spans at most a quarter more tokens than the item. Slots are consistent if four
     fifths of the item's slots agree with one value of the document for each value of the item.
+    Of the two forms the one that passes counts, or else the one with the larger share.
     """
     words = Vocabulary()
     tokens, kinds, ids = template(text, words)
     i_tokens, i_kinds, i_ids = template(item, words)
     raw = list(words)
-    i_hashes, i_at = windows(i_tokens, i_kinds)
+    values, i_values = [value(raw[i]) for i in ids], [value(raw[i]) for i in i_ids]
+    i_folded = np.where(i_kinds == NAME, WORD, i_kinds)
+    both = [
+        in_place(windows(tokens, kinds), windows(i_tokens, i_kinds), i_kinds, values, i_values, similarity),
+        in_place(folded(kinds, ids, words), folded(i_kinds, i_ids, words), i_folded, values, i_values, similarity),
+    ]
+    return max(both, key=lambda r: (r[1] and r[0] >= similarity, *r))
+
+
+Windows = tuple[np.ndarray, np.ndarray]
+
+
+def in_place(
+    of_text: Windows, of_item: Windows, i_kinds: np.ndarray, values: Sequence[str], i_values: Sequence[str], similarity: float
+) -> tuple[float, bool, bool]:
+    """What ``verified`` says, by the windows of one form."""
+    i_hashes, i_at = of_item
     if not len(i_hashes):
         return 0.0, False, False
     wanted = defaultdict(list)
     for h, at in zip(i_hashes.tolist(), i_at.tolist(), strict=True):
         wanted[h].append(at)
-    hashes, starts = windows(tokens, kinds)
+    hashes, starts = of_text
     hit = np.isin(hashes, i_hashes)
     found = [(at, k) for at, h in zip(starts[hit].tolist(), hashes[hit].tolist(), strict=True) for k in wanted[h]]
-    span = -(-5 * len(i_tokens) // 4)
+    span = -(-5 * len(i_kinds) // 4)
     counts: Counter = Counter()
     best, best_range, left = 0, (0, 0), 0
     for right, (at, k) in enumerate(found):
@@ -178,7 +226,7 @@ def verified(text: str | None, item: str | None, similarity: float = SIMILARITY)
     filled: dict[tuple, Counter] = defaultdict(Counter)
     for place, places in pairs.items():
         spot = min(places, key=lambda p: (-places[p], p))
-        filled[(i_kinds[place], value(raw[i_ids[place]]))][value(raw[ids[spot]])] += 1
+        filled[(i_kinds[place], i_values[place])][values[spot]] += 1
     total = sum(sum(c.values()) for c in filled.values())
     agree = sum(max(c.values()) for c in filled.values())
     equal = all(set(c) == {value} for (_, value), c in filled.items())
@@ -193,17 +241,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = S
     shuffles both otherwise. Null and empty texts, and items of fewer than five tokens, which can't
     be told from chance, match nothing. Rows that are alike give one result; empty tables give none.
     """
-    field = [("h", T.ArrayType(T.LongType()))]
+    hashes = T.ArrayType(T.LongType())
     items = benchmark.select("item_id", "text").where("text is not null").distinct()
-    held = written(
-        add_columns(items, ["text"], field, hashed_windows).select("item_id", "text", F.size("h").alias("n"), "h").where("n > 0"), "bench"
-    )
-    wanted = written(held.select(F.explode("h").alias("w"), "item_id", "n"), "bench-windows")
+    flags = T.ArrayType(T.IntegerType())
+    fields = [("w", hashes), ("in_t", flags), ("in_f", flags), ("n_t", T.IntegerType()), ("n_f", T.IntegerType())]
+    held = written(add_columns(items, ["text"], fields, item_windows).where("n_t > 0 or n_f > 0"), "bench")
+    each = held.select("item_id", "n_t", "n_f", F.explode(F.arrays_zip("w", "in_t", "in_f")).alias("z"))
+    wanted = written(each.select("z.*", "item_id", "n_t", "n_f"), "bench-windows")
     source = docs.select("doc_id", "text").where("text is not null")
-    hashed = add_columns(source.withColumn("text_hash", F.xxhash64("text")), ["text"], field, hashed_windows)
+    hashed = add_columns(source.withColumn("text_hash", F.xxhash64("text")), ["text"], [("h", hashes)], either_form)
     present = hashed.select("doc_id", "text_hash", F.explode("h").alias("h")).join(wanted, F.col("h") == F.col("w"))
-    candidates = present.groupBy("doc_id", "text_hash", "item_id", "n").agg(F.count(F.lit(1)).alias("m"))
-    candidates = written(candidates.where(F.col("m") >= similarity * F.col("n")).drop("n", "m"), "bench-candidates")
+    counted = present.groupBy("doc_id", "text_hash", "item_id", "n_t", "n_f").agg(F.sum("in_t").alias("m_t"), F.sum("in_f").alias("m_f"))
+    enough = lambda m, n: (F.col(n) > 0) & (F.col(m) >= similarity * F.col(n))
+    candidates = counted.where(enough("m_t", "n_t") | enough("m_f", "n_f")).select("doc_id", "text_hash", "item_id")
+    candidates = written(candidates.distinct(), "bench-candidates")
     c = candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), "item_id")
     rows = source.withColumn("text_hash", F.xxhash64("text")).join(
         c, F.col("text_hash").eqNullSafe(F.col("c_hash")) & F.col("doc_id").eqNullSafe(F.col("c_id"))

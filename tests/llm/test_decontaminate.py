@@ -86,3 +86,16 @@ def test_hashes_of_one_word_don_t_depend_on_the_vocabulary():
     for w in "some other words first".split():
         b[w]
     assert np.array_equal(template(ITEM, a)[0], template(ITEM, b)[0])
+
+
+def test_copies_in_another_letter_case(spark):
+    names = "Then Anna met Omar and Lena near Berlin while Peter told Maria about Oslo and Paul saw Ines with Karl at Rome."
+    docs = [(8, ITEM.upper()), (20, f"{fillers(1)} {ITEM.lower()}"), (21, ITEM.title()), (22, names.upper()), (23, names.lower()), (24, names.title())]
+    docs += [(25, "DIE STRASSE " + fillers(3)), (26, BROKEN.upper())]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for item in ({10: ITEM, 11: names}, {10: ITEM.upper(), 11: names.title()}):
+        bench = spark.createDataFrame(list(item.items()), "item_id long, text string")
+        got = {(r["doc_id"], r["item_id"]): r["same_values"] for r in contaminated(df, bench).collect()}
+        assert got == {(8, 10): True, (20, 10): True, (21, 10): True, (22, 11): True, (23, 11): True, (24, 11): True}
+        assert sorted(r["doc_id"] for r in drop_contaminated(df, bench).collect()) == [25, 26]
+    assert verified("DIE GROSSE STRASSE AM FLUSS", "Die große Straße am Fluss") == (1.0, True, True)
