@@ -4,15 +4,18 @@ Numbers, names and units are replaced by typed placeholders, so that a question
 template. Windows of five template tokens are hashed and joined with those of the benchmark; a
 document that has 0.8 or more of an item's windows is a candidate. The windows have a second, case-folded form,
 in which names are words in lower case, so that copies in another letter case are found; either form
-will do. A candidate is checked on the texts: within one stretch of the document there must be that many windows in
+will do. Where too few words would be left in a window, as in arithmetic and tables, the second form has the
+literal tokens, and a text of fewer than five tokens is one such window: verbatim copies of those are found, whatever
+they consist of. A candidate is checked on the texts: within one stretch of the document there must be that many windows in
 place, and each value of the item must stand for one value of the document throughout.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import xxhash
@@ -25,7 +28,7 @@ from strataflow.llm.common import add_columns, hidden, written
 WINDOW = 5
 SIMILARITY = 0.8
 MAX_MEMO = 500_000  # words remembered in a worker; more are looked at again
-LEAST_WORDS = 2  # a window of placeholders only says nothing
+LEAST_WORDS = 2  # a window of placeholders only says nothing; it counts by its literal tokens
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
 UNITS = frozenset(
     "mm cm dm m km in inch inches ft foot feet yard yards mile miles mg g kg t ton tons oz lb lbs pound pounds ml cl l liter liters litre "
@@ -49,12 +52,12 @@ def value(raw: str) -> str:
 
 
 class Vocabulary(dict):
-    """Of a raw word: a number, under which its hash, kind and place in a sentence are kept."""
+    """Of a raw word: a number, under which its hash, kind, place in a sentence and literal hash are kept."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.rows: list[tuple[int, int, bool, bool]] = []
-        self.table = np.zeros((0, 4), dtype=np.uint64)
+        self.rows: list[tuple[int, int, bool, bool, int]] = []
+        self.table = np.zeros((0, 5), dtype=np.uint64)
 
     def __missing__(self, raw: str) -> int:
         if raw.isalpha():
@@ -71,8 +74,9 @@ class Vocabulary(dict):
             core = core or (low if kind else "")
             letters = raw.lstrip(_EDGE)
             capital = not kind and len(core) > 1 and letters[:1].isupper() and not letters.isupper()
-        token = xxhash.xxh64_intdigest(("\0unit" if kind == UNIT else "\0number") if kind else core) if core else 0
-        self.rows.append((token, kind, capital, ends))
+        literal = xxhash.xxh64_intdigest(core) if core else 0
+        token = xxhash.xxh64_intdigest("\0unit" if kind == UNIT else "\0number") if kind and core else literal
+        self.rows.append((token, kind, capital, ends, literal))
         self[raw] = len(self)
         return len(self) - 1
 
@@ -81,7 +85,7 @@ class Vocabulary(dict):
         known = len(self)
         if self.rows:
             while len(self.table) < known:
-                self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), 4), dtype=np.uint64)])
+                self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), 5), dtype=np.uint64)])
             self.table[known - len(self.rows) : known] = self.rows
             self.rows = []
         return self.table[ids]
@@ -103,7 +107,7 @@ def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarra
             begins.append(len(ids))
             ids += map(words.__getitem__, of_line)
     at = np.array(ids, dtype=np.int64)
-    rows = words.look_up(at) if len(at) else np.zeros((0, 4), dtype=np.uint64)
+    rows = words.look_up(at) if len(at) else np.zeros((0, 5), dtype=np.uint64)
     starts = np.zeros(len(at), dtype=bool)
     if len(at):
         starts[1:] = rows[:-1, 3] > 0
@@ -114,20 +118,35 @@ def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarra
     return tokens, np.where(name, NAME, rows[:, 1]).astype(np.int64)[real], at[real]
 
 
-def sums(tokens: np.ndarray) -> np.ndarray:
-    """A hash of each run of ``WINDOW`` tokens."""
-    n = len(tokens) - WINDOW + 1
-    total = np.zeros(max(n, 0), dtype=np.uint64)
-    mixed = tokens ^ (tokens >> np.uint64(29))
-    for k in range(WINDOW if n > 0 else 0):
-        total += mixed[k : k + n] * _POWERS[k]
+def mixed(tokens: np.ndarray) -> np.ndarray:
+    return tokens ^ (tokens >> np.uint64(29))
+
+
+def mixed_sums(of_step: Callable[[int], np.ndarray], width: int, n: int) -> np.ndarray:
+    total = np.zeros(n, dtype=np.uint64)
+    for k in range(width):
+        total += of_step(k) * _POWERS[k]
     return ((total ^ (total >> np.uint64(32))) * _STEP).view(np.int64)
 
 
+def sums(tokens: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    """A hash of each run of ``width`` tokens."""
+    n, all_mixed = max(len(tokens) - width + 1, 0), mixed(tokens)
+    return mixed_sums(lambda k: all_mixed[k : k + n], width, n)
+
+
+def in_windows(marks: np.ndarray) -> np.ndarray:
+    """How many of each window's tokens are marked."""
+    n = max(len(marks) - WINDOW + 1, 0)
+    total = np.zeros(n, dtype=np.int8)
+    for k in range(WINDOW):
+        total += marks[k : k + n]
+    return total
+
+
 def wordy(plain: np.ndarray) -> np.ndarray:
     """Whether each window has enough words, of which of its tokens are words."""
-    n = max(len(plain) - WINDOW + 1, 0)
-    return sum((plain[k : k + n].astype(np.int64) for k in range(WINDOW)), np.zeros(n, dtype=np.int64)) >= LEAST_WORDS
+    return in_windows(plain) >= LEAST_WORDS
 
 
 def windows(tokens: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,33 +156,62 @@ def windows(tokens: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def folded(kinds: np.ndarray, ids: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """The same in the form in which names are words."""
-    return windows(words.look_up(ids)[:, 0], np.where(kinds == NAME, WORD, kinds))
+    """Hashes of all windows in the form in which names are words, and literal ones where too few are words."""
+    rows = words.look_up(ids)
+    hashes = np.where(wordy((kinds == WORD) | (kinds == NAME)), sums(rows[:, 0]), sums(rows[:, 4]))
+    return hashes, np.arange(len(hashes))
+
 
+def hashed_windows(texts: Sequence[str | None], lengths: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Of each text: the different window hashes of the template and of the folded form, and the number of tokens.
 
-def hashed_windows(texts: Sequence[str | None]) -> list[list[np.ndarray]]:
-    """The different window hashes of each text: of the template, and of the folded form."""
-    out: list[list[np.ndarray]] = [[], []]
+    The folded form of a text has its literal runs of ``lengths`` as well.
+    """
     for text in texts:
-        tokens, kinds, ids = template(text, _remembered[0])
-        out[0].append(np.unique(windows(tokens, kinds)[0]))
-        out[1].append(np.unique(folded(kinds, ids, _remembered[0])[0]))
-        if len(_remembered[0]) >= MAX_MEMO:
+        words = _remembered[0]
+        tokens, kinds, ids = template(text, words)
+        made = [folded(kinds, ids, words)[0], *(sums(words.look_up(ids)[:, 4], n) for n in lengths)]
+        yield np.unique(windows(tokens, kinds)[0]), np.unique(np.concatenate(made)), len(tokens)
+        if len(words) >= MAX_MEMO:
             _remembered[0] = Vocabulary()
-    return out
 
 
-def either_form(texts: Sequence[str | None]) -> list[list[np.ndarray]]:
-    """The different window hashes of each text in both forms together; a window without names has one hash."""
-    return [[np.union1d(a, b) for a, b in zip(*hashed_windows(texts), strict=True)]]
+def either_form(texts: Sequence[str | None], lengths: Sequence[int]) -> list[list[np.ndarray]]:
+    """The different window hashes of each text in both forms together.
+
+    A window with words enough and no name has one hash for both, so only the others are hashed anew.
+    """
+    out = []
+    for text in texts:
+        words = _remembered[0]
+        tokens, kinds, ids = template(text, words)
+        hashes, plain, name = sums(tokens), in_windows(kinds == WORD), in_windows(kinds == NAME)
+        enough = plain + name >= LEAST_WORDS
+        named, bare = np.flatnonzero((name > 0) & enough), np.flatnonzero(~enough)
+        made = [hashes[plain >= LEAST_WORDS]]
+        made += [sums_at(words.table[:, c], ids, at) for c, at in ((0, named), (4, bare)) if len(at)]
+        made += [sums(words.look_up(ids)[:, 4], n) for n in lengths]
+        out.append(np.unique(np.concatenate(made)) if len(made) > 1 else np.unique(made[0]))
+        if len(words) >= MAX_MEMO:
+            _remembered[0] = Vocabulary()
+    return [out]
+
+
+def sums_at(table: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of each window that starts in ``at``, of the hashes in ``table`` of the words ``ids``."""
+    return mixed_sums(lambda k: mixed(table[ids[at + k]]), WINDOW, len(at))
 
 
 def item_windows(texts: Sequence[str | None]) -> list[list]:
-    """Of each text: the hashes of both forms, whether each is in the template and in the folded form, and how many are."""
-    out: list[list] = [[], [], [], [], []]
-    for t, f in zip(*hashed_windows(texts), strict=True):
+    """Of each text: the hashes of both forms, whether each is in the template and in the folded form, how many are,
+    and the number of tokens if it is below a window's."""
+    out: list[list] = [[], [], [], [], [], []]
+    for text in texts:
+        ((t, f, n),) = hashed_windows([text])
+        if 0 < n < WINDOW:
+            ((t, f, n),) = hashed_windows([text], [n])
         both = np.union1d(t, f)
-        made = both, np.isin(both, t).astype(np.int32), np.isin(both, f).astype(np.int32), len(t), len(f)
+        made = both, np.isin(both, t).astype(np.int32), np.isin(both, f).astype(np.int32), len(t), len(f), n if n < WINDOW else 0
         for column, v in zip(out, made, strict=True):
             column.append(v)
     return out
@@ -174,7 +222,9 @@ def verified(text: str | None, item: str | None, similarity: float = SIMILARITY)
 
     A stretch spans at most a quarter more tokens than the item. Slots are consistent if four
     fifths of the item's slots agree with one value of the document for each value of the item.
-    Of the two forms the one that passes counts, or else the one with the larger share.
+    Of the two forms the one that passes counts, or else the one with the larger share. The template's share is
+    the lesser of that of the windows with enough words and that of all, of which the others must be in line
+    with these. An item of fewer than five tokens must be there as it is.
     """
     words = Vocabulary()
     tokens, kinds, ids = template(text, words)
@@ -182,8 +232,13 @@ def verified(text: str | None, item: str | None, similarity: float = SIMILARITY)
     raw = list(words)
     values, i_values = [value(raw[i]) for i in ids], [value(raw[i]) for i in i_ids]
     i_folded = np.where(i_kinds == NAME, WORD, i_kinds)
+    if len(i_tokens) < WINDOW:
+        literal, i_literal = words.look_up(ids)[:, 4], words.look_up(i_ids)[:, 4]
+        there = len(i_literal) > 0 and bool(np.isin(sums(i_literal, len(i_literal)), sums(literal, len(i_literal))).all())
+        return float(there), there, there
+    every = sums(tokens), sums(i_tokens)
     both = [
-        in_place(windows(tokens, kinds), windows(i_tokens, i_kinds), i_kinds, values, i_values, similarity),
+        in_place(windows(tokens, kinds), windows(i_tokens, i_kinds), i_kinds, values, i_values, similarity, every),
         in_place(folded(kinds, ids, words), folded(i_kinds, i_ids, words), i_folded, values, i_values, similarity),
     ]
     return max(both, key=lambda r: (r[1] and r[0] >= similarity, *r))
@@ -193,9 +248,15 @@ Windows = tuple[np.ndarray, np.ndarray]
 
 
 def in_place(
-    of_text: Windows, of_item: Windows, i_kinds: np.ndarray, values: Sequence[str], i_values: Sequence[str], similarity: float
+    of_text: Windows,
+    of_item: Windows,
+    i_kinds: np.ndarray,
+    values: Sequence[str],
+    i_values: Sequence[str],
+    similarity: float,
+    every: Windows | None = None,
 ) -> tuple[float, bool, bool]:
-    """What ``verified`` says, by the windows of one form."""
+    """What ``verified`` says, by the windows of one form; ``every`` has the hashes of all windows of text and item."""
     i_hashes, i_at = of_item
     if not len(i_hashes):
         return 0.0, False, False
@@ -218,8 +279,14 @@ def in_place(
             left += 1
         if len(counts) > best:
             best, best_range = len(counts), (left, right + 1)
+    matched = found[slice(*best_range)]
+    share = best / len(i_hashes)
+    if every and len(every[1]) > len(i_hashes) and matched:
+        rest = in_line(dict((k, at) for at, k in reversed(matched)), np.setdiff1d(np.arange(len(every[1])), i_at), *every)
+        share = min(share, (best + len(rest)) / len(every[1]))
+        matched = matched + rest
     pairs: dict[int, Counter] = defaultdict(Counter)  # of the item's place: the document's places
-    for at, k in found[slice(*best_range)]:
+    for at, k in matched:
         for j in range(WINDOW):
             if i_kinds[k + j] != WORD:
                 pairs[k + j][at + j] += 1
@@ -230,7 +297,21 @@ def in_place(
     total = sum(sum(c.values()) for c in filled.values())
     agree = sum(max(c.values()) for c in filled.values())
     equal = all(set(c) == {value} for (_, value), c in filled.items())
-    return best / len(i_hashes), agree >= similarity * total, equal
+    return share, agree >= similarity * total, equal
+
+
+def in_line(matched: dict[int, int], rest: np.ndarray, hashes: np.ndarray, i_hashes: np.ndarray) -> list[tuple[int, int]]:
+    """(place in the text, place in the item) of the item's windows ``rest`` that are as far from the next one
+    matched, before or behind, as in the item."""
+    known, out = sorted(matched), []
+    for k in rest.tolist():
+        right = bisect_left(known, k)
+        for near in known[max(right - 1, 0) : right + 1]:
+            at = k + matched[near] - near
+            if 0 <= at < len(hashes) and hashes[at] == i_hashes[k]:
+                out.append((at, k))
+                break
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
@@ -238,18 +319,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = S
 
     Needs ``doc_id`` and ``text``, and ``item_id`` and ``text`` of the benchmark. Windows of both sides are
     joined by hash; Spark broadcasts the benchmark's only while their written size is under its limit and
-    shuffles both otherwise. Null and empty texts, and items of fewer than five tokens, which can't
-    be told from chance, match nothing. Rows that are alike give one result; empty tables give none.
+    shuffles both otherwise. Items of fewer than five tokens, down to a single one, are found wherever their tokens stand in
+    a row, also by chance; documents are read for runs of the lengths that such items have. Null texts
+    and texts of punctuation only match nothing. Rows that are alike give one result; empty tables give none.
     """
     hashes = T.ArrayType(T.LongType())
     items = benchmark.select("item_id", "text").where("text is not null").distinct()
     flags = T.ArrayType(T.IntegerType())
-    fields = [("w", hashes), ("in_t", flags), ("in_f", flags), ("n_t", T.IntegerType()), ("n_f", T.IntegerType())]
+    fields = [("w", hashes), ("in_t", flags), ("in_f", flags), *((n, T.IntegerType()) for n in ("n_t", "n_f", "short"))]
     held = written(add_columns(items, ["text"], fields, item_windows).where("n_t > 0 or n_f > 0"), "bench")
     each = held.select("item_id", "n_t", "n_f", F.explode(F.arrays_zip("w", "in_t", "in_f")).alias("z"))
     wanted = written(each.select("z.*", "item_id", "n_t", "n_f"), "bench-windows")
+    lengths = sorted(r["short"] for r in held.where("short > 0").select("short").distinct().collect())  # at most four
     source = docs.select("doc_id", "text").where("text is not null")
-    hashed = add_columns(source.withColumn("text_hash", F.xxhash64("text")), ["text"], [("h", hashes)], either_form)
+    hashed = add_columns(
+        source.withColumn("text_hash", F.xxhash64("text")), ["text"], [("h", hashes)], lambda texts: either_form(texts, lengths)
+    )
     present = hashed.select("doc_id", "text_hash", F.explode("h").alias("h")).join(wanted, F.col("h") == F.col("w"))
     counted = present.groupBy("doc_id", "text_hash", "item_id", "n_t", "n_f").agg(F.sum("in_t").alias("m_t"), F.sum("in_f").alias("m_f"))
     enough = lambda m, n: (F.col(n) > 0) & (F.col(m) >= similarity * F.col(n))

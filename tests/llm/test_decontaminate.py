@@ -99,3 +99,18 @@ def test_copies_in_another_letter_case(spark):
         assert got == {(8, 10): True, (20, 10): True, (21, 10): True, (22, 11): True, (23, 11): True, (24, 11): True}
         assert sorted(r["doc_id"] for r in drop_contaminated(df, bench).collect()) == [25, 26]
     assert verified("DIE GROSSE STRASSE AM FLUSS", "Die große Straße am Fluss") == (1.0, True, True)
+
+
+def test_items_of_few_words(spark):
+    sums, table = "3 + 5 = 8 and 17 20 31 = 68", "12.5 13.1 17 kg 19 kg 20 21.7 25"
+    names, short = "Anna Berta Carla Dora Emil Fritz Gustav", "Capital of Peru?"
+    mixed = "The table below shows the yearly harvest of the three farms: 10 20 30 40 50 60 70 80 90 and nothing else was counted there"
+    items = {1: sums, 2: table, 3: names, 4: short, 5: "7 * 8", 6: mixed, 7: "?!", 8: "Lima"}
+    docs = [(k, f"{fillers(k)} {t} {fillers(k + 50)}") for k, t in items.items() if k not in (7, 8)]
+    docs += [(12, "so 12.5 13.1 18 kg 19 kg 21 21.7 26 it is"), (13, "Anna Carla Berta Emil Dora Gustav Fritz"), (14, "CAPITAL OF PERU is Quito"), (15, "capital of the Peru")]
+    docs += [(16, mixed.replace("0 ", "7 ")), (17, mixed.replace(": 10 20 30 40 50 60 70 80 90", "")), (18, "he flew to lima."), (19, "7 and 8 ?!"), (20, None)]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["same_values"] for r in contaminated(df, bench).collect()}
+    assert got == dict.fromkeys([(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (14, 4), (18, 8)], True) | {(16, 6): False}
+    assert sorted(r["doc_id"] for r in drop_contaminated(df, bench).collect()) == [12, 13, 15, 17, 19, 20]
