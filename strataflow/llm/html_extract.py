@@ -33,11 +33,18 @@ MAX_PAGES, MADE = 250, 350
 MAX_TRAINING_CHARS = 60_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
-HIDDEN = frozenset("script style noscript template svg math iframe object select textarea".split())
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Drawings and formulas: their own tags are no blocks; a tag of ``BREAKS_OUT`` ends them, as in browsers.
+FOREIGN = frozenset(("svg", "math"))
+BREAKS_OUT = frozenset(
+    "address article aside b big blockquote body br center code dd div dl dt em embed fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr i "
+    "img li listing main menu meta nav nobr ol p pre ruby s section small span strike strong sub sup table tt u ul var foreignobject".split()
+)
+#: These may stand within a paragraph, which goes on behind them.
+WITHIN = frozenset("noscript template svg iframe object select textarea".split())
+CLOSES = dict.fromkeys(WITHIN, frozenset()) | {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Tags and words of class and id attributes that say what a part of a page is for.
 MAIN = frozenset("article main".split())
 MAIN_WORDS = frozenset("article content post entry story body main".split())
@@ -48,8 +55,8 @@ OTHER_WORDS = frozenset(
     "pagination popup modal toolbar copyright widget".split()
 )
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|select|textarea)\b(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"""
-    r"""|<(?P<end>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|(?P<text>[^<]+|<)""",
+    r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style)(?=[\s/>])(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"""
+    r"""|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?=[\s/>])(?P<rest>(?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|(?P<text>[^<]+|<)""",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
@@ -73,7 +80,11 @@ def _named(tag: str, rest: str) -> tuple[str, ...]:
 
 
 def blocks(html: str | None) -> list[Block]:
-    """The leaf blocks of a page in order; scripts, styles and comments are none. Null and empty pages have no blocks."""
+    """The leaf blocks of a page in order; scripts, styles and comments are none. Null and empty pages have no blocks.
+
+    All other elements are read, of which formulas belong to the block around them. Elements that aren't closed
+    end with their parent.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
@@ -99,6 +110,16 @@ def blocks(html: str | None) -> list[Block]:
                 parts.append(" ")
             continue
         tag = tag.lower()
+        closed = tag in FOREIGN and m["rest"].endswith("/")
+        if stack and stack[-1][0] in FOREIGN and tag not in FOREIGN:
+            if not m["end"] and tag in BREAKS_OUT:
+                if tag != "foreignobject":
+                    if stack[-1][0] not in INLINE:
+                        end_block()
+                    del stack[-1]
+            elif not m["end"] or all(t != tag for t, _ in stack):
+                parts.append(" " if tag in ("text", "title", "desc", "annotation") else "")
+                continue
         if tag in INLINE:
             if tag in ("br", "img", "wbr"):
                 parts.append(" " if tag == "br" else "")
@@ -109,9 +130,11 @@ def blocks(html: str | None) -> list[Block]:
                         break
                     if stack[k][0] not in INLINE:
                         break
-            else:
+            elif not closed:
                 stack.append((tag, ()))
             continue
+        if closed:
+            continue
         end_block()
         if m["end"]:
             for k in range(len(stack) - 1, -1, -1):
@@ -119,7 +142,7 @@ def blocks(html: str | None) -> list[Block]:
                     del stack[k:]
                     break
         elif tag not in VOID:
-            shut = CLOSES.get(tag, {"p"})
+            shut = CLOSES.get(tag, () if "-" in tag else {"p"})
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in shut:
                     del stack[k:]

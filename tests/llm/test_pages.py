@@ -70,6 +70,30 @@ def test_blocks():
     assert blocks("<p>" * 5000 + "x")[0] == Block(("p",), "x", 0)
 
 
+@pytest.mark.parametrize(
+    "inner, texts",
+    [
+        ('<svg class="i"/><p>one</p><p>two</p>', ["one", "two"]),
+        ("<p>one <svg class=i /> two</p><p>three</p>", ["one two", "three"]),
+        ("<svg-icon name='x'></svg-icon><p>one</p><template-x></template-x><select-box>two</select-box>", ["one", "two"]),
+        ("<p>one <svg-icon></svg-icon>two</p>", ["one", "two"]),
+        ("<object data='x'><p>one</p></object><p>two</p>", ["one", "two"]),
+        ("<p>Let <math><mi>x</mi><mo>+</mo><mspace/><mn>1</mn></math> be, <math/>so</p>", ["Let x+1 be, so"]),
+        ("<svg><g><path d='M0'/><text>label</text></g></svg><p>one</p>", ["label", "one"]),
+        ("<p>one</p><svg><p>two</p>", ["one", "two"]),
+        ("<p>one</p><math><mi>x<p>two</p>", ["one", "x", "two"]),
+        ("<noscript><p>one</p></noscript><template><p>two</p></template><iframe>three</iframe>", ["one", "two", "three"]),
+        ("<select><option>one<option>two</select><textarea>three</textarea><p>four</p>", ["one", "two", "three", "four"]),
+        ("<p>one</p><iframe src='x'><p>two</p>", ["one", "two"]),
+        ("<p>one</p><script src='a>b'>x</script ><style>p{}</style><script-x>two</script-x><!-- gone -->", ["one", "two"]),
+    ],
+)
+def test_nothing_but_scripts_styles_and_comments_is_lost(inner, texts):
+    got = blocks(f"<body><article>{inner}</article><footer>foot</footer><p>last</p></body>")
+    assert [b.text for b in got] == [*texts, "foot", "last"]
+    assert all("article" in b.path for b in got[:-2]) and got[-2].path == ("body", "footer") and got[-1].path == ("body", "p")
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return fit_labeller(made_pages(300))
