@@ -13,6 +13,7 @@ neighbours as well.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -170,8 +171,8 @@ def vectors(page: Sequence[Block], hide: Random | None = None) -> np.ndarray:
             if not (gone and (word in MAIN or word in MAIN_WORDS or word in OTHER_WORDS)):
                 x[i, _slot(token, PATH)] = 1
         words = b.text.lower().split()
-        for w in words[:40]:  # for the bag of words only; the block is kept or left whole
-            x[i, PATH + _slot(w, WORDS)] += 1 / min(len(words), 40)
+        for slot, n_words in Counter(_slot(w, WORDS) for w in words).items():
+            x[i, PATH + slot] = n_words / len(words)
         size = len(b.text)
         x[i, PATH + WORDS :] = (
             log1p(size) / 6,

@@ -4,7 +4,7 @@ from html import unescape
 import pytest
 
 from strataflow.llm import queries
-from strataflow.llm.html_extract import Block, blocks, fit_labeller, made_pages, main_texts
+from strataflow.llm.html_extract import PATH, WORDS, Block, blocks, fit_labeller, made_pages, main_texts, vectors
 from strataflow.llm.url_filter import RULES, made_examples, train_url_model
 
 
@@ -94,6 +94,13 @@ def test_nothing_but_scripts_styles_and_comments_is_lost(inner, texts):
     assert all("article" in b.path for b in got[:-2]) and got[-2].path == ("body", "footer") and got[-1].path == ("body", "p")
 
 
+def test_all_words_of_a_block_count():
+    bag = lambda text: vectors([Block(("p",), text, 0)])[0, PATH : PATH + WORDS]
+    start = "alpha beta gamma delta " * 10
+    one, other = bag(start + "subscribe newsletter " * 40), bag(start + "village harvest " * 40)
+    assert abs(one - other).sum() > 0.5 and abs(one.sum() - 1) < 1e-5 and abs(other.sum() - 1) < 1e-5
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return fit_labeller(made_pages(300))
