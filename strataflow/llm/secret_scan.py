@@ -44,6 +44,8 @@ class CharacterClass:
 
 CLASSES = (
     CharacterClass(re.compile(r"[0-9A-F]{24,}"), 24, 3.0, 2),
+    CharacterClass(re.compile(r"[a-z0-9]{20,}"), 20, 3.6, 2),
+    CharacterClass(re.compile(r"[A-Z0-9]{20,}"), 20, 3.5, 2),
     CharacterClass(re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.6, 3),
     CharacterClass(re.compile(r"[A-Za-z0-9+/=_-]{24,}"), 24, 3.9, 3),
 )

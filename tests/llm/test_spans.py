@@ -97,6 +97,19 @@ def test_entropy_finds_keys_and_leaves_prose():
         assert entropy_spans(clean, []) == []
 
 
+LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+@pytest.mark.parametrize("alphabet, n", [(LOWER, 32), (LOWER.upper(), 32), (UPPER, 32), (UPPER, 26)])
+def test_keys_in_one_letter_case(alphabet, n):
+    rng = random.Random(n)
+    keys = [noise(rng, alphabet, n) for _ in range(300)]
+    found = [find_secrets(f"use {k} now")[1] for k in keys]
+    assert sum(any(b - a >= 20 and a >= 4 and b <= 4 + n for _, a, b in f) for f in found) > 240
+    for clean in ("internationalization2019conference", "summerofcode2021applications", "A" * 30 + "1", "thequickbrownfox2020jumpsover"):
+        assert find_secrets(clean)[1] == []
+
+
 def test_masking():
     text = 'a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" b'
     assert masked(text, find_secrets(text)[1]) == 'a [secret]" b'
