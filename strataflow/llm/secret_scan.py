@@ -3,14 +3,15 @@
 A candidate is a run of characters that keys and tokens are made of. For every class of
 characters, a window slides over the runs of that class; its Shannon entropy comes from the counts of
 its characters, which each step changes by one out and one in. Windows over the limit of
-their class are joined to spans. Allow-listed strings aren't reported, nor is what a
-pattern has found already.
+their class are joined to spans, and spans of several classes that overlap to one. Of a span, what allow-listed strings
+cover isn't reported, nor is what a pattern has found already.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
 from math import log2
@@ -50,10 +51,11 @@ CLASSES = (
     CharacterClass(re.compile(r"[A-Za-z0-9+/=_-]{24,}"), 24, 3.9, 3),
 )
 #: Strings that look random but are none: paths and links, ids in standard forms, sample values, alphabets.
+_PART = r"(?:[A-Z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+\d{0,4}+|\d{1,4}+)"  # of a path: words, and numbers of few digits
 ALLOWED = (
     re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE),
     re.compile(r"example|sample|dummy|placeholder|lorem|xxxx|abcdefgh|qwerty|0123456|1234567|sha\d{3}-", re.IGNORECASE),
-    re.compile(r"(?:[a-z]{2,}[-_/+]){3,}|(?:[A-Z]?[a-z]{3,}){4,}|(?:/[\w.-]*){3,}"),
+    re.compile(rf"(?<![a-z])(?:(?:[a-z]{{2,}}[-_/+]){{3,}}|[a-z]{{8,}}+\d{{1,4}}+[a-z]{{8,}})|(?:[A-Z]?[a-z]{{3,}}){{4,}}|(?:/{_PART}(?:[-_.]{_PART})*+(?![A-Za-z0-9])){{3,}}/?"),
 )
 
 
@@ -96,22 +98,71 @@ def high_entropy(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     return spans
 
 
+def joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``spans`` in order, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def not_allowed(run: str, kind: CharacterClass) -> list[tuple[int, int]]:
+    """The spans of high entropy of ``run`` without what the allow list covers.
+
+    Allow-listed matches as long as a window are cut out. A piece with shorter ones stays whole, unless
+    they are over half of it and the rest alone has no window of high entropy.
+    """
+    spans = high_entropy(run, kind.window, kind.bits)
+    known = joined(m.span() for a in ALLOWED for m in a.finditer(run)) if spans else []
+    if not known:
+        return spans
+    out, first = [], 0
+    for a, b in spans:
+        while first < len(known) and known[first][1] <= a:
+            first += 1
+        inside, k = [], first
+        while k < len(known) and known[k][0] < b:
+            inside.append((max(known[k][0], a), min(known[k][1], b)))
+            k += 1
+        cuts = [(x, y) for x, y in inside if y - x >= kind.window]
+        small = [(x, y) for x, y in inside if y - x < kind.window]
+        at = 0
+        for x, y in zip([a, *(y for _, y in cuts)], [*(x for x, _ in cuts), b], strict=True):
+            if cuts and not high_entropy(run[x:y], kind.window, kind.bits):
+                continue
+            while at < len(small) and small[at][1] <= x:
+                at += 1
+            rest, covered, end = [], 0, x
+            while at < len(small) and small[at][0] < y:
+                rest.append(run[end : small[at][0]])
+                covered, end = covered + small[at][1] - small[at][0], small[at][1]
+                at += 1
+            rest.append(run[end:y])
+            if 2 * covered <= y - x or high_entropy("".join(rest), kind.window, kind.bits):
+                out.append((x, y))
+    return out
+
+
 def entropy_spans(text: str, taken: Sequence[Span], classes: Sequence[CharacterClass] = CLASSES) -> list[Span]:
-    """Added spans: not allow-listed, not touching ``taken`` or each other; earlier classes come first."""
-    covered = sorted((a, b) for _, a, b in taken)
-    found: list[Span] = []
+    """Added spans of all classes: not allow-listed, not touching ``taken``; those that overlap are one."""
+    base = joined((a, b) for _, a, b in taken)
+    ends = [b for _, b in base]
+    found: list[tuple[int, int]] = []
     for kind in classes:
         for m in kind.pattern.finditer(text):
             run = m.group()
             looks = any(map(str.isdigit, run)) + any(map(str.isupper, run)) + any(map(str.islower, run))
-            if looks < kind.mixed or any(a.search(run) for a in ALLOWED):
+            if looks < kind.mixed:
                 continue
-            for a, b in high_entropy(run, kind.window, kind.bits):
+            for a, b in not_allowed(run, kind):
                 a, b = a + m.start(), b + m.start()
-                if not any(a < y and x < b for x, y in covered):
-                    found.append(("entropy", a, b))
-                    covered.append((a, b))
-    return found
+                near = bisect_right(ends, a)
+                if near == len(base) or base[near][0] >= b:
+                    found.append((a, b))
+    return [("entropy", a, b) for a, b in joined(found)]
 
 
 def ordered(spans: Sequence[Span], kinds: Sequence[str]) -> list[Span]:

@@ -11,7 +11,7 @@ from strataflow.llm import queries
 from strataflow.llm.pii import KINDS as PERSONAL
 from strataflow.llm.pii import base_spans as personal_base
 from strataflow.llm.pii import checks_out, find_personal_data, fit_tagger, luhn, made_windows, reconciled, tags_of, window_starts
-from strataflow.llm.secret_scan import KINDS, base_spans, entropy_spans, find_secrets, high_entropy, masked
+from strataflow.llm.secret_scan import CLASSES, KINDS, base_spans, entropy_spans, find_secrets, high_entropy, masked, not_allowed
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -110,6 +110,22 @@ def test_keys_in_one_letter_case(alphabet, n):
         assert find_secrets(clean)[1] == []
 
 
+def test_allow_list_covers_only_its_matches():
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rng = random.Random(7)
+    for _ in range(40):
+        blob = noise(rng, base64, 800)
+        for run in (blob, blob[:300] + "example" + blob[300:], blob[:500] + "1234567" + blob[500:], blob.replace("+", "/")):
+            spans = entropy_spans(run, [])
+            assert sum(b - a for _, a, b in spans) > 0.97 * len(run)
+    key, path = "Zx9Qv7Lm2Tp4Ws8Rk1Yb6Nc3Hd5", "/usr/local/share/documents/library/python3/modules/"
+    for text in (path + key, key + path, key + path + key):
+        got = "".join(text[a:b] for _, a, b in entropy_spans(text, []))
+        assert got.count(key) == text.count(key) and len(got) <= len(key) * text.count(key) + 6
+    assert entropy_spans(path + "Module1/AndMore2/site-packages/2024/10/index", []) == []
+    not_allowed(base64[:60] * 5000, CLASSES[-1])
+
+
 def test_masking():
     text = 'a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" b'
     assert masked(text, find_secrets(text)[1]) == 'a [secret]" b'
