@@ -12,12 +12,14 @@ give and aren't read. A span of the tagger counts if its form checks out exactly
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from heapq import nsmallest
 from ipaddress import ip_address
 from random import Random
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -271,23 +273,33 @@ def made_windows(n: int, seed: int = 3) -> list[tuple[str, list[Span]]]:
 
 
 def labelled_windows(docs: DataFrame, max_windows: int = MAX_WINDOWS) -> list[tuple[str, list[Span]]]:
-    """At most ``max_windows`` windows of documents with what the patterns find in them, the same on every run."""
-    window = T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", SPANS)])
+    """At most ``max_windows`` different windows of documents with what the patterns find in them, the same on every run.
 
-    def windows(texts: Sequence[str]) -> Iterator[list]:
+    They are those of the least hashes; each batch gives its own least ones, so few are shuffled.
+    """
+    window = T.StructType([T.StructField("hash", T.LongType()), T.StructField("text", T.StringType()), T.StructField("spans", SPANS)])
+
+    def windows(texts: Sequence[str]) -> list[list]:
+        least: dict[str, tuple] = {}
         for text in texts:
             spans = base_spans(text)
-            yield [
-                {
-                    "text": text[s : s + WINDOW],
-                    "spans": [{"kind": k, "start": a - s, "end": b - s} for k, a, b in spans if a < s + WINDOW and b > s],
-                }
-                for s in window_starts(text)
-            ]
+            for s in window_starts(text):
+                part = text[s : s + WINDOW]
+                inside = sorted((a - s, b - s, k) for k, a, b in spans if a < s + WINDOW and b > s)
+                known = least.get(part)
+                if known is None or inside < known[1]:
+                    hashed = known[0] if known else int.from_bytes(xxhash.xxh64_digest(part.encode(), 42), "big", signed=True)
+                    least[part] = (hashed, inside)
+            if len(least) > 20 * max_windows:
+                least = dict(nsmallest(max_windows, least.items(), key=lambda w: (w[1][0], w[0])))
+        rows = nsmallest(max_windows, least.items(), key=lambda w: (w[1][0], w[0]))
+        named = [{"hash": h, "text": t, "spans": [{"kind": k, "start": a, "end": b} for a, b, k in of]} for t, (h, of) in rows]
+        return [named, *([] for _ in texts[1:])]
 
     marked = docs.select("text").where(F.col("text").rlike("[0-9@]"))
-    found = add_columns(marked, ["text"], [("w", T.ArrayType(window))], lambda texts: [list(windows(texts))])
-    rows = found.select(F.explode("w").alias("w")).select("w.*").orderBy(F.xxhash64("text"), "text").limit(max_windows).collect()
+    found = add_columns(marked, ["text"], [("w", T.ArrayType(window))], lambda texts: [windows(texts)])
+    each = found.select(F.explode("w").alias("w")).groupBy("w.hash", "w.text").agg(F.min("w.spans").alias("spans"))
+    rows = each.orderBy("hash", "text").limit(max_windows).collect()
     return [(r["text"], [(s["kind"], s["start"], s["end"]) for s in r["spans"]]) for r in rows]
 
 

@@ -10,7 +10,7 @@ import pytest
 from strataflow.llm import queries
 from strataflow.llm.pii import KINDS as PERSONAL
 from strataflow.llm.pii import base_spans as personal_base
-from strataflow.llm.pii import checks_out, find_personal_data, fit_tagger, luhn, made_windows, reconciled, tags_of, window_starts
+from strataflow.llm.pii import checks_out, find_personal_data, fit_tagger, labelled_windows, luhn, made_windows, reconciled, tags_of, window_starts
 from strataflow.llm.secret_scan import CLASSES, KINDS, base_spans, entropy_spans, find_secrets, high_entropy, masked, not_allowed
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -185,3 +185,12 @@ def test_reconciling_joins_windows():
     spans = [("card", 20, 50), ("email", 70, 90), ("email", 90, 99)]
     windows = [(s, tags_of(spans, s, 64)) for s in (0, 32, 64)]
     assert reconciled(windows) == spans
+
+
+def test_windows_to_learn_from_are_different(spark):
+    rows = [(f"call {k} or mail a{k}@b.com",) for k in range(40)] + [("the same passage of 1999 in every document",)] * 300
+    df = spark.createDataFrame(rows, "text string").repartition(4)
+    got = labelled_windows(df, 30)
+    assert len(got) == len({t for t, _ in got}) == 30
+    every = labelled_windows(df, 1000)
+    assert len(every) == 41 and got == every[:30] and all((len(s) == 1) == ("@" in t) for t, s in every)
