@@ -14,6 +14,7 @@ from strataflow.llm.mixing import copies
 from strataflow.llm.pii import KINDS as PERSONAL
 from strataflow.llm.pii import scan_personal_data, train_tagger
 from strataflow.llm.quality import score_quality, train_quality
+from strataflow.llm.runs import periodic_runs, run_digest, with_planted_runs
 from strataflow.llm.secret_scan import digest_columns, scan
 from strataflow.llm.simhash import near_duplicates
 from strataflow.llm.sketch import fingerprint_documents
@@ -94,3 +95,9 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic_runs(docs).select("doc_id", *run_digest())

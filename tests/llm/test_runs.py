@@ -1,0 +1,156 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from strataflow.llm import queries
+from strataflow.llm.runs import Matches, collapse, cut, grammar, periodic_runs, runs_of_words, text_runs
+from tests.llm.conftest import prose
+
+
+def slow_runs(words, least_words=6, least_repeats=4):
+    """All runs by their definition: every period, stretch by stretch; a stretch's smallest period counts."""
+    n, best = len(words), {}
+    for q in range(1, n // least_repeats + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least_words, least_repeats * q):
+                best.setdefault((i, j + q - i), q)
+            i = j
+    return sorted((s, length, q) for (s, length), q in best.items())
+
+
+def runs_of(text):
+    return text_runs([text.encode()])[0][0]
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 3, 5])
+def test_random_words_against_brute_force(alphabet):
+    rng = random.Random(alphabet)
+    texts = []
+    for _ in range(400):
+        words = [rng.choice("abcde"[:alphabet]) for _ in range(rng.randint(0, 60))]
+        if rng.random() < 0.5 and words:
+            a, p = rng.randrange(len(words)), rng.randint(1, 9)
+            words = words[:a] + [words[a + (i % p) if a + (i % p) < len(words) else a] for i in range(rng.randint(0, 80))] + words[a:]
+        texts.append(" ".join(words).encode())
+    assert text_runs(texts)[0] == [slow_runs(t.split()) for t in texts]
+
+
+def test_long_periods_nested_and_touching_runs():
+    rng = random.Random(5)
+    unit = [f"w{rng.randrange(40)}" for _ in range(300)]
+    inner = ["x", "y"] * 9
+    words = prose(1, 50).split() + (unit + inner) * 5 + unit[:100] + prose(2, 50).split() + ["a"] * 40 + ["b"] * 5 + ["a", "b"] * 30
+    fib = ["a"], ["a", "b"]
+    while len(fib[1]) < 1500:
+        fib = fib[1], fib[1] + fib[0]
+    thue = [str(bin(i).count("1") % 2) for i in range(4096)]
+    for some in (words, fib[1], thue, thue * 4, ["the"] * 3000, (["the"] * 7 + ["end"]) * 40):
+        assert runs_of(" ".join(some)) == slow_runs(some)
+
+
+def test_other_limits():
+    rng = random.Random(9)
+    for least_words, least_repeats in ((3, 3), (4, 3), (9, 5), (2, 7)):
+        words = np.array([rng.randrange(3) for _ in range(300)])
+        found = runs_of_words(words, np.zeros(300, dtype=np.int64), least_words, least_repeats)
+        assert list(zip(*(x.tolist() for x in found), strict=True)) == slow_runs(words.tolist(), least_words, least_repeats)
+
+
+def test_texts_of_a_batch_are_apart():
+    texts = [b"a b " * 3, b"a b " * 3, b"a b a b a b a b", None, b"", b"a " * 6]
+    assert text_runs(texts)[0] == [[], [], [(0, 8, 2)], [], [], [(0, 6, 1)]]
+
+
+def test_wrong_hash_matches_are_seen(monkeypatch):
+    """Hashes that agree by chance, made certain here for the first salt, don't change the runs."""
+    equal, tried = Matches.equal, []
+
+    def loose(self, a, shift, size):
+        right = equal(self, a, shift, size)
+        return right | True if tried[-1] == 1 else right
+
+    init = Matches.__init__
+    monkeypatch.setattr(Matches, "__init__", lambda self, word, salt: (tried.append(salt), init(self, word, salt))[1])
+    monkeypatch.setattr(Matches, "equal", loose)
+    words = prose(1, 20).split() + "a b c".split() * 6 + ["a", "c"] * 8 + prose(2, 20).split() + "a b c".split() * 5
+    assert runs_of(" ".join(words)) == slow_runs(words)
+    assert tried == [1, 2]
+
+
+def test_grammar_derives_every_piece():
+    """Each rule's places all hold the same words, and rules repeat but for those of the remaining sequence."""
+    words = np.array([int(c) for c in "0123" * 30 + "01012" * 20 + "3" * 17])
+    p = cut(words, np.zeros(len(words), dtype=np.int64), 6, 4)
+    nodes = grammar(p)
+    assert len(nodes.lo) < len(words) / 2
+    for lo, mid, hi, first, count in zip(nodes.lo, nodes.mid, nodes.hi, nodes.first, nodes.count, strict=True):
+        assert lo < mid < hi
+        for place in nodes.place[first : first + count]:
+            assert p.word[place : place + hi - lo].tolist() == p.word[lo:hi].tolist()
+    assert max(nodes.hi - nodes.lo) == len(p.word)  # the tree's root
+
+
+def test_collapse():
+    words = b"x a b a b a b a b y".split()
+    assert collapse(words, [(1, 8, 2)]) == b"x a b y"
+    assert collapse(words, []) == b" ".join(words)
+
+
+def planted(doc_id, text):
+    """The contract's edit, word by word."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n or doc_id is None:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_query_against_brute_force(spark, sf_dir, real_docs):
+    docs = [(r["doc_id"], r["text"]) for r in real_docs.select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r for r in queries.op11_periodic_runs(spark, sf_dir).collect()}
+    assert set(got) == {i for i, _ in docs}
+    some = [d for d in docs if len(d[1].split()) < 700]
+    assert len(some) > 0.8 * len(docs)
+    for i, text in some:
+        words, r = planted(i, text), got[i]
+        runs = slow_runs(words)
+        assert r["n_runs"] == len(runs)
+        best = max(runs, key=lambda x: (x[1], -x[0], -x[2]), default=(None, None, None))
+        assert (r["start"], r["length"], r["period"]) == best
+        assert r["exponent_milli"] == (1000 * best[1] // best[2] if runs else None)
+        assert r["runs_sha256"] == sha("".join(f"{s},{length},{q}\n" for s, length, q in runs))
+        gone = {k for s, length, q in runs for k in range(s + q, s + length)}
+        assert r["collapsed_sha256"] == sha(" ".join(w for k, w in enumerate(words) if k not in gone))
+    assert sum(r["n_runs"] > 0 for r in got.values()) > 30
+
+
+def test_words_by_the_contract(spark):
+    rows = [(1, "a\x1cb a\x1cb\ta\x1cb\n a\x1cb a\x1cb\x0ba\x1cb"), (2, "           "), (3, None), (None, "x " * 7)]
+    got = {r["doc_id"]: r for r in periodic_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(x) for x in got[1]["runs"]] == [(0, 6, 1)] and got[1]["collapsed"] == "a\x1cb"
+    assert [tuple(x) for x in got[2]["runs"]] == [(0, 6, 1)] and got[3]["runs"] == [] and got[3]["collapsed"] == ""
+    assert [tuple(x) for x in got[None]["runs"]] == [(0, 7, 1)]
+
+
+def test_very_long_texts():
+    word = prose(3, 5000).split()
+    for text in (word * 30, ["a"] * 400_000, (["a"] * 500 + ["b"]) * 300):
+        assert len(runs_of(" ".join(text))) >= 1
