@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import crc_mod, table
+from strataflow.llm.cover_tree import top_k
 from strataflow.llm.decontaminate import contaminated
 from strataflow.llm.html_extract import extract, train_labeller
 from strataflow.llm.mixing import copies
+from strataflow.llm.orchard import clusters
 from strataflow.llm.pii import KINDS as PERSONAL
 from strataflow.llm.pii import scan_personal_data, train_tagger
 from strataflow.llm.quality import score_quality, train_quality
@@ -24,6 +26,13 @@ from strataflow.llm.url_filter import judge, train_url_model
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+#: Usable vectors as whole numbers, for the SQL of the vector queries.
+WHOLE = """
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+"""
+
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
@@ -101,3 +110,49 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return periodic_runs(docs).select("doc_id", *run_digest())
+
+
+@query
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+SQL["op12_exact_top_k"] = f"""
+WITH rows AS MATERIALIZED ({WHOLE}),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM rows q JOIN rows d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, size=64, salt="2:")
+
+
+def clusters_sql(k: int, rounds: int) -> str:
+    """The rounds written out, each an assignment to the centroids ``c<i>`` and their new means."""
+    nearest = """SELECT vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+      SELECT vec_id, x.v, c, CAST(list_sum(list_transform(list_zip(x.v, y.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+      FROM kept x CROSS JOIN c{i} y) GROUP BY vec_id, v"""
+    steps = [f"kept AS MATERIALIZED (SELECT * FROM ({WHOLE}) WHERE len(v) = 64)"]
+    first = "SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM kept"
+    steps.append(f"c0 AS MATERIALIZED (SELECT c, v FROM ({first}) WHERE c < {k})")
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest.format(i=i)})")
+        parts = f"SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}"
+        sums = f"SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM ({parts}) GROUP BY c, i"
+        means = f"SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM ({sums}) GROUP BY c"
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN ({means}) m USING (c))")
+    steps.append(f"last AS MATERIALIZED ({nearest.format(i=rounds)})")
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(o.v, ',')) AS centroid_sha256
+    FROM last JOIN c{rounds} o USING (c)"""
+
+
+SQL["op13_centroid_clusters"] = clusters_sql(40, 5)

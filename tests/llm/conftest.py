@@ -54,6 +54,8 @@ def real_docs(spark, sf_dir):
 @pytest.fixture(scope="session")
 def edge_sf(spark, edge_docs, tmp_path_factory):
     """A folder of tables with nulls, repeats and clashing names, and one of empty tables."""
+    from pyspark.sql import functions as F
+
     folders = {}
     for kind in ("edges", "empty"):
         d = str(tmp_path_factory.mktemp(kind))
@@ -69,5 +71,9 @@ def edge_sf(spark, edge_docs, tmp_path_factory):
         spark.createDataFrame(labels, "doc_id long, quality int, toxic int").where(keep).write.parquet(f"{d}/labels.parquet")
         spark.createDataFrame(pages, "page_id long, url string, html string").where(keep).write.parquet(f"{d}/pages.parquet")
         spark.createDataFrame(benchmark, "item_id long, text string").where(keep).write.parquet(f"{d}/benchmark.parquet")
+        vectors = [(0, [0.1] * 64), (50, [-0.2] * 64), (1, [0.1] * 64), (1, [0.1] * 64), (2, None), (3, [None] * 64), (None, [0.3] * 64), (100, [float("nan")] * 64)]
+        extra = {c: F.lit("x") for c in ("row", "score", "cluster")}
+        vectors = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumns(extra)
+        vectors.where(keep).write.parquet(f"{d}/embeddings.parquet")
         folders[kind] = d
     return folders

@@ -11,6 +11,7 @@ from strataflow.llm.html_extract import extract, fit_labeller, made_pages
 from strataflow.llm.mixing import copies, mix
 from strataflow.llm.pii import scan_personal_data
 from strataflow.llm.quality import NAMES, QualityModel, score_quality
+from strataflow.llm.runs import periodic_runs, with_planted_runs
 from strataflow.llm.secret_scan import mask_secrets, scan
 from strataflow.llm.simhash import drop_near_duplicates, near_duplicates
 from strataflow.llm.sketch import fingerprint_documents, sketch_column
@@ -18,7 +19,7 @@ from strataflow.llm.toxicity import INSULTS, Lexicon, ToxicityModel, drop_toxic,
 from strataflow.llm.url_filter import judge, train_url_model
 from tests.llm.conftest import EXTRA, edge_rows
 
-PER_DOCUMENT = [n for n in queries.QUERIES if n.split("_")[0] in "op1 op2 op3 op4 op7 op8 op10".split()]
+PER_DOCUMENT = [n for n in queries.QUERIES if n.split("_")[0] in "op1 op2 op3 op4 op7 op8 op10 op11".split()]
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
@@ -31,6 +32,11 @@ def test_query_on_edges(spark, edge_sf, kind, name):
         assert len(got) == len(edge_rows())
     elif "op9" in name:
         assert {(r["doc_id"], r["item_id"]) for r in got} == {(7, 1), (-7, 1)}
+    elif "op12" in name:
+        assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got if r["query_id"] == 0] == [(0, 1, None), (0, 2, 1), (0, 3, 1), (0, 4, 50)]
+        assert len(got) == 8
+    elif "op13" in name:
+        assert sorted((r["vec_id"] or -1, r["distance"]) for r in got) == [(-1, 0), (-1, 0), (1, 0), (1, 0), (50, 0)]
     else:
         assert len(got) == 7
 
@@ -63,6 +69,7 @@ def operators(models, docs, spark):
     yield "text n_chars", drop_contaminated(docs, bench)
     yield "doc_id fingerprint near_next", fingerprint_documents(docs)
     yield "fingerprint text", sketch_column(docs)
+    yield "runs collapsed text", periodic_runs(with_planted_runs(docs))
 
 
 @pytest.mark.parametrize("table", ["clashing", "no_docs"])
