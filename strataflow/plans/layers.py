@@ -192,6 +192,25 @@ def build_bronze(
     return _each_table(spark, "bronze", sources, load, on_error, at_once)
 
 
+def build_bronze_from(
+    spark: SparkSession,
+    rows: Mapping[str, DataFrame],
+    as_of: AsOf = None,
+    prefix: str = "",
+    loaded_col: str = "created_at",
+    on_error: str = "raise",
+    at_once: int = 4,
+) -> LayerReport:
+    """One bronze table per source from text rows that were ingested before, replacing it."""
+    ensure_layers(spark, prefix)
+
+    def load(table: str) -> list[tuple]:
+        write_layer(with_load_time(rows[table], loaded_col, as_of), table_name("bronze", table, prefix))
+        return []
+
+    return _each_table(spark, "bronze", rows, load, on_error, at_once)
+
+
 def build_silver(
     spark: SparkSession,
     tables: Sequence[str],

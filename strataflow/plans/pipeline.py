@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.functions.columns import AsOf
 from strataflow.plans.clean import CleanSpec
-from strataflow.plans.layers import build_bronze, build_gold, build_silver, layer_counts
+from strataflow.plans.layers import build_bronze, build_bronze_from, build_gold, build_silver, layer_counts
 from strataflow.plans.presets import (
     TELEMETRY_COLUMNS,
     TELEMETRY_GOLD,
@@ -20,7 +20,8 @@ from strataflow.plans.presets import (
     TELEMETRY_SOURCES,
     TELEMETRY_SPEC,
 )
-from strataflow.sources.landing import TABLE_SUFFIX, Paths
+from strataflow.sources.landing import TABLE_SUFFIX, Paths, landing_columns
+from strataflow.streaming.ingest import INGEST_STAGE, ingest_once
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,9 @@ class PipelineConfig:
     Tables are named ``<label>_bz`` unless ``tables`` names them. ``mode`` is that of bronze and silver; gold is
     added to with ``"once"`` and replaced otherwise. ``run`` names the run in the
     event log; a number there makes it a row of the run ledger.
+
+    ``ingest`` names a folder: then a run first loads each landing file into it exactly once, as a stage of its own, and
+    bronze is made from there. It needs a ``checkpoint``, and is for the modes that make bronze anew.
     """
 
     landing: Mapping[str, Paths]
@@ -46,6 +50,7 @@ class PipelineConfig:
     gold_by_label: bool = False
     as_of: AsOf = None
     run: str = "1"
+    ingest: str | None = None
 
     def table(self, label: str) -> str:
         return self.tables[label] if self.tables else label + TABLE_SUFFIX
@@ -81,6 +86,14 @@ def stage(spark: SparkSession, run: str, name: str, clock: Callable[[str, float]
             clock(name, time.monotonic() - started)
 
 
+def _ingest(spark: SparkSession, config: PipelineConfig, table: str, paths: Paths) -> DataFrame:
+    """All rows of a source that were ever ingested, new files included."""
+    columns = list(config.columns or landing_columns(spark, paths))
+    place, seen = f"{config.ingest.rstrip('/')}/{table}", f"{config.checkpoint.rstrip('/')}/{INGEST_STAGE}/{table}"
+    rows = ingest_once(spark, paths, place, seen, columns, config.lineage, run=config.run)
+    return rows.select(*columns, config.lineage)
+
+
 def run_pipeline(
     spark: SparkSession, config: PipelineConfig, clock: Callable[[str, float], None] | None = None
 ) -> DataFrame:
@@ -89,18 +102,26 @@ def run_pipeline(
     A re-run in ``replace`` mode gives the same tables at the same cost.
     """
     tables = {label: config.table(label) for label in config.landing}
+    if config.ingest and (config.mode != "replace" or not config.checkpoint):
+        raise ValueError("ingest needs a checkpoint folder and mode='replace'")
+    if config.ingest:
+        with stage(spark, config.run, INGEST_STAGE, clock):
+            arrived = {tables[label]: _ingest(spark, config, tables[label], paths) for label, paths in config.landing.items()}
     with stage(spark, config.run, "bronze", clock):
-        build_bronze(
-            spark,
-            {tables[label]: paths for label, paths in config.landing.items()},
-            config.columns,
-            config.as_of,
-            config.mode,
-            config.prefix,
-            config.headers,
-            config.lineage,
-            checkpoint=config.checkpoint,
-        )
+        if config.ingest:
+            build_bronze_from(spark, arrived, config.as_of, config.prefix)
+        else:
+            build_bronze(
+                spark,
+                {tables[label]: paths for label, paths in config.landing.items()},
+                config.columns,
+                config.as_of,
+                config.mode,
+                config.prefix,
+                config.headers,
+                config.lineage,
+                checkpoint=config.checkpoint,
+            )
     with stage(spark, config.run, "silver", clock):
         build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix)
     with stage(spark, config.run, "gold", clock):

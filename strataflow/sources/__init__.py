@@ -1,4 +1,13 @@
-from strataflow.sources.eventlog import event_log_ledger, event_log_metrics, read_event_log, stage_totals
+from strataflow.sources.eventlog import (
+    event_log_ledger,
+    event_log_metrics,
+    execution_targets,
+    executor_capacity,
+    read_event_log,
+    run_wall_clock,
+    stage_memory,
+    stage_totals,
+)
 from strataflow.sources.landing import (
     landing_columns,
     landing_headers,
@@ -34,7 +43,11 @@ __all__ = [
     "list_tables",
     "pending_files",
     "read_by_header",
+    "execution_targets",
+    "executor_capacity",
     "read_event_log",
+    "run_wall_clock",
+    "stage_memory",
     "read_landing",
     "read_layer",
     "read_ledger",

@@ -2,60 +2,124 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import decoded, parent_folder
 from strataflow.operators.stages import LEDGER_COLUMNS, MB, STAGE_FIGURES, STAGES, stage_columns, with_total_time
 
 # Names and nesting of the event-log fields that are read.
-_EVENT = """
-  `Event` string, `Stage ID` bigint,
+_HEAP = "struct<`JVMHeapMemory`: bigint>"
+_EVENT = f"""
+  `Event` string, `Stage ID` bigint, `Executor ID` string, `Job ID` bigint,
   `Task End Reason` struct<`Reason`: string>,
-  `Task Info` struct<`Launch Time`: bigint, `Finish Time`: bigint>,
+  `Task Info` struct<`Launch Time`: bigint, `Finish Time`: bigint, `Executor ID`: string>,
   `Task Metrics` struct<
     `Executor Run Time`: bigint, `Executor CPU Time`: bigint, `Peak Execution Memory`: bigint,
     `Memory Bytes Spilled`: bigint, `Disk Bytes Spilled`: bigint,
     `Input Metrics`: struct<`Bytes Read`: bigint, `Records Read`: bigint>,
     `Output Metrics`: struct<`Bytes Written`: bigint, `Records Written`: bigint>,
     `Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: bigint>>,
+  `Task Executor Metrics` {_HEAP}, `Executor Metrics` {_HEAP},
+  `Executor Metrics Updated` array<struct<`Stage ID`: bigint, `Executor Metrics`: {_HEAP}>>,
   `Stage Info` struct<`Stage ID`: bigint>,
-  `Properties` struct<`spark.jobGroup.id`: string>
+  `Properties` struct<`spark.jobGroup.id`: string, `spark.sql.execution.id`: string>,
+  `Submission Time` bigint, `Completion Time` bigint,
+  `executionId` bigint, `rootExecutionId` bigint, `time` bigint, `jobGroupId` string,
+  `Executor Info` struct<`Resource Profile Id`: bigint>, `Resource Profile Id` bigint,
+  `Executor Resource Requests` struct<`memory`: struct<`Amount`: bigint>>,
+  `Spark Properties` struct<`spark.driver.memory`: string>,
+  `runId` string, `name` string
 """
-_TASK_END = "SparkListenerTaskEnd"
-_STAGE_START = "SparkListenerStageSubmitted"
-
+_CORE, _SQL, _STREAM = "SparkListener", "org.apache.spark.sql.execution.ui.SparkListenerSQL", "org.apache.spark.sql.streaming."
+_TASK_END, _STAGE_START = f"{_CORE}TaskEnd", f"{_CORE}StageSubmitted"
+_JOB_START, _JOB_END = f"{_CORE}JobStart", f"{_CORE}JobEnd"
+_EXECUTOR, _PROFILE, _PROPERTIES = f"{_CORE}ExecutorAdded", f"{_CORE}ResourceProfileAdded", f"{_CORE}EnvironmentUpdate"
+_STAGE_MEMORY, _HEARTBEAT = f"{_CORE}StageExecutorMetrics", f"{_CORE}ExecutorMetricsUpdate"
+_RUN_START, _RUN_PLAN, _RUN_END = f"{_SQL}ExecutionStart", f"{_SQL}AdaptiveExecutionUpdate", f"{_SQL}ExecutionEnd"
+_QUERY_START = f"{_STREAM}StreamingQueryListener$QueryStartedEvent"
+# Plan nodes that write files, whose text names the catalog table if there is one, and
+# those of a command that makes a table, which runs its write as another execution.
+_WRITE_NODE = r'"simpleString":"Execute InsertInto((?:[^"\\]|\\.)*)"'
+_NAMES_TABLE = r"`[^`]+`\.`[^`]+`"
+_TABLE_NODE = r'"nodeName":"(?:Execute (?:SaveAsV1Table|CreateDataSourceTableAsSelect|CreateHiveTableAsSelect)Command|(?:Atomic)?(?:Create|Replace)TableAsSelect)"'
+_DEFAULT_DRIVER_MB = 1024
 
-def read_event_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """Task-end and stage-submitted events of all applications below ``log_dir``.
 
-    Only lines of these two kinds are parsed, and only the fields above. Logs must be
-    uncompressed or in a codec Hadoop reads by file suffix.
-    """
+def _event_lines(spark: SparkSession, log_dir: str, kinds: Sequence[str]) -> DataFrame:
+    """``app, value``: the lines of these kinds of event of all applications below ``log_dir``."""
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .text(log_dir)
         .select("value", decoded(F.col("_metadata.file_path")).alias("path"))
     )
-    wanted = F.col("value").startswith(f'{{"Event":"{_TASK_END}"') | F.col("value").startswith(
-        f'{{"Event":"{_STAGE_START}"'
-    )
+    wanted = F.lit(False)
+    for kind in kinds:
+        wanted = wanted | F.col("value").startswith(f'{{"Event":"{kind}"')
     # eventlog_v2_<app>/events_<n>_<app> when rolling, else a file named <app>
     folder, file = parent_folder(F.col("path")), F.substring_index("path", "/", -1)
     app = F.when(folder.startswith("eventlog_v2_"), F.substring(folder, F.lit(13), F.length(folder))).otherwise(
         F.regexp_replace(file, r"\..*$", "")
     )
-    return lines.where(wanted).select(app.alias("app"), F.from_json("value", _EVENT).alias("e")).select("app", "e.*")
+    return lines.where(wanted).select(app.alias("app"), "value")
+
+
+def read_event_log(spark: SparkSession, log_dir: str, kinds: Sequence[str] = (_TASK_END, _STAGE_START)) -> DataFrame:
+    """Events of all applications below ``log_dir``, by default task ends and stage starts.
+
+    Only lines of these kinds are parsed, and only the fields above. Logs must be
+    uncompressed or in a codec Hadoop reads by file suffix.
+    """
+    lines = _event_lines(spark, log_dir, kinds)
+    return lines.select("app", F.from_json("value", _EVENT).alias("e")).select("app", "e.*")
+
+
+def query_names(spark: SparkSession, log_dir: str) -> DataFrame:
+    """``app, run_id, name`` of named streaming queries: Spark puts their jobs into a group of the run's id."""
+    started = read_event_log(spark, log_dir, [_QUERY_START]).where("name IS NOT NULL")
+    return started.select("app", F.col("runId").alias("run_id"), "name").distinct()
+
+
+def _named_groups(df: DataFrame, names: DataFrame) -> DataFrame:
+    """The job group of a named streaming query is its name."""
+    named = names.withColumnRenamed("run_id", "job_group")
+    return df.join(named, ["app", "job_group"], "left").withColumn("job_group", F.coalesce("name", "job_group")).drop("name")
+
+
+def execution_targets(spark: SparkSession, log_dir: str) -> DataFrame:
+    """``app, execution, to_table`` of each SQL execution that writes: to a catalog table, or to files only.
+
+    The nodes of the first plan and of all adaptive ones are searched. A write is to a table if its node names one, or
+    if the execution belongs to a command that makes a table.
+    """
+    lines = _event_lines(spark, log_dir, [_RUN_START, _RUN_PLAN])
+    plan = F.regexp_extract_all("value", F.lit(_WRITE_NODE), F.lit(1))
+    seen = lines.select(
+        "app",
+        F.from_json("value", "executionId bigint, rootExecutionId bigint").alias("e"),
+        (F.size(plan) > 0).alias("writes"),
+        F.exists(plan, lambda node: node.rlike(_NAMES_TABLE)).alias("named"),
+        F.col("value").rlike(_TABLE_NODE).alias("makes"),
+    )
+    runs = seen.groupBy("app", F.col("e.executionId").alias("execution")).agg(
+        F.max("e.rootExecutionId").alias("root"), *(F.bool_or(c).alias(c) for c in ("writes", "named", "makes"))
+    )
+    makers = runs.where("makes").select("app", F.col("execution").alias("root"), F.lit(True).alias("by_command"))
+    found = runs.where("writes").join(makers, ["app", "root"], "left")
+    return found.select("app", "execution", (F.col("named") | F.col("makes") | F.coalesce("by_command", F.lit(False))).alias("to_table"))
 
 
 def stage_totals(events: DataFrame) -> DataFrame:
-    """Task metrics summed per application and stage, with the stage's job group."""
+    """Task metrics summed per application and stage, with the stage's job group and SQL execution."""
     task = F.col("Event") == _TASK_END
     metrics = F.col("Task Metrics")
     flat = events.select(
         "app",
         F.coalesce(F.col("Stage ID"), F.col("Stage Info")["Stage ID"]).alias("stage_id"),
         F.col("Properties")["spark.jobGroup.id"].alias("job_group"),
+        F.col("Properties")["spark.sql.execution.id"].try_cast("bigint").alias("execution"),
         task.alias("is_task"),
         (task & (F.col("Task End Reason")["Reason"] != "Success")).alias("failed"),
         F.col("Task Info")["Launch Time"].alias("launch_ms"),
@@ -73,6 +137,7 @@ def stage_totals(events: DataFrame) -> DataFrame:
     summed = ("run_ms", "cpu_ns", "read_bytes", "rows_in", "write_bytes", "rows_out", "shuffle_bytes", "spill_bytes")
     return flat.groupBy("app", "stage_id").agg(
         F.max("job_group").alias("job_group"),
+        F.max("execution").alias("execution"),
         F.count_if("is_task").alias("tasks"),
         F.count_if("failed").alias("failed_tasks"),
         F.min("launch_ms").alias("launch_ms"),
@@ -82,16 +147,79 @@ def stage_totals(events: DataFrame) -> DataFrame:
     )
 
 
+def _megabytes(size: Column) -> Column:
+    """A memory setting like 4g, 512m or 2048 (MB) as a number of MB."""
+    number = F.regexp_extract(size, r"^\s*(\d+)", 1).try_cast("double")
+    unit = F.lower(F.regexp_extract(size, r"^\s*\d+\s*([a-zA-Z]?)", 1))
+    factor = F.when(unit == "k", 1 / 1024).when(unit == "g", 1024.0).when(unit == "t", 1024.0 * 1024).when(unit == "b", 1 / MB)
+    return number * F.coalesce(factor, F.lit(1.0))
+
+
+def executor_capacity(spark: SparkSession, log_dir: str) -> DataFrame:
+    """``app, executor, capacity_bytes``: the heap that each executor was given.
+
+    It is the memory of the executor's resource profile; a local application runs tasks in its driver, whose own setting counts.
+    """
+    events = read_event_log(spark, log_dir, [_EXECUTOR, _PROFILE, _PROPERTIES])
+    added = events.where(F.col("Event") == _EXECUTOR).select(
+        "app", F.col("Executor ID").alias("executor"), F.coalesce(F.col("Executor Info")["Resource Profile Id"], F.lit(0)).alias("profile")
+    )
+    profiles = events.where(F.col("Event") == _PROFILE).groupBy("app", F.col("Resource Profile Id").alias("profile")).agg(
+        F.max(F.col("Executor Resource Requests")["memory"]["Amount"]).alias("profile_mb")
+    )
+    drivers = events.where(F.col("Event") == _PROPERTIES).groupBy("app").agg(
+        F.max(_megabytes(F.col("Spark Properties")["spark.driver.memory"])).alias("driver_mb")
+    )
+    known = added.distinct().join(profiles, ["app", "profile"], "left").join(drivers, "app", "left")
+    own = F.coalesce("driver_mb", F.lit(float(_DEFAULT_DRIVER_MB)))
+    size = F.when(F.col("executor") == "driver", own).otherwise(F.col("profile_mb").cast("double"))
+    return known.select("app", "executor", (size * MB).alias("capacity_bytes"))
+
+
+def stage_memory(spark: SparkSession, log_dir: str) -> DataFrame:
+    """``app, stage_id, executor, heap_bytes, capacity_bytes``: the most heap that an executor used while it ran a stage.
+
+    From three kinds of event: the peaks that Spark logs when a stage ends
+    (``spark.eventLog.logStageExecutorMetrics``), heartbeats that name their stages, and the peaks of tasks. An
+    executor that told nothing has no row.
+    """
+    events = read_event_log(spark, log_dir, [_STAGE_MEMORY, _HEARTBEAT, _TASK_END])
+    heap = "JVMHeapMemory"
+    ended = events.where(F.col("Event") == _STAGE_MEMORY).select(
+        "app", F.col("Stage ID").alias("stage_id"), F.col("Executor ID").alias("executor"), F.col("Executor Metrics")[heap].alias("heap_bytes")
+    )
+    beats = events.where(F.col("Event") == _HEARTBEAT).select(
+        "app", F.col("Executor ID").alias("executor"), F.explode("Executor Metrics Updated").alias("m")
+    )
+    tasks = events.where(F.col("Event") == _TASK_END).select(
+        "app", F.col("Stage ID").alias("stage_id"), F.col("Task Info")["Executor ID"].alias("executor"),
+        F.col("Task Executor Metrics")[heap].alias("heap_bytes"),
+    )
+    beats = beats.select("app", F.col("m")["Stage ID"].alias("stage_id"), "executor", F.col("m")["Executor Metrics"][heap].alias("heap_bytes"))
+    told = ended.unionByName(beats).unionByName(tasks).where("stage_id >= 0 AND heap_bytes > 0")
+    peaks = told.groupBy("app", "stage_id", "executor").agg(F.max("heap_bytes").alias("heap_bytes"))
+    return peaks.join(executor_capacity(spark, log_dir), ["app", "executor"]).select("app", "stage_id", "executor", "heap_bytes", "capacity_bytes")
+
+
 def event_log_metrics(spark: SparkSession, log_dir: str) -> DataFrame:
     """One row per application and job group with its totals over all executors.
 
-    Jobs without a group are under a null group. ``cpu_pct`` is CPU time over task run
-    time, ``throughput`` bytes read and written per elapsed second.
+    Jobs without a group are under a null group; those of a named streaming query are under its name. ``cpu_pct`` is
+    CPU time over task run time, ``throughput`` bytes read and written per elapsed second. ``rows_out`` and
+    ``write_bytes`` are what went to tables; what an execution wrote to files beside any table, as intermediates are,
+    is in ``file_rows`` and ``file_bytes``. ``mem_pct`` is the mean over executors of the most heap that each used,
+    in percent of what it was given, ``mem_peak_pct`` the largest; both are null where the log has no figures.
     """
+    names = query_names(spark, log_dir)
     totals = stage_totals(read_event_log(spark, log_dir)).where(F.col("tasks") > 0)
+    totals = _named_groups(totals, names).join(execution_targets(spark, log_dir), ["app", "execution"], "left")
+    beside = ~F.coalesce("to_table", F.lit(True))
+    for total, file in (("rows_out", "file_rows"), ("write_bytes", "file_bytes")):
+        totals = totals.withColumn(file, F.when(beside, F.col(total)).otherwise(0))
+        totals = totals.withColumn(total, F.when(beside, F.lit(0)).otherwise(F.col(total)))
     summed = (
-        "tasks", "failed_tasks", "run_ms", "cpu_ns", "read_bytes", "rows_in",
-        "write_bytes", "rows_out", "shuffle_bytes", "spill_bytes",
+        "tasks", "failed_tasks", "run_ms", "cpu_ns", "read_bytes", "rows_in", "write_bytes", "rows_out",
+        "shuffle_bytes", "spill_bytes", "file_rows", "file_bytes",
     )
     grouped = totals.groupBy("app", "job_group").agg(
         F.count(F.lit(1)).alias("stages"),
@@ -99,7 +227,12 @@ def event_log_metrics(spark: SparkSession, log_dir: str) -> DataFrame:
         F.max("peak_bytes").alias("peak_bytes"),
         *[F.sum(c).alias(c) for c in summed],
     )
-    return grouped.withColumns(
+    share = F.max(F.try_divide(F.col("heap_bytes") * F.lit(100.0), F.col("capacity_bytes"))).alias("share")
+    stages = totals.select("app", "stage_id", F.col("job_group").alias("g"))
+    used = stage_memory(spark, log_dir).join(stages, ["app", "stage_id"]).groupBy("app", "g", "executor").agg(share)
+    memory = used.groupBy(F.col("app").alias("of"), "g").agg(F.avg("share").alias("mem_pct"), F.max("share").alias("mem_peak_pct"))
+    same = (F.col("app") == F.col("of")) & F.col("job_group").eqNullSafe(F.col("g"))
+    return grouped.join(memory, same, "left").drop("of", "g").withColumns(
         {
             "cpu_pct": F.try_divide(F.col("cpu_ns") / F.lit(1e4), F.col("run_ms")),
             "throughput": F.try_divide(
@@ -109,12 +242,73 @@ def event_log_metrics(spark: SparkSession, log_dir: str) -> DataFrame:
     )
 
 
+def covered(intervals: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """``by, first, last, covered``: how much of the time the intervals of a group cover, overlaps counted once.
+
+    A sweep in the order of starts: an interval adds what lies beyond the furthest end before it.
+    """
+    order = Window.partitionBy(*by).orderBy(start, end)
+    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    adds = F.greatest(F.col(end) - F.greatest(F.col(start), F.coalesce(before, F.col(start))), F.lit(0))
+    return intervals.withColumn("adds", adds).groupBy(*by).agg(F.min(start).alias("first"), F.max(end).alias("last"), F.sum("adds").alias("covered"))
+
+
+def run_wall_clock(spark: SparkSession, log_dir: str, by: str = "run") -> DataFrame:
+    """Where the time of each run went, by the clock: one row per application and run.
+
+    Reads the job groups ``<run>/<stage>``; ``by="job_group"`` gives a row for each group instead. ``wall_ms`` is from the
+    first to the last event. Of it jobs were running for ``jobs_ms``; of the rest ``commit_ms`` is after the last job of
+    an execution, as its commit, ``planning_ms`` before the first, as listing and planning, ``waiting_ms`` between jobs, and
+    ``driver_ms`` outside any execution. Where several apply at a time the first of these counts, so they add up. An
+    execution without jobs is planning. Jobs and executions that didn't end count up to their start.
+    """
+    events = read_event_log(spark, log_dir, [_JOB_START, _JOB_END, _RUN_START, _RUN_END])
+    names = query_names(spark, log_dir)
+    properties = F.col("Properties")
+    jobs = events.where("`Job ID` IS NOT NULL").groupBy("app", "Job ID").agg(
+        F.max(properties["spark.jobGroup.id"]).alias("job_group"),
+        F.max(properties["spark.sql.execution.id"].try_cast("bigint")).alias("execution"),
+        F.min("Submission Time").alias("start"),
+        F.coalesce(F.max("Completion Time"), F.min("Submission Time")).alias("end"),
+    )
+    runs = events.where("executionId IS NOT NULL").groupBy("app", F.col("executionId").alias("execution")).agg(
+        F.max("jobGroupId").alias("job_group"), F.min("time").alias("start"), F.max("time").alias("end")
+    )
+    jobs = jobs.where("start IS NOT NULL")
+    inside = jobs.groupBy("app", "execution").agg(F.min("start").alias("first_job"), F.max("end").alias("last_job"))
+    runs = runs.join(inside, ["app", "execution"], "left")
+    first = F.coalesce(F.least("first_job", "end"), F.col("end"))
+    last = F.coalesce(F.greatest("last_job", "start"), F.col("end"))
+
+    def piece(level: int, start: Column, end: Column) -> Column:
+        return F.struct(F.lit(level).alias("level"), start.alias("start"), F.greatest(start, end).alias("end"))
+
+    whole = F.array(piece(2, last, F.col("end")), piece(3, F.col("start"), first), piece(4, F.col("start"), F.col("end")))
+    parts = runs.select("app", "job_group", F.explode(whole).alias("p"))
+    parts = parts.unionByName(jobs.select("app", "job_group", piece(1, F.col("start"), F.col("end")).alias("p")))
+    parts = _named_groups(parts, names)
+    run = F.regexp_extract("job_group", r"([^/]+)/[^/]+$", 1)
+    parts = parts.withColumn("run", F.when(run != "", run)).where(F.col(by).isNotNull())
+    # a level covers what those before it do
+    levels = parts.select("app", by, "p.start", "p.end", F.explode(F.sequence(F.col("p.level"), F.lit(4))).alias("level"))
+    sums = covered(levels, ["app", by, "level"])
+    wide = sums.groupBy("app", by).agg(
+        (F.max("last") - F.min("first")).alias("wall_ms"),
+        *(F.coalesce(F.max(F.when(F.col("level") == n, F.col("covered"))), F.lit(0)).alias(f"c{n}") for n in range(1, 5)),
+    )
+    return wide.select(
+        "app", by, "wall_ms", F.col("c1").alias("jobs_ms"), (F.col("c2") - F.col("c1")).alias("commit_ms"),
+        (F.col("c3") - F.col("c2")).alias("planning_ms"), (F.col("c4") - F.col("c3")).alias("waiting_ms"),
+        (F.col("wall_ms") - F.col("c4")).alias("driver_ms"),
+    )
+
+
 def event_log_ledger(spark: SparkSession, log_dir: str) -> DataFrame:
     """The wide ledger from event logs: one row per application and numbered run.
 
-    Reads the job groups ``<run>/<stage>`` that a layer build sets. Times are seconds
-    from a stage's first task start to its last task end, ``cpu`` is percent of task
-    time, volumes are MB. Memory percentages and the ingest stage are not in the log.
+    Reads the job groups ``<run>/<stage>`` that a layer build sets; the ingest stage is a streaming query of that
+    name. Times are seconds from a stage's first task start to its last task end, ``cpu`` is percent of task
+    time, ``mem`` of the executors' heap, volumes are MB.
     """
     group = F.col("job_group")
     metrics = event_log_metrics(spark, log_dir).select(
@@ -123,7 +317,7 @@ def event_log_ledger(spark: SparkSession, log_dir: str) -> DataFrame:
         F.regexp_extract(group, r"([^/]+)$", 1).alias("stage"),
         (F.col("elapsed_ms") / F.lit(1e3)).alias("t"),
         F.col("cpu_pct").alias("cpu"),
-        F.lit(None).cast("double").alias("mem"),
+        F.col("mem_pct").alias("mem"),
         (F.col("read_bytes") / F.lit(MB)).alias("read"),
         (F.col("write_bytes") / F.lit(MB)).alias("write"),
         (F.col("throughput") / F.lit(MB)).alias("throughput"),

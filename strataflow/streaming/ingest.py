@@ -14,6 +14,7 @@ from strataflow.sources.loaded import FILES_PER_BATCH, load_new_files
 
 #: A file may be this much older than the newest one seen and is still loaded.
 MAX_FILE_AGE = "36500d"
+INGEST_STAGE = "ingest"
 
 
 def landing_stream(
@@ -57,13 +58,15 @@ def ingest_once(
     files: str = LANDING_FILES,
     files_per_batch: int = FILES_PER_BATCH,
     max_file_age: str = MAX_FILE_AGE,
+    run: str | None = None,
 ) -> DataFrame:
     """Load the files below ``src`` that ``checkpoint`` has not seen yet into ``dst``.
 
     The file stream notes every file in the checkpoint before a batch runs, and the
     file sink commits each batch once, so neither a re-run nor a restart after a lost
     executor or driver loads a file twice or skips one. Runs until no new file is
-    left. Data are stored by source folder; returns all rows loaded so far.
+    left. Data are stored by source folder; returns all rows loaded so far. ``run`` names the query
+    ``<run>/ingest``, under which the event log gives it as the ingest stage of a run; one query of a name runs at a time.
 
     ``src``, ``dst`` and ``checkpoint`` must be on storage shared by all executors.
     """
@@ -72,8 +75,9 @@ def ingest_once(
     rows = landing_stream(spark, src, columns, files, files_per_batch, max_file_age).select(
         *columns, source_name(name, suffix).alias(lineage), parent.alias(folder)
     )
+    writer = rows.writeStream.queryName(f"{run}/{INGEST_STAGE}") if run else rows.writeStream
     query = (
-        rows.writeStream.format("parquet")
+        writer.format("parquet")
         .partitionBy(folder)
         .option("path", dst)
         .option("checkpointLocation", checkpoint)

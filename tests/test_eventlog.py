@@ -4,9 +4,12 @@ import json
 import os
 import subprocess
 import sys
+from pathlib import Path
+
+import pytest
 
 from strataflow.operators.stages import LEDGER_COLUMNS
-from strataflow.sources import event_log_ledger, event_log_metrics
+from strataflow.sources import event_log_ledger, event_log_metrics, run_wall_clock, stage_memory
 
 RUN = """
 import sys
@@ -69,3 +72,124 @@ def test_hand_written_events(spark, tmp_path):
     assert (row.app, row.stages, row.tasks, row.failed_tasks) == ("app-1", 1, 2, 1)
     assert (row.run_ms, row.read_bytes, row.write_bytes, row.spill_bytes) == (2000, 100, 300, 0)
     assert (row.elapsed_ms, row.cpu_pct, row.throughput) == (2000, 50.0, 200.0)
+
+
+WHOLE_RUN = """
+import json, sys, time
+from dataclasses import replace
+from pyspark.sql import SparkSession
+from strataflow.plans import run_pipeline, telemetry_config
+base, root, logs = sys.argv[1:]
+spark = (SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.logStageExecutorMetrics", "true").config("spark.executor.heartbeatInterval", "500ms")
+         .config("spark.eventLog.dir", logs).config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "1g")
+         .config("spark.checkpoint.dir", base + "/shared").config("spark.sql.warehouse.dir", base + "/warehouse").getOrCreate())
+clocks = {}
+def run(number, **settings):
+    began = time.time()
+    run_pipeline(spark, telemetry_config(root, run=number, prefix=f"r{number}_", **settings), lambda name, s: clocks.update({f"{number}/{name}": s})).collect()
+run("1", ingest=base + "/arrived", checkpoint=base + "/seen")
+run("2", mode="once", checkpoint=base + "/noted")
+for number in "34":
+    run(number, gold_by_label=True)
+run("3", gold_by_label=True)
+print("CLOCKS", json.dumps(clocks))
+spark.stop()
+"""
+
+
+@pytest.fixture(scope="module")
+def whole_run(tmp_path_factory):
+    """The logs of runs on two executors: with an ingest stage, loading once, and replacing a partitioned table."""
+    from tests.test_layers import landing
+
+    base = tmp_path_factory.mktemp("whole")
+    root, logs = landing(base / "landing"), base / "logs"
+    logs.mkdir()
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))} | {"PYTHONPATH": home}
+    env |= {"SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYSPARK_PYTHON": sys.executable, "SPARK_HOME": spark_home(base)}
+    done = subprocess.run([sys.executable, "-c", WHOLE_RUN, str(base), root, str(logs)], env=env, cwd=base, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    return str(logs), json.loads(done.stdout.rpartition("CLOCKS ")[2])
+
+
+def spark_home(base):
+    """Spark's folder by links, as executors write their logs into it."""
+    import pyspark
+
+    home = base / "spark"
+    (home / "work").mkdir(parents=True)
+    for p in Path(pyspark.__file__).parent.iterdir():
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    return str(home)
+
+
+def events_of(logs):
+    lines = [line for path in Path(logs).glob("eventlog_v2_*/events_*") for line in path.read_text().splitlines()]
+    return [json.loads(line) for line in lines]
+
+
+def test_rows_out_are_those_of_tables(spark, whole_run):
+    found = {r.job_group: r for r in event_log_metrics(spark, whole_run[0]).collect()}
+    # run 3 ran twice
+    want = {"1/ingest": 15, "2/bronze": 15, "2/silver": 9, "2/gold": 9, "3/bronze": 30, "3/silver": 18, "3/gold": 18, "4/gold": 9}
+    assert {group: found[group].rows_out for group in want} == want
+    assert found["3/bronze"].file_rows > 0 and found["2/silver"].file_rows >= 9  # headers, and batches aside
+
+
+def test_memory_is_that_of_the_log(spark, whole_run):
+    logs, _ = whole_run
+    events = events_of(logs)
+    size = {e["Resource Profile Id"]: e["Executor Resource Requests"]["memory"]["Amount"] << 20 for e in events if e["Event"].endswith("ResourceProfileAdded")}
+    capacity = {e["Executor ID"]: size[e["Executor Info"]["Resource Profile Id"]] for e in events if e["Event"].endswith("ListenerExecutorAdded")}
+    peak = {}
+
+    def tell(stage, executor, metrics):
+        if stage >= 0 and metrics["JVMHeapMemory"] > 0 and executor in capacity:
+            peak[stage, executor] = max(peak.get((stage, executor), 0), metrics["JVMHeapMemory"])
+
+    groups, ran = {}, set()
+    for e in events:
+        if e["Event"].endswith("StageExecutorMetrics"):
+            tell(e["Stage ID"], e["Executor ID"], e["Executor Metrics"])
+        elif e["Event"].endswith("ExecutorMetricsUpdate"):
+            for m in e["Executor Metrics Updated"]:
+                tell(m["Stage ID"], e["Executor ID"], m["Executor Metrics"])
+        elif e["Event"].endswith("TaskEnd"):
+            ran.add(e["Stage ID"])
+            tell(e["Stage ID"], e["Task Info"]["Executor ID"], e["Task Executor Metrics"])
+        elif e["Event"].endswith("StageSubmitted"):
+            groups[e["Stage Info"]["Stage ID"]] = e["Properties"].get("spark.jobGroup.id")
+    assert set(capacity.values()) == {1024 << 20}
+    got = {(r.stage_id, r.executor): (r.heap_bytes, r.capacity_bytes) for r in stage_memory(spark, logs).collect()}
+    assert got == {k: (v, float(capacity[k[1]])) for k, v in peak.items()} and len(got) > 20
+    for r in event_log_metrics(spark, logs).where("job_group LIKE '%/silver'").collect():
+        shares = {}
+        for (stage, executor), heap in peak.items():
+            if stage in ran and groups[stage] == r.job_group:
+                shares[executor] = max(shares.get(executor, 0), 100 * heap / capacity[executor])
+        assert r.mem_pct == pytest.approx(sum(shares.values()) / len(shares)) and r.mem_peak_pct == pytest.approx(max(shares.values()))
+
+
+def test_ledger_of_a_run_with_ingest(spark, whole_run):
+    ledger = {r.run: r for r in event_log_ledger(spark, whole_run[0]).collect()}
+    assert set(ledger) == {1, 2, 3, 4}
+    first = ledger[1].asDict()
+    assert all(first[f"{figure}_{stage}"] is not None for stage in ("ingest", "bronze", "silver", "gold") for figure in ("t", "cpu", "mem", "read", "write"))
+    assert first["write_ingest"] > 0 and first["read_ingest"] > 0 and first["mem_bronze"] > 0 and ledger[2].t_ingest is None
+
+
+def test_wall_clock_of_a_run(spark, whole_run):
+    logs, clocks = whole_run
+    by_group = {r.job_group: r for r in run_wall_clock(spark, logs, by="job_group").collect()}
+    for group in ("4/bronze", "4/silver", "4/gold", "2/silver"):
+        r = by_group[group]
+        assert r.jobs_ms + r.commit_ms + r.planning_ms + r.waiting_ms + r.driver_ms == r.wall_ms
+        assert r.wall_ms == pytest.approx(1000 * clocks[group], rel=0.01, abs=60)
+    runs = {r.run: r for r in run_wall_clock(spark, logs).collect()}
+    total = sum(s for group, s in clocks.items() if group.startswith("4/"))
+    assert runs["4"].wall_ms == pytest.approx(1000 * total, rel=0.01, abs=120)
+    assert runs["4"].planning_ms > 0 and runs["4"].jobs_ms > 0
