@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,21 +61,34 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+#: What functions in tasks remember of earlier batches; a Python worker outlives its tasks, so only the latest step's is held.
+memories: dict[str, Any] = {}
+_step: list[str] = []
+
+
+def begin_step(name: str) -> None:
+    """Forgets what other steps remembered in this worker."""
+    if _step != [name]:
+        _step[:] = [name]
+        memories.clear()
+
+
 def add_columns(
     df: DataFrame,
     inputs: Sequence[str],
     fields: Sequence[tuple[str, T.DataType]],
     compute: Callable[..., Sequence[Sequence]],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """``df`` with ``fields`` that ``compute`` makes of the lists in ``inputs``, batch by batch.
 
-    All other columns pass through as Arrow data, unread. A column of ``df`` that has the
+    All other columns, or those in ``keep``, pass through as Arrow data, unread. A column of ``df`` that has the
     name of a new field is replaced by it.
     """
     ship_package(df.sparkSession)
-    inputs = list(inputs)
+    inputs, step = list(inputs), uuid.uuid4().hex
     fresh = {n.lower() for n, _ in fields}
-    kept = [c for c in df.columns if c.lower() not in fresh]
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in fresh]
     taken = [*kept, *(c for c in inputs if c not in kept)]
     source = df.select([F.col(f"`{c}`") for c in taken])
     schema = T.StructType([*(f for f in source.schema.fields if f.name in kept), *(T.StructField(n, t) for n, t in fields)])
@@ -83,6 +97,7 @@ def add_columns(
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_step(step)
         for batch in batches:
             if batch.num_rows:
                 made = compute(*(batch.column(i).to_pylist() for i in at))

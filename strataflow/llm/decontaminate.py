@@ -13,9 +13,10 @@ place, and each value of the item must stand for one value of the document throu
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import xxhash
@@ -23,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import add_columns, hidden, written
+from strataflow.llm.common import add_columns, hidden, memories, written
 
 WINDOW = 5
 SIMILARITY = 0.8
-MAX_MEMO = 500_000  # words remembered in a worker; more are looked at again
+MAX_MEMO = 300_000  # words remembered in a worker while it hashes; more are looked at again
+BATCH_CHARS = 1 << 20  # of text that is hashed at a time; a longer text is hashed alone
+TABLE_BITS = 22  # the benchmark's window hashes are known in tasks by one of so many bits each (as a power of 2)
 LEAST_WORDS = 2  # a window of placeholders only says nothing; it counts by its literal tokens
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
 UNITS = frozenset(
@@ -91,22 +94,33 @@ class Vocabulary(dict):
         return self.table[ids]
 
 
-_remembered = [Vocabulary()]  # a worker keeps it from task to task
+def remembered() -> Vocabulary:
+    """A worker's words, kept from task to task of a step."""
+    words = memories.get("words")
+    if words is None or len(words) >= MAX_MEMO:
+        words = memories["words"] = Vocabulary()
+    return words
+
+
 _NAME_TOKEN = np.uint64(xxhash.xxh64_intdigest("\0name"))
 
 
-def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes, kinds, and the numbers of the raw words; words of punctuation only are left out.
+def templates(texts: Sequence[str | None], words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token hashes, kinds, the numbers of the raw words, and of their texts; words of punctuation only are left out.
 
     A name is a capitalised word that doesn't begin a sentence or line.
     """
-    ids, begins = [], []
-    for line in (text or "").split("\n"):
-        of_line = line.split()
-        if of_line:
-            begins.append(len(ids))
-            ids += map(words.__getitem__, of_line)
-    at = np.array(ids, dtype=np.int64)
+    ids, begins, sizes = array("q"), [], []
+    number = words.__getitem__
+    for text in texts:
+        before = len(ids)
+        for line in (text or "").split("\n"):
+            of_line = line.split()
+            if of_line:
+                begins.append(len(ids))
+                ids.extend(map(number, of_line))
+        sizes.append(len(ids) - before)
+    at = np.frombuffer(ids, dtype=np.int64) if ids else np.zeros(0, dtype=np.int64)
     rows = words.look_up(at) if len(at) else np.zeros((0, 5), dtype=np.uint64)
     starts = np.zeros(len(at), dtype=bool)
     if len(at):
@@ -115,7 +129,12 @@ def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarra
     name = (rows[:, 2] > 0) & ~starts
     real = rows[:, 0] > 0
     tokens = np.where(name, _NAME_TOKEN, rows[:, 0])[real]
-    return tokens, np.where(name, NAME, rows[:, 1]).astype(np.int64)[real], at[real]
+    return tokens, np.where(name, NAME, rows[:, 1]).astype(np.int8)[real], at[real], np.repeat(np.arange(len(sizes)), sizes)[real]
+
+
+def template(text: str | None, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of one text."""
+    return templates([text], words)[:3]
 
 
 def mixed(tokens: np.ndarray) -> np.ndarray:
@@ -162,41 +181,74 @@ def folded(kinds: np.ndarray, ids: np.ndarray, words: Vocabulary) -> tuple[np.nd
     return hashes, np.arange(len(hashes))
 
 
-def hashed_windows(texts: Sequence[str | None], lengths: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Of each text: the different window hashes of the template and of the folded form, and the number of tokens.
+def hashed_windows(text: str | None, lengths: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray, int]:
+    """The different window hashes of the template and of the folded form, and the number of tokens.
 
-    The folded form of a text has its literal runs of ``lengths`` as well.
+    The folded form has the literal runs of ``lengths`` as well.
     """
-    for text in texts:
-        words = _remembered[0]
-        tokens, kinds, ids = template(text, words)
-        made = [folded(kinds, ids, words)[0], *(sums(words.look_up(ids)[:, 4], n) for n in lengths)]
-        yield np.unique(windows(tokens, kinds)[0]), np.unique(np.concatenate(made)), len(tokens)
-        if len(words) >= MAX_MEMO:
-            _remembered[0] = Vocabulary()
+    words = remembered()
+    tokens, kinds, ids = template(text, words)
+    made = [folded(kinds, ids, words)[0], *(sums(words.look_up(ids)[:, 4], n) for n in lengths)]
+    return np.unique(windows(tokens, kinds)[0]), np.unique(np.concatenate(made)), len(tokens)
 
 
-def either_form(texts: Sequence[str | None], lengths: Sequence[int]) -> list[list[np.ndarray]]:
-    """The different window hashes of each text in both forms together.
+def bit_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bit of each hash is: the place of its long, and the bit's in that."""
+    place = hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+    return (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
 
-    A window with words enough and no name has one hash for both, so only the others are hashed anew.
+
+def bit_table(wanted: DataFrame) -> np.ndarray:
+    """The bits of all hashes ``w``, in longs; their number doesn't depend on the benchmark's size."""
+    place = F.shiftrightunsigned("w", 64 - TABLE_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    longs = wanted.groupBy(F.shiftright(place, 6).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).collect()
+    table = np.zeros(1 << (TABLE_BITS - 6), dtype=np.int64)
+    for r in longs:
+        table[r["at"]] = r["bits"]
+    return table.view(np.uint64)
+
+
+def known_windows(texts: Sequence[str | None], lengths: Sequence[int], table: np.ndarray) -> list[list]:
+    """The different window hashes of each text, in both forms together, whose bits are in the table.
+
+    A window with words enough and no name has one hash for both forms, so only the others are hashed anew.
+    All texts are hashed as one sequence; windows that reach over a border are left out.
     """
-    out = []
-    for text in texts:
-        words = _remembered[0]
-        tokens, kinds, ids = template(text, words)
-        hashes, plain, name = sums(tokens), in_windows(kinds == WORD), in_windows(kinds == NAME)
-        enough = plain + name >= LEAST_WORDS
-        named, bare = np.flatnonzero((name > 0) & enough), np.flatnonzero(~enough)
-        made = [hashes[plain >= LEAST_WORDS]]
-        made += [sums_at(words.table[:, c], ids, at) for c, at in ((0, named), (4, bare)) if len(at)]
-        made += [sums(words.look_up(ids)[:, 4], n) for n in lengths]
-        out.append(np.unique(np.concatenate(made)) if len(made) > 1 else np.unique(made[0]))
-        if len(words) >= MAX_MEMO:
-            _remembered[0] = Vocabulary()
+    out: list[list] = []
+    batch: list[str | None] = []
+    size = 0
+    for k, text in enumerate(texts):
+        batch.append(text)
+        size += len(text or "")
+        if size >= BATCH_CHARS or k + 1 == len(texts):
+            out += _known_windows(batch, lengths, table)
+            batch, size = [], 0
     return [out]
 
 
+def _known_windows(texts: Sequence[str | None], lengths: Sequence[int], table: np.ndarray) -> list:
+    words = remembered()
+    tokens, kinds, ids, of = templates(texts, words)
+    whole = lambda width: of[: max(len(of) - width + 1, 0)] == of[width - 1 :]
+    inside = whole(WINDOW)
+    plain, name = in_windows(kinds == WORD), in_windows(kinds == NAME)
+    enough = plain + name >= LEAST_WORDS
+    usual, named, bare = (np.flatnonzero(x & inside) for x in (plain >= LEAST_WORDS, (name > 0) & enough, ~enough))
+    made = [(usual, sums(tokens)[usual])]
+    made += [(at, sums_at(words.table[:, c], ids, at)) for c, at in ((0, named), (4, bare)) if len(at)]
+    for n in lengths:
+        at = np.flatnonzero(whole(n))
+        made.append((at, sums(words.look_up(ids)[:, 4], n)[at]))
+    hits: list[list] = [[] for _ in texts]
+    for at, hashes in made:
+        long, bit = bit_of(hashes)
+        hit = np.flatnonzero((table[long] >> bit) & np.uint64(1))
+        for k, h in zip(of[at[hit]].tolist(), hashes[hit].tolist(), strict=True):
+            hits[k].append(h)
+    return [list(set(some)) if some else some for some in hits]
+
+
 def sums_at(table: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A hash of each window that starts in ``at``, of the hashes in ``table`` of the words ``ids``."""
     return mixed_sums(lambda k: mixed(table[ids[at + k]]), WINDOW, len(at))
@@ -207,9 +259,9 @@ def item_windows(texts: Sequence[str | None]) -> list[list]:
     and the number of tokens if it is below a window's."""
     out: list[list] = [[], [], [], [], [], []]
     for text in texts:
-        ((t, f, n),) = hashed_windows([text])
+        t, f, n = hashed_windows(text)
         if 0 < n < WINDOW:
-            ((t, f, n),) = hashed_windows([text], [n])
+            t, f, n = hashed_windows(text, [n])
         both = np.union1d(t, f)
         made = both, np.isin(both, t).astype(np.int32), np.isin(both, f).astype(np.int32), len(t), len(f), n if n < WINDOW else 0
         for column, v in zip(out, made, strict=True):
@@ -260,39 +312,48 @@ def in_place(
     i_hashes, i_at = of_item
     if not len(i_hashes):
         return 0.0, False, False
-    wanted = defaultdict(list)
-    for h, at in zip(i_hashes.tolist(), i_at.tolist(), strict=True):
-        wanted[h].append(at)
+    kinds_of, kind = np.unique(i_hashes, return_inverse=True)  # equal windows of the item are met together
+    places = [i_at[some] for some in np.split(np.argsort(kind, kind="stable"), np.cumsum(np.bincount(kind))[:-1])]
     hashes, starts = of_text
     hit = np.isin(hashes, i_hashes)
-    found = [(at, k) for at, h in zip(starts[hit].tolist(), hashes[hit].tolist(), strict=True) for k in wanted[h]]
+    at, met = starts[hit], np.searchsorted(kinds_of, hashes[hit])
+    spots, weights = at.tolist(), [len(p) for p in places]
     span = -(-5 * len(i_kinds) // 4)
-    counts: Counter = Counter()
-    best, best_range, left = 0, (0, 0), 0
-    for right, (at, k) in enumerate(found):
-        counts[k] += 1
-        while found[left][0] < at - span:
-            gone = found[left][1]
+    counts = [0] * len(places)
+    best, best_range, left, now = 0, (0, 0), 0, 0
+    for right, w in enumerate(met.tolist()):
+        now += 0 if counts[w] else weights[w]
+        counts[w] += 1
+        while spots[left] < spots[right] - span:
+            gone = int(met[left])
             counts[gone] -= 1
-            if not counts[gone]:
-                del counts[gone]
+            now -= 0 if counts[gone] else weights[gone]
             left += 1
-        if len(counts) > best:
-            best, best_range = len(counts), (left, right + 1)
-    matched = found[slice(*best_range)]
+        if now > best:
+            best, best_range = now, (left, right + 1)
+    at, met = at[slice(*best_range)], met[slice(*best_range)]
     share = best / len(i_hashes)
-    if every and len(every[1]) > len(i_hashes) and matched:
-        rest = in_line(dict((k, at) for at, k in reversed(matched)), np.setdiff1d(np.arange(len(every[1])), i_at), *every)
-        share = min(share, (best + len(rest)) / len(every[1]))
-        matched = matched + rest
+    more: list[tuple[int, int]] = []
+    if every and len(every[1]) > len(i_hashes) and len(at):
+        some, earliest = np.unique(met, return_index=True)
+        first = {int(k): int(at[n]) for w, n in zip(some.tolist(), earliest.tolist(), strict=True) for k in places[w]}
+        more = in_line(first, np.setdiff1d(np.arange(len(every[1])), i_at), *every)
+        share = min(share, (best + len(more)) / len(every[1]))
+    slots = i_kinds != WORD
+    slotted = [p[in_windows(slots)[p] > 0] for p in places]
+    times = np.array([len(p) for p in slotted], dtype=np.int64)[met]
+    text_at = np.concatenate([np.repeat(at, times), np.array([a for a, _ in more], dtype=np.int64)])
+    item_at = np.concatenate([*(slotted[w] for w in met.tolist()), np.array([k for _, k in more], dtype=np.int64)]).astype(np.int64)
     pairs: dict[int, Counter] = defaultdict(Counter)  # of the item's place: the document's places
-    for at, k in matched:
-        for j in range(WINDOW):
-            if i_kinds[k + j] != WORD:
-                pairs[k + j][at + j] += 1
+    width = int(text_at.max(initial=0)) + WINDOW
+    for j in range(WINDOW):
+        filled_here = slots[item_at + j]
+        pair, n = np.unique((item_at + j)[filled_here] * width + (text_at + j)[filled_here], return_counts=True)
+        for place, spot, c in zip((pair // width).tolist(), (pair % width).tolist(), n.tolist(), strict=True):
+            pairs[place][spot] += c
     filled: dict[tuple, Counter] = defaultdict(Counter)
-    for place, places in pairs.items():
-        spot = min(places, key=lambda p: (-places[p], p))
+    for place, spots_of in pairs.items():
+        spot = min(spots_of, key=lambda p: (-spots_of[p], p))
         filled[(i_kinds[place], i_values[place])][values[spot]] += 1
     total = sum(sum(c.values()) for c in filled.values())
     agree = sum(max(c.values()) for c in filled.values())
@@ -318,7 +379,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = S
     """(doc_id, text_hash, item_id, containment, same_values): documents that hold a benchmark item.
 
     Needs ``doc_id`` and ``text``, and ``item_id`` and ``text`` of the benchmark. Windows of both sides are
-    joined by hash; Spark broadcasts the benchmark's only while their written size is under its limit and
+    joined by hash, those of documents if their hash has a bit of the benchmark's in a table of fixed size; Spark broadcasts the benchmark's only while their written size is under its limit and
     shuffles both otherwise. Items of fewer than five tokens, down to a single one, are found wherever their tokens stand in
     a row, also by chance; documents are read for runs of the lengths that such items have. Null texts
     and texts of punctuation only match nothing. Rows that are alike give one result; empty tables give none.
@@ -332,9 +393,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = S
     wanted = written(each.select("z.*", "item_id", "n_t", "n_f"), "bench-windows")
     lengths = sorted(r["short"] for r in held.where("short > 0").select("short").distinct().collect())  # at most four
     source = docs.select("doc_id", "text").where("text is not null")
-    hashed = add_columns(
-        source.withColumn("text_hash", F.xxhash64("text")), ["text"], [("h", hashes)], lambda texts: either_form(texts, lengths)
-    )
+    named, table = source.withColumn("text_hash", F.xxhash64("text")), bit_table(wanted)
+    find = lambda texts: known_windows(texts, lengths, table)
+    hashed = add_columns(named, ["text"], [("h", hashes)], find, keep=["doc_id", "text_hash"])
     present = hashed.select("doc_id", "text_hash", F.explode("h").alias("h")).join(wanted, F.col("h") == F.col("w"))
     counted = present.groupBy("doc_id", "text_hash", "item_id", "n_t", "n_f").agg(F.sum("in_t").alias("m_t"), F.sum("in_f").alias("m_f"))
     enough = lambda m, n: (F.col(n) > 0) & (F.col(m) >= similarity * F.col(n))
