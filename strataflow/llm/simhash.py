@@ -88,10 +88,19 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of each row; a null text has no words."""
-    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    made = add_columns(narrow, ["text"], [("fp", T.LongType())], lambda texts: [[fingerprint(t, shingle) for t in texts]])
-    return made.select("doc_id", "fp")
+    """(doc_id, text_hash, fp) of each row; a null text has no words."""
+    narrow = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    compute = lambda texts: [[fingerprint(t, shingle) for t in texts]]
+    return add_columns(narrow, ["text"], [("fp", T.LongType())], compute, keep=["doc_id", "text_hash"])
+
+
+def rooted_fingerprints(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of the rows, and (of, least, root) of each fingerprint: its least id, and its component's root."""
+    prints = written(fingerprints(docs, shingle), "simhash-prints")
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    roots = component_roots(fingerprint_links(nodes, max_bits))
+    root = F.coalesce("root", "fp").alias("root")
+    return prints, nodes.join(roots, nodes["fp"] == roots["node"], "left").select(F.col("fp").alias("of"), "least", root)
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -103,28 +112,29 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3) ->
     fingerprint 0, which links like any other. Repeated rows each get their row; an empty
     table gives none.
     """
-    prints = written(fingerprints(docs, shingle), "simhash-prints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = component_roots(fingerprint_links(nodes, max_bits))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    prints, rooted = rooted_fingerprints(docs, shingle, max_bits)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = written(rooted.join(named, "root").select(F.col("fp").alias("of"), "component_id"), "simhash-labels")
+    labels = written(rooted.join(named, "root").select("of", "component_id"), "simhash-labels")
     text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(labels, F.col("fp") == F.col("of")).select("doc_id", text, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One document of each component: the one that names it, with all its columns.
+    """One row of each component, with all its columns: that of the smallest id, null last, then of the least text hash.
 
-    Rows that repeat an id count as one document, of which the row with the least text hash
-    stays. Rows without an id can't be named as anyone's copy and all stay.
+    So rows that repeat an id with other texts, and rows without an id, are treated as any others. Of rows with equal id and
+    text any one stays. The choice is made of ids and hashes only; texts are joined to it once, unsorted.
     """
-    found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-    keep, rank = hidden("keep"), hidden("rank")
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col(keep), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    named = named.withColumn(rank, first).where(F.col(rank) == 1).drop(rank)
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    prints, rooted = rooted_fingerprints(docs, shingle, max_bits)
+    rows = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n")
+    best = rows.join(rooted, F.col("fp") == F.col("of")).groupBy("root").agg(F.min(order).alias("best"))
+    best = written(best.select("best.*"), "simhash-kept")
+    d, h, n = hidden("id"), hidden("hash"), hidden("n")
+    chosen = best.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("n").alias(n))
+    same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(h))
+    kept = docs.join(chosen.hint("shuffle_hash"), same)
+    if best.where("n > 1").isEmpty():
+        return kept.drop(d, h, n)
+    again = kept.where(F.col(n) > 1).dropDuplicates([d, h])
+    return kept.where(F.col(n) == 1).unionByName(again).drop(d, h, n)

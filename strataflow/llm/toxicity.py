@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import add_columns, hidden, labelled_sample, ship_package, written
+from strataflow.llm.common import add_columns, hidden, labelled_sample, memories, ship_package, written
 from strataflow.llm.gbt import Isotonic, Trees, fit_isotonic, fit_trees
 
 MAX_TRAINING_ROWS = 16_000
@@ -42,8 +42,7 @@ NAMES = (
 ).split()
 
 
-MAX_MEMO = 300_000  # tokens remembered in a worker; more are looked at again
-_memos: dict[str, dict] = {}
+MAX_MEMO = 200_000  # tokens remembered in a worker while it scores; more are looked at again
 
 
 class Token(NamedTuple):
@@ -73,10 +72,8 @@ class Lexicon:
         return {"words": self.words, "beginnings": self.beginnings, "name": self.name}
 
     def __setstate__(self, state: dict) -> None:
-        """A worker process keeps what it remembers of the latest lexicon from task to task."""
-        if state["name"] not in _memos:
-            _memos.clear()
-        self.__dict__.update(state, memo=_memos.setdefault(state["name"], {}))
+        """A worker process keeps what it remembers of a lexicon from task to task of a step."""
+        self.__dict__.update(state, memo=memories.setdefault(state["name"], {}))
 
     def weight(self, word: str) -> float:
         """0 for a word that isn't in it."""
