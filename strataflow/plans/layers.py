@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -229,17 +227,10 @@ def build_silver(
     """
     ensure_layers(spark, prefix)
 
-    def add(rows: DataFrame, before: DataFrame) -> DataFrame:
-        cleaned = clean(rows, spec, as_of)
-        if not spec.dedup_keys:
-            return cleaned
-        known = before.select(*[F.col(c).alias(f"known_{i}") for i, c in enumerate(spec.dedup_keys)])
-        same = [F.col(c).eqNullSafe(F.col(f"known_{i}")) for i, c in enumerate(spec.dedup_keys)]
-        return cleaned.join(known, functools.reduce(operator.and_, same), "left_anti")
-
     def refine(table: str) -> list[tuple]:
         if mode == "once":
-            add_new_batches(spark, {None: table_name("bronze", table, prefix)}, table_name("silver", table, prefix), add)
+            bronze, silver = (table_name(layer, table, prefix) for layer in ("bronze", "silver"))
+            add_new_batches(spark, {None: bronze}, silver, lambda rows: clean(rows, spec, as_of), keys=spec.dedup_keys)
             return []
         cleaned = clean(read_layer(spark, "bronze", table, prefix).drop(LOAD_BATCH), spec, as_of)
         write_layer(cleaned, table_name("silver", table, prefix), mode)
@@ -270,7 +261,7 @@ def build_gold(
     def merge(table: str) -> list[tuple]:
         if mode == "once":
             silver_tables = {name: table_name("silver", source, prefix) for name, source in sources.items()}
-            add_new_batches(spark, silver_tables, table_name("gold", table, prefix), lambda rows, _: rows, label)
+            add_new_batches(spark, silver_tables, table_name("gold", table, prefix), lambda rows: rows, label)
             return []
         silver = {name: read_layer(spark, "silver", source, prefix).drop(LOAD_BATCH) for name, source in sources.items()}
         partition_by = [label] if by_label else []

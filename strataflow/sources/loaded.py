@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.session import scratch_path
+from strataflow.sources.keyindex import KeyIndex
 from strataflow.sources.landing import LANDING_FILES, Paths, landing_files, pending_files
 from strataflow.sources.tables import quoted
 
@@ -102,36 +103,44 @@ def add_new_batches(
     spark: SparkSession,
     sources: Mapping[str | None, str],
     target: str,
-    make: Callable[[DataFrame, DataFrame], DataFrame],
+    make: Callable[[DataFrame], DataFrame],
     label: str | None = None,
+    keys: Sequence[str] = (),
 ) -> None:
     """Brings a table up to date with the batches of load-once tables, reading and writing only new ones.
 
     ``sources`` names a table for each value of the column ``label``, or for None alone. ``make`` gets the rows of a
-    batch and the target's rows of all other batches, and returns what to add. Each batch becomes a
-    partition of its own number, finished aside first, so a run that died is simply repeated. If a source was
-    started anew, so is the target.
+    batch and returns what to add; with ``keys`` only rows stay whose keys no other batch has, by an index of those. Each batch
+    becomes a partition of its own number, so a run that died is simply repeated; batches that
+    aren't in the index are indexed first. If a source was started anew, so is the target.
     """
     generations = [_generation(spark, t) for t in sources.values()]
     if None in generations:
         raise ValueError("only tables that are loaded once have batches")
     generation = ",".join(generations)
     fresh = _generation(spark, target) != generation
+    index = KeyIndex(target, keys, LOAD_BATCH) if keys else None
+    if index and fresh:
+        index.drop(spark)
+    elif index:
+        for batch in sorted(set(_batches(spark, target)) - index.batches(spark)):
+            index.add(spark, batch)
     for value, table in sources.items():
         part = None if label is None else (label, value)
         done = [] if fresh else _batches(spark, target, part)
         for batch in sorted(set(_batches(spark, table)) - set(done)):
-            rows = spark.table(table).where(F.col(LOAD_BATCH) == batch).drop(LOAD_BATCH)
+            added = make(spark.table(table).where(F.col(LOAD_BATCH) == batch).drop(LOAD_BATCH))
             if fresh:
-                shape = make(rows, rows.limit(0))
-                if label:
-                    shape = shape.withColumn(label, F.lit(""))
+                shape = added.withColumn(label, F.lit("")) if label else added
                 _create(spark, shape.withColumn(LOAD_BATCH, F.lit(0).cast("bigint")), target, generation, label)
                 fresh = False
-            path = scratch_path(spark, "batch")
-            added = make(rows, spark.table(target).where(F.col(LOAD_BATCH) != batch).drop(LOAD_BATCH))
-            added.write.parquet(path)
-            _write_batch(spark.read.schema(added.schema).parquet(path), target, batch, part)
+            if index:
+                path = scratch_path(spark, "batch")
+                added.write.parquet(path)  # read for its keys, then for its rows
+                added = index.without_known(spark.read.schema(added.schema).parquet(path), batch)
+            _write_batch(added, target, batch, part)
+            if index:
+                index.add(spark, batch)
 
 
 def note_files(spark: SparkSession, paths: list[str], seen: str, batch: int) -> None:

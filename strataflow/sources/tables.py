@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.session import scratch_path
+from strataflow.sources.keyindex import KEYS
 
 # The layers, each kept in a database of this name.
 LAYERS = ("bronze", "silver", "gold")
@@ -41,13 +42,17 @@ def ensure_layers(spark: SparkSession, prefix: str = "", location: str | None =
 def list_tables(spark: SparkSession, layer: str, prefix: str = "", unfinished: bool = False) -> list[str]:
     """Table names of a layer, sorted; none if its database is missing.
 
-    ``unfinished`` adds tables that a lost driver was writing in order to replace another.
+    ``unfinished`` adds tables that a lost driver was writing in order to replace another, and indexes of keys.
     """
     name = layer_database(layer, prefix)
     if not spark.catalog.databaseExists(quoted(name)):
         return []
     shown = spark.sql(f"SHOW TABLES IN {quoted(name)}").where("NOT isTemporary")
-    return sorted(row["tableName"] for row in shown.collect() if unfinished or ASIDE not in row["tableName"])
+    return sorted(row["tableName"] for row in shown.collect() if unfinished or not _helper(row["tableName"]))
+
+
+def _helper(table: str) -> bool:
+    return ASIDE in table or table.endswith(KEYS)
 
 
 def reset_layers(spark: SparkSession, prefix: str = "", layers: Sequence[str] = LAYERS) -> list[str]:
@@ -57,7 +62,8 @@ def reset_layers(spark: SparkSession, prefix: str = "", layers: Sequence[str] =
         for table in list_tables(spark, layer, prefix, unfinished=True):
             name = quoted(layer_database(layer, prefix), table)
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-            dropped.append(name)
+            if not table.endswith(KEYS):
+                dropped.append(name)
     return dropped
 
 

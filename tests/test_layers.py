@@ -29,6 +29,7 @@ from strataflow.sources import (
     table_name,
     write_layer,
 )
+from strataflow.sources.keyindex import KeyIndex
 from tests.test_landing import put
 
 AS_OF = "2024-01-01 00:00:00"
@@ -357,3 +358,71 @@ def test_reset_needs_no_database_and_keeps_the_current_one(spark, prefix):
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_batch_reads_and_moves_little_of_the_old_side(spark, prefix, sf_dir):
+    """The old side is the index alone: two longs a row, in the buckets that they are stored in."""
+    name = table_name("silver", "lines", prefix)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("load_batch", F.lit(1).cast("bigint"))
+    lines.write.partitionBy("load_batch").saveAsTable(name)
+    keys = ("l_orderkey", "l_partkey", "l_returnflag")
+    index = KeyIndex(name, keys, "load_batch")
+    index.add(spark, 1)
+    few = lines.where("l_orderkey % 100 = 0").drop("load_batch")
+    for partitions in ("8", "3", "50"):  # whatever the session's shuffles are now
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            found = index.found(index.hashed(few), 2)
+            text = found._jdf.queryExecution().executedPlan().toString()
+            old_side = text[text.index("FileScan parquet spark_catalog") - 400 : text.index("FileScan parquet spark_catalog") + 900]
+            assert "ShuffledHashJoin" in text and "Sort " not in text and "Bucketed: true" in old_side
+            assert "ReadSchema: struct<key_hash:bigint,key_check:bigint>" in old_side
+            join = text[text.index("ShuffledHashJoin") :]
+            assert join.index("FileScan parquet spark_catalog") < join.index("Exchange")  # only the batch is dealt
+            assert found.count() == few.select(*keys).distinct().count()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert index.without_known(few.withColumn("l_returnflag", F.lit("none")), 2).count() == few.count()
+    assert index.without_known(few, 2).count() == 0 and index.without_known(few, 1).count() == few.count()
+
+
+def test_index_tells_keys_apart(spark, prefix):
+    rows = [("a", None, 0.0), (None, "a", 0.0), ("", "a", float("nan")), (None, None, None), ("a", "b", 1.0)]
+    frame = spark.createDataFrame(rows, "x string, y string, z double")
+    name = table_name("silver", "odd", prefix)
+    frame.withColumn("load_batch", F.lit(1).cast("bigint")).write.partitionBy("load_batch").saveAsTable(name)
+    index = KeyIndex(name, ("x", "y", "z"), "load_batch")
+    index.add(spark, 1)
+    assert index.without_known(frame, 2).count() == 0
+    other = [("a", None, -0.0), (None, "a", 1.0), ("", "a", 0.0), (None, "", None), ("b", "a", 1.0)]
+    assert index.without_known(spark.createDataFrame(other, frame.schema), 2).count() == 4  # both zeros are equal
+
+
+def test_silver_after_a_crash_before_its_index(spark, prefix, tmp_path, monkeypatch):
+    """A batch that was written and not indexed is indexed by the next run; so are tables that have no index yet."""
+    from strataflow.sources import keyindex
+
+    root = landing(tmp_path / "in")
+    config = telemetry_config(root, prefix=prefix, mode="once", checkpoint=str(tmp_path / "seen"))
+    assert counts(run_pipeline(spark, config)) == EXPECTED
+    put(root, "second_life_batteries/b.csv", f"{HEADER}\n{PACK}".replace("8.1", "8.2"))
+    add = keyindex.KeyIndex.add
+
+    def dying(self, spark, batch):
+        if batch == 2:
+            raise RuntimeError("lost")
+        add(self, spark, batch)
+
+    monkeypatch.setattr(keyindex.KeyIndex, "add", dying)
+    with pytest.raises(LayerError, match="lost"):
+        run_pipeline(spark, config)
+    monkeypatch.setattr(keyindex.KeyIndex, "add", add)
+    put(root, "second_life_batteries/c.csv", f"{HEADER}\n{PACK}".replace("8.1", "8.2"))  # as b.csv
+    for _ in range(2):
+        assert counts(run_pipeline(spark, config))["silver", "second_life"] == 4
+    index = KeyIndex(table_name("silver", "second_life_batteries_bz", prefix), TELEMETRY_SPEC.dedup_keys, "load_batch")
+    assert index.batches(spark) == {1, 2, 3} and spark.table(index.name).count() == 4
+    index.drop(spark)
+    put(root, "second_life_batteries/d.csv", f"{HEADER}\n{PACK}".replace("8.1", "8.3"))
+    assert counts(run_pipeline(spark, config))["silver", "second_life"] == 5
+    assert "second_life_batteries_bz__keys" not in list_tables(spark, "silver", prefix)
