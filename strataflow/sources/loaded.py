@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strataflow.session import scratch_path
 from strataflow.sources.keyindex import KeyIndex
 from strataflow.sources.landing import LANDING_FILES, Paths, landing_files, pending_files
-from strataflow.sources.tables import quoted
+from strataflow.sources.tables import drop_versions, quoted
 
 LOAD_BATCH = "load_batch"
 FILES_PER_BATCH = 10_000
@@ -156,6 +156,7 @@ def _create(spark: SparkSession, rows: DataFrame, table: str, generation: str, l
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields)
     partitions = ", ".join(quoted(c) for c in [*([label] if label else []), LOAD_BATCH])
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    drop_versions(spark, table)
     spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({partitions}) TBLPROPERTIES ('{_GENERATION}' = '{generation}')")
 
 
