@@ -304,3 +304,59 @@ def layers_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
             write_landing(part, root, ["source"], mode="append")
         counts = run_pipeline(spark, config)
     return counts
+
+
+@query(
+    "q52_rows_by_layer",
+    """
+    WITH raw AS (SELECT *, CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE ' ' || l_returnflag || ' ' END AS rf FROM lineitem),
+    d AS (SELECT DISTINCT l_quantity, l_discount, l_tax, trim(rf) AS rf, l_linestatus FROM raw WHERE rf IS NOT NULL),
+    n AS (SELECT l_returnflag AS source, count(*) AS n, count(rf) AS valued FROM raw GROUP BY 1),
+    w AS (SELECT rf AS source, count(*) AS written FROM d GROUP BY 1)
+    SELECT 'bronze' AS layer, source || '_bz' AS source, n AS rows_in, CAST(0 AS BIGINT) AS no_value, CAST(0 AS BIGINT) AS malformed,
+      CAST(0 AS BIGINT) AS repeated, n AS written FROM n
+    UNION ALL SELECT 'silver', source || '_bz', n, n - valued, 0, valued - written, written FROM n JOIN w USING (source)
+    UNION ALL SELECT 'gold', 'all_lines', CAST(sum(written) AS BIGINT), 0, 0, 0, CAST(sum(written) AS BIGINT) FROM w
+    """,
+)
+def rows_by_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each layer read, left out and wrote, counted by the tasks that wrote it."""
+    reports: list = []
+    run_pipeline(spark, lines_config(spark, land_lines(spark, sf_dir)), reports=reports)
+    bronze, silver, gold = (report.rows_df() for report in reports)
+    return bronze.union(silver).union(gold)
+
+
+@query(
+    "q53_gold_content_by_batches",
+    """
+    WITH raw AS (SELECT *, CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE ' ' || l_returnflag || ' ' END AS rf FROM lineitem),
+    first AS (
+      SELECT * FROM raw WHERE rf IS NOT NULL QUALIFY row_number() OVER (
+        PARTITION BY l_quantity, l_discount, l_tax, rf, l_linestatus
+        ORDER BY strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S'), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+          CAST(l_suppkey AS VARCHAR)) = 1)
+    SELECT l_returnflag AS return_class, l_orderkey AS order_key, l_partkey AS part_key, l_suppkey AS supp_key,
+      CAST(l_linenumber AS BIGINT) AS line, l_quantity, l_discount, l_tax, l_linestatus, trim(rf) AS rf, l_shipdate AS ship_date
+    FROM first
+    """,
+)
+def gold_content_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of gold after load-once runs: closed lines, then open ones, whose keys all differ, then nothing new."""
+    lines = table(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_orderkey") % 17 != 0, F.concat(F.lit(" "), "l_returnflag", F.lit(" ")))
+    lines = lines.withColumn("rf", flag).withColumn("source", F.col("l_returnflag"))
+    root, closed = scratch_path(spark, "landing"), F.col("l_linestatus") == "F"
+    config = lines_config(spark, {label: f"{root}/source={label}" for label in ("A", "N", "R")})
+    config = replace(config, mode="once", checkpoint=scratch_path(spark, "seen"))
+    for part in (lines.where(closed), lines.where(~closed), None):
+        if part is not None:
+            write_landing(part, root, ["source"], mode="append")
+        run_pipeline(spark, config)
+    gold = read_layer(spark, "gold", config.gold_table, config.prefix)
+    number = lambda c, name: F.col(c).cast("bigint").alias(name)
+    return gold.select(
+        "return_class", number("l_orderkey", "order_key"), number("l_partkey", "part_key"), number("l_suppkey", "supp_key"),
+        number("l_linenumber", "line"), "l_quantity", "l_discount", "l_tax", "l_linestatus", "rf",
+        F.col("l_shipdate").cast("timestamp_ntz").alias("ship_date"),
+    )

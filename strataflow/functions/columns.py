@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -13,6 +14,9 @@ from pyspark.sql import types as T
 
 AsOf = Column | datetime | str | None
 
+# Suffixes of compressed files that Spark reads.
+CODECS = "gz|gzip|bz2|zst|lz4|snappy|deflate"
+
 
 def decoded(path: Column) -> Column:
     """Undo the URI escapes in a ``_metadata`` path or file name (``+`` is literal there)."""
@@ -26,7 +30,8 @@ def parent_folder(path: Column) -> Column:
 
 
 def source_name(file_name: Column, suffix: str = ".csv", every: bool = False) -> Column:
-    """File name without its suffix; ``every`` removes each occurrence, not only the last."""
+    """File name without its suffix, and that of its compression; ``every`` removes each occurrence, not only the last."""
+    file_name = F.regexp_replace(file_name, rf"({re.escape(suffix)})\.({CODECS})$", "$1")
     if every:
         return F.replace(file_name, F.lit(suffix), F.lit(""))
     stem = F.substring(file_name, F.lit(1), F.length(file_name) - len(suffix))

@@ -1,4 +1,5 @@
 from strataflow.operators.compare import compare_configs, mean_by, stage_share
+from strataflow.operators.counted import StepCounts
 from strataflow.operators.counters import counter_delta
 from strataflow.operators.dedup import dedup
 from strataflow.operators.profile import persisted, preview, profile_counts, profile_duplicates, profile_nulls
@@ -6,6 +7,7 @@ from strataflow.operators.stages import ledger_long, ledger_wide, run_ledger, st
 from strataflow.operators.union import union_by_name, union_labelled
 
 __all__ = [
+    "StepCounts",
     "compare_configs",
     "counter_delta",
     "dedup",

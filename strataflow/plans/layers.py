@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import AsOf, with_load_time
+from strataflow.operators.counted import StepCounts
 from strataflow.operators.union import union_by_name, union_labelled
 from strataflow.plans.clean import CleanSpec, clean
 from strataflow.session import scratch_path
@@ -26,6 +27,7 @@ from strataflow.sources.landing import (
 from strataflow.sources.loaded import LOAD_BATCH, add_new_batches, append_as_batch, is_batched, load_new_files, note_all
 from strataflow.sources.tables import ensure_layers, read_layer, table_name, write_layer
 
+ROWS_SCHEMA = "layer string, source string, rows_in long, no_value long, malformed long, repeated long, written long"
 REPORT_SCHEMA = "layer string, source string, file string, problem string"
 FILES_IN_MESSAGE = 5
 
@@ -59,6 +61,12 @@ class LayerReport:
 
     spark: SparkSession
     problems: list[tuple | Rejects] = field(default_factory=list)
+    rows: list[tuple] = field(default_factory=list)
+
+    def rows_df(self) -> DataFrame:
+        """A row for each table that was written: rows read, left out for a missing value, with a malformed number, left out
+        as repeated, and written; counted while they were written."""
+        return self.spark.createDataFrame(self.rows, ROWS_SCHEMA)
 
     def to_df(self) -> DataFrame:
         """A row for each problem; every rejected file is one."""
@@ -94,17 +102,22 @@ def _each_table(
     spark: SparkSession,
     layer: str,
     tables: Iterable[str],
-    build: Callable[[str], list[tuple | Rejects]],
+    build: Callable[[str, StepCounts], list[tuple | Rejects]],
     on_error: str,
     at_once: int = 4,
 ) -> LayerReport:
-    """Run one independent write job per table, ``at_once`` at a time, and gather what failed."""
+    """Run one independent write job per table, ``at_once`` at a time, and gather what failed and how many rows passed."""
     if on_error not in ("raise", "report"):
         raise ValueError(f"on_error must be 'raise' or 'report', not {on_error!r}")
 
+    counted: list[tuple] = []
+
     def attempt(table: str) -> list[tuple | Rejects]:
+        counts = StepCounts()
         try:
-            return build(table)
+            problems = build(table, counts)
+            counted.append(_row_counts(layer, table, counts.get()))
+            return problems
         except Exception as error:  # noqa: BLE001 - one table's failure must not hide the others'
             return [(layer, table, None, _reason(error))]
 
@@ -114,7 +127,13 @@ def _each_table(
         problems = [problem for job in jobs for problem in job.result()]
     if problems and on_error == "raise":
         raise LayerError(problems)
-    return LayerReport(spark, problems)
+    return LayerReport(spark, problems, sorted(counted))
+
+
+def _row_counts(layer: str, table: str, seen: dict[str, int]) -> tuple:
+    rows, written = seen.get("rows_in", 0), seen.get("written", 0)
+    valued = seen.get("valued", rows)
+    return layer, table, rows, rows - valued, seen.get("malformed", 0), valued - written, written
 
 
 def build_bronze(
@@ -158,7 +177,7 @@ def build_bronze(
     if mode == "once" and not checkpoint:
         raise ValueError("mode='once' needs a checkpoint folder")
 
-    def load(table: str) -> list[tuple | Rejects]:
+    def load(table: str, counts: StepCounts) -> list[tuple | Rejects]:
         paths = sources[table]
         in_file = landing_columns(spark, paths, files)
         names = list(columns or in_file)
@@ -177,14 +196,15 @@ def build_bronze(
                 rows = read_by_header(spark, some, names, found, lineage, suffix, every_suffix, files)
             return with_load_time(rows.select(*names, lineage), loaded_col, as_of)
 
+        counted = lambda rows: counts.at("written", counts.at("rows_in", rows))
         if mode == "once":
-            load_new_files(spark, paths, target, seen, rows_of, files)
+            load_new_files(spark, paths, target, seen, rows_of, files, done=counted)
         elif mode == "append" and is_batched(spark, target):
-            append_as_batch(rows_of(paths), target)
+            append_as_batch(counted(rows_of(paths)), target)
             if seen:
                 note_all(spark, paths, target, seen, files)
         else:
-            write_layer(rows_of(paths), target, mode)
+            write_layer(counted(rows_of(paths)), target, mode)
         return problems
 
     return _each_table(spark, "bronze", sources, load, on_error, at_once)
@@ -202,8 +222,9 @@ def build_bronze_from(
     """One bronze table per source from text rows that were ingested before, replacing it."""
     ensure_layers(spark, prefix)
 
-    def load(table: str) -> list[tuple]:
-        write_layer(with_load_time(rows[table], loaded_col, as_of), table_name("bronze", table, prefix))
+    def load(table: str, counts: StepCounts) -> list[tuple]:
+        counted = counts.at("written", counts.at("rows_in", rows[table]))
+        write_layer(with_load_time(counted, loaded_col, as_of), table_name("bronze", table, prefix))
         return []
 
     return _each_table(spark, "bronze", rows, load, on_error, at_once)
@@ -227,13 +248,14 @@ def build_silver(
     """
     ensure_layers(spark, prefix)
 
-    def refine(table: str) -> list[tuple]:
+    def refine(table: str, counts: StepCounts) -> list[tuple]:
+        bronze, silver = (table_name(layer, table, prefix) for layer in ("bronze", "silver"))
         if mode == "once":
-            bronze, silver = (table_name(layer, table, prefix) for layer in ("bronze", "silver"))
-            add_new_batches(spark, {None: bronze}, silver, lambda rows: clean(rows, spec, as_of), keys=spec.dedup_keys)
+            make = lambda rows: clean(rows, spec, as_of, counts)
+            add_new_batches(spark, {None: bronze}, silver, make, keys=spec.dedup_keys, done=lambda rows: counts.at("written", rows))
             return []
-        cleaned = clean(read_layer(spark, "bronze", table, prefix).drop(LOAD_BATCH), spec, as_of)
-        write_layer(cleaned, table_name("silver", table, prefix), mode)
+        cleaned = clean(read_layer(spark, "bronze", table, prefix).drop(LOAD_BATCH), spec, as_of, counts)
+        write_layer(counts.at("written", cleaned), silver, mode)
         return []
 
     return _each_table(spark, "silver", tables, refine, on_error)
@@ -258,14 +280,15 @@ def build_gold(
     """
     ensure_layers(spark, prefix)
 
-    def merge(table: str) -> list[tuple]:
+    def merge(table: str, counts: StepCounts) -> list[tuple]:
+        counted = lambda rows: counts.at("written", counts.at("rows_in", rows))
         if mode == "once":
             silver_tables = {name: table_name("silver", source, prefix) for name, source in sources.items()}
-            add_new_batches(spark, silver_tables, table_name("gold", table, prefix), lambda rows: rows, label)
+            add_new_batches(spark, silver_tables, table_name("gold", table, prefix), lambda rows: rows, label, done=counted)
             return []
         silver = {name: read_layer(spark, "silver", source, prefix).drop(LOAD_BATCH) for name, source in sources.items()}
         partition_by = [label] if by_label else []
-        write_layer(union_labelled(silver, label), table_name("gold", table, prefix), "replace", partition_by)
+        write_layer(counted(union_labelled(silver, label)), table_name("gold", table, prefix), "replace", partition_by)
         return []
 
     return _each_table(spark, "gold", [target], merge, on_error)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.functions.columns import AsOf
 from strataflow.plans.clean import CleanSpec
-from strataflow.plans.layers import build_bronze, build_bronze_from, build_gold, build_silver, layer_counts
+from strataflow.plans.layers import LayerReport, build_bronze, build_bronze_from, build_gold, build_silver, layer_counts
 from strataflow.plans.presets import (
     TELEMETRY_COLUMNS,
     TELEMETRY_GOLD,
@@ -95,12 +95,17 @@ def _ingest(spark: SparkSession, config: PipelineConfig, table: str, paths: Path
 
 
 def run_pipeline(
-    spark: SparkSession, config: PipelineConfig, clock: Callable[[str, float], None] | None = None
+    spark: SparkSession,
+    config: PipelineConfig,
+    clock: Callable[[str, float], None] | None = None,
+    reports: list[LayerReport] | None = None,
 ) -> DataFrame:
     """Build all three layers and return the rows per table as ``layer, source, n``.
 
-    A re-run in ``replace`` mode gives the same tables at the same cost.
+    A re-run in ``replace`` mode gives the same tables at the same cost. ``reports`` takes the report of each layer, with
+    the rows that were read, left out and written.
     """
+    reports = [] if reports is None else reports
     tables = {label: config.table(label) for label in config.landing}
     if config.ingest and (config.mode != "replace" or not config.checkpoint):
         raise ValueError("ingest needs a checkpoint folder and mode='replace'")
@@ -109,9 +114,9 @@ def run_pipeline(
             arrived = {tables[label]: _ingest(spark, config, tables[label], paths) for label, paths in config.landing.items()}
     with stage(spark, config.run, "bronze", clock):
         if config.ingest:
-            build_bronze_from(spark, arrived, config.as_of, config.prefix)
+            reports.append(build_bronze_from(spark, arrived, config.as_of, config.prefix))
         else:
-            build_bronze(
+            bronze = build_bronze(
                 spark,
                 {tables[label]: paths for label, paths in config.landing.items()},
                 config.columns,
@@ -122,10 +127,12 @@ def run_pipeline(
                 config.lineage,
                 checkpoint=config.checkpoint,
             )
+            reports.append(bronze)
     with stage(spark, config.run, "silver", clock):
-        build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix)
+        reports.append(build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix))
     with stage(spark, config.run, "gold", clock):
         gold_mode = "once" if config.mode == "once" else "replace"
-        build_gold(spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label, mode=gold_mode)
+        gold = build_gold(spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label, mode=gold_mode)
+        reports.append(gold)
     layers = {"bronze": tables, "silver": tables, "gold": {"all": config.gold_table}}
     return layer_counts(spark, layers, config.prefix)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strataflow.operators.stages import LEDGER_COLUMNS
 from strataflow.operators.union import union_labelled
+from strataflow.sources.landing import write_landing
 
 LEDGER_SCHEMA = T.StructType(
     [T.StructField(c, T.IntegerType() if c == "run" else T.DoubleType()) for c in LEDGER_COLUMNS]
@@ -18,17 +19,11 @@ LEDGER_SCHEMA = T.StructType(
 
 
 def write_ledger(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Write a ledger as a folder of headered CSV files; null cells are blank.
+    """Write a ledger as a folder of headered CSV files; null cells are blank, cells with line breaks are refused.
 
     ``partition_by`` writes one folder per value, such as the configuration.
     """
-    writer = (
-        df.write.mode(mode)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-    (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
+    write_landing(df, path, partition_by, mode)
 
 
 def read_ledger(

@@ -43,6 +43,7 @@ def load_new_files(
     read: Callable[[list[str]], DataFrame],
     files: str = LANDING_FILES,
     files_per_batch: int = FILES_PER_BATCH,
+    done: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> int:
     """Adds the rows that ``read`` makes of the files of ``src`` that ``table`` doesn't have yet; returns how many files.
 
@@ -50,7 +51,8 @@ def load_new_files(
     that was dropped, or replaced by other means, starts anew with all files there are. Age and order of the files
     don't matter. The files of a batch become one partition of the column ``load_batch``, and are noted
     after it is written. If a run dies in between, the next one writes the same partition again, so
-    nothing is doubled or left out. At most ``files_per_batch`` paths are on the driver at a time.
+    nothing is doubled or left out. At most ``files_per_batch`` paths are on the driver at a time. ``done`` sees what is
+    written, to count it.
     """
     generation = _generation(spark, table)
     fresh = generation is None
@@ -70,7 +72,7 @@ def load_new_files(
             _create(spark, rows, table, generation)
         if not paths:
             return n
-        _write_batch(rows, table, batch)
+        _write_batch(done(rows), table, batch)
         note_files(spark, paths, seen, batch)
         n += len(paths)
 
@@ -106,13 +108,15 @@ def add_new_batches(
     make: Callable[[DataFrame], DataFrame],
     label: str | None = None,
     keys: Sequence[str] = (),
+    done: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Brings a table up to date with the batches of load-once tables, reading and writing only new ones.
 
     ``sources`` names a table for each value of the column ``label``, or for None alone. ``make`` gets the rows of a
     batch and returns what to add; with ``keys`` only rows stay whose keys no other batch has, by an index of those. Each batch
     becomes a partition of its own number, so a run that died is simply repeated; batches that
-    aren't in the index are indexed first. If a source was started anew, so is the target.
+    aren't in the index are indexed first. If a source was started anew, so is the target. ``done`` sees what is written,
+    to count it.
     """
     generations = [_generation(spark, t) for t in sources.values()]
     if None in generations:
@@ -127,8 +131,8 @@ def add_new_batches(
             index.add(spark, batch)
     for value, table in sources.items():
         part = None if label is None else (label, value)
-        done = [] if fresh else _batches(spark, target, part)
-        for batch in sorted(set(_batches(spark, table)) - set(done)):
+        there = [] if fresh else _batches(spark, target, part)
+        for batch in sorted(set(_batches(spark, table)) - set(there)):
             added = make(spark.table(table).where(F.col(LOAD_BATCH) == batch).drop(LOAD_BATCH))
             if fresh:
                 shape = added.withColumn(label, F.lit("")) if label else added
@@ -138,7 +142,7 @@ def add_new_batches(
                 path = scratch_path(spark, "batch")
                 added.write.parquet(path)  # read for its keys, then for its rows
                 added = index.without_known(spark.read.schema(added.schema).parquet(path), batch)
-            _write_batch(added, target, batch, part)
+            _write_batch(done(added), target, batch, part)
             if index:
                 index.add(spark, batch)
 

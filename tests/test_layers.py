@@ -426,3 +426,44 @@ def test_silver_after_a_crash_before_its_index(spark, prefix, tmp_path, monkeypa
     put(root, "second_life_batteries/d.csv", f"{HEADER}\n{PACK}".replace("8.1", "8.3"))
     assert counts(run_pipeline(spark, config))["silver", "second_life"] == 5
     assert "second_life_batteries_bz__keys" not in list_tables(spark, "silver", prefix)
+
+
+def test_a_pack_has_one_name_whether_compressed_or_not(spark, prefix, tmp_path):
+    put(tmp_path, "b/one.csv", f"{HEADER}\n{PACK}")
+    with gzip.open(tmp_path / "b" / "one.csv.gz", "wt") as f:
+        f.write(f"{HEADER}\n{PACK}")
+    for every in (False, True):
+        build_bronze(spark, {"b_bz": str(tmp_path / "b")}, lineage="pack", prefix=prefix, every_suffix=every)
+        rows = read_layer(spark, "bronze", "b_bz", prefix)
+        assert {r.pack for r in rows.select("pack").collect()} == {"one"} and rows.count() == 10
+
+
+def test_rows_are_counted_while_they_are_written(spark, prefix, tmp_path):
+    root = landing(tmp_path / "in")
+    put(root, "second_life_batteries/more.csv", f"{HEADER}\n{PACK}")
+    config = telemetry_config(root, prefix=prefix, as_of=AS_OF)
+    reports = []
+    run_pipeline(spark, config, reports=reports)
+    found = {(r.layer, r.source): r for report in reports for r in report.rows_df().collect()}
+    assert set(found) == {(layer, t) for layer in ("bronze", "silver") for t in config.tables.values()} | {("gold", config.gold_table)}
+    second = found["silver", "second_life_batteries_bz"]
+    # of each file five rows: one rests, one has a bad number, two are equal but for their time
+    assert (second.rows_in, second.no_value, second.malformed, second.repeated, second.written) == (10, 2, 2, 5, 3)
+    assert found["bronze", "second_life_batteries_bz"].written == 10 and found["gold", config.gold_table].written == 9
+    once = telemetry_config(root, prefix=f"{prefix}o_", mode="once", checkpoint=str(tmp_path / "seen"))
+    for expected in (10, 0):
+        reports = []
+        run_pipeline(spark, once, reports=reports)
+        rows = {(r.layer, r.source): r.written for report in reports for r in report.rows_df().collect()}
+        assert rows.get(("bronze", "second_life_batteries_bz"), 0) == expected
+    reset_layers(spark, f"{prefix}o_")
+
+
+def test_counts_of_folders_without_files(spark, prefix, tmp_path):
+    put(tmp_path, "b/one.csv", "a,b\n")
+    for mode in ("once", "replace"):
+        report = build_bronze(spark, {"b_bz": str(tmp_path / "b")}, ("a", "b"), mode=mode, prefix=prefix, checkpoint=str(tmp_path / "s"))
+        assert [r.written for r in report.rows_df().collect()] == [0]
+    (tmp_path / "c").mkdir()
+    report = build_bronze(spark, {"c_bz": str(tmp_path / "c")}, ("a", "b"), mode="once", prefix=prefix, checkpoint=str(tmp_path / "s"), headers="same", on_error="report")
+    assert [r.written for r in report.rows_df().collect()] in ([0], [])  # an empty folder has no columns to find
