@@ -37,10 +37,10 @@ def clean(df: DataFrame, spec: CleanSpec, as_of: AsOf = None, counts: StepCounts
     ``counts`` counts the rows read, those with all required values (and among these the ones with a malformed number), and
     those that are left, while the result is written; all rows are read then, none is skipped by the file's statistics.
     """
-    if counts:
+    if counts and counts.active:
         df = counts.at("rows_in", df)
     rows = require_not_null(df, spec.not_null)
-    if counts:
+    if counts and counts.active:
         bad = [F.col(c).isNotNull() & F.col(c).try_cast("double").isNull() for c in spec.to_double]
         rows = counts.at("valued", rows, malformed=functools.reduce(operator.or_, bad, F.lit(False)))
     rows = to_double(trim_columns(rows, spec.trim), spec.to_double)

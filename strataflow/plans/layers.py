@@ -19,6 +19,7 @@ from strataflow.sources.landing import (
     LANDING_FILES,
     Paths,
     file_headers,
+    header_summary,
     landing_columns,
     read_by_header,
     read_landing,
@@ -64,8 +65,8 @@ class LayerReport:
     rows: list[tuple] = field(default_factory=list)
 
     def rows_df(self) -> DataFrame:
-        """A row for each table that was written: rows read, left out for a missing value, with a malformed number, left out
-        as repeated, and written; counted while they were written."""
+        """A row for each table, if the layer was built with ``count_rows``: rows read, left out for a missing value, with a
+        malformed number, left out as repeated, and written; counted while they were written."""
         return self.spark.createDataFrame(self.rows, ROWS_SCHEMA)
 
     def to_df(self) -> DataFrame:
@@ -105,6 +106,7 @@ def _each_table(
     build: Callable[[str, StepCounts], list[tuple | Rejects]],
     on_error: str,
     at_once: int = 4,
+    count_rows: bool = False,
 ) -> LayerReport:
     """Run one independent write job per table, ``at_once`` at a time, and gather what failed and how many rows passed."""
     if on_error not in ("raise", "report"):
@@ -113,10 +115,11 @@ def _each_table(
     counted: list[tuple] = []
 
     def attempt(table: str) -> list[tuple | Rejects]:
-        counts = StepCounts()
+        counts = StepCounts(count_rows)
         try:
             problems = build(table, counts)
-            counted.append(_row_counts(layer, table, counts.get()))
+            if count_rows:
+                counted.append(_row_counts(layer, table, counts.get()))
             return problems
         except Exception as error:  # noqa: BLE001 - one table's failure must not hide the others'
             return [(layer, table, None, _reason(error))]
@@ -152,6 +155,7 @@ def build_bronze(
     on_error: str = "raise",
     files: str = LANDING_FILES,
     at_once: int = 4,
+    count_rows: bool = False,
 ) -> LayerReport:
     """One bronze table per source from its landing files, all columns text.
 
@@ -192,8 +196,10 @@ def build_bronze(
                 rows = read_landing(spark, some, in_file, "same", lineage, suffix, every_suffix, files)
             else:
                 found = file_headers(spark, some, files)
-                problems.extend(_rejects(spark, "bronze", table, rejected_files(spark, some, names, found)))
-                rows = read_by_header(spark, some, names, found, lineage, suffix, every_suffix, files)
+                summary = header_summary(spark, found, names)
+                if summary.n_rejected:
+                    problems.extend(_rejects(spark, "bronze", table, rejected_files(spark, some, names, found)))
+                rows = read_by_header(spark, some, names, found, lineage, suffix, every_suffix, files, summary=summary)
             return with_load_time(rows.select(*names, lineage), loaded_col, as_of)
 
         counted = lambda rows: counts.at("written", counts.at("rows_in", rows))
@@ -207,7 +213,7 @@ def build_bronze(
             write_layer(counted(rows_of(paths)), target, mode)
         return problems
 
-    return _each_table(spark, "bronze", sources, load, on_error, at_once)
+    return _each_table(spark, "bronze", sources, load, on_error, at_once, count_rows)
 
 
 def build_bronze_from(
@@ -218,6 +224,7 @@ def build_bronze_from(
     loaded_col: str = "created_at",
     on_error: str = "raise",
     at_once: int = 4,
+    count_rows: bool = False,
 ) -> LayerReport:
     """One bronze table per source from text rows that were ingested before, replacing it."""
     ensure_layers(spark, prefix)
@@ -227,7 +234,7 @@ def build_bronze_from(
         write_layer(with_load_time(counted, loaded_col, as_of), table_name("bronze", table, prefix))
         return []
 
-    return _each_table(spark, "bronze", rows, load, on_error, at_once)
+    return _each_table(spark, "bronze", rows, load, on_error, at_once, count_rows)
 
 
 def build_silver(
@@ -238,6 +245,7 @@ def build_silver(
     mode: str = "replace",
     prefix: str = "",
     on_error: str = "raise",
+    count_rows: bool = False,
 ) -> LayerReport:
     """Clean each bronze table into the silver table of the same name.
 
@@ -258,7 +266,7 @@ def build_silver(
         write_layer(counts.at("written", cleaned), silver, mode)
         return []
 
-    return _each_table(spark, "silver", tables, refine, on_error)
+    return _each_table(spark, "silver", tables, refine, on_error, count_rows=count_rows)
 
 
 def build_gold(
@@ -270,6 +278,7 @@ def build_gold(
     by_label: bool = False,
     on_error: str = "raise",
     mode: str = "replace",
+    count_rows: bool = False,
 ) -> LayerReport:
     """Merge silver tables (label -> table) into one gold table, replacing it.
 
@@ -291,7 +300,7 @@ def build_gold(
         write_layer(counted(union_labelled(silver, label)), table_name("gold", table, prefix), "replace", partition_by)
         return []
 
-    return _each_table(spark, "gold", [target], merge, on_error)
+    return _each_table(spark, "gold", [target], merge, on_error, count_rows=count_rows)
 
 
 def layer_counts(spark: SparkSession, tables: Mapping[str, Mapping[str, str]], prefix: str = "") -> DataFrame:

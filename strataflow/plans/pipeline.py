@@ -105,7 +105,8 @@ def run_pipeline(
     A re-run in ``replace`` mode gives the same tables at the same cost. ``reports`` takes the report of each layer, with
     the rows that were read, left out and written.
     """
-    reports = [] if reports is None else reports
+    count_rows = reports is not None
+    reports = reports if count_rows else []
     tables = {label: config.table(label) for label in config.landing}
     if config.ingest and (config.mode != "replace" or not config.checkpoint):
         raise ValueError("ingest needs a checkpoint folder and mode='replace'")
@@ -114,7 +115,7 @@ def run_pipeline(
             arrived = {tables[label]: _ingest(spark, config, tables[label], paths) for label, paths in config.landing.items()}
     with stage(spark, config.run, "bronze", clock):
         if config.ingest:
-            reports.append(build_bronze_from(spark, arrived, config.as_of, config.prefix))
+            reports.append(build_bronze_from(spark, arrived, config.as_of, config.prefix, count_rows=count_rows))
         else:
             bronze = build_bronze(
                 spark,
@@ -126,13 +127,17 @@ def run_pipeline(
                 config.headers,
                 config.lineage,
                 checkpoint=config.checkpoint,
+                count_rows=count_rows,
             )
             reports.append(bronze)
     with stage(spark, config.run, "silver", clock):
-        reports.append(build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix))
+        silver = build_silver(spark, list(tables.values()), config.spec, config.as_of, config.mode, config.prefix, count_rows=count_rows)
+        reports.append(silver)
     with stage(spark, config.run, "gold", clock):
         gold_mode = "once" if config.mode == "once" else "replace"
-        gold = build_gold(spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label, mode=gold_mode)
+        gold = build_gold(
+            spark, tables, config.gold_table, config.gold_label, config.prefix, config.gold_by_label, mode=gold_mode, count_rows=count_rows
+        )
         reports.append(gold)
     layers = {"bronze": tables, "silver": tables, "gold": {"all": config.gold_table}}
     return layer_counts(spark, layers, config.prefix)

@@ -6,6 +6,7 @@ import csv
 import functools
 import operator
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -127,6 +128,35 @@ def _fits(wanted: Sequence[str]):
     return F.sort_array("names") == F.lit(sorted(wanted))
 
 
+@dataclass(frozen=True)
+class HeaderSummary:
+    """The commonest order of columns, as the place of each column in the file; the size of the table of files that have
+    another one or other columns; and how many have other columns."""
+
+    usual: list[int]
+    odd_bytes: int
+    n_rejected: int
+
+
+def _placed(spark: SparkSession, headers: DataFrame, columns: Sequence[str]) -> DataFrame:
+    wanted = _folded(spark, columns)
+    at = F.transform(F.lit(wanted), lambda w: F.array_position("names", w).cast("int"))
+    return headers.select("file_path", F.when(_fits(wanted), at).alias("places"))
+
+
+def header_summary(spark: SparkSession, headers: DataFrame, columns: Sequence[str]) -> HeaderSummary:
+    """From one job over the table of headers; what reaches the driver is one row."""
+    size = F.sum(F.octet_length("file_path") + 4 * len(columns) + 32).alias("bytes")
+    orders = _placed(spark, headers, columns).groupBy("places").agg(F.count(F.lit(1)).alias("n"), size)
+    fits = F.col("places").isNotNull()
+    # ties go to the least order
+    best = F.max(F.when(fits, F.struct("n", F.transform("places", lambda p: -p).alias("falling"), "bytes"))).alias("best")
+    found = orders.agg(best, F.sum("bytes").alias("bytes"), F.sum(F.when(~fits, F.col("n"))).alias("rejected")).first()
+    if not found["best"]:
+        return HeaderSummary(list(range(1, len(columns) + 1)), found["bytes"] or 0, found["rejected"] or 0)
+    return HeaderSummary([-p for p in found["best"]["falling"]], found["bytes"] - found["best"]["bytes"], found["rejected"] or 0)
+
+
 def read_by_header(
     spark: SparkSession,
     paths: Paths,
@@ -137,6 +167,7 @@ def read_by_header(
     every: bool = False,
     files: str = LANDING_FILES,
     multi_line: bool = False,
+    summary: HeaderSummary | None = None,
 ) -> DataFrame:
     """One scan of all files whose columns are placed by each file's own header.
 
@@ -144,14 +175,10 @@ def read_by_header(
     one, or other columns, are a table of exceptions. It is broadcast if its measured size
     allows; otherwise adaptive execution joins by shuffle and splits the rows of a large file.
     """
-    wanted = _folded(spark, columns)
-    at = F.transform(F.lit(wanted), lambda w: F.array_position("names", w).cast("int"))
-    placed = headers.select("file_path", F.when(_fits(wanted), at).alias("places"))
-    orders = placed.where("places IS NOT NULL").groupBy("places").agg(F.count(F.lit(1)).alias("n"))
-    top = orders.orderBy(F.desc("n"), "places").first()
-    usual = list(top["places"]) if top else list(range(1, len(wanted) + 1))
+    summary = summary or header_summary(spark, headers, columns)
+    usual, size = summary.usual, summary.odd_bytes
+    placed = _placed(spark, headers, columns)
     odd = placed.where(F.col("places").isNull() | (F.col("places") != F.lit(usual)))
-    size = odd.agg(F.sum(F.octet_length("file_path") + 4 * len(wanted) + 32)).first()[0]
 
     cells = [f"_c{i}" for i in range(len(columns))]
     # positional names differ from the header's, so Spark's own header check is off here

@@ -25,8 +25,8 @@ def _generation(spark: SparkSession, table: str) -> str | None:
     """Which list of loaded files belongs to a table; null if it wasn't made by :func:`load_new_files`."""
     if not spark.catalog.tableExists(table):
         return None
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _GENERATION).first()
-    return found["value"] if found and LOAD_BATCH in spark.table(table).columns else None
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(_GENERATION)
+    return found if found and LOAD_BATCH in spark.table(table).columns else None
 
 
 def loaded_files(spark: SparkSession, seen: str) -> DataFrame:

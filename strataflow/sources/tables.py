@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strataflow.sources.keyindex import KEYS
 
@@ -60,7 +61,7 @@ def list_tables(spark: SparkSession, layer: str, prefix: str = "", unfinished: b
     names = [t for t in there if not _helper(t)]
     if not unfinished:
         return names
-    place = {t: _location(spark, table_name(layer, t, prefix)) for t in there if ASIDE in t or any(x.startswith(t + ASIDE) for x in there)}
+    place = {t: _Described.of(spark, table_name(layer, t, prefix)).location for t in there if ASIDE in t or any(x.startswith(t + ASIDE) for x in there)}
     return sorted([*names, *(t for t in there if ASIDE in t and place.get(t.partition(ASIDE)[0]) != place[t])])
 
 
@@ -97,37 +98,53 @@ def _parts(spark: SparkSession, name: str) -> tuple[str, str]:
     return quoted(bare[-2] if len(bare) > 1 else spark.catalog.currentDatabase()), bare[-1]
 
 
-def _versions(spark: SparkSession, name: str) -> list[str]:
-    """The tables that hold a table's contents, old, new or unfinished."""
-    database, bare = _parts(spark, name)
-    shown = spark.sql(f"SHOW TABLES IN {database}").where(F.col("tableName").startswith(f"{bare}{ASIDE}".lower())).collect()
-    return [f"{database}.{quoted(row['tableName'])}" for row in shown]
+@dataclass(frozen=True)
+class _Described:
+    """What the catalog says of a table; asked for in one statement that runs no job."""
+
+    columns: tuple[tuple[str, str], ...]
+    partitions: tuple[str, ...]
+    location: str
+    properties: str
 
+    @classmethod
+    def of(cls, spark: SparkSession, name: str) -> _Described:
+        rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+        ends = [i for i, (c, _) in enumerate(rows) if c == "" or c.startswith("# ")]
+        columns = tuple(rows[: ends[0] if ends else len(rows)])
+        at = next((i for i, (c, _) in enumerate(rows) if c == "# Partition Information"), None)
+        partitions = itertools.takewhile(lambda r: r[0] and not r[0].startswith("# "), rows[at + 2 :]) if at is not None else ()
+        details = dict(rows[ends[-1] :]) if ends else {}
+        return cls(columns, tuple(c for c, _ in partitions), details.get("Location", ""), details.get("Table Properties", ""))
 
-def _property(spark: SparkSession, name: str, key: str) -> bool:
-    return spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == key).count() > 0
+    def has(self, key: str) -> bool:
+        return f"{key}=" in self.properties
 
+    @property
+    def shape(self) -> tuple:
+        return self.columns, self.partitions
 
-def _location(spark: SparkSession, name: str) -> str:
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    @property
+    def place(self) -> str:
+        return self.location.replace("'", "\\'")
 
 
-def _shape(spark: SparkSession, name: str) -> list[tuple]:
-    kinds = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
-    return [(c.name, kinds[c.name], c.isPartition) for c in spark.catalog.listColumns(name)]
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """The tables that hold a table's contents, old, new or unfinished."""
+    database, bare = _parts(spark, name)
+    shown = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
+    return [f"{database}.{quoted(t)}" for t in shown if t.startswith(f"{bare}{ASIDE}".lower())]
 
 
-def _make_pointer(spark: SparkSession, name: str, version: str) -> None:
+def _make_pointer(spark: SparkSession, name: str, version: _Described) -> None:
     """A table that has its rows, and finds its partitions, where ``version`` has them."""
-    shape, place = _shape(spark, version), _location(spark, version).replace("'", "\\'")
-    fields = ", ".join(f"{quoted(c)} {kind}" for c, kind, _ in shape)
-    partitions = ", ".join(quoted(c) for c, _, of_partition in shape if of_partition)
-    by = f"PARTITIONED BY ({partitions})" if partitions else ""
+    fields = ", ".join(f"{quoted(c)} {kind}" for c, kind in version.columns)
+    by = f"PARTITIONED BY ({', '.join(map(quoted, version.partitions))})" if version.partitions else ""
     maker = spark.newSession()  # this setting is for this table only: its partitions are those of the folder
     maker.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
     database, bare = _parts(spark, name)
     table = f"{database}.{quoted(bare)}"
-    maker.sql(f"CREATE TABLE {table} ({fields}) USING parquet {by} LOCATION '{place}' TBLPROPERTIES ('{POINTER}' = 'true')")
+    maker.sql(f"CREATE TABLE {table} ({fields}) USING parquet {by} LOCATION '{version.place}' TBLPROPERTIES ('{POINTER}' = 'true')")
     spark.sql(f"REFRESH TABLE {table}")
 
 
@@ -135,8 +152,9 @@ def recover_table(spark: SparkSession, name: str) -> None:
     """Finishes the replacement of a table whose driver was lost after it gave up the old one; nothing to do otherwise."""
     if not spark.catalog.tableExists(name):
         for version in _versions(spark, name):
-            if _property(spark, version, NEXT):
-                _make_pointer(spark, name, version)
+            described = _Described.of(spark, version)
+            if described.has(NEXT):
+                _make_pointer(spark, name, described)
                 spark.sql(f"ALTER TABLE {version} UNSET TBLPROPERTIES IF EXISTS ('{NEXT}')")
                 return
 
@@ -159,16 +177,16 @@ def _replace(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    there = spark.catalog.tableExists(name)
-    if there and _property(spark, name, POINTER) and _shape(spark, name) == _shape(spark, version):
-        place = _location(spark, version).replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    new = _Described.of(spark, version)
+    old = _Described.of(spark, name) if spark.catalog.tableExists(name) else None
+    if old and old.has(POINTER) and old.shape == new.shape:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new.place}'")
         spark.sql(f"REFRESH TABLE {name}")
     else:
         # other columns can't be pointed at: from here on the next run would finish
         spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{NEXT}' = 'true')")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        _make_pointer(spark, name, version)
+        _make_pointer(spark, name, new)
         spark.sql(f"ALTER TABLE {version} UNSET TBLPROPERTIES IF EXISTS ('{NEXT}')")
     drop_versions(spark, name, keep=version)
 
@@ -183,7 +201,7 @@ def _append_commit(df: DataFrame, name: str, commit: str) -> None:
         fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
         spark.sql(f"CREATE TABLE {name} ({fields}, {LOAD_COMMIT} STRING) USING parquet PARTITIONED BY ({LOAD_COMMIT})")
     columns = spark.table(name).columns
-    if LOAD_COMMIT not in columns or _property(spark, name, POINTER):
+    if LOAD_COMMIT not in columns or _Described.of(spark, name).has(POINTER):
         raise ValueError(f"{name} was made without commits; only tables that began with one take more")
     label = commit.replace("\\", "\\\\").replace("'", "\\'")
     df.createOrReplaceTempView(view)

@@ -462,8 +462,9 @@ def test_rows_are_counted_while_they_are_written(spark, prefix, tmp_path):
 def test_counts_of_folders_without_files(spark, prefix, tmp_path):
     put(tmp_path, "b/one.csv", "a,b\n")
     for mode in ("once", "replace"):
-        report = build_bronze(spark, {"b_bz": str(tmp_path / "b")}, ("a", "b"), mode=mode, prefix=prefix, checkpoint=str(tmp_path / "s"))
+        report = build_bronze(spark, {"b_bz": str(tmp_path / "b")}, ("a", "b"), mode=mode, prefix=prefix, checkpoint=str(tmp_path / "s"), count_rows=True)
         assert [r.written for r in report.rows_df().collect()] == [0]
     (tmp_path / "c").mkdir()
-    report = build_bronze(spark, {"c_bz": str(tmp_path / "c")}, ("a", "b"), mode="once", prefix=prefix, checkpoint=str(tmp_path / "s"), headers="same", on_error="report")
+    options = {"mode": "once", "prefix": prefix, "checkpoint": str(tmp_path / "s"), "on_error": "report", "count_rows": True}
+    report = build_bronze(spark, {"c_bz": str(tmp_path / "c")}, ("a", "b"), headers="same", **options)
     assert [r.written for r in report.rows_df().collect()] in ([0], [])  # an empty folder has no columns to find
