@@ -51,6 +51,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _byte(digits: str) -> bool:
+    """Whether the number is at most 255, with any zeros before it."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """The fixed kinds, leftmost and non-overlapping in each kind; matches that fail the check are dropped.
 
@@ -67,7 +73,7 @@ def base_spans(text: str) -> list[Span]:
             if start < m.start():
                 found.append(("email", start, m.end()))
                 after = m.end()
-    found += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(p) < 300 and int(p) <= 255 for p in m.group().split("."))]
+    found += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(_byte(p) for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := digits_of(m.group())) <= 19 and luhn(d):
             found.append(("card", m.start(), m.end()))

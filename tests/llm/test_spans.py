@@ -194,3 +194,8 @@ def test_windows_to_learn_from_are_different(spark):
     assert len(got) == len({t for t, _ in got}) == 30
     every = labelled_windows(df, 1000)
     assert len(every) == 41 and got == every[:30] and all((len(s) == 1) == ("@" in t) for t, s in every)
+
+
+def test_ip_parts_with_many_zeros():
+    text = f"from {'0' * 400}9.0.255.{'0' * 5000}1 and 1.2.3.{'0' * 300}256"
+    assert [k for k, *_ in personal_base(text)] == ["ip"]
