@@ -122,7 +122,8 @@ def chained(docs: DataFrame, partitions: int | None = None) -> tuple[DataFrame,
     placed = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(place(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
     dealt = docs.withColumn(tie, F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(part, placed)
     # the least (falling id, tie) of each range: a hash of the text breaks ties of the id, equal rows are alike
-    first = F.min(F.struct((-F.col("doc_id")).alias("i"), F.col(tie).alias("t"))).alias("f")
+    falling = F.bitwise_not("doc_id")  # as its negative, without overflow
+    first = F.min(F.struct(falling.alias("i"), F.col(tie).alias("t"))).alias("f")
     heads = written(dealt.groupBy(F.col(part).alias("p")).agg(first), "sketch-heads")
     before = Window.orderBy("p")  # a row for each range
     total = heads.agg(F.min("p"), F.max("p")).first()
@@ -130,7 +131,7 @@ def chained(docs: DataFrame, partitions: int | None = None) -> tuple[DataFrame,
     to = heads.withColumn("to", F.coalesce(F.lag("p").over(before), F.lit(last))).select("p", "f", "to")
     guests = (
         dealt.join(F.broadcast(to), F.col(part) == F.col("p"))
-        .where(F.coalesce(F.col("f.i") == -F.col("doc_id"), F.col("f.i").isNull() & F.col("doc_id").isNull()) & (F.col("f.t") == F.col(tie)))
+        .where(F.coalesce(F.col("f.i") == falling, F.col("f.i").isNull() & F.col("doc_id").isNull()) & (F.col("f.t") == F.col(tie)))
         .dropDuplicates(["p"])
         .select(*(F.col(f"`{c}`") for c in docs.columns), tie, F.col("to").alias(part), F.lit(True).alias(guest))
     )

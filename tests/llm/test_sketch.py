@@ -46,6 +46,11 @@ def test_uneven_ids(spark, partitions):
     assert found(fingerprint_documents(df, partitions=partitions)) == expected(docs)
 
 
+def test_least_and_largest_ids(spark):
+    docs = [(-(2**63), "a b c"), (2**63 - 1, "d e f"), (0, "g h i"), (-5, "j k l")]
+    assert found(fingerprint_documents(spark.createDataFrame(docs, "doc_id long, text string"), partitions=2)) == expected(docs)
+
+
 def test_one_row_follows_itself(spark):
     df = spark.createDataFrame([(1, "abc def ghi")], "doc_id long, text string")
     assert found(fingerprint_documents(df)) == expected([(1, "abc def ghi")])
