@@ -117,10 +117,10 @@ def labelled_sample(
 ) -> DataFrame:
     """(doc_id, text, y) of at most ``max_rows`` labelled documents, the same on every run.
 
-    ``usable`` says which labels may be learned from. The sample is the rows with the least
+    ``usable`` says which labels may be learned from. The sample is the documents with the least
     hashes of the id, so it is bounded whatever the input, and the broadcast of its ids too.
-    Several labels of one document count as their majority; several rows of one document
-    all count.
+    Several labels of one document count as their majority; of several rows of one document the one with the
+    least text hash counts.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & usable)
@@ -129,4 +129,5 @@ def labelled_sample(
         .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
         .limit(max_rows)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
+    rows = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "y")
