@@ -44,7 +44,7 @@ _QUERY_START = f"{_STREAM}StreamingQueryListener$QueryStartedEvent"
 # Plan nodes that write files, whose text names the catalog table if there is one, and
 # those of a command that makes a table, which runs its write as another execution.
 _WRITE_NODE = r'"simpleString":"Execute InsertInto((?:[^"\\]|\\.)*)"'
-_NAMES_TABLE = rf"`[^`]+`\.`(?![^`]*{KEYS}`)[^`]+`"  # an index of keys is no output
+_NAMES_TABLE = rf"`[^`]+`\.`(?![^`]*{KEYS}`)[^`]+`(?!\.`)"  # an index of keys is no output
 _TABLE_NODE = r'"nodeName":"(?:Execute (?:SaveAsV1Table|CreateDataSourceTableAsSelect|CreateHiveTableAsSelect)Command|(?:Atomic)?(?:Create|Replace)TableAsSelect)"'
 _DEFAULT_DRIVER_MB = 1024
 
