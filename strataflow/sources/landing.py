@@ -24,6 +24,9 @@ TABLE_SUFFIX = "_bz"
 MAX_BROADCAST_BYTES = 64 << 20
 LANDING_FILES = "*.csv*"  # plain and compressed; the same files for every way of loading
 _ONE_FILE_A_TASK = str(1 << 40)
+#: Files up to this size cost about as much to open as to read; more than a hundred of them share a task of the header pass.
+SMALL_FILE_BYTES = 1 << 20
+_PACK_BYTES = str(128 * SMALL_FILE_BYTES)
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -85,31 +88,50 @@ def read_landing(
 def landing_headers(spark: SparkSession, paths: Paths, files: str = LANDING_FILES) -> DataFrame:
     """Header of each file: ``file_path`` (as in ``_metadata``), the line ``header``, and its ``names``.
 
-    A task has one file and stops at its first line that isn't blank, so only the beginning of each file is
-    read and nothing is sorted or shuffled. Files without any such line have no row.
+    The header is the first line that isn't blank; files without any such line have no row. Nothing is sorted or
+    shuffled. Of a file over ``SMALL_FILE_BYTES`` only the beginning is read, by a task that has this file alone. Smaller
+    ones are read whole, a hundred or more to a task, so a million small files are some ten thousand tasks; only
+    their first lines leave the scan. Which file is which is decided by the listing: each is opened once.
     """
-    lister = spark.newSession()  # its settings are for this scan only
-    lister.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE_A_TASK)
-    lister.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE_A_TASK)
-    lister.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    lines = _reader(lister, files).text(_paths(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    size = F.col("_metadata.file_size")
+    small = _reader(_lister(spark, _PACK_BYTES, str(SMALL_FILE_BYTES)), files).text(_paths(paths), wholetext=True)
+    first = F.regexp_extract(F.ltrim("value", F.lit("\ufeff")), r"(?:^|[\r\n])( *+[^ \r\n][^\r\n]*+)", 1)
+    small = small.where(size <= SMALL_FILE_BYTES).select("_metadata.file_path", first.alias("header")).where("header != ''")
+    large = _reader(_lister(spark, _ONE_FILE_A_TASK, _ONE_FILE_A_TASK), files).text(_paths(paths))
+    large = large.where(size > SMALL_FILE_BYTES).select("_metadata.file_path", "value", "_metadata.file_block_start")
     sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     schema = "file_path string, header string, names array<string>"
     kinds = pa.schema([("file_path", pa.string()), ("header", pa.string()), ("names", pa.list_(pa.string()))])
 
+    def named(rows: list[dict]) -> pa.RecordBatch:
+        for row in rows:
+            names = next(csv.reader([row["header"].rstrip("\r")]))
+            row["names"] = names if sensitive else [name.lower() for name in names]
+        return pa.RecordBatch.from_pylist(rows, kinds)
+
+    def all_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield named(batch.to_pylist())
+
     def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 if row["file_block_start"] > 0:
                     return
                 if row["value"].strip(" "):
-                    names = next(csv.reader([row["value"].rstrip("\r")]))
-                    names = names if sensitive else [name.lower() for name in names]
-                    found = {"file_path": row["file_path"], "header": row["value"], "names": names}
-                    yield pa.RecordBatch.from_pylist([found], kinds)
+                    yield named([{"file_path": row["file_path"], "header": row["value"]}])
                     return
 
-    return lines.mapInArrow(first_line, schema)
+    return large.mapInArrow(first_line, schema).unionByName(small.mapInArrow(all_named, schema))
+
+
+def _lister(spark: SparkSession, pack_bytes: str, open_bytes: str) -> SparkSession:
+    """A session whose scans put that many bytes into a task, each file counted as ``open_bytes`` more."""
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionBytes", pack_bytes)
+    lister.conf.set("spark.sql.files.openCostInBytes", open_bytes)
+    lister.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    return lister
 
 
 def file_headers(spark: SparkSession, paths: Paths, files: str = LANDING_FILES) -> DataFrame:

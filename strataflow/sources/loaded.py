@@ -51,20 +51,24 @@ def load_new_files(
     that was dropped, or replaced by other means, starts anew with all files there are. Age and order of the files
     don't matter. The files of a batch become one partition of the column ``load_batch``, and are noted
     after it is written. If a run dies in between, the next one writes the same partition again, so
-    nothing is doubled or left out. At most ``files_per_batch`` paths are on the driver at a time. ``done`` sees what is
-    written, to count it.
+    nothing is doubled or left out. At most ``files_per_batch`` paths are on the driver at a time. The folders are listed and
+    compared with the list of loaded files once for a call; files that arrive later are the next call's. ``done``
+    sees what is written, to count it.
     """
     generation = _generation(spark, table)
     fresh = generation is None
     if fresh:
         generation = uuid.uuid4().hex
     seen = f"{seen.rstrip('/')}/{generation}"
-    n = 0
+    known = loaded_files(spark, seen)
+    batch = known.agg(F.max("batch")).first()[0] or 0
+    path = scratch_path(spark, "pending")
+    pending_files(landing_files(spark, src, files).select("path"), known).sort("path").write.parquet(path)
+    pending = spark.read.schema("path string").parquet(path)
+    n, last = 0, ""
     while True:
-        known = loaded_files(spark, seen)  # read anew, with the batch just noted
-        batch = (known.agg(F.max("batch")).first()[0] or 0) + 1
-        pending = pending_files(landing_files(spark, src, files).select("path"), known)
-        paths = [r["path"] for r in pending.orderBy("path").limit(files_per_batch).collect()]
+        batch += 1  # in order of path; what lies before the last path is skipped by the files' least and greatest ones
+        paths = [r["path"] for r in pending.where(F.col("path") > last).orderBy("path").limit(files_per_batch).collect()]
         if not paths and not (fresh and n == 0):
             return n
         rows = read([escaped(p) for p in paths or _first(src)]).withColumn(LOAD_BATCH, F.lit(batch).cast("bigint"))
@@ -74,7 +78,7 @@ def load_new_files(
             return n
         _write_batch(done(rows), table, batch)
         note_files(spark, paths, seen, batch)
-        n += len(paths)
+        n, last = n + len(paths), paths[-1]
 
 
 def _write_batch(rows: DataFrame, table: str, batch: int, label: tuple[str, str] | None = None) -> None:

@@ -1,5 +1,6 @@
 """Landing files: headers, blanks, spaces, lineage, manifest, load-once."""
 
+import gzip
 import os
 import uuid
 
@@ -139,6 +140,52 @@ def test_write_landing_keeps_rows(spark, tmp_path):
     assert read_landing(spark, str(tmp_path / "one"), ["t"]).count() == 2
 
 
+def test_small_files_share_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("strataflow.sources.landing.SMALL_FILE_BYTES", 400)
+    for i in range(300):
+        put(tmp_path, f"f{i:03d}.csv", f"a,b{i % 3}\n{i},1\n")
+    for i in range(2):
+        put(tmp_path, f"large{i}.csv", f"a,c{i}\n" + "1,2\n" * 200)
+    put(tmp_path, "bom.csv", "\ufeffa,d\n1,2\n")
+    put(tmp_path, "blank.csv", " \r\n\n  \r" * 5000 + " a,e\r\n1,2\n")
+    put(tmp_path, "small_blank.csv", "  \r\n\n \r a,f\r1,2")
+    put(tmp_path, "none.csv", " \n  \n")
+    put(tmp_path, "empty.csv", "")
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as out:
+        out.write('\n"a",g\n1,2\n')
+    found = landing_headers(spark, str(tmp_path))
+    assert {os.path.basename(r.file_path): r.header for r in found.collect()} == {
+        **{f"f{i:03d}.csv": f"a,b{i % 3}" for i in range(300)}, "large0.csv": "a,c0", "large1.csv": "a,c1", "bom.csv": "a,d",
+        "blank.csv": " a,e", "small_blank.csv": " a,f", "packed.csv.gz": '"a",g',
+    }
+    assert [r.names for r in found.where("file_path like '%packed%'").collect()] == [["a", "g"]]
+    assert found.rdd.getNumPartitions() < 30  # three large files have a task each
+
+
+def test_load_once_lists_once(spark, tmp_path, monkeypatch):
+    """Batches of a call are taken from one listing; a file that comes meanwhile is the next call's."""
+    from strataflow.sources import loaded
+
+    real, listed = loaded.landing_files, []
+    monkeypatch.setattr(loaded, "landing_files", lambda *a: listed.append(1) or real(*a))
+    for i in range(5):
+        put(tmp_path / "in", f"{i} é.csv", f"a,b\n{i},x\n")
+    table = f"default.listed_{uuid.uuid4().hex}"
+    sizes = []
+
+    def read(paths):
+        sizes.append(len(paths))
+        if len(sizes) == 1:
+            put(tmp_path / "in", "0 late.csv", "a,b\n9,x\n")
+        return read_landing(spark, paths, ["a", "b"])
+
+    load = lambda: loaded.load_new_files(spark, str(tmp_path / "in"), table, str(tmp_path / "seen"), read, files_per_batch=2)
+    assert (load(), sizes, len(listed)) == (5, [2, 2, 1], 1)
+    assert (load(), sizes, len(listed)) == (1, [2, 2, 1, 1], 2) and load() == 0
+    assert sorted(r.a for r in spark.table(table).collect()) == ["0", "1", "2", "3", "4", "9"]
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_headers_need_no_sort_or_shuffle(spark, tmp_path):
     for n in range(5):
         put(tmp_path, f"{n}.csv", "a,b\n" + "1,2\n" * 5000)
