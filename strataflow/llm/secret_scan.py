@@ -4,13 +4,13 @@ A candidate is a run of characters that keys and tokens are made of. For every c
 characters, a window slides over the runs of that class; its Shannon entropy comes from the counts of
 its characters, which each step changes by one out and one in. Windows over the limit of
 their class are joined to spans, and spans of several classes that overlap to one. Of a span, what allow-listed strings
-cover isn't reported, nor is what a pattern has found already.
+cover isn't reported. A span that a pattern's match covers says nothing new; one that goes beyond it is reported whole.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
@@ -45,8 +45,8 @@ class CharacterClass:
 
 CLASSES = (
     CharacterClass(re.compile(r"[0-9A-F]{24,}"), 24, 3.0, 2),
-    CharacterClass(re.compile(r"[a-z0-9]{20,}"), 20, 3.6, 2),
-    CharacterClass(re.compile(r"[A-Z0-9]{20,}"), 20, 3.5, 2),
+    CharacterClass(re.compile(r"[a-z0-9]{20,}"), 20, 3.4, 2),
+    CharacterClass(re.compile(r"[A-Z0-9]{20,}"), 20, 3.4, 2),
     CharacterClass(re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.6, 3),
     CharacterClass(re.compile(r"[A-Za-z0-9+/=_-]{24,}"), 24, 3.9, 3),
 )
@@ -147,22 +147,22 @@ def not_allowed(run: str, kind: CharacterClass) -> list[tuple[int, int]]:
 
 
 def entropy_spans(text: str, taken: Sequence[Span], classes: Sequence[CharacterClass] = CLASSES) -> list[Span]:
-    """Added spans of all classes: not allow-listed, not touching ``taken``; those that overlap are one."""
-    base = joined((a, b) for _, a, b in taken)
-    ends = [b for _, b in base]
+    """Added spans of all classes: not allow-listed, those that overlap are one, none that ``taken`` covers whole."""
     found: list[tuple[int, int]] = []
     for kind in classes:
         for m in kind.pattern.finditer(text):
             run = m.group()
             looks = any(map(str.isdigit, run)) + any(map(str.isupper, run)) + any(map(str.islower, run))
-            if looks < kind.mixed:
-                continue
-            for a, b in not_allowed(run, kind):
-                a, b = a + m.start(), b + m.start()
-                near = bisect_right(ends, a)
-                if near == len(base) or base[near][0] >= b:
-                    found.append((a, b))
-    return [("entropy", a, b) for a, b in joined(found)]
+            if looks >= kind.mixed:
+                found += [(a + m.start(), b + m.start()) for a, b in not_allowed(run, kind)]
+    base = joined((a, b) for _, a, b in taken)
+    ends = [b for _, b in base]
+    added = []
+    for a, b in joined(found):
+        near = bisect_left(ends, b)  # the first that ends at b or later
+        if near == len(base) or base[near][0] > a:
+            added.append(("entropy", a, b))
+    return added
 
 
 def ordered(spans: Sequence[Span], kinds: Sequence[str]) -> list[Span]:
@@ -229,7 +229,8 @@ def masked(text: str | None, spans: Sequence[Span], mask: str = "[secret]") -> s
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets in ``text`` masked and, if there is a column ``n_chars``, it counted anew.
 
-    No row is dropped; rows without secrets and null texts stay as they are.
+    No row is dropped; rows without secrets and null texts stay as they are. Repeated rows are masked alike, an empty table
+    stays empty, very long texts are read whole.
     """
     count = [c for c in docs.columns if c.lower() == "n_chars"]
     cleaned = add_columns(

@@ -110,6 +110,44 @@ def test_keys_in_one_letter_case(alphabet, n):
         assert find_secrets(clean)[1] == []
 
 
+MIXED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_keys_that_hold_a_fixed_match_are_reported_whole():
+    rng = random.Random(3)
+    for _ in range(60):
+        left, right, tail = noise(rng, MIXED, 40) + "Z", "Z" + noise(rng, MIXED, 40), noise(rng, MIXED, 60)
+        for key in (left + noise(rng, "0123456789abcdef", 16) + right, "AKIA" + noise(rng, UPPER, 16) + "z" + tail):
+            base, found = find_secrets(f"use {key} now")
+            assert base and set(base) <= set(found)
+            assert max(b - a for k, a, b in found if k == "entropy") > 0.8 * len(key)
+            assert len(masked(f"use {key} now", found)) < 40
+    for covered in ("token = " + noise(rng, MIXED, 40), noise(rng, "0123456789abcdef", 40)):  # nothing beyond the match
+        base, found = find_secrets(f"use {covered} now")
+        assert base and found == base
+
+
+def test_planted_keys_are_found_and_prose_is_left(real_docs):
+    """Recall of unlabelled keys within real texts, and no entropy spans in the same texts without them."""
+    rng = random.Random(11)
+    forms = {
+        "mixed": lambda: noise(rng, MIXED, rng.randint(24, 64)), "lower": lambda: noise(rng, LOWER, rng.randint(28, 48)),
+        "base32": lambda: noise(rng, UPPER, rng.randint(28, 52)), "upper hex": lambda: noise(rng, "0123456789ABCDEF", rng.randint(32, 64)),
+        "base64": lambda: noise(rng, MIXED + "+/", rng.randint(40, 88)), "url-safe": lambda: noise(rng, MIXED + "_-", rng.randint(36, 64)),
+    }
+    texts = [r["text"] or "" for r in real_docs.select("text").orderBy("doc_id").limit(300).collect()]
+    for name, form in forms.items():
+        caught = 0
+        for text in texts:
+            at, key = rng.randint(0, len(text)), form()
+            start = at + 1
+            hidden = set(range(start, start + len(key)))
+            seen = {i for _, a, b in find_secrets(f"{text[:at]} {key} {text[at:]}")[1] for i in range(a, b)}
+            caught += len(hidden & seen) >= 0.9 * len(hidden)
+        assert caught >= 0.9 * len(texts), name
+    assert sum(k == "entropy" for t in texts for k, _, _ in find_secrets(t)[1]) <= 0.01 * len(texts)
+
+
 def test_allow_list_covers_only_its_matches():
     base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     rng = random.Random(7)
