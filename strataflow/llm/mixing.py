@@ -5,7 +5,8 @@ the fractions are rounded by the pivotal method: two documents meet, probability
 from one to the other at random (keeping both expectations and the sum of
 ``size * probability``) until one of them is 0 or 1. That one is settled, the other meets
 the next. So the words taken of a source miss its target by less than the size of the one
-document that is left over at the end; as large documents meet first, that is a small one.
+document that is left over at the end; as large documents meet first, that is a small one. Every document gets the
+floor or the ceiling of its rate.
 
 The meetings form a tree: each level deals the unsettled documents of a source into blocks of
 about ``FAN_IN`` by a hash, settles all but one in each block, and writes its result. A
@@ -111,7 +112,7 @@ def copies(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), max_copies:
     settled = [due.where(~fractional).select(*key, "rep", _by_chance(seed, -1))]
     rank = F.struct("size", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("rep")).alias("h"), "rep")
     open_rows = due.where(fractional).select(*key, "rep", "p", "shift", "n_docs", "source_size", "target", "whole", rank.alias("order"))
-    heavy, after = _heaviest(open_rows, seed, max_copies)
+    heavy, after = _heaviest(open_rows, seed)
     settled.append(heavy)
     open_rows = (
         open_rows.drop("p", "shift")
@@ -148,15 +149,15 @@ def _by_chance(seed: int, level: int) -> Column:
     return (F.col("shift") + F.when(_uniform(seed, level) < F.col("p"), 1).otherwise(0)).alias("extra")
 
 
-def _heaviest(open_rows: DataFrame, seed: int, max_copies: float) -> tuple[DataFrame, DataFrame]:
+def _heaviest(open_rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     """Settles the ``FAN_IN`` largest documents of each source first, each against all that come after it.
 
-    A document may be too large for the few it meets in the tree to balance it. So the largest, one after the
-    other, are paired with the pool of all smaller ones: the document becomes integral at random, and the
-    pool takes the difference, within 0 and ``max_copies`` for each; only where the pool is too small for that
-    are expectations not kept. Returns what is settled, and for each source (source, p, shift, cut): the
-    fraction that all documents of an ``order`` under ``cut`` are due from then on, and by how many
-    whole copies more or less than before.
+    A document may be too large for the few it meets in the tree to balance it. So the largest meet, one after the
+    other, all smaller documents of the source as one partner: the document gets its floor or ceiling at random, and
+    the others take the difference, each within the same floor and ceiling. Where they are too few for one of the two, the
+    other is taken, and where they are too few for both, the one that misses less; only there are expectations not
+    kept. Returns what is settled, and for each source (source, p, shift, cut): the fraction that all documents of an
+    ``order`` under ``cut`` are due from then on, and by how many whole copies more than before.
     """
     key = ["doc_id", "source", "size", "rep"]
     by_size = Window.partitionBy("source").orderBy(F.desc("order"))  # limited in each task before the shuffle
@@ -167,7 +168,12 @@ def _heaviest(open_rows: DataFrame, seed: int, max_copies: float) -> tuple[DataF
         F.first(F.struct(F.col("target").alias("due"), F.col("source_size").cast("double").alias("pool"))).alias("start"),
     )
     done_type = f"array<struct<doc_id:{dict(open_rows.dtypes)['doc_id']},size:bigint,rep:int,extra:int>>"
-    bounded = lambda due, pool: F.least(F.greatest(due / pool, F.lit(0.0)), F.lit(float(max_copies)))
+    def more(acc: Column, x: Column) -> Column:
+        """Whether ``x`` gets one more than the whole copies; the others' share of what is due then is 0 to ``others``."""
+        extra, others = acc["due"] - x["whole"] * acc["pool"], acc["pool"] - x["size"]
+        short, over = x["size"] - extra, extra - others  # if it does, if it doesn't
+        by_chance = x["u"] * acc["pool"] < extra
+        return F.when((short <= 0) & (over <= 0), by_chance).when((short > 0) & (over > 0), short <= over).otherwise(over > 0)
 
     def draw(acc: Column, x: Column) -> Column:
         def settle(n: Column) -> Column:
@@ -176,16 +182,13 @@ def _heaviest(open_rows: DataFrame, seed: int, max_copies: float) -> tuple[DataF
                 (acc["due"] - n * x["size"]).alias("due"), (acc["pool"] - x["size"]).alias("pool"), F.concat(acc["done"], one).alias("done")
             )
 
-        rate = bounded(acc["due"], acc["pool"])
-        return let(rate, lambda r: let((F.floor(r) + F.when(x["u"] < r - F.floor(r), 1).otherwise(0)).cast("int"), settle))
+        return let((x["whole"] + F.when(more(acc, x), 1).otherwise(0)).cast("int"), settle)
 
     state = F.struct(F.col("start.due").alias("due"), F.col("start.pool").alias("pool"), F.array().cast(done_type).alias("done"))
     drawn = written(pools.select("source", "cut", "whole", F.aggregate("es", state, draw).alias("m")), "mix-heavy")
     settled = drawn.select("source", F.inline("m.done")).select(*key, "extra")
-    left = drawn.where("m.pool > 0").withColumn("rate", bounded(F.col("m.due"), F.col("m.pool")))
-    after = left.select(
-        "source", (F.col("rate") - F.floor("rate")).alias("p"), (F.floor("rate") - F.col("whole")).cast("int").alias("shift"), "cut"
-    )
+    left = drawn.where("m.pool > 0").withColumn("p", F.least(F.greatest(F.col("m.due") / F.col("m.pool") - F.col("whole"), F.lit(0.0)), F.lit(1.0)))
+    after = left.select("source", F.col("p") - F.floor("p"), F.floor("p").cast("int").alias("shift"), "cut").toDF("source", "p", "shift", "cut")
     return settled, written(after, "mix-after-heavy")
 
 

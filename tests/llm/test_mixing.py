@@ -1,3 +1,5 @@
+import math
+import random
 from collections import defaultdict
 from fractions import Fraction
 
@@ -79,6 +81,28 @@ def test_chance_has_the_right_mean(spark):
         assert sum(c for c, _ in got) / len(got) == pytest.approx(sum(x for _, x in got) / len(got), abs=0.17 if size == 60 else 0.05)
 
 
+def test_copies_are_floor_or_ceiling(spark):
+    """In sources of 1 to 50 documents and of one very large one too; what others can balance they balance."""
+    rng = random.Random(4)
+    sizes = [(f"n{n:02d}", rng.choice([1, 3, 9, 40, 200])) for n in range(1, 51) for _ in range(n)]
+    sizes += [(f"x{k:02d}", n) for k in range(30) for n in [600] + [rng.randint(1, 9) for _ in range(11)]]
+    sizes += [(f"y{k:02d}", n) for k in range(20) for n in [50, 40, 30] + [rng.randint(1, 3) for _ in range(200)]]
+    by = defaultdict(list)
+    for r in copies(table(spark, sizes)).collect():
+        by[r["source"]].append(r)
+        rate = r["target"] / r["source_size"]
+        assert r["copies"] in (math.floor(rate + 1e-9), math.ceil(rate - 1e-9)), (r["source"], r["size"], rate, r["copies"])
+    for s, rows in by.items():
+        miss, due = sum(r["taken"] for r in rows) - rows[0]["target"], rows[0]["target"]
+        part = due / rows[0]["source_size"] % 1
+        if s[0] == "y":
+            assert abs(miss) <= 3
+        if s[0] == "x":  # the others hold too little to balance it, so the nearer side is taken
+            largest, all_words = 600, rows[0]["source_size"]
+            extra = part * all_words
+            assert abs(miss) <= max(9, min(abs(largest - extra), abs(extra - (all_words - largest))) + 9)
+
+
 def test_word_count(spark):
     texts = [None, "", " \t\n\x0b\x0c\r", "a", " a  b c d\x1ce ", "x\x0by"]
     got = spark.createDataFrame([(t,) for t in texts], "text string").select(word_count("text")).collect()
