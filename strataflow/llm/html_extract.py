@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from strataflow.llm.common import add_columns, without
 from strataflow.llm.lstm import Adam, Params, backward, forward, new_bilstm
 
-MAX_PAGES, MADE = 250, 350
+MAX_PAGES, MADE = 250, 2_000
 MAX_TRAINING_CHARS = 60_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -61,16 +61,51 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-PATH, WORDS = 64, 32
+PATH, WORDS = 256, 32
 MEASURES = 10
 WIDTH = PATH + WORDS + MEASURES
 
 
-@dataclass
+class Place:
+    """An open element with those around it: what vectors need is carried along, so a deep path costs no more than a flat one."""
+
+    __slots__ = ("around", "names", "slots", "length")
+
+    def __init__(self, around: Place | None, names: tuple[str, ...]) -> None:
+        self.around, self.names = around, names
+        self.slots = around.slots if around else 0  # a bit for each hashed name
+        for name in names:
+            self.slots |= 1 << _slot(name, PATH)
+        self.length = len(names) + (around.length if around else 0)
+
+    def path(self) -> tuple[str, ...]:
+        parts, at = [], self
+        while at is not None:
+            parts.append(at.names)
+            at = at.around
+        return tuple(name for names in reversed(parts) for name in names)
+
+
 class Block:
-    path: tuple[str, ...]
-    text: str
-    linked: int
+    """The text of a leaf, how much of it is linked, and the names of the elements around it, outer ones first."""
+
+    __slots__ = ("place", "text", "linked")
+
+    def __init__(self, path: Place | Sequence[str], text: str, linked: int) -> None:
+        self.place = path if isinstance(path, Place) else Place(None, tuple(path))
+        self.text, self.linked = text, linked
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.place.path()
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Block) and (self.path, self.text, self.linked) == (other.path, other.text, other.linked)
+
+
+@lru_cache(maxsize=200_000)
+def _slot(token: str, width: int) -> int:
+    return crc32(token.encode("utf-8", "surrogatepass")) % width
 
 
 @lru_cache(maxsize=20_000)
@@ -87,7 +122,8 @@ def blocks(html: str | None) -> list[Block]:
     end with their parent.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Place]] = []  # inline elements have the place of what is around them
+    top = Place(None, ())
     parts: list[str] = []
     linked = 0
 
@@ -95,7 +131,7 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal parts, linked
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            out.append(Block(tuple(n for tag, names in stack if tag not in INLINE for n in names), text, linked))
+            out.append(Block(stack[-1][1] if stack else top, text, linked))
         parts, linked = [], 0
 
     for m in _TOKEN.finditer(html or ""):
@@ -132,7 +168,7 @@ def blocks(html: str | None) -> list[Block]:
                     if stack[k][0] not in INLINE:
                         break
             elif not closed:
-                stack.append((tag, ()))
+                stack.append((tag, stack[-1][1] if stack else top))
             continue
         if closed:
             continue
@@ -150,26 +186,23 @@ def blocks(html: str | None) -> list[Block]:
                     break
                 if stack[k][0] not in INLINE:
                     break
-            stack.append((tag, _named(tag, m["rest"])))
+            stack.append((tag, Place(stack[-1][1] if stack else top, _named(tag, m["rest"]))))
     end_block()
     return out
 
 
-@lru_cache(maxsize=200_000)
-def _slot(token: str, width: int) -> int:
-    return crc32(token.encode("utf-8", "surrogatepass")) % width
-
-
 def vectors(page: Sequence[Block], hide: Random | None = None) -> np.ndarray:
     """A row for each block; ``hide`` leaves out the telling names of a page at random."""
     x = np.zeros((len(page), WIDTH), np.float32)
-    gone = hide is not None and hide.random() < 0.25
+    # names must stay where only they tell a part within the article from the article
+    gone = hide is not None and hide.random() < 0.25 and not any(taught(b) is False and _telling(b, MAIN, MAIN_WORDS) for b in page)
     n = max(len(page) - 1, 1)
     for i, b in enumerate(page):
-        for token in b.path:
-            word = token.lstrip(".")
-            if not (gone and (word in MAIN or word in MAIN_WORDS or word in OTHER_WORDS)):
-                x[i, _slot(token, PATH)] = 1
+        slots = b.place.slots
+        if gone:
+            left = (t for t in b.path if t.lstrip(".") not in MAIN and t.lstrip(".") not in MAIN_WORDS and t.lstrip(".") not in OTHER_WORDS)
+            slots = Place(None, tuple(left)).slots
+        x[i, :PATH] = np.unpackbits(np.frombuffer(slots.to_bytes(PATH // 8, "little"), np.uint8), bitorder="little")
         words = b.text.lower().split()
         for slot, n_words in Counter(_slot(w, WORDS) for w in words).items():
             x[i, PATH + slot] = n_words / len(words)
@@ -182,7 +215,7 @@ def vectors(page: Sequence[Block], hide: Random | None = None) -> np.ndarray:
             b.text[-1] in ".!?\"'",
             b.text[0].isupper(),
             i / n,
-            len(b.path) / 10,
+            min(b.place.length, 60) / 10,
             "©" in b.text or "|" in b.text,
             sum(map(b.text.count, "0123456789")) / size,
         )
@@ -212,16 +245,15 @@ class BlockLabeller:
         return out
 
 
+def _telling(block: Block, tags: frozenset[str], words: frozenset[str]) -> bool:
+    return any(token in tags or (token[0] == "." and token[1:] in words) for token in block.path)
+
+
 def taught(block: Block) -> bool | None:
-    """What the markup says of a block: main text, other, or nothing."""
-    verdict = None
-    for token in block.path:
-        word = token.lstrip(".")
-        if token in OTHER or (token[0] == "." and word in OTHER_WORDS):
-            return False
-        if token in MAIN or (token[0] == "." and word in MAIN_WORDS):
-            verdict = True
-    return verdict
+    """What the markup says of a block: main text, other, or nothing. Other parts may stand within the article."""
+    if _telling(block, OTHER, OTHER_WORDS):
+        return False
+    return True if _telling(block, MAIN, MAIN_WORDS) else None
 
 
 def made_pages(n: int, seed: int = 4) -> list[list[tuple[Block, bool]]]:
@@ -243,16 +275,65 @@ def made_pages(n: int, seed: int = 4) -> list[list[tuple[Block, bool]]]:
         def part(tag: str, names: Sequence[str], rng=rng) -> tuple[str, ...]:
             return (tag,) if rng.random() < 0.4 else ("div", f".{rng.choice(names)}")
 
+        def heading(path: tuple[str, ...], page=page, rng=rng, root=root) -> None:
+            if rng.random() < 0.5:
+                page.append((Block((*root, *path, rng.choice(["h2", "h3", "h4"])), phrase(1, 4).capitalize(), 0), False))
+
+        def paragraphs(a: int, b: int, rng=rng) -> list[str]:
+            return [" ".join(sentence() for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(a, b))]
+
+        def comments(around: tuple[str, ...] = (), rng=rng) -> None:
+            where = (*around, rng.choice(["div", "section", "ol"]), f".{rng.choice(['comments', 'comment', 'replies'])}")
+            heading(where)
+            other((*where, *rng.choice([("p",), ("div", "p"), ("li",), ("li", "p"), ("div", ".comment", "p")])), paragraphs(1, 5), False)
+
+        def side(around: tuple[str, ...] = (), rng=rng) -> None:
+            where = around + (part("aside", ["sidebar", "related", "widget", "side", "social", "newsletter"]))
+            heading(where)
+            if rng.random() < 0.6:
+                other((*where, "ul", "li"), [phrase(2, 6) for _ in range(rng.randint(2, 6))], True)
+            else:
+                other((*where, "p") if rng.random() < 0.7 else where, paragraphs(1, 3), False)
+
+        def menu(around: tuple[str, ...] = (), rng=rng) -> None:
+            where = around + part("nav", ["menu", "nav", "breadcrumb", "pagination", "toolbar"])
+            heading(where)
+            other((*where, *rng.choice([("ul", "li"), ("ol", "li"), ()])), [phrase(1, 3) for _ in range(rng.randint(2, 8))], True)
+
+        def notice(around: tuple[str, ...] = (), rng=rng) -> None:
+            tag, name = rng.choice(["div", "section", "p"]), f".{rng.choice(['cookie', 'notice', 'consent', 'popup', 'banner'])}"
+            inner = () if tag == "p" else rng.choice([(), ("p",)])
+            other((*around, tag, name, *inner), paragraphs(1, 1), False)
+
+        def advert(around: tuple[str, ...] = (), rng=rng) -> None:
+            name = f".{rng.choice(['ad', 'ads', 'advert', 'advertisement', 'sponsor', 'promo', 'share'])}"
+            inner = rng.choice([(), ("p",), ("h3",)])
+            other((*around, rng.choice(["div", "section"]), name, *inner), [sentence() if rng.random() < 0.6 else phrase(2, 8)], rng.random() < 0.4)
+
+        def form(around: tuple[str, ...] = (), rng=rng) -> None:
+            where = around + part("form", ["subscribe", "login", "signup", "newsletter", "form"])
+            heading(where)
+            other((*where, "label"), [phrase(1, 4) for _ in range(rng.randint(1, 3))], False)
+            if rng.random() < 0.5:
+                other((*where, *rng.choice([("p",), ("button",), ()])), [phrase(1, 5).capitalize()], False)
+
+        def foot(around: tuple[str, ...] = (), rng=rng) -> None:
+            where = around + part("footer", ["footer", "copyright", "foot"])
+            text = f"© {word()}.{word()}.org · {sentence()}" if not around or rng.random() < 0.3 else sentence()
+            other((*where, *rng.choice([(), ("p",)])), [text], False)
+
+        parts_within = (comments, side, menu, notice, advert, form, foot)
         title = phrase(3, 10).capitalize()
         page.append((Block(("html", "head", "title"), title, 0), False))
         if rng.random() < 0.4:
             other(part("header", ["header", "banner"]), [phrase(1, 4)], False)
-        if rng.random() < 0.85:
-            other((*part("nav", ["menu", "nav"]), "ul", "li"), [phrase(1, 2) for _ in range(rng.randint(3, 8))], True)
+        if rng.random() < 0.8:
+            menu()
         if rng.random() < 0.3:
-            other(("div", f".{rng.choice(['cookie', 'notice', 'consent'])}"), [sentence()], False)
-        if rng.random() < 0.6:
-            other(("div", f".{rng.choice(['ad', 'advert', 'sponsor', 'promo'])}"), [sentence()], False)
+            notice()
+        if rng.random() < 0.5:
+            advert()
+        nested = rng.random() < 0.5
         main = rng.choice([("article",), ("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".post", ".entry")])
         if rng.random() < 0.8:
             page.append((Block((*root, *main, rng.choice(["h1", "h1", "h2"])), title, 0), True))
@@ -260,17 +341,13 @@ def made_pages(n: int, seed: int = 4) -> list[list[tuple[Block, bool]]]:
             inner = rng.choice([("p",)] * 8 + [("h2",), ("ul", "li"), ("blockquote",), ("table", "tr", "td"), ("pre",)])
             text = phrase(1, 6).capitalize() if inner == ("h2",) else " ".join(sentence() for _ in range(rng.randint(1, 6)))
             page.append((Block((*root, *main, *inner), text, 0), True))
-            if rng.random() < 0.05:
-                other((*main, "div", f".{rng.choice(['ad', 'share', 'promo'])}"), [phrase(2, 8)], rng.random() < 0.5)
-        if rng.random() < 0.35:
-            other(part("aside", ["sidebar", "related", "widget"]) + ("ul", "li"), [phrase(2, 6) for _ in range(rng.randint(2, 6))], True)
-        if rng.random() < 0.35:
-            where = ("div", f".{rng.choice(['comments', 'comment', 'replies'])}")
-            other((*where, "p"), [" ".join(sentence() for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 5))], False)
-        if rng.random() < 0.3:
-            other((*part("form", ["subscribe", "login"]), "label"), [phrase(1, 4) for _ in range(2)], False)
-        if rng.random() < 0.85:
-            other(part("footer", ["footer", "copyright"]), [f"© {word()}.{word()}.org · {sentence()}"], False)
+            if nested and rng.random() < 0.15:
+                rng.choice(parts_within)(main)
+        if nested and rng.random() < 0.5:
+            rng.choice(parts_within)(main)
+        for piece, chance in ((side, 0.35), (comments, 0.35), (form, 0.3), (notice, 0.1), (foot, 0.85)):
+            if rng.random() < chance:
+                piece()
         pages.append(page)
     return pages
 

@@ -1,10 +1,11 @@
 import re
+import time
 from html import unescape
 
 import pytest
 
 from strataflow.llm import queries
-from strataflow.llm.html_extract import PATH, WORDS, Block, blocks, fit_labeller, made_pages, main_texts, vectors
+from strataflow.llm.html_extract import MADE, PATH, WORDS, Block, blocks, fit_labeller, made_pages, main_texts, vectors
 from strataflow.llm.url_filter import RULES, made_examples, train_url_model
 
 
@@ -106,6 +107,11 @@ def labeller():
     return fit_labeller(made_pages(300))
 
 
+@pytest.fixture(scope="module")
+def full_labeller():
+    return fit_labeller(made_pages(MADE))
+
+
 def test_unseen_layouts(labeller):
     pages = made_pages(80, seed=50)
     kept = labeller.keep([[b for b, _ in p] for p in pages])
@@ -114,6 +120,39 @@ def test_unseen_layouts(labeller):
     assert main_texts([PAGE, None, ""], labeller)[1:] == ["", ""]
 
 
+PARTS = {
+    "comments": '<section class="comments"><h3>Replies</h3><p>I do not agree with this at all.</p><p>Well said, thank you for it!</p></section>',
+    "comments by id": '<div id="comments"><p>First of all, this is wrong.</p><div class="comment"><p>No, it is right.</p></div></div>',
+    "sidebar": '<div class="sidebar"><h3>Related</h3><ul><li><a href="/a">Another story</a><li><a href="/b">One more</a></ul></div>',
+    "aside": "<aside><h2>Most read</h2><p>Some words about other things on this site.</p></aside>",
+    "nav": '<nav><ul><li><a href="/1">Home</a><li><a href="/2">World</a><li><a href="/3">Sports</a></ul></nav>',
+    "menu": '<div class="menu"><a href="/1">Home</a> <a href="/2">World</a></div>',
+    "footer": "<footer>© 2024 The Site. All rights reserved.</footer>",
+    "form": "<form><h3>Join us</h3><label>Your mail</label><input><button>Send</button></form>",
+    "notice": '<div class="cookie notice"><p>We use small files to remember you. Do you agree?</p></div>',
+    "advert": '<div class="ad"><p>Buy two chairs and get a table for nothing today!</p></div>',
+}
+ARTICLE = ["The river rose again", "On Monday the water reached the old bridge, and the school was closed.", "Nobody was hurt, the mayor said on the radio."]
+
+
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main><article>{}</article></main>", '<div class="page"><article>{}</article></div>'])
+@pytest.mark.parametrize("part", PARTS)
+def test_parts_within_and_beside_the_article(full_labeller, frame, part):
+    title, one, two = ARTICLE
+    first, second = f"<h1>{title}</h1><p>{one}</p>", f"<p>{two}</p>"
+    page = "<html><head><title>T</title></head><body>{}</body></html>"
+    within = [page.format(frame.format(first + PARTS[part] + second)), page.format(frame.format(first + second + PARTS[part]))]
+    beside = [page.format(PARTS[part] + frame.format(first + second)), page.format(frame.format(first + second) + PARTS[part])]
+    assert main_texts(within + beside, full_labeller) == [" ".join(ARTICLE)] * 4
+
+
+def test_deep_pages_take_linear_time():
+    start = time.monotonic()
+    page = blocks('<div class="a b c">x' * 50_000)
+    assert len(page) == 50_000 and vectors(page).shape[0] == 50_000 and page[2].path == ("div", ".a", ".b", ".c") * 3
+    assert time.monotonic() - start < 8  # 2 s here; copied paths took minutes
+
+
 def test_pages_are_read_alike_in_any_company(labeller):
     pages = [[b for b, _ in p] for p in made_pages(30, seed=51)]
     together = labeller.keep(pages)
