@@ -19,7 +19,7 @@ from strataflow.sources import (
     rejected_files,
     write_landing,
 )
-from strataflow.streaming import ingest_once
+from strataflow.streaming import ingest_once, ingest_rejects
 
 
 @query(
@@ -171,6 +171,34 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy("reason").agg(F.count(F.lit(1)).alias("n_files")).withColumn("n_kept", kept.scalar())
 
 
+_BY_HEADER_FOLDER = "'o_orderpriority=' || replace(o_orderpriority, ' ', '') AS folder"
+
+
+@query(
+    "q54_ingest_by_header",
+    f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_BY_HEADER_FOLDER}, CAST(1 AS BIGINT) AS n_left_out
+    FROM orders
+    """,
+)
+def ingest_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of a tree that grows: files of one order of columns, then of another with a stray file, then nothing new."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    priority = F.replace("o_orderpriority", F.lit(" "), F.lit("")).alias("o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(*columns, priority)
+    base, done = scratch_path(spark, "by-header"), F.col("o_orderstatus") == "F"
+    load = lambda: ingest_once(spark, f"{base}/in", f"{base}/out", f"{base}/seen", columns, headers="by_file")
+    write_landing(orders.where(done), f"{base}/in", ["o_orderpriority"])
+    load()
+    write_landing(orders.where(~done).select(orders.columns[::-1]), f"{base}/in", ["o_orderpriority"], mode="append")
+    write_landing(table(spark, sf_dir, "nation"), f"{base}/in/stray")
+    load()
+    left_out = ingest_rejects(spark, f"{base}/out").agg(F.count(F.lit(1)))
+    rows = load().withColumns({c: F.col(c).cast("bigint") for c in columns[:2]})
+    rows = rows.withColumns({"o_totalprice": F.col("o_totalprice").cast("double"), "n_left_out": left_out.scalar()})
+    return rows.drop("source_id")
+
+
 @query("q46_csv_line_breaks", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, line breaks and all, to landing files and back."""

@@ -78,7 +78,7 @@ class LayerReport:
         return out
 
 
-def _rejects(spark: SparkSession, layer: str, source: str, bad: DataFrame) -> list[Rejects]:
+def rejects(spark: SparkSession, layer: str, source: str, bad: DataFrame) -> list[Rejects]:
     """Writes the rejected files to the shared folder; none if there are none."""
     path = scratch_path(spark, "rejected")
     bad.select(
@@ -198,7 +198,7 @@ def build_bronze(
                 found = file_headers(spark, some, files)
                 summary = header_summary(spark, found, names)
                 if summary.n_rejected:
-                    problems.extend(_rejects(spark, "bronze", table, rejected_files(spark, some, names, found)))
+                    problems.extend(rejects(spark, "bronze", table, rejected_files(spark, some, names, found)))
                 rows = read_by_header(spark, some, names, found, lineage, suffix, every_suffix, files, summary=summary)
             return with_load_time(rows.select(*names, lineage), loaded_col, as_of)
 

@@ -11,7 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.functions.columns import AsOf
 from strataflow.plans.clean import CleanSpec
-from strataflow.plans.layers import LayerReport, build_bronze, build_bronze_from, build_gold, build_silver, layer_counts
+from strataflow.plans.layers import (
+    LayerError,
+    LayerReport,
+    Rejects,
+    build_bronze,
+    build_bronze_from,
+    build_gold,
+    build_silver,
+    layer_counts,
+    rejects,
+)
 from strataflow.plans.presets import (
     TELEMETRY_COLUMNS,
     TELEMETRY_GOLD,
@@ -33,7 +43,8 @@ class PipelineConfig:
     event log; a number there makes it a row of the run ledger.
 
     ``ingest`` names a folder: then a run first loads each landing file into it exactly once, as a stage of its own, and
-    bronze is made from there. It needs a ``checkpoint``, and is for the modes that make bronze anew.
+    bronze is made from there. It needs a ``checkpoint``, and is for the modes that make bronze anew. A run that meets files
+    with other columns loads the rest and fails before bronze; the next run goes on without those files.
     """
 
     landing: Mapping[str, Paths]
@@ -86,11 +97,18 @@ def stage(spark: SparkSession, run: str, name: str, clock: Callable[[str, float]
             clock(name, time.monotonic() - started)
 
 
-def _ingest(spark: SparkSession, config: PipelineConfig, table: str, paths: Paths) -> DataFrame:
-    """All rows of a source that were ever ingested, new files included."""
+def _ingest(spark: SparkSession, config: PipelineConfig, table: str, paths: Paths, problems: list[Rejects]) -> DataFrame:
+    """All rows of a source that were ever ingested, new files included; new files with other columns become problems."""
     columns = list(config.columns or landing_columns(spark, paths))
     place, seen = f"{config.ingest.rstrip('/')}/{table}", f"{config.checkpoint.rstrip('/')}/{INGEST_STAGE}/{table}"
-    rows = ingest_once(spark, paths, place, seen, columns, config.lineage, run=config.run)
+
+    def report(bad: DataFrame) -> None:
+        problems.extend(rejects(spark, INGEST_STAGE, table, bad))
+
+    rows = ingest_once(
+        spark, paths, place, seen, columns, config.lineage, run=config.run,
+        headers="same" if config.headers == "same" else "by_file", on_rejects=report,
+    )
     return rows.select(*columns, config.lineage)
 
 
@@ -111,8 +129,11 @@ def run_pipeline(
     if config.ingest and (config.mode != "replace" or not config.checkpoint):
         raise ValueError("ingest needs a checkpoint folder and mode='replace'")
     if config.ingest:
+        problems: list[Rejects] = []
         with stage(spark, config.run, INGEST_STAGE, clock):
-            arrived = {tables[label]: _ingest(spark, config, tables[label], paths) for label, paths in config.landing.items()}
+            arrived = {tables[label]: _ingest(spark, config, tables[label], paths, problems) for label, paths in config.landing.items()}
+        if problems:
+            raise LayerError(problems)
     with stage(spark, config.run, "bronze", clock):
         if config.ingest:
             reports.append(build_bronze_from(spark, arrived, config.as_of, config.prefix, count_rows=count_rows))

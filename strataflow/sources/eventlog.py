@@ -43,6 +43,8 @@ _RUN_START, _RUN_PLAN, _RUN_END = f"{_SQL}ExecutionStart", f"{_SQL}AdaptiveExecu
 _QUERY_START = f"{_STREAM}StreamingQueryListener$QueryStartedEvent"
 # Plan nodes that write files, whose text names the catalog table if there is one, and
 # those of a command that makes a table, which runs its write as another execution.
+#: Job tag of writes to files that are the output of their stage, not intermediates.
+OUTPUT_TAG = "strataflow-output"
 _WRITE_NODE = r'"simpleString":"Execute InsertInto((?:[^"\\]|\\.)*)"'
 _NAMES_TABLE = rf"`[^`]+`\.`(?![^`]*{KEYS}`)[^`]+`(?!\.`)"  # an index of keys is no output
 _TABLE_NODE = r'"nodeName":"(?:Execute (?:SaveAsV1Table|CreateDataSourceTableAsSelect|CreateHiveTableAsSelect)Command|(?:Atomic)?(?:Create|Replace)TableAsSelect)"'
@@ -93,23 +95,26 @@ def execution_targets(spark: SparkSession, log_dir: str) -> DataFrame:
     """``app, execution, to_table`` of each SQL execution that writes: to a catalog table, or to files only.
 
     The nodes of the first plan and of all adaptive ones are searched. A write is to a table if its node names one, or
-    if the execution belongs to a command that makes a table.
+    if the execution belongs to a command that makes a table, or has the job tag ``OUTPUT_TAG``.
     """
     lines = _event_lines(spark, log_dir, [_RUN_START, _RUN_PLAN])
     plan = F.regexp_extract_all("value", F.lit(_WRITE_NODE), F.lit(1))
     seen = lines.select(
         "app",
-        F.from_json("value", "executionId bigint, rootExecutionId bigint").alias("e"),
+        F.from_json("value", "executionId bigint, rootExecutionId bigint, jobTags array<string>").alias("e"),
         (F.size(plan) > 0).alias("writes"),
         F.exists(plan, lambda node: node.rlike(_NAMES_TABLE)).alias("named"),
         F.col("value").rlike(_TABLE_NODE).alias("makes"),
     )
     runs = seen.groupBy("app", F.col("e.executionId").alias("execution")).agg(
-        F.max("e.rootExecutionId").alias("root"), *(F.bool_or(c).alias(c) for c in ("writes", "named", "makes"))
+        F.max("e.rootExecutionId").alias("root"),
+        F.bool_or(F.coalesce(F.array_contains("e.jobTags", OUTPUT_TAG), F.lit(False))).alias("tagged"),
+        *(F.bool_or(c).alias(c) for c in ("writes", "named", "makes")),
     )
     makers = runs.where("makes").select("app", F.col("execution").alias("root"), F.lit(True).alias("by_command"))
     found = runs.where("writes").join(makers, ["app", "root"], "left")
-    return found.select("app", "execution", (F.col("named") | F.col("makes") | F.coalesce("by_command", F.lit(False))).alias("to_table"))
+    to_table = F.col("named") | F.col("makes") | F.col("tagged") | F.coalesce("by_command", F.lit(False))
+    return found.select("app", "execution", to_table.alias("to_table"))
 
 
 def stage_totals(events: DataFrame) -> DataFrame:

@@ -190,8 +190,10 @@ def read_by_header(
     files: str = LANDING_FILES,
     multi_line: bool = False,
     summary: HeaderSummary | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
-    """One scan of all files whose columns are placed by each file's own header.
+    """One scan of all files whose columns are placed by each file's own header. ``folder`` names a column for the
+    name of the folder that a file is in.
 
     The scan reads by position. The commonest order of columns needs no join; files that have another
     one, or other columns, are a table of exceptions. It is broadcast if its measured size
@@ -216,6 +218,8 @@ def read_by_header(
         out = [F.get(F.array(*cells), F.get(places, i) - 1).alias(c) for i, c in enumerate(columns)]
     if lineage:
         out.append(source_name(decoded(F.col("file_name")), suffix, every).alias(lineage))
+    if folder:
+        out.append(parent_folder(decoded(F.col("file_path"))).alias(folder))
     return rows.select(*out)
 
 

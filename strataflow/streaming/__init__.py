@@ -1,3 +1,3 @@
-from strataflow.streaming.ingest import ingest_once, landing_stream, load_table_once
+from strataflow.streaming.ingest import file_stream, ingest_once, ingest_rejects, landing_stream, load_table_once
 
-__all__ = ["ingest_once", "landing_stream", "load_table_once"]
+__all__ = ["file_stream", "ingest_once", "ingest_rejects", "landing_stream", "load_table_once"]

@@ -3,6 +3,7 @@
 import gzip
 import os
 import uuid
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from strataflow.sources import (
     rejected_files,
     write_landing,
 )
-from strataflow.streaming import ingest_once, load_table_once
+from strataflow.streaming import ingest, ingest_once, ingest_rejects, load_table_once
 
 
 def put(root, name, text):
@@ -236,3 +237,61 @@ def test_load_continues_after_a_crash_without_loading_twice(spark, tmp_path, int
     assert run() == expected
     assert run() == expected
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@pytest.mark.parametrize("lost", ["before the rows", "after the rows"])
+def test_ingest_places_columns_by_header_across_a_crash(spark, tmp_path, monkeypatch, lost):
+    src, dst, check = (str(tmp_path / d) for d in ("src", "dst", "check"))
+    for i, (name, text) in enumerate({"a": "a,b\n1,x\n", "b é": "b,a\ny,2\n", "few": "a\n9\n", "c": "\nb,a\n,3\nw,\n", "none": "a,b\n"}.items()):
+        path = put(src, f"7/{name}.csv", text)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    told = []
+
+    def run():
+        loaded = ingest_once(
+            spark, src, dst, check, ["a", "b"], files_per_batch=1, headers="by_file", on_rejects=lambda bad: told.extend(bad.collect())
+        )
+        return sorted((r.a or "", r.b or "", r.source_id, r.folder) for r in loaded.collect())
+
+    real = ingest.read_by_header
+    count = []
+
+    def read(*args, **kwargs):
+        count.append(1)
+        if len(count) == 4 and lost == "before the rows":
+            raise RuntimeError("lost here")
+        return real(*args, **kwargs)
+
+    output = ingest._output
+
+    @contextmanager
+    def leave(session):
+        with output(session):
+            yield
+        if len(count) == 4 and lost == "after the rows":
+            raise RuntimeError("lost here")
+
+    monkeypatch.setattr(ingest, "read_by_header", read)
+    monkeypatch.setattr(ingest, "_output", leave)
+    with pytest.raises(Exception, match="lost here"):
+        run()
+    count.extend([1] * 10)
+    first = [("", "w", "c", "7"), ("1", "x", "a", "7"), ("2", "y", "b é", "7"), ("3", "", "c", "7")]
+    assert run() == first
+    assert run() == first
+    rejects = ingest_rejects(spark, dst).collect()
+    assert [(os.path.basename(r.file_path), r.header, r.reason) for r in rejects] == [("few.csv", "a", "missing b")]
+    put(src, "8/mended.csv", "b,a\nz,9\n")
+    put(src, "8/odd.csv", "a,b,c\n1,2,3\n")
+    assert run() == [*first, ("9", "z", "mended", "8")]
+    assert [(os.path.basename(r.file_path), r.reason) for r in told] == [("odd.csv", "unexpected c")]
+    assert ingest_rejects(spark, dst).count() == 2
+
+
+def test_ingest_by_header_of_nothing(spark, tmp_path):
+    os.makedirs(tmp_path / "src")
+    load = lambda: ingest_once(spark, str(tmp_path / "src"), str(tmp_path / "dst"), str(tmp_path / "seen"), ["a"], headers="by_file")
+    assert load().columns == ["a", "source_id", "folder"] and load().count() == 0 and ingest_rejects(spark, str(tmp_path / "dst")).count() == 0
+    with gzip.open(tmp_path / "src" / "z.csv.gz", "wt") as f:
+        f.write("a\n5\n")
+    assert [tuple(r) for r in load().collect()] == [("5", "z", "src")]

@@ -332,6 +332,21 @@ def test_once_continues_after_a_crash(spark, prefix, tmp_path, monkeypatch):
     assert numbers(spark, prefix) == [str(n) for n in range(5)]
 
 
+def test_ingest_stage_places_columns_and_reports_others(spark, prefix, tmp_path):
+    root = landing(tmp_path / "in")
+    turned = ",".join(TELEMETRY_COLUMNS[::-1])
+    row = ",".join(PACK.split("\n")[0].split(",")[::-1])
+    put(root, "second_life_batteries/battery14.csv", f"{turned}\n{row}\n")
+    put(root, "second_life_batteries/other.csv", "x,y\n1,2\n")
+    config = telemetry_config(root, prefix=prefix, as_of=AS_OF, ingest=f"{tmp_path}/arrived", checkpoint=f"{tmp_path}/seen")
+    with pytest.raises(LayerError, match="other.csv: missing .*; unexpected x, y"):
+        run_pipeline(spark, config)
+    found = counts(run_pipeline(spark, config))
+    assert found == EXPECTED | {("bronze", "second_life"): 6, ("silver", "second_life"): 3} and counts(run_pipeline(spark, config)) == found
+    bronze = read_layer(spark, "bronze", "second_life_batteries_bz", prefix).where("battery_number = 'battery14'")
+    assert [(r.start_time, r.time, r.mode) for r in bronze.select("start_time", "time", "mode").collect()] == [("01:02:2022 10:00:00", "0.0", " -1 ")]
+
+
 def test_every_rejected_file_is_reported(spark, prefix, tmp_path):
     put(tmp_path, "b/good.csv", "a,b\n1,2\n")
     for n in range(1001):
