@@ -1,7 +1,7 @@
 """URL filter: rules by host and path, and boosted trees on lexical features for the rest.
 
 The trees learn from labelled URLs: a bounded sample of those that a rule decides, and examples made
-from short lists of words. Suffix statistics are smoothed shares of blocked URLs among the
+of syllables that differ by their build alone; no word counts for or against a URL. Suffix statistics are smoothed shares of blocked URLs among the
 labelled ones of a suffix, each row's own label left out while training.
 """
 
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import log2
 from random import Random
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -26,12 +27,13 @@ MAX_LABELLED = 4_000
 MADE = 6_000
 NAMES = (
     "length host_length path_length depth labels hyphens digits host_digits path_digits entropy host_entropy parameters "
-    "fragment longest_label longest_run shady plain escapes vowels suffix_share domain_share"
+    "fragment longest_label longest_run escapes vowels suffix_share domain_share"
 ).split()
-#: Words that labelled examples are made of, and whose occurrences are a feature.
-SHADY = "spam farm casino poker porn xxx adult pills viagra loan payday bonus jackpot win free cheap replica click track ads popup download crack keygen warez".split()
-PLAIN = "news blog docs wiki library journal science school museum city garden travel health book music history forum help about article".split()
-SUFFIXES = "com net org info biz top".split()
+SUFFIXES = "com net org info biz top edu uk ca io".split()
+
+
+_PARTS, _PORT = re.compile(r"([^/?#]*)([^?#]*)(.*)", re.S), re.compile(r":[0-9]*$")
+_LOWER = str.maketrans(ascii_uppercase, ascii_lowercase)
 
 
 @dataclass(frozen=True)
@@ -57,8 +59,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     at = F.locate("://", F.coalesce(url, F.lit("")))
     rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
     host = F.regexp_extract(rest, "^[^/?#]*", 0)
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(host, upper, upper.lower()), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
+    return F.translate(host, ascii_uppercase, ascii_lowercase), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
@@ -75,19 +76,24 @@ def entropy(text: str) -> float:
     return -sum(c / n * log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
+def split_url(url: str | None) -> tuple[str, str, str]:
+    """Host and path as in :func:`host_and_path`, and what follows the path."""
+    host, path, tail = _PARTS.match((url or "").partition("://")[2]).groups()
+    return host.translate(_LOWER), path, tail
+
+
 def lexical(url: str | None) -> list[float]:
     """All values of ``NAMES`` but the last two; an empty or null URL has zeros."""
     url = url or ""
-    host, _, tail = url.partition("://")[2].partition("/")
-    host, low = host.lower(), url.lower()
-    path, _, query = tail.partition("?")
+    low, (host, path, tail) = url.lower(), split_url(url)
+    query = tail.partition("?")[2].partition("#")[0]
     digits = lambda s: sum(c.isdigit() for c in s) / max(len(s), 1)
     runs = [len(x) for x in re.findall(r"\w+", path)]
     return [
         float(len(url)),
         float(len(host)),
         float(len(path)),
-        float(tail.count("/")),
+        float(path.count("/")),
         float(host.count(".")),
         float(host.count("-")),
         digits(url),
@@ -99,16 +105,14 @@ def lexical(url: str | None) -> list[float]:
         float("#" in url),
         float(max(map(len, host.split(".")))),
         float(max(runs, default=0)),
-        float(sum(w in low for w in SHADY)),
-        float(sum(w in low for w in PLAIN)),
         float(low.count("%")),
         sum(c in "aeiou" for c in host) / max(len(host), 1),
     ]
 
 
 def suffixes(url: str | None) -> tuple[str, str]:
-    """The last label of the host, and the last two."""
-    labels = (url or "").partition("://")[2].partition("/")[0].lower().split(".")
+    """The last label of the host, and the last two, without a port."""
+    labels = _PORT.sub("", split_url(url)[0]).split(".")
     return labels[-1], ".".join(labels[-2:])
 
 
@@ -137,27 +141,43 @@ class UrlModel:
 
 
 def made_examples(n: int, seed: int = 5) -> list[tuple[str, float]]:
-    """Labelled URLs from the word lists; suffixes, languages and ids are dealt alike to both labels."""
+    """Labelled URLs that differ by their build alone; words, suffixes, languages and ids are dealt alike to both labels.
+
+    Made to be found by machines: hosts joined of words or holding numbers, names without vowels, and
+    deep paths of random parts with long queries. Made to be read: a name, in one label or two, and a path that may be long, but of words.
+    """
     rng = Random(seed)
     syllables = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve".split()
-    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(2, 4)))
+    word = lambda most=4: "".join(rng.choice(syllables) for _ in range(rng.randint(2, most)))
+    consonants = lambda: "".join(rng.choice("bcdfghjklmnpqrstvwxz0123456789") for _ in range(rng.randint(8, 16)))
+    number = lambda: str(rng.randint(1, 10 ** rng.randint(1, 8)))
+    digits = lambda: rng.choice(["", "", word(2)[:1]]) + rng.choice("-./").join(number() for _ in range(rng.choice([1, 1, 2, 3])))
+    part = lambda: digits() if rng.random() < 0.3 else rng.choice("-_").join(word() for _ in range(rng.randint(1, 6)))
     out = []
     for i in range(n):
         bad = i % 2
-        name = word()
-        if bad:
-            shady, form = rng.choice(SHADY), rng.random()
-            name = f"{shady}-{rng.choice(SHADY)}" if form < 0.4 else f"{shady}{word()}" if form < 0.6 else (
-                f"{word()}-{shady}{rng.randint(1, 999)}" if form < 0.8 else f"{name}{rng.randint(1000, 99999999)}-{word()}-{word()}"
-            )
-        elif rng.random() < 0.3:
-            name = rng.choice(PLAIN)
-        host = f"{rng.choice(['', 'www.', 'm.', 'blog.'])}{name}.{rng.choice(['', 'example.'])}{rng.choice(SUFFIXES)}"
+        name = word(6) if rng.random() < 0.5 else word()
+        form = rng.random() if bad else 1.0
+        if form < 0.5:
+            name = "-".join(word(rng.choice([2, 3])) for _ in range(rng.choice([2, 2, 2, 3, 4])))
+        elif form < 0.65:
+            name = f"{name}{rng.choice(['', '-'])}{rng.randint(10, 99999999)}"
+        elif form < 0.8:
+            name = consonants()
+        elif not bad and rng.random() < 0.02:
+            name = f"{name}-{word()}"
+        host = f"{rng.choice(['', 'www.', 'm.', 'blog.', 'docs.', 'en.'])}{name}.{rng.choice(['', '', 'example.', 'co.', 'ac.'])}{rng.choice(SUFFIXES)}"
         path = f"/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.randint(1, 99999)}{rng.choice(['', '/', '.html'])}"
-        if bad and rng.random() < 0.3:
+        if bad and (form >= 0.8 or rng.random() < 0.2):
             path += "/" + "/".join(f"{word()}{rng.randint(0, 9999)}" for _ in range(rng.randint(2, 5)))
-            path += "?" + "&".join(f"{word()}={rng.randint(0, 10**8)}" for _ in range(rng.randint(3, 7)))
+            path += "?" + "&".join(f"{word()}={rng.randint(0, 10**8)}" for _ in range(rng.randint(4, 7)))
         else:
+            kind = rng.random()
+            if kind < 0.2:
+                path = rng.choice(["", "/"])
+            elif kind < 0.6:  # headings, dates and numbers of articles as paths, alike for both
+                path = "/" + "/".join(part() for _ in range(rng.randint(1, 4)))
+                path = path.title() if rng.random() < 0.2 else path
             path += rng.choice(["", "", "#top", "?page=2&ref=x", "?utm_source=feed"])
         out.append((f"{rng.choice(['http', 'https'])}://{host}{path}", float(bad)))
     return out

@@ -1,3 +1,4 @@
+import math
 import re
 import time
 from html import unescape
@@ -6,7 +7,7 @@ import pytest
 
 from strataflow.llm import queries
 from strataflow.llm.html_extract import MADE, PATH, WORDS, Block, blocks, fit_labeller, made_pages, main_texts, vectors
-from strataflow.llm.url_filter import RULES, made_examples, train_url_model
+from strataflow.llm.url_filter import NAMES, RULES, lexical, made_examples, suffixes, train_url_model
 
 
 def slow_rule(url):
@@ -45,7 +46,7 @@ def test_real_urls(spark, sf_dir):
     for r in rows:
         host, path, rule = slow_rule(urls[r["page_id"]])
         assert (r["host"], r["path"], r["rule"]) == (host, path, None if rule is None else str(rule))
-        assert r["verdict"] == (rule.verdict if rule else "block" if re.search("spam|casino|bets|pills|ads-", host) else "allow")
+        assert r["verdict"] == (rule.verdict if rule else "block" if "-" in host else "allow")
 
 
 def test_url_model_on_unseen_examples(spark, sf_dir):
@@ -55,6 +56,32 @@ def test_url_model_on_unseen_examples(spark, sf_dir):
     assert right > 950
 
 
+# Labelled by hand, and not looked at while the model was made.
+ORDINARY = """https://freecodecamp.org/news https://downloads.apache.org/spark https://www.farmersweekly.co.uk https://winnipeg.ca https://adsabs.harvard.edu
+https://en.wikipedia.org/wiki/Casino https://www.theguardian.com/environment/2023/nov/12/rivers-and-lakes https://www.si.edu/exhibitions https://docs.rs/serde/latest/serde/
+https://www.uni-goettingen.de/en/1.html https://www.bl.uk/collection-items https://www.who.int/news/item/05-05-2023-statement https://pubmed.ncbi.nlm.nih.gov/31978945/
+https://www.postgresql.org/docs/16/sql-select.html https://www.louvre.fr/en/explore https://www.bahn.de/ https://www.zeit.de/wissen/2022-07/klima https://plato.stanford.edu/entries/kant/
+https://www.weather.gov/ https://www.rfc-editor.org/rfc/rfc2616 https://en.cppreference.com/w/cpp/container/vector https://www.seriouseats.com/perfect-pan-pizza-recipe https://openlibrary.org/works/OL45804W
+https://www.jstor.org/stable/2118331 https://www.abc.net.au/news/2024-01-10/heat/103299999 https://pandas.pydata.org/docs/ https://www.ft.com/markets https://www.doi.org/10.1000/182 https://www.ikea.com/gb/en/p/billy-00263850/ https://www.museodelprado.es/en""".split()
+SUSPECT = """http://cheap-watches-outlet.top/ https://win-big-now.info/en/1 http://a8xk2q9zt4.biz/ https://best-loans-24.com/de/7 http://login-verify-account.net.ru/x
+https://hotdeals8841923.com/ http://xkqzvbrtpw.top/a https://free-gift-cards.io/?ref=x http://pay-day-cash.org/en/3 https://m.crypto-doubler.com/fr/12""".split()
+
+
+def test_ordinary_and_suspect_hosts(spark, sf_dir):
+    model = train_url_model(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    ordinary, suspect = model.scores(ORDINARY), model.scores(SUSPECT)
+    print("allowed", (ordinary < 0.5).mean(), "blocked", (suspect >= 0.5).mean(), [u for u, s in zip(ORDINARY, ordinary, strict=True) if s >= 0.5])
+    assert (ordinary[:6] < 0.5).all() and (ordinary < 0.5).mean() >= 0.8 and (suspect >= 0.5).mean() >= 0.8
+
+
+def test_host_of_lexical_features():
+    assert suffixes("http://a.org?x=1.net") == ("org", "a.org") and suffixes("http://a.Example.org:8080/x") == ("org", "example.org")
+    assert suffixes(None) == suffixes("plain") == ("", "") and lexical(None) == lexical("") and len(lexical("x://y")) == len(NAMES) - 2
+    values = dict(zip(NAMES, lexical("http://ab.c1?p=1&q=2/3#f"), strict=False))
+    assert (values["host_length"], values["path_length"], values["depth"], values["parameters"], values["fragment"]) == (5, 0, 0, 2, 1)
+    assert values["digits"] == 4 / 24 and values["host_digits"] == 0.2 and values["host_entropy"] == pytest.approx(math.log2(5))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";if(a<b)x();</script></head>
 <body><nav><ul><li><a href="/x">Home</a><li><a href='/y>z'>More &amp; more</a></ul></nav><!-- <p>gone</p> -->
 <article><h1>Big&nbsp;title</h1><p>One <b>bold</b>
