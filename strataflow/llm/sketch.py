@@ -102,40 +102,52 @@ def chained(docs: DataFrame, partitions: int | None = None) -> tuple[DataFrame,
 
     So whoever reads a partition in order sees for every row the one that follows it in the whole
     table. The last range's guest is the first row of all. Equal ids are ordered by a hash of the
-    text, then the text; null ids come last. Only ids are read to find the ranges' borders;
-    they are bounded by the number of partitions. Texts are shuffled once.
+    text, then the text; null ids come last. Ranges are cut by id and hash, so rows of one id, or without any, are
+    many ranges too; only rows of one id and one text stay together. Ids and hashes are written once and read to find the ranges'
+    borders, which are bounded by the number of partitions. Texts are shuffled once.
     """
     spark = docs.sparkSession
     into = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = 4 * into  # several ranges for each partition even out their sizes
     part, guest, tie = hidden("part"), hidden("guest"), hidden("tie")
-    # Spark's own range partitioning of the ids alone gives the borders: a row for each range
-    ids = docs.select("doc_id").where("doc_id is not null").repartitionByRange(n, "doc_id")
-    lows = ids.groupBy(F.spark_partition_id().alias("r")).agg(F.min("doc_id").alias("low")).collect()
-    cuts = np.array(sorted({r["low"] for r in lows})[1:], dtype=np.int64)
-    order = [F.col("doc_id").desc_nulls_last(), F.col(tie), F.col("text")]
+    # rises in the order of the chain; the complement of an id falls as its negative does, without overflow
+    falling = F.coalesce(F.bitwise_not(F.col("doc_id").cast("long")), F.lit(0))
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    keys = docs.select(F.col("doc_id").isNull().cast("long").alias("none"), falling.alias("i"), hashed.alias("t"))
+    keys, key = written(keys, "sketch-keys"), ["none", "i", "t"]
+    # Spark's own range partitioning gives the borders: a row for each range
+    ranges = keys.repartitionByRange(n, *key).groupBy(F.spark_partition_id().alias("r"))
+    lows = sorted(tuple(r["low"]) for r in ranges.agg(F.min(F.struct(*key)).alias("low")).collect())
+    cuts = np.array(lows[1:], dtype=np.int64).reshape(-1, 3)
 
     @F.pandas_udf(T.IntegerType())
-    def place(some: pd.Series) -> pd.Series:  # ranges count from the largest ids down
-        return pd.Series(len(cuts) - np.searchsorted(cuts, some.to_numpy(), side="right")).astype("int32")
-
-    placed = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(place(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
-    dealt = docs.withColumn(tie, F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(part, placed)
-    # the least (falling id, tie) of each range: a hash of the text breaks ties of the id, equal rows are alike
-    falling = F.bitwise_not("doc_id")  # as its negative, without overflow
-    first = F.min(F.struct(falling.alias("i"), F.col(tie).alias("t"))).alias("f")
-    heads = written(dealt.groupBy(F.col(part).alias("p")).agg(first), "sketch-heads")
+    def place(none: pd.Series, i: pd.Series, t: pd.Series) -> pd.Series:
+        low, high = np.zeros(len(i), dtype=np.int64), np.full(len(i), len(cuts))
+        while (low < high).any():  # how many cuts are not over the key
+            middle = (low + high) // 2
+            c, over = cuts[np.minimum(middle, max(len(cuts) - 1, 0))], np.zeros(len(i), dtype=bool)
+            for k, mine in enumerate((t, i, none)):  # the later decides
+                mine = mine.to_numpy()
+                over = (c[:, 2 - k] > mine) | ((c[:, 2 - k] == mine) & over)
+            open_, right = low < high, ~over
+            low, high = np.where(open_ & right, middle + 1, low), np.where(open_ & over, middle, high)
+        return pd.Series(low).astype("int32")
+
+    first = F.min(F.struct(*key)).alias("f")
+    heads = written(keys.groupBy(place(*key).alias("p")).agg(first), "sketch-heads")
     before = Window.orderBy("p")  # a row for each range
-    total = heads.agg(F.min("p"), F.max("p")).first()
-    last = total[1] if total[1] is not None else 0
+    last = heads.agg(F.max("p")).first()[0] or 0
     to = heads.withColumn("to", F.coalesce(F.lag("p").over(before), F.lit(last))).select("p", "f", "to")
+    none = F.col("doc_id").isNull().cast("long")
+    dealt = docs.withColumn(tie, hashed).withColumn(part, place(none, falling, F.col(tie)))
     guests = (
         dealt.join(F.broadcast(to), F.col(part) == F.col("p"))
-        .where(F.coalesce(F.col("f.i") == falling, F.col("f.i").isNull() & F.col("doc_id").isNull()) & (F.col("f.t") == F.col(tie)))
+        .where((F.col("f.none") == none) & (F.col("f.i") == falling) & (F.col("f.t") == F.col(tie)))
         .dropDuplicates(["p"])
         .select(*(F.col(f"`{c}`") for c in docs.columns), tie, F.col("to").alias(part), F.lit(True).alias(guest))
     )
     rows = dealt.withColumn(guest, F.lit(False)).unionByName(guests)
+    order = [F.col("doc_id").desc_nulls_last(), F.col(tie), F.col("text")]
     chain = rows.repartition(into, part).sortWithinPartitions(part, guest, *order)
     return chain, part, guest, tie
 

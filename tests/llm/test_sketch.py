@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import pytest
+import xxhash
 
 from strataflow.llm import queries
-from strataflow.llm.sketch import Sketch, containment, edited, fingerprint_documents, resemblance, sketch
+from strataflow.llm.sketch import Sketch, chained, containment, edited, fingerprint_documents, resemblance, sketch
 from tests.llm.conftest import prose
 
 
@@ -62,6 +63,27 @@ def test_repeated_ids_follow_each_other(spark):
     assert sorted((r["doc_id"], r["near_next"]) for r in rows) == [(1, 0.0), (2, 0.0), (2, 1.0)]
 
 
+@pytest.mark.parametrize("hot", [None, 7, -(2**63), 2**63 - 1])
+def test_a_hot_id_is_many_ranges(spark, hot):
+    rng = random.Random(1)
+    docs = [(hot, prose(k, rng.randint(1, 30))) for k in range(1500)] + [(k, prose(-k, 9)) for k in range(-20, 20)] + [(hot, "same words")] * 5
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    chain, part, _, _ = chained(df, 8)
+    sizes = [r["count"] for r in chain.groupBy(part).count().collect()]
+    assert len(sizes) > 16 and max(sizes) < 300
+    line = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), signed(xxhash.xxh64_intdigest(d[1], 42))))
+    want = []
+    for k, (i, text) in enumerate(line):
+        following = line[(k + 1) % len(line)][1]
+        want.append((i is None, i or 0, len(text), hashlib.sha256(edited(text, following).encode()).hexdigest(), float(text == following)))
+    got = fingerprint_documents(df, partitions=8).collect()
+    assert sorted((r[0] is None, r[0] or 0, r["n_chars"], r["edited_sha256"], float(r["near_next"] == 1)) for r in got) == sorted(want)
+
+
+def signed(h):
+    return h - 2**64 if h >= 2**63 else h
+
+
 def test_edit():
     assert edited("abcdefg", "XY") == "abcdeXY" and edited("abcdef", "X") == "abcdX" and edited("ab", "XYZ") == "ab"
     assert edited(None, "x") == "" and edited("abc", None) == "ab" and edited("\U0001d11eab", "\U0001d11fz") == "\U0001d11ea\U0001d11f"
