@@ -1,4 +1,5 @@
 from strataflow.sources.eventlog import (
+    digest_event_log,
     event_log_ledger,
     event_log_metrics,
     execution_targets,
@@ -33,6 +34,7 @@ from strataflow.sources.tables import (
 __all__ = [
     "LAYERS",
     "LEDGER_SCHEMA",
+    "digest_event_log",
     "ensure_layers",
     "event_log_ledger",
     "event_log_metrics",
