@@ -18,9 +18,14 @@ def _struct(**fields: Column | str) -> Column:
     return F.struct(*[(F.lit(v) if isinstance(v, str) else v).alias(k.replace("_", " ")) for k, v in fields.items()])
 
 
-def _write(events: list[DataFrame], path: str) -> str:
+# A log is rolled after this many events, as Spark rolls its own, and compressed, as its lines repeat the same names.
+EVENTS_PER_FILE, LOG_CODEC = 1_000_000, "lz4"
+
+
+def write_events(events: list[DataFrame], path: str) -> str:
+    """The log of one application, in files that are no more than one task's work to read."""
     for some in events:
-        some.write.mode("append").text(path)
+        some.write.mode("append").option("compression", LOG_CODEC).option("maxRecordsPerFile", EVENTS_PER_FILE).text(path)
     return path
 
 
@@ -48,7 +53,9 @@ def _stage_logs(spark: SparkSession, sf_dir: str) -> str:
         ),
         Task_Executor_Metrics=_struct(JVMHeapMemory=part * 100_000),
     )
-    suppliers = lines.select("l_suppkey").distinct()
+    path = scratch_path(spark, "suppliers")  # found once, as every kind of event below is made of them
+    lines.select("l_suppkey").distinct().write.parquet(path)
+    suppliers = spark.read.parquet(path)
     properties = F.struct(group.alias("spark.jobGroup.id"), supplier.cast("string").alias("spark.sql.execution.id"))
     stage = _struct(Event=f"{_CORE}StageSubmitted", Stage_ID=F.lit(None).cast("bigint"), Stage_Info=_struct(Stage_ID=supplier), Properties=properties)
     peak = _struct(
@@ -102,7 +109,7 @@ def _stage_logs(spark: SparkSession, sf_dir: str) -> str:
         ),
         suppliers.where(supplier % 7 == 0).select(_text(named)).distinct(),
     ]
-    return _write(events, f"{scratch_path(spark, 'eventlogs')}/eventlog_v2_app")
+    return write_events(events, f"{scratch_path(spark, 'eventlogs')}/eventlog_v2_app")
 
 
 _STAGE_LOG = """
@@ -204,4 +211,4 @@ def wall_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
         customers.select(_text(begun)),
         customers.select(_text(ended)),
     ]
-    return run_wall_clock(spark, _write(events, f"{scratch_path(spark, 'eventlogs')}/eventlog_v2_app")).drop("app")
+    return run_wall_clock(spark, write_events(events, f"{scratch_path(spark, 'eventlogs')}/eventlog_v2_app")).drop("app")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.catalogue.logs import write_events
 from strataflow.catalogue.registry import as_of, query, table
 from strataflow.functions import sort_by_category
 from strataflow.operators import (
@@ -345,7 +346,7 @@ def _event_logs(spark: SparkSession, sf_dir: str, group_of: Column) -> str:
         its = lines.where(F.col("l_linestatus") == app)
         tasks = its.select(F.explode(F.array(F.to_json(task), F.to_json(other))).alias("value"))
         events = tasks.union(its.select("l_suppkey").distinct().select(F.to_json(stage)))
-        events.write.text(f"{logs}/eventlog_v2_{app}")
+        write_events([events], f"{logs}/eventlog_v2_{app}")
     return logs
 
 

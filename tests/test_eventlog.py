@@ -7,9 +7,11 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from strataflow.catalogue.runs import _event_logs
 from strataflow.operators.stages import LEDGER_COLUMNS
-from strataflow.sources import event_log_ledger, event_log_metrics, run_wall_clock, stage_memory
+from strataflow.sources import digest_event_log, event_log_ledger, event_log_metrics, run_wall_clock, stage_memory
 
 RUN = """
 import sys
@@ -193,3 +195,74 @@ def test_wall_clock_of_a_run(spark, whole_run):
     total = sum(s for group, s in clocks.items() if group.startswith("4/"))
     assert runs["4"].wall_ms == pytest.approx(1000 * total, rel=0.01, abs=120)
     assert runs["4"].planning_ms > 0 and runs["4"].jobs_ms > 0
+
+
+def written(base, **events):
+    """A rolling log of one application with these events in its files; returns the folder of logs."""
+    for file, some in events.items():
+        path = base / "eventlog_v2_app" / f"{file}_app"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("".join(json.dumps(e, separators=(",", ":")) + "\n" for e in some))
+    return str(base)
+
+
+def task_end(stage, executor, launch, written=0, heap=0, reason="Success"):
+    return {"Event": "SparkListenerTaskEnd", "Stage ID": stage, "Task End Reason": {"Reason": reason},
+            "Task Info": {"Launch Time": launch, "Finish Time": launch + 10, "Executor ID": executor},
+            "Task Metrics": {"Executor Run Time": 8, "Executor CPU Time": 4_000_000, "Input Metrics": {"Bytes Read": 3, "Records Read": 1},
+                             "Output Metrics": {"Bytes Written": written, "Records Written": 1}},
+            "Task Executor Metrics": {"JVMHeapMemory": heap}}
+
+
+def test_log_is_read_once_and_added_up_where_it_is_read(spark, tmp_path):
+    start = {"Event": "SparkListenerStageSubmitted", "Stage Info": {"Stage ID": 1}, "Properties": {"spark.jobGroup.id": "r/gold"}}
+    logs = written(tmp_path, events_1=[start, *(task_end(i % 3, str(i % 2), i) for i in range(600))])
+    metrics = event_log_metrics(spark, logs)
+    assert not any("eventlog_v2_" in file for file in metrics.inputFiles())  # the log was read when this was called
+    assert {(r.job_group, r.tasks, r.stages) for r in metrics.collect()} == {("r/gold", 200, 1), (None, 400, 2)}
+    assert digest_event_log(spark, logs).count() == 7  # three stages on two executors each, and a start
+
+
+def test_events_of_several_files_add_up(spark, tmp_path):
+    sql, insert = "org.apache.spark.sql.execution.ui.SparkListenerSQL", "Execute InsertIntoHadoopFsRelationCommand"
+    submitted = {"Event": "SparkListenerStageSubmitted", "Stage Info": {"Stage ID": 1}, "Properties": {"spark.jobGroup.id": "q1", "spark.sql.execution.id": "5"}}
+    again = {"Event": "SparkListenerStageSubmitted", "Stage Info": {"Stage ID": 1}, "Properties": {"spark.jobGroup.id": "q1"}}
+    named = {"Event": "org.apache.spark.sql.streaming.StreamingQueryListener$QueryStartedEvent", "runId": "q1", "name": "2/ingest"}
+    planned = {"Event": f"{sql}ExecutionStart", "executionId": 5, "rootExecutionId": 5, "sparkPlanInfo": {"nodeName": "x", "simpleString": "x"}}
+    adapted = {"Event": f"{sql}AdaptiveExecutionUpdate", "executionId": 5, "sparkPlanInfo": {"nodeName": insert, "simpleString": f"{insert} file:/a, `c`.`d`.`t`"}}
+    beside = {**planned, "executionId": 6, "rootExecutionId": 6, "sparkPlanInfo": {"nodeName": insert, "simpleString": f"{insert} file:/a, [b]"}}
+    files = {**submitted, "Stage Info": {"Stage ID": 2}, "Properties": {"spark.jobGroup.id": "q1", "spark.sql.execution.id": "6"}}
+    executors = [{"Event": "SparkListenerExecutorAdded", "Executor ID": e, "Executor Info": {"Resource Profile Id": 0}} for e in "12"]
+    profile = {"Event": "SparkListenerResourceProfileAdded", "Resource Profile Id": 0, "Executor Resource Requests": {"memory": {"Amount": 100}}}
+    beat = {"Event": "SparkListenerExecutorMetricsUpdate", "Executor ID": "2",
+            "Executor Metrics Updated": [{"Stage ID": 1, "Executor Metrics": {"JVMHeapMemory": 50 << 20}}, {"Stage ID": -1, "Executor Metrics": {"JVMHeapMemory": 99 << 20}}]}
+    silent = {"Event": "SparkListenerExecutorMetricsUpdate", "Executor ID": "1", "Executor Metrics Updated": []}
+    lost = {"Event": "SparkListenerTaskEnd", "Stage ID": 1, "Task End Reason": {"Reason": "ExecutorLostFailure"}, "Task Info": {"Launch Time": 1, "Finish Time": 2, "Executor ID": "1"}}
+    logs = written(
+        tmp_path,
+        events_1=[*executors, named, submitted, planned, task_end(1, "1", 100, 7, 10 << 20), beat, silent, lost],
+        events_2=[profile, again, adapted, beside, files, task_end(1, "1", 900, 8, 20 << 20), task_end(1, "2", 400, 9), task_end(2, "2", 500, 30)],
+    )
+    (row,) = event_log_metrics(spark, logs).collect()
+    assert (row.app, row.job_group, row.stages, row.tasks, row.failed_tasks) == ("app", "2/ingest", 2, 5, 1)
+    assert (row.write_bytes, row.rows_out, row.file_bytes, row.file_rows) == (24, 3, 30, 1)
+    assert (row.run_ms, row.cpu_pct, row.read_bytes, row.elapsed_ms) == (32, 50.0, 12, 909)
+    assert (row.mem_pct, row.mem_peak_pct) == (35.0, 50.0)
+    heap = {(r.stage_id, r.executor): r.heap_bytes >> 20 for r in stage_memory(spark, logs).collect()}
+    assert heap == {(1, "1"): 20, (1, "2"): 50}
+
+
+def test_made_logs_are_compressed_and_rolled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("strataflow.catalogue.logs.EVENTS_PER_FILE", 3000)
+    n = F.col("id")
+    spark.range(10_000).select(
+        n.alias("l_orderkey"), (n % 200).alias("l_partkey"), (n % 10).alias("l_suppkey"), (n % 7).cast("int").alias("l_linenumber"),
+        (n % 50).cast("double").alias("l_quantity"), F.lit("N").alias("l_returnflag"), F.when(n % 2 == 0, "F").otherwise("O").alias("l_linestatus"),
+    ).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    logs = _event_logs(spark, str(tmp_path), F.lit("1/gold"))
+    lines = spark.read.option("recursiveFileLookup", True).text(logs).select("value", F.col("_metadata.file_path").alias("path"))
+    size, n_lines = lines.agg(F.sum(F.length("value") + 1), F.count("value")).first()
+    assert n_lines == 2 * 10_000 + 10  # two events a line, and a stage of each supplier
+    assert 4 * sum(p.stat().st_size for p in Path(logs).glob("*/part-*")) < size
+    assert max(r["count"] for r in lines.groupBy("path").count().collect()) <= 3000
+    assert {(r.app, r.tasks) for r in event_log_metrics(spark, logs).collect()} == {("F", 5000), ("O", 5000)}
